@@ -12,6 +12,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.curve_packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), size=2048, end_id=1)
+
+
 def op2_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomtext.llm.simhash_trie import near_duplicates
 
@@ -19,11 +32,89 @@ def op2_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_digest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.digest_merge import exact_duplicates
+
+    return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def op4_langid_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.ordinal_quality import rate
+
+    return rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from loomtext.llm.byte_bpe import encoded
+
+    return encoded(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
+
+
+def op7_simhash_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.simhash_votes import edited_likeness
+
+    code = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    out = edited_likeness(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256", code("fp").alias("fingerprint"), code("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.surrogates import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "pii_entities")
+
+
+def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.secret_forest import scan, train
+
+    return scan(table(spark, sf_dir, "documents"), train(spark), path="source")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.warc import archived
+
+    return archived(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op2_simhash_trie": op2_simhash_trie,
-    }
+        f.__name__: f
+        for f in (
+            op1_curve_packing, op2_simhash_trie, op3_digest_merge, op4_langid_ftrl, op5_ordinal_quality,
+            op6_byte_bpe, op7_simhash_votes, op8_surrogates, op9_secret_forest, op10_warc,
+        )
+    }
+
+
+#: Rows of op3: the largest doc_id of texts equal after lower-casing A-Z.
+OP3_SQL = """
+WITH t AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, text_sha256
+FROM t WINDOW w AS (PARTITION BY text_sha256)
+"""
+
+#: Rows of op10: the first of equal payloads of at least 100 bytes is the response, the others revisit it.
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_digest_merge": OP3_SQL, "op10_warc": OP10_SQL}

@@ -276,3 +276,14 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, node_limit
     least = stage(least, "least")
     named = stage(join_counted(rooted, least, "root", "members").select("fp", "n", "component_id"), "named")
     return join_counted(marked, named, "fp", "n").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, radius: int = 8, node_limit: int = 20_000) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their near-duplicate group, all columns as they are.
+
+    Rows that repeat that id all stay (exact copies are another operator's work); rows without an id,
+    which no decision can name, stay too.
+    """
+    near = near_duplicates(docs, words, radius, node_limit)
+    gone = stage(near.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "near-copies")
+    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")

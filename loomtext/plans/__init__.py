@@ -1 +1 @@
-
+"""Registered queries over the driver's tables and the SQL that must give the same rows."""

@@ -44,14 +44,15 @@ def _payload(lookup: DataFrame, tier: str) -> DataFrame:
     )
 
 
-def match_types(types: DataFrame, stopwords: DataFrame, authority: DataFrame, primary: DataFrame, master: DataFrame, tiers=("primary", "master")) -> DataFrame:
+def match_types(types: DataFrame, stopwords: DataFrame, authority: DataFrame, primary: DataFrame, master: DataFrame, tiers=("primary", "master"), each: bool = False) -> DataFrame:
     """(surface, norm, match_tier, match_id, match_lemma, match_def_ka, match_source, confidence, in_lexicon) for distinct pairs.
 
     The first that hits counts: stop word (either form), authority (surface, then norm), first dictionary
     by surface, second by surface, first by norm, second by norm, none. norm is tried only if it is
     given and differs. Each lookup is one row per key, so left joins never multiply; Catalyst broadcasts the small ones.
+    ``each`` matches every row, other columns kept, as a stream needs it.
     """
-    df = types.select("surface", "norm").distinct()
+    df = types if each else types.select("surface", "norm").distinct()
     probe = F.when((F.col("norm") != "") & (F.col("norm") != F.col("surface")), F.col("norm"))
     df = df.withColumn("__probe", probe)
     names = authority.select(
@@ -76,7 +77,8 @@ def match_types(types: DataFrame, stopwords: DataFrame, authority: DataFrame, pr
         return F.when(F.col("__stop"), stopped).otherwise(F.coalesce(got, F.lit(NO_MATCH[name]))).alias(name)
 
     stopped = {"match_tier": F.lit("stopword"), "match_id": F.lit(""), "match_lemma": F.col("surface"), "match_def_ka": F.lit(""), "match_source": F.lit("stopwords"), "confidence": F.lit("stopword"), "in_lexicon": F.lit("0")}
-    return df.select("surface", "norm", *[out(n, stopped[n]) for n in NO_MATCH])
+    rest = [c for c in types.columns if c not in ("surface", "norm")] if each else []
+    return df.select("surface", "norm", *rest, *[out(n, stopped[n]) for n in NO_MATCH])
 
 
 def match_tokens(tokens: DataFrame, stopwords: DataFrame, authority: DataFrame, primary: DataFrame, master: DataFrame, tiers=("primary", "master")) -> DataFrame:

@@ -27,7 +27,7 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 
 def read_documents(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
     """(path, doc, text): whole files below ``path``; doc is the file name without its extension."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True)
     where = F.input_file_name()
     return files.select(where.alias("path"), F.regexp_extract(where, r"([^/]+?)(?:\.[^./]*)?$", 1).alias("doc"), F.col("value").alias("text"))
 

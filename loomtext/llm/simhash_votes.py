@@ -49,7 +49,7 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataF
 
 def likeness(a: str, b: str) -> Column:
     """Cosine that the share of differing bits stands for, 0 where it would be negative."""
-    return F.expr(f"greatest(0D, cos(pi() * bit_count({a} ^ {b}) / 64))")
+    return F.expr(f"if({a} is null or {b} is null, null, greatest(0D, cos(pi() * bit_count({a} ^ {b}) / 64)))")
 
 
 def _tables(radius: int, blocks: int) -> list[list[tuple[int, int]]]:
@@ -103,19 +103,9 @@ def neighbours(docs: DataFrame) -> DataFrame:
     )
 
 
-def edited_likeness(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): n_chars, edited_sha256, fp, edited_fp, near_edited, near_next.
-
-    The edited text is the text with its last quarter (floor) of code points replaced by the first
-    as many of the next document, in order of doc_id, the first following the last. Null texts
-    count as empty. Of rows that repeat an id, edits use the smallest head and near_next compares with
-    the smallest fingerprint. A row without id has no next: its tail is cut off, near_next is null.
-    """
-    order = stage(neighbours(docs), "id-ring")
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    heads = docs.join(order, "doc_id").select(F.col("prev_id").alias("head_of"), F.expr("left(text, prev_n div 4)").alias("head"))
-    heads = heads.groupBy("head_of").agg(F.min("head").alias("head"))
-    rows = docs.join(heads, docs.doc_id == heads.head_of, "left").withColumn("n_chars", F.char_length("text").cast("long"))
+def _both_prints(rows: DataFrame) -> DataFrame:
+    """(doc_id, n_chars, edited_sha256, fp, edited_fp) per row of (doc_id, text, head)."""
+    rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
     rows = rows.select(
         "doc_id", "n_chars", "text",
         F.expr("concat(left(text, cast(n_chars - n_chars div 4 as int)), left(coalesce(head, ''), cast(n_chars div 4 as int)))").alias("edited"),
@@ -130,7 +120,26 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     prints = prints.groupBy("doc_id", "row", "n_chars", "edited_sha256").agg(
         F.max(F.when(F.col("side") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("side") == 1, F.col("fp"))).alias("edited_fp")
     )
-    prints = stage(prints.drop("row"), "fingerprints")
+    return prints.drop("row")
+
+
+def edited_likeness(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): n_chars, edited_sha256, fp, edited_fp, near_edited, near_next.
+
+    The edited text is the text with its last quarter (floor) of code points replaced by the first
+    as many of the next document, in order of doc_id, the first following the last. Null texts
+    count as empty. Of rows that repeat an id, edits use the smallest head and near_next compares with
+    the smallest fingerprint. A row without id has no next: its tail is cut off, near_next is null.
+    """
+    order = stage(neighbours(docs), "id-ring")
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # both joins are merge joins at every size and shuffle the same rows, so the texts' exchange is made once and reused
+    known = docs.filter("doc_id is not null")
+    heads = known.join(order.hint("merge"), "doc_id").select(F.col("prev_id").alias("head_of"), F.expr("left(text, prev_n div 4)").alias("head"))
+    heads = heads.groupBy("head_of").agg(F.min("head").alias("head"))
+    rows = known.join(heads.hint("merge"), F.col("doc_id") == F.col("head_of"), "left").drop("head_of")
+    lost = docs.filter("doc_id is null").withColumn("head", F.lit(None).cast("string"))
+    prints = stage(_both_prints(rows).unionByName(_both_prints(lost)), "fingerprints")
     after = prints.groupBy("doc_id").agg(F.min("fp").alias("next_fp")).join(order.select(F.col("doc_id"), "prev_id"), "doc_id")
     after = after.select(F.col("prev_id").alias("before_id"), "next_fp")
     out = prints.join(after, prints.doc_id == after.before_id, "left")

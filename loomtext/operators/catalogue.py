@@ -73,6 +73,23 @@ def prefix_roots(variants: Column) -> Column:
     return F.aggregate(keyed, F.array().cast("array<string>"), lambda kept, x: F.when(F.exists(kept, lambda k: F.startswith(x["v"], k)), kept).otherwise(F.array_append(kept, x["v"])))
 
 
+def page_breaks(docs: DataFrame, folios: DataFrame) -> DataFrame:
+    """(doc, ord, folio, witness, facs, sp) of each page break; its own image comes before the folio map's."""
+    d = rows_of(docs, ".//pb", {"folio": ".@n", "witness": ".@wit | .@ed", "own": ".@facs"})
+    f = folios.select("folio", F.col("facs").alias("mapped"), "sp").dropDuplicates(["folio"])
+    return d.join(f, "folio", "left").select("doc", "ord", "folio", strings.without_hashes(F.col("witness")).alias("witness"), F.coalesce("own", "mapped").alias("facs"), F.coalesce("sp", F.lit(0)).alias("sp"))
+
+
+def with_popups(words: DataFrame, popups: DataFrame, target: str = "target_id") -> DataFrame:
+    """Tagged words with what their entry shows; words whose entry doesn't exist keep nulls."""
+    return words.join(popups.withColumnRenamed("xml_id", target), target, "left")
+
+
+def authority_pages(entries: DataFrame, lexicon_: DataFrame) -> DataFrame:
+    """Authority entries with the page (letter slug, default ``a``) of the lexicon entry they link to."""
+    return with_default(entries, lexicon_.select(F.col("xml_id").alias("linked"), "slug"), "lex_id", "linked", {"slug": "a"})
+
+
 # --- Views ----------------------------------------------------------------------------------------
 
 

@@ -93,6 +93,17 @@ def test_text_page(docs):
     assert 'data-app="app-1"' in r.html and "<br>სიტყუა" in r.html
 
 
+def test_page_breaks_and_popups(docs, spark):
+    folios = tables.folio_map(spark, 2, 282, "s", "v")
+    b = catalogue.page_breaks(docs, folios).collect()
+    assert [(r.folio, r.witness, r.facs, r.sp) for r in b] == [("1r", "S", "u1", 3)]
+    pop = spark.createDataFrame([("lex-a", "კაცი", "n.", "d", "k")], "xml_id string, lemma string, pos string, def string, slug string")
+    got = {r.target_id: r.lemma for r in catalogue.with_popups(attest.references(docs), pop).collect()}
+    assert got == {"lex-a": "კაცი", "pers-1": None}
+    e = spark.createDataFrame([("i1", "lex-a"), ("i2", None)], "xml_id string, lex_id string")
+    assert {r.xml_id: r.slug for r in catalogue.authority_pages(e, pop).collect()} == {"i1": "k", "i2": "a"}
+
+
 def test_injection(docs):
     found = tokens.tokenise(tokens.text_nodes(docs)).filter("surface in ('და', 'ბოლო', 'გევედრებით', 'რისტე')")
     hit = found.select("*", F.lit("lex-x").alias("match_id"), F.lit("primary").alias("match_tier"), F.lit("d").alias("match_source"), F.lit("exact").alias("confidence"))

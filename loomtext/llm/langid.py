@@ -174,8 +174,8 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
     return model
 
 
-def predict(docs: DataFrame, model: Model, passed: list[str]) -> DataFrame:
-    """``passed`` columns of ``docs``, lang_pred and score for every row, from the whole text.
+def predict(docs: DataFrame, model: Model, passed: list[str], lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``passed`` columns of ``docs``, and columns ``lang`` and ``score`` for every row, from the whole text.
 
     Null texts, texts without a letter, and every text if the model knows no language, are UNKNOWN with score 0.
     """
@@ -195,11 +195,11 @@ def predict(docs: DataFrame, model: Model, passed: list[str]) -> DataFrame:
                 else:
                     names.append(UNKNOWN)
                     scores.append(0.0)
-            yield pa.record_batch([*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*passed, "lang_pred", "score"])
+            yield pa.record_batch([*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*passed, lang, score])
 
     given = docs.select(*passed, F.col("text").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
-    return given.mapInArrow(run, schema + ", lang_pred string, score double")
+    return given.mapInArrow(run, schema + f", `{lang}` string, `{score}` double")
 
 
 def held_out(id_column: str = "doc_id"):
@@ -220,5 +220,5 @@ def in_known_language(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE)
     model = train(rows.filter("not held_out"), sample)
     taken = set(docs.columns)
     lang, score = (next(n for n in (f"{base}{'_' * k}" for k in range(99)) if n not in taken) for base in ("lang_pred", "score"))
-    marked = predict(docs, model, docs.columns).toDF(*docs.columns, lang, score)
+    marked = predict(docs, model, docs.columns, lang, score)
     return marked.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

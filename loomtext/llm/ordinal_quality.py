@@ -89,7 +89,7 @@ class Model:
 def fit(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, grades: list[int], epochs: int = 6, alpha: float = 0.4, l1: float = 4.0, l2: float = 0.01) -> Model:
     """Cumulative-link likelihood; shared weights by FTRL-proximal steps, so words of no account weigh exactly
     nothing; thresholds are a first one and positive gaps, so they stay ordered."""
-    k, size = len(grades) - 1, BUCKETS + SHAPES
+    k, size = max(0, len(grades) - 1), BUCKETS + SHAPES
     z, n = np.zeros(size), np.zeros(size)
     share = np.array([(y >= j + 1).mean() for j in range(k)]).clip(0.01, 0.99)
     start = np.log((1 - share) / share)

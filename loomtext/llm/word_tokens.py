@@ -1,19 +1,31 @@
 """Token ids of a file for the ``tokenizers`` library, with each distinct word encoded once per worker.
 
 The word tokenizer's pre-tokens never span white space, so a text's ids are its white-space pieces'
-ids one after another. Pieces are looked up in a bounded cache; the library encodes what is missing.
+ids one after another. Pieces are looked up in a bounded cache; the library encodes what is missing:
+a plain word by its BPE model alone, anything else by the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
 
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 800_000
+#: Words that normalisation leaves alone but for lower case, and that are one pre-token.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _encoders: dict[str, "PieceEncoder"] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level BPE writes each byte: printable ones stand for themselves, others follow from 256 on."""
+    keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in keep else chr(next(others)) for b in range(256)}
+
+
 class PieceEncoder:
     """ids of texts; ``path`` is a tokenizer whose pre-tokens hold no white space."""
 
@@ -23,34 +35,52 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # special tokens' strings inside a text are ordinary text
+        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.code = "H" if self.dtype is np.uint16 else "I"
+        self.letters = _byte_letters()
+        self.bpe = self.tokenizer.model.tokenize  # bound once: each access to the model wraps it anew
         self.cache: dict[str, bytes] = {}
+        trial = ["a", "the", "tion", "zuüber", "éèçñ", "ß", "straße", "être", "übermorgen", "internationalisation", "xqzj"]
+        self.by_model = all(self._model_ids(w) == self._ids(w) for w in trial)
+
+    def _ids(self, piece: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _model_ids(self, word: str) -> bytes:
+        spelt = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        return array(self.code, [t.id for t in self.bpe(spelt)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """ids of each text, of the smallest unsigned type that holds the vocabulary."""
         cache = self.cache
         if len(cache) > CACHE_PIECES:
             cache.clear()
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = list({p for ps in split for p in ps if p not in cache})
-        self._learn(missing)
-        return [np.frombuffer(b"".join([cache[p] for p in ps]), np.uint32) for ps in split]
-
-    def _learn(self, missing: list[str]) -> None:
-        """Encodes pieces; a plain ASCII word is encoded once for all its cases and end marks."""
-        cache, whole, later = self.cache, [], []
-        for p in missing:
-            word = p[:-1] if p[-1:] in (".", ",") else p
-            if word.isascii() and word.isalpha():
-                later.append((p, word.lower(), p[len(word) :]))
-            else:
-                whole.append(p)
-        words = {w for _, w, _ in later if w not in cache} | {e for _, _, e in later if e and e not in cache}
-        whole += words.difference(whole)
-        for at in range(0, len(whole), 10_000):
-            part = whole[at : at + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                cache[p] = np.array(e.ids, np.uint32).tobytes()
-        for p, w, e in later:
-            cache[p] = cache[w] + cache[e] if e else cache[w]
+        here = dict.fromkeys(p for ps in split for p in ps)
+        known, learn = cache.get, self._learn
+        for p in here:
+            here[p] = known(p) or learn(p)
+        find = here.__getitem__
+        return [np.frombuffer(b"".join(map(find, ps)), self.dtype) for ps in split]
+
+    def _learn(self, piece: str) -> bytes:
+        """ids of a piece; a plain word is kept once for all its cases and end marks."""
+        cache = self.cache
+        word, end = (piece[:-1], piece[-1]) if piece[-1:] in (".", ",") else (piece, "")
+        if not self.by_model or not _PLAIN.fullmatch(word):
+            ids = self._ids(piece)
+        else:
+            low = word.lower()
+            ids = cache.get(low)
+            if ids is None:
+                ids = cache[low] = self._model_ids(low)
+            if end:
+                mark = cache.get(end)
+                if mark is None:
+                    mark = cache[end] = self._ids(end)
+                ids += mark
+        cache[piece] = ids
+        return ids
 
 
 def encoder(path: str) -> PieceEncoder:

@@ -67,12 +67,12 @@ def project(ids: np.ndarray, matrix: np.ndarray) -> np.ndarray:
 
 
 def tokenised(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
-    """(doc_id, n, ids binary of little-endian unsigned 32-bit, p0.. floats) per row."""
+    """(doc_id, n, ids binary, p0.. floats) per row; ids take two bytes each where the vocabulary allows, else four, little-endian."""
     names = ["doc_id", "n", "ids", *[f"p{i}" for i in range(DIMS)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, matrix = encoder(path), _projection()
-        tail = np.array([] if end_id is None else [end_id], np.uint32)
+        tail = np.array([] if end_id is None else [end_id], enc.dtype)
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             ends = np.cumsum([len(t) for t in texts]) // BATCH_CHARS
@@ -80,7 +80,8 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
             for at, to in zip(cuts, cuts[1:], strict=False):
                 ids = enc.encode(texts[at:to])
                 p = np.array([project(x, matrix) for x in ids], np.float32).reshape(-1, DIMS)
-                whole = [np.concatenate([x, tail]).astype("<u4") for x in ids]
+                kind = np.dtype(enc.dtype).newbyteorder("<")
+                whole = [np.concatenate([x, tail]).astype(kind) for x in ids]
                 cols = [b.column(0).slice(at, to - at), pa.array([len(x) for x in whole], pa.int64()), pa.array([x.tobytes() for x in whole], pa.binary())]
                 yield pa.record_batch(cols + [pa.array(p[:, i]) for i in range(DIMS)], names)
 
@@ -115,7 +116,8 @@ def placed_tokens(docs: DataFrame, path: str, end_id: int | None = 1) -> DataFra
     """(doc_id, n, ids, start_at) per row of ``docs``: its ids and their place on the line."""
     tokens = stage(tokenised(docs, path, end_id).withColumn("row", F.monotonically_increasing_id()), "token-ids")
     places = stage(_placed(tokens.drop("ids", "doc_id")), "places")
-    return tokens.select("row", "doc_id", "n", "ids").join(places, "row").drop("row")
+    # a merge join at every size: the ids are shuffled once, whether the places would fit a broadcast or not
+    return tokens.select("row", "doc_id", "n", "ids").join(places.hint("merge"), "row").drop("row")
 
 
 def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int | None = 1, with_ids: bool = False) -> DataFrame:
@@ -131,7 +133,8 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int | None = 1, w
             n, at = b.column(1).to_numpy(), b.column(3).to_numpy()
             rows = []
             for k, (length, line) in enumerate(zip(n.tolist(), at.tolist(), strict=True)):
-                buf, done = memoryview(b.column(2)[k].as_buffer()), 0
+                raw, done = b.column(2)[k].as_buffer(), 0
+                buf = memoryview(np.frombuffer(raw, f"<u{len(raw) // length}").astype("<u4").tobytes()) if length else b""
                 while done < length:
                     seq, off = divmod(line + done, size)
                     take = min(length - done, size - off)

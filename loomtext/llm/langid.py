@@ -214,8 +214,9 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return predict(rows, model, ["doc_id", "held_out"])
 
 
-def in_known_language(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` whose text has a letter and whose language scores at least ``least``."""
+def in_known_language(docs: DataFrame, least: float = 0.3, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter and whose language scores at least ``least``, low enough to keep
+    short texts and texts in two languages."""
     rows = docs.select("doc_id", "text", "lang").withColumn("held_out", held_out())
     model = train(rows.filter("not held_out"), sample)
     taken = set(docs.columns)

@@ -23,9 +23,8 @@ from loomtext.llm.staging import join_counted, new_path, stage
 CRLF = "\r\n"
 #: Payloads below this many bytes are always archived whole.
 REVISIT_BYTES = 100
-#: Rows of an archive file at most; the reader holds one file at a time.
-FILE_RECORDS = 6_000
-FILE_BYTES = 64_000_000
+#: Bytes of an archive file, before compression, that the writer aims at; the reader holds one file at a time.
+FILE_BYTES = 32_000_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = "2024-01-01T00:00:00Z"
 
@@ -34,7 +33,7 @@ def captures(pages: DataFrame, date: str = EPOCH) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): payload, its digest and size, record_type and refers_to.
 
     Of rows with equal payloads of at least REVISIT_BYTES the smallest page_id (of rows that repeat it,
-    one) is the response and others revisit it. A null html is an empty payload; a null url an empty target.
+    one) is the response and others revisit it. Payloads are staged once, here. A null html is an empty payload; a null url an empty target.
     """
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
@@ -87,11 +86,11 @@ def records(caps: DataFrame) -> DataFrame:
 
 
 def write_archives(caps: DataFrame, path: str) -> None:
-    """Writes the captures' records under ``path``; a file holds at most FILE_RECORDS records and about FILE_BYTES."""
-    total = caps.agg(F.sum(F.col("payload_bytes") + 2000)).first()[0] or 0
-    parts = max(caps.sparkSession.sparkContext.defaultParallelism, -(-total // FILE_BYTES))
-    out = records(caps.repartition(int(parts), "row"))
-    out.write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    """Writes the captures' records under ``path``, gzipped, as many to a file as make about FILE_BYTES on average."""
+    total = caps.agg(F.count("*").alias("n"), F.sum("payload_bytes").alias("bytes")).first()
+    per_capture = ((total.bytes or 0) / total.n if total.n else 0) + 2000
+    out = records(caps).write.option("lineSep", CRLF * 2).option("compression", "gzip")
+    out.option("maxRecordsPerFile", 3 * max(1, int(FILE_BYTES / per_capture))).text(path)
 
 
 def _gunzip(raw: bytes) -> bytes:
@@ -159,21 +158,28 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, RECORD)
 
 
-def transactions(recs: DataFrame) -> DataFrame:
+def transactions(recs: DataFrame, payloads: bool = True) -> DataFrame:
     """One nested row per capture: record_id, type, date, uri, refers_to, digest, response, request, metadata.
 
     A capture is a response, revisit or resource record. A request or metadata record belongs to the
-    capture it names in any of its concurrent-to ids; of several the one with the smallest id is taken.
-    Records that name no capture are left out. Captures that repeat a record id are repeats of one record.
+    captures it names in its concurrent-to ids; of several of a kind the one with the smallest id is
+    taken. Records that name no capture are left out; records that repeat an id are one. The archives
+    are parsed once and shuffled once, by the capture's id. The response tells its payload's size and
+    SHA-256; with ``payloads`` False it leaves the payload itself out, and the shuffle carries none.
     """
-    main = recs.filter(F.col("type").isin("response", "revisit", "resource"))
-    main = main.select("record_id", "type", "date", "uri", "refers_to", "digest", F.struct("http_head", "content_type", "payload", "truncated").alias("response"))
-
-    def aside(kind: str) -> DataFrame:
-        one = recs.filter(F.col("type") == kind).select(F.explode(F.array_distinct("concurrent_to")).alias("record_id"), F.struct("record_id", "http_head", "payload").alias(kind))
-        return one.groupBy("record_id").agg(F.min_by(kind, f"{kind}.record_id").alias(kind))
-
-    return main.join(aside("request"), "record_id", "left").join(aside("metadata"), "record_id", "left")
+    main = F.col("type").isin("response", "revisit", "resource")
+    key = F.when(main, F.array("record_id")).when(F.col("type").isin("request", "metadata"), F.array_distinct("concurrent_to"))
+    keyed = recs.withColumn("key", F.explode(key))
+    told = [F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256")]
+    body = F.col("payload") if payloads else F.lit(None).cast("binary").alias("payload")
+    whole = F.struct("type", "date", "uri", "refers_to", "digest", F.struct("http_head", "content_type", body, *told, "truncated").alias("response"))
+    aside = F.struct("record_id", "http_head", "payload")
+    one = lambda value, kind: F.min_by(value, F.when(kind, F.col("record_id")))
+    keyed = keyed.select("key", "record_id", "type", F.when(main, whole).alias("whole"), F.when(~main, aside).alias("aside"))
+    out = keyed.groupBy("key").agg(
+        one("whole", F.col("whole").isNotNull()).alias("m"), one("aside", F.col("type") == "request").alias("request"), one("aside", F.col("type") == "metadata").alias("metadata"), F.max(F.col("whole").isNotNull()).alias("found")
+    )
+    return out.filter("found").select(F.col("key").alias("record_id"), "m.*", "request", "metadata")
 
 
 def field(block: str, name: str):
@@ -186,13 +192,13 @@ def archived(pages: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) per row of ``pages``, as read back from archives."""
     spark = pages.sparkSession
     path = new_path(spark, "archives")
-    write_archives(stage(captures(pages), "deduplicated-captures"), path)
-    caps = transactions(read_archives(spark, path))
+    write_archives(captures(pages), path)
+    caps = transactions(read_archives(spark, path), payloads=False)
     kind = pages.schema["page_id"].dataType.simpleString()
     return caps.select(
         field("metadata.payload", "page-id").cast(kind).alias("page_id"),
-        F.when(F.col("type") == "response", F.octet_length("response.payload").cast("long")).otherwise(field("metadata.payload", "payload-bytes").cast("long")).alias("payload_bytes"),
-        F.when(F.col("type") == "response", F.sha2("response.payload", 256)).otherwise(F.regexp_replace("digest", "^sha256:", "")).alias("payload_digest"),
+        F.when(F.col("type") == "response", F.col("response.payload_bytes")).otherwise(field("metadata.payload", "payload-bytes").cast("long")).alias("payload_bytes"),
+        F.when(F.col("type") == "response", F.col("response.payload_sha256")).otherwise(F.regexp_replace("digest", "^sha256:", "")).alias("payload_digest"),
         F.col("type").alias("record_type"),
         field("metadata.payload", "refers-to-page").cast(kind).alias("refers_to"),
     )

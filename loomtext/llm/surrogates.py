@@ -37,27 +37,45 @@ ENDINGS = {
     "greek": {"m": "ρων", "f": "λια", "": "ρις", "s": "μερ"},
 }
 
-_titles = "|".join(sorted((t.replace("-", "\\-") for ts in TITLES.values() for t in ts), key=lambda t: (-len(t), t)))
-EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}](?:[\p{L}\p{N}._%+\-]{0,62}[\p{L}\p{N}_%+\-])?@(?:[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,61}[\p{L}\p{N}])?\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}])"
+def _by_first_letter(words: list[str]) -> str:
+    """An alternation that is left at once where no word's first letter stands."""
+    firsts = sorted({w[0] for w in words})
+    tails = {f: sorted((w[1:].replace("-", "\\-") for w in words if w[0] == f), key=lambda t: (-len(t), t)) for f in firsts}
+    return f"(?=[{''.join(firsts)}])(?:" + "|".join(f"{f}(?:{'|'.join(ts)})" for f, ts in tails.items()) + ")"
+
+
+_titles = _by_first_letter([t for ts in TITLES.values() for t in ts])
+#: Every entity begins where no letter or digit precedes; the patterns add what else must not.
+START = r"(?<![\p{L}\p{N}])"
+EMAIL = r"(?<![._%+\-])[\p{L}\p{N}](?:[\p{L}\p{N}._%+\-]{0,62}[\p{L}\p{N}_%+\-])?@(?:[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,61}[\p{L}\p{N}])?\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-IP = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?![\d]|\.\d)"
-IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
-SSN = r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"
-CARD = r"(?<![\p{L}\p{N}\-.])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|3\d{3}[ \-]\d{6}[ \-]\d{5}|[2-6]\d{12,18})(?![\p{L}\p{N}\-]|\.\d)"
+IP = rf"(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?![\d]|\.\d)"
+IBAN = r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
+SSN = r"(?<!-)\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"
+CARD = r"(?<![\-.])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|3\d{3}[ \-]\d{6}[ \-]\d{5}|[2-6]\d{12,18})(?![\p{L}\p{N}\-]|\.\d)"
 PHONE = (
-    r"(?<![\p{L}\p{N}.\-])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,4}"
+    r"(?<![.\-])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,4}"
     r"|\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}|00\d{1,3}[ .\-]\d{1,4}(?:[ .\-]\d{2,4}){1,4})(?![\p{L}\p{N}]|[.\-]\d)"
 )
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_titles})\.?[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,40}}(?:[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,40}}){{0,2}}"
+NAME = rf"{_titles}\.?[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,40}}(?:[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,40}}){{0,2}}"
 #: In the order that decides an entity's kind.
 KINDS = {"email": EMAIL, "ip": IP, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "name": NAME}
-ANY = "|".join(f"(?:{p})" for p in KINDS.values())
-#: A text without any of these holds no entity; cheap to test.
-TRIGGER = rf"[\d@]|(?:{_titles})\.?[ ]\p{{Lu}}"
+ANY = START + "(?:" + "|".join(f"(?:{p})" for p in KINDS.values()) + ")"
+TITLED = rf"{_titles}\.?[ ]\p{{Lu}}"
+
+
+def _may_hold(text: Column) -> Column:
+    """Cheap tests that every text with an entity passes: a digit or an at sign, or a title; plain substrings come first."""
+    words = sorted({t for ts in TITLES.values() for t in ts})
+    words = [w for w in words if not any(w != o and o in w for o in words)]  # a longer title contains the shorter
+    some = F.lit(False)
+    for w in words:
+        some = some | F.contains(text, F.lit(w))
+    return text.rlike("[0-9@]") | (some & text.rlike(TITLED))
 
 
 def _found(text: Column) -> Column:
-    return F.when(text.rlike(TRIGGER), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return F.when(_may_hold(text), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def entities(docs: DataFrame) -> DataFrame:
@@ -101,7 +119,9 @@ def _stream(key: str) -> Column:
 def proposals(keys: DataFrame, key: str) -> DataFrame:
     """``keys`` (kind, canon, script, attempt) with ``made``: the surrogate of the canonical form."""
     numbers, hx = _stream(key)
-    df = keys.withColumn("hx", hx).withColumn("z", numbers)
+    # dealt out by number: the forms below are the costly part, and the exchange keeps z from being computed for each use
+    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = keys.withColumn("hx", hx).withColumn("z", numbers).repartition(n, "kind", "canon")
     digits = "array_join(transform(split(canon, ''), (c, i) -> if(i = 0 and c <> '0', cast(1 + z[0] % 9 as string), cast(z[i % 64] % 10 as string))), '')"
     phone = digits.replace("canon", "substring_index(canon, ' ', -1)")
     phone = f"concat(substring_index(canon, ' ', 1), ' ', {phone})"
@@ -203,7 +223,7 @@ def pseudonymise(docs: DataFrame, key: str = "loomtext") -> DataFrame:
     maps = join_counted(found, table, "entity", "n").groupBy(F.col("doc_id").alias("__id")).agg(
         F.map_from_entries(F.collect_set(F.struct("entity", "surrogate"))).alias("__map")
     )  # bounded by one document's own entities
-    has = F.coalesce(F.col("text").rlike(TRIGGER) & F.col("text").rlike(ANY), F.lit(False))
+    has = F.coalesce(_may_hold(F.col("text")) & F.col("text").rlike(ANY), F.lit(False))
     clean = docs.filter(~has).withColumn("pii_entities", F.lit(0).cast("long"))
     dirty = docs.filter(has).join(maps, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("__found", _found(F.col("text")))
     dirty = dirty.withColumn("__between", F.split("text", ANY, -1)).withColumn("pii_entities", F.size("__found").cast("long"))

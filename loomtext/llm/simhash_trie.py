@@ -31,25 +31,34 @@ LEAF_PAIRS = 1024
 SHINGLE_CHUNK = 500_000
 
 
-def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
-    """Unsigned SimHash of a text: a bit is 1 if set in over half the shingles' XXH64.
+def hashed_shingles(text: str | None, words: int, seed: int = 42) -> Iterator[np.ndarray]:
+    """XXH64 (uint64) of the shingles of a text in order, at most SHINGLE_CHUNK at a time; no word (or null) gives none.
 
-    A-Z are lower-cased; words are runs free of ASCII white space; repeats count. Fewer words than
-    ``words`` make one shingle; no word (or null) gives 0.
+    A-Z are lower-cased; words are runs free of ASCII white space. Fewer words than ``words`` make one shingle.
     """
     flat = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
     if not flat:
-        return 0
+        return
     gaps = np.flatnonzero(np.frombuffer(flat, np.uint8) == 32)
     n = max(1, len(gaps) + 2 - words)
     starts = np.concatenate([[0], gaps[: n - 1] + 1])
     ends = np.concatenate([gaps[words - 1 :], [len(flat)]])[-n:]
-    digest, votes = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    digest = xxhash.xxh64_intdigest
     for at in range(0, n, SHINGLE_CHUNK):
         part = zip(starts[at : at + SHINGLE_CHUNK].tolist(), ends[at : at + SHINGLE_CHUNK].tolist(), strict=True)
-        h = np.array([digest(flat[s:e], seed) for s, e in part], np.uint64)
+        yield np.array([digest(flat[s:e], seed) for s, e in part], np.uint64)
+
+
+def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
+    """Unsigned SimHash of a text: a bit is 1 if set in over half the shingles' XXH64.
+
+    Repeats count. No word (or null) gives 0.
+    """
+    votes, n = np.zeros(64, np.int64), 0
+    for h in hashed_shingles(text, words, seed):
         bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         votes += np.add.reduce(bits, axis=0, dtype=np.uint32)
+        n += len(h)
     return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
 
 

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from loomtext.llm import digest_merge, simhash_trie, simhash_votes
+from loomtext.llm import digest_merge, shingle_overlap, simhash_trie, simhash_votes
 from loomtext.llm.components import components
 from loomtext.llm.staging import join_counted
 
@@ -124,6 +124,45 @@ def test_one_of_each_keeps_whole_rows(docs):
     assert 1 in ids and 2 not in ids and 4 not in ids and ids.count(None) == 2
 
 
+def shingle_words(text, k=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+    return frozenset(tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))) if words else frozenset()
+
+
+def overlap(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("table", ["documents", "edits", "awkward"])
+def test_near_copies_are_all_pairs_of_the_overlap(spark, sf_dir, docs, table):
+    if table == "edits":  # copies of about 0.6 to 1, in sizes from 5 to 300 words, of a vocabulary that gives chance overlaps
+        r, rows = random.Random(8), []
+        for k in range(60):
+            base = [f"w{r.randrange(400)}" for _ in range(r.choice([5, 9, 40, 120, 300]))]
+            rows += [(len(rows) + j, " ".join(f"x{r.randrange(9)}" if j and r.random() < 0.03 * (j % 3) else w for w in base[: len(base) - r.randrange(1 + len(base) // 6)])) for j in range(5)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+    elif table == "documents":
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    sets = [shingle_words(t) for _, t in rows]
+    same = groups(sets, lambda a, b: overlap(a, b) >= 0.8)
+    low = {g: min((i for (i, _), s in zip(rows, same, strict=True) if s == g and i is not None), default=None) for g in same}
+    want = sorted(((i, low[s]) for (i, _), s in zip(rows, same, strict=True)), key=str)
+    assert sorted(map(tuple, shingle_overlap.near_copies(docs).collect()), key=str) == want
+    kept = shingle_overlap.one_of_each(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {low[s] for s in same} | ({None} if table == "awkward" else set())
+    assert shingle_overlap.near_copies(docs.limit(0)).count() == 0
+
+
+def test_pipeline_keeps_strangers_and_drops_copies(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id in (145, 6, 177, 1, 192, 155)")
+    near = dict(corpus_pipeline.STAGES)["near copies"](spark, docs, sf_dir)
+    # 145 and 6: overlap 0.833 at 11 bits; 177 and 1: 0.83 at 17 bits; 192 and 155: 0.76 at 4 bits
+    assert {r.doc_id for r in near.collect()} == {1, 6, 155, 192}
+
+
 def test_exact_duplicates(docs):
     got = digest_merge.exact_duplicates(docs, fan_in=2).collect()
     assert len(got) == len(ROWS)

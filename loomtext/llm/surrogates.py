@@ -53,11 +53,15 @@ IP = rf"(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?![\d]|\.\d)"
 IBAN = r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 SSN = r"(?<!-)\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"
 CARD = r"(?<![\-.])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|3\d{3}[ \-]\d{6}[ \-]\d{5}|[2-6]\d{12,18})(?![\p{L}\p{N}\-]|\.\d)"
+#: A number with a country's code has seven digits at least.
+SEVEN = r"(?=(?:[ .\-()]{0,2}\d){7})"
 PHONE = (
-    r"(?<![.\-])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,4}"
-    r"|\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}|00\d{1,3}[ .\-]\d{1,4}(?:[ .\-]\d{2,4}){1,4})(?![\p{L}\p{N}]|[.\-]\d)"
+    rf"(?<![.\-])(?:\+{SEVEN}\d{{1,3}}[ .\-]?(?:\(\d{{1,4}}\)[ .\-]?)?\d{{1,4}}(?:[ .\-]?\d{{2,4}}){{1,4}}"
+    rf"|\(\d{{3}}\)[ .\-]?\d{{3}}[ .\-]\d{{4}}|\d{{3}}[.\-]\d{{3}}[.\-]\d{{4}}|00{SEVEN}\d{{1,3}}[ .\-]\d{{1,4}}(?:[ .\-]\d{{2,4}}){{1,4}})(?![\p{{L}}\p{{N}}]|[.\-]\d)"
 )
 NAME = rf"{_titles}\.?[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,40}}(?:[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,40}}){{0,2}}"
+#: From this attempt on numbers and addresses grow as names and e-mail addresses do from the first, so that no form is ever full.
+GROWS = 8
 #: In the order that decides an entity's kind.
 KINDS = {"email": EMAIL, "ip": IP, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "name": NAME}
 ANY = START + "(?:" + "|".join(f"(?:{p})" for p in KINDS.values()) + ")"
@@ -121,14 +125,16 @@ def proposals(keys: DataFrame, key: str) -> DataFrame:
     numbers, hx = _stream(key)
     # dealt out by number: the forms below are the costly part, and the exchange keeps z from being computed for each use
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = keys.withColumn("hx", hx).withColumn("z", numbers).repartition(n, "kind", "canon")
-    digits = "array_join(transform(split(canon, ''), (c, i) -> if(i = 0 and c <> '0', cast(1 + z[0] % 9 as string), cast(z[i % 64] % 10 as string))), '')"
-    phone = digits.replace("canon", "substring_index(canon, ' ', -1)")
+    shape = F.expr(f"concat(canon, repeat('0', greatest(attempt - {GROWS - 1}, 0)))")  # what the numbers are drawn in the shape of
+    df = keys.withColumn("shape", shape).withColumn("hx", hx).withColumn("z", numbers).repartition(n, "kind", "canon")
+    digits = "array_join(transform(split(shape, ''), (c, i) -> if(i = 0 and c <> '0', cast(1 + z[0] % 9 as string), cast(z[i % 64] % 10 as string))), '')"
+    phone = digits.replace("shape", "substring_index(shape, ' ', -1)")
     phone = f"concat(substring_index(canon, ' ', 1), ' ', {phone})"
     # the leading digits that tell the issuer's or the country's kind stay
-    card = "concat(substr(canon, 1, 1), array_join(transform(split(substr(canon, 2), ''), (c, i) -> cast(z[i % 64] % 10 as string)), ''))"
-    iban = "concat(upper(substr(canon, 1, 2)), '00', array_join(transform(split(upper(substr(canon, 5)), ''), (c, i) -> if(c rlike '[0-9]', cast(z[i % 64] % 10 as string), chr(65 + z[i % 64] % 26))), ''))"
-    ip = "concat_ws('.', 240 + z[0] % 15, z[1], z[2], z[3])"
+    card = "concat(substr(canon, 1, 1), array_join(transform(split(substr(shape, 2), ''), (c, i) -> cast(z[i % 64] % 10 as string)), ''))"
+    iban = "concat(upper(substr(canon, 1, 2)), '00', array_join(transform(split(upper(substr(shape, 5)), ''), (c, i) -> if(c rlike '[0-9]', cast(z[i % 64] % 10 as string), chr(65 + z[i % 64] % 26))), ''))"
+    # later attempts are IPv6 addresses of the range kept for documentation
+    ip = f"if(attempt < {GROWS}, concat_ws('.', 240 + z[0] % 15, z[1], z[2], z[3]), concat('2001:db8', array_join(transform(sequence(0, 5), i -> concat(':', lower(substr(hx, 4 * i + 1, 4)))), '')))"
     local = "array_join(transform(split(substring_index(canon, '@', 1), ''), (c, i) -> case when c rlike '[0-9]' then cast(z[i % 64] % 10 as string) when c rlike '\\\\p{L}' then chr(97 + z[i % 64] % 26) else c end), '')"
     email = f"concat({local}, if(attempt > 0, lower(substr(hx, 90, 2 * attempt)), ''), '@', lower(substr(hx, 70, 10)), '.example')"
     name = F.lit(None).cast("string")
@@ -147,7 +153,7 @@ def proposals(keys: DataFrame, key: str) -> DataFrame:
         .when(F.col("kind") == "ssn", F.expr(digits))
         .otherwise(name)
     )
-    df = df.withColumn("made", made).drop("hx", "z")
+    df = df.withColumn("made", made).drop("hx", "z", "shape")
     luhn = "aggregate(transform(reverse(split({0}, '')), (c, i) -> if(i % 2 = {1}, cast(c as int), 2 * cast(c as int) - if(cast(c as int) > 4, 9, 0))), 0, (a, x) -> a + x) % 10"
     valid = luhn.format("canon", 0) + " = 0"
     fixed = "concat(substr(made, 1, length(made) - 1), cast((10 - " + luhn.format("substr(made, 1, length(made) - 1)", 1) + ") % 10 as string))"
@@ -161,13 +167,13 @@ def proposals(keys: DataFrame, key: str) -> DataFrame:
     )
 
 
-def assign(keys: DataFrame, key: str, max_rounds: int = 40) -> DataFrame:
+def assign(keys: DataFrame, key: str) -> DataFrame:
     """(kind, canon, made): surrogates for the distinct ``keys`` (kind, canon, script), no two of a kind the same
-    and none an entity of the same kind."""
+    and none an entity of the same kind. Forms grow with the attempts, so rounds go on until all are settled."""
     keys = stage(keys, "surrogate-keys")
     taken = keys.select("kind", F.col("canon").alias("made")).distinct()
     open_, settled = keys.withColumn("attempt", F.lit(0)), None
-    for _ in range(max_rounds):
+    while True:
         tried = proposals(open_, key)
         first = tried.groupBy("kind", "made").agg(F.min("canon").alias("first"))
         barred = taken if settled is None else taken.unionByName(settled.select("kind", "made"))
@@ -180,15 +186,16 @@ def assign(keys: DataFrame, key: str, max_rounds: int = 40) -> DataFrame:
         if lost.isEmpty():
             return settled
         open_ = lost.select("kind", "canon", "script", (F.col("attempt") + 1).alias("attempt"))
-    raise RuntimeError("no distinct surrogates found: the entities fill their form's whole range")
 
 
 def _dressed() -> Column:
     """The surrogate in the part's own dress: its punctuation for numbers, its case for words."""
-    # digits of the surrogate fill the digit places one after another
+    # digits of the surrogate fill the digit places one after another; what a grown surrogate has more follows
     fill = "array_join(transform(split(part, ''), (c, i) -> if(c rlike '[0-9]', substr(replace(made, ' ', ''), length(regexp_replace(left(part, i + 1), '[^0-9]', '')), 1), c)), '')"
     spread = "array_join(transform(split(part, ''), (c, i) -> if(c = ' ', c, substr(upper(made), length(replace(left(part, i + 1), ' ', '')), 1))), '')"
     cased = "case when part = upper(part) and part <> lower(part) then upper(made) when left(part, 1) <> lower(left(part, 1)) then concat(upper(left(made, 1)), substr(made, 2)) else made end"
+    more = "substr(replace(made, ' ', ''), length(regexp_replace(part, '{0}', '')) + 1)"
+    fill, spread = f"concat({fill}, {more.format('[^0-9]')})", f"concat({spread}, upper({more.format(' ')}))"
     return F.expr(
         f"case when kind = 'title' then part when kind in ('card', 'phone', 'ssn') then {fill} when kind = 'iban' then {spread} when kind = 'ip' then made else {cased} end"
     )

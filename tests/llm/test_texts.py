@@ -282,6 +282,21 @@ def test_assigned_surrogates_are_no_real_entity(spark):
     assert len({g.made for g in got}) == 300 and not {g.made for g in got} & {f"{i:09d}" for i in range(300)}
 
 
+def test_full_forms_grow(spark):
+    full = [("phone", f"123 {i}") for i in range(10)] + [("iban", f"de0000000000{i}") for i in range(10)]
+    keys = spark.createDataFrame([(k, c, "latin") for k, c in full], "kind string, canon string, script string")
+    got = surrogates.assign(keys, "k").collect()
+    assert len({(g.kind, g.made) for g in got}) == len(full) and not {(g.kind, g.made) for g in got} & set(full)
+    part = spark.createDataFrame([("phone", "+123-4", "123 567"), ("iban", "DE00 1234 5678", "de99876543217"), ("ssn", "123-45-6789", "987654321")], "kind string, part string, made string")
+    assert [r.new for r in part.withColumn("new", surrogates._dressed()).collect()] == ["+123-567", "DE99 8765 43217", "987-65-4321"]
+
+
+def test_short_signed_numbers_are_no_phones(spark):
+    text = "from +1230 to +1000, +1 234, but +290 4567 and 0049 30 1234 56 are"
+    got = surrogates.entities(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert {r.entity for r in got} == {"+290 4567", "0049 30 1234 56"}
+
+
 # --- op9 ------------------------------------------------------------------------------------------
 
 

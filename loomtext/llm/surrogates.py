@@ -47,7 +47,7 @@ def _by_first_letter(words: list[str]) -> str:
 _titles = _by_first_letter([t for ts in TITLES.values() for t in ts])
 #: Every entity begins where no letter or digit precedes; the patterns add what else must not.
 START = r"(?<![\p{L}\p{N}])"
-EMAIL = r"(?<![._%+\-])[\p{L}\p{N}](?:[\p{L}\p{N}._%+\-]{0,62}[\p{L}\p{N}_%+\-])?@(?:[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,61}[\p{L}\p{N}])?\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}])"
+EMAIL = r"[\p{L}\p{N}](?:[\p{L}\p{N}._%+\-]{0,62}[\p{L}\p{N}_%+\-])?@(?:[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,61}[\p{L}\p{N}])?\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?![\d]|\.\d)"
 IBAN = r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
@@ -56,16 +56,22 @@ CARD = r"(?<![\-.])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|3\d{3}[ \-]\d{6}[ \-
 #: A number with a country's code has seven digits at least.
 SEVEN = r"(?=(?:[ .\-()]{0,2}\d){7})"
 PHONE = (
-    rf"(?<![.\-])(?:\+{SEVEN}\d{{1,3}}[ .\-]?(?:\(\d{{1,4}}\)[ .\-]?)?\d{{1,4}}(?:[ .\-]?\d{{2,4}}){{1,4}}"
-    rf"|\(\d{{3}}\)[ .\-]?\d{{3}}[ .\-]\d{{4}}|\d{{3}}[.\-]\d{{3}}[.\-]\d{{4}}|00{SEVEN}\d{{1,3}}[ .\-]\d{{1,4}}(?:[ .\-]\d{{2,4}}){{1,4}})(?![\p{{L}}\p{{N}}]|[.\-]\d)"
+    rf"(?:\+{SEVEN}\d{{1,3}}[ .\-]?(?:\(\d{{1,4}}\)[ .\-]?)?\d{{1,4}}(?:[ .\-]?\d{{2,4}}){{1,4}}"
+    rf"|(?<!\d[.\-])(?:(?:1[ .\-]?)?\(\d{{3}}\)[ .\-]?\d{{3}}[ .\-]\d{{4}}|(?:1[ .\-])?\d{{3}}[.\-]\d{{3}}[.\-]\d{{4}}|1[ ]\d{{3}}[ ]\d{{3}}[ ]\d{{4}}"
+    rf"|00{SEVEN}\d{{1,3}}[ .\-]\d{{1,4}}(?:[ .\-]?\d{{2,4}}){{1,4}}))(?![\p{{L}}\p{{N}}]|[.\-]\d)"
 )
-NAME = rf"{_titles}\.?[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,40}}(?:[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,40}}){{0,2}}"
+#: Words in small letters that names hold.
+PARTICLES = "von vom van der den dem de del della degli di da do dos das du des la le las los lo zu zur zum ter ten te af av bin ibn ben al el y e und".split()
+_particles = "(?:" + "|".join(sorted(PARTICLES, key=lambda p: (-len(p), p))) + ")"
+#: Initials, also joined ones, or a word with a capital; the possessive repeats neither give back nor recurse.
+_piece = r"(?:\p{Lu}\.(?:[\-]?\p{Lu}\.)*+(?!\p{L})|(?:[dl]['’]|(?:al|el)-)?\p{Lu}[\p{L}\p{M}'’\-]*+)"
+NAME = rf"{_titles}\.?(?:[ ]{_titles}(?:\.|(?![\p{{L}}'’\-])))*+(?:[ ](?:{_particles}[ ])*+{_piece})++"
 #: From this attempt on numbers and addresses grow as names and e-mail addresses do from the first, so that no form is ever full.
 GROWS = 8
 #: In the order that decides an entity's kind.
 KINDS = {"email": EMAIL, "ip": IP, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "name": NAME}
 ANY = START + "(?:" + "|".join(f"(?:{p})" for p in KINDS.values()) + ")"
-TITLED = rf"{_titles}\.?[ ]\p{{Lu}}"
+TITLED = rf"{_titles}\.?[ ][\p{{Lu}}\p{{Ll}}]"
 
 
 def _may_hold(text: Column) -> Column:
@@ -105,11 +111,14 @@ def parts(distinct: DataFrame) -> DataFrame:
     title = F.regexp_replace(F.element_at(F.split("entity", " "), 1), r"\.$", "")
     gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("")
     last = F.size(F.split("entity", " ")) - 1
-    kind = F.when(F.col("kind") != "name", F.col("kind")).when(F.col("at") == 0, "title").when(F.col("at") == last, "name-s").otherwise(F.concat(F.lit("name-"), gender))
+    # a further title ("Frau Prof. Dr. Weber") stays, unless it is the last word
+    also = F.col("part").rlike(rf"^{_titles}\.?$") & (F.col("at") < last)
+    kind = F.when(F.col("kind") != "name", F.col("kind")).when((F.col("at") == 0) | F.col("part").isin(PARTICLES) | also, "title").when(F.col("at") == last, "name-s").otherwise(F.concat(F.lit("name-"), gender))
     digits = F.regexp_replace("part", r"\D", "")
     country = F.regexp_extract("part", r"^\+(\d{1,3})", 1)  # stays as it is
     phone = F.concat(country, F.lit(" "), F.substring(digits, F.length(country) + 1, F.length(digits)))
-    canon = F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits).otherwise(F.lower(F.regexp_replace("part", " ", "")))
+    part = F.when(kind.startswith("name-"), F.regexp_replace("part", r"\.$", "")).otherwise(F.col("part"))  # an initial without its dot
+    canon = F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits).otherwise(F.lower(F.regexp_replace(part, " ", "")))
     script = F.when(F.col("part").rlike(r"\p{IsCyrillic}"), "cyrillic").when(F.col("part").rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
     return df.select("entity", "n", kind.alias("kind"), "at", "part", canon.alias("canon"), script.alias("script"))
 
@@ -193,7 +202,7 @@ def _dressed() -> Column:
     # digits of the surrogate fill the digit places one after another; what a grown surrogate has more follows
     fill = "array_join(transform(split(part, ''), (c, i) -> if(c rlike '[0-9]', substr(replace(made, ' ', ''), length(regexp_replace(left(part, i + 1), '[^0-9]', '')), 1), c)), '')"
     spread = "array_join(transform(split(part, ''), (c, i) -> if(c = ' ', c, substr(upper(made), length(replace(left(part, i + 1), ' ', '')), 1))), '')"
-    cased = "case when part = upper(part) and part <> lower(part) then upper(made) when left(part, 1) <> lower(left(part, 1)) then concat(upper(left(made, 1)), substr(made, 2)) else made end"
+    cased = "case when part = upper(part) and part <> lower(part) and (kind not like 'name-%' or length(replace(part, '.', '')) > 1) then upper(made) when left(part, 1) <> lower(left(part, 1)) then concat(upper(left(made, 1)), substr(made, 2)) else made end"
     more = "substr(replace(made, ' ', ''), length(regexp_replace(part, '{0}', '')) + 1)"
     fill, spread = f"concat({fill}, {more.format('[^0-9]')})", f"concat({spread}, upper({more.format(' ')}))"
     return F.expr(
@@ -207,7 +216,7 @@ def surrogate_table(found: DataFrame, key: str) -> DataFrame:
     pieces = stage(parts(counted), "entity-parts")
     keys = pieces.groupBy("kind", "canon").agg(F.min("script").alias("script"))
     named = pieces.join(assign(keys, key), ["kind", "canon"]).withColumn("new", _dressed())
-    whole = F.array_sort(F.collect_list(F.struct("at", "new", "kind")))  # a name has four words at most
+    whole = F.array_sort(F.collect_list(F.struct("at", "new", "kind")))  # a name's own words
     table = named.groupBy("entity", "n").agg(whole.alias("x"))
     kind = F.regexp_replace(F.element_at("x", -1)["kind"], "-.*", "")
     return table.select("entity", "n", kind.alias("kind"), F.array_join(F.col("x.new"), " ").alias("surrogate"))

@@ -297,6 +297,30 @@ def test_short_signed_numbers_are_no_phones(spark):
     assert {r.entity for r in got} == {"+290 4567", "0049 30 1234 56"}
 
 
+LOST = [
+    ("Señor Juan Carlos García Márquez came", "Señor {} came", 4), ("Dr. John F. Kennedy spoke", "Dr. {} spoke", 3), ("Mr J. Smith", "Mr {}", 2), ("Frau von der Leyen sagt", "Frau von der {} sagt", 1),
+    ("Frau Prof. Dr. Weber ist da", "Frau Prof. Dr. {} ist da", 1), ("Mr J.R.R. Tolkien wrote", "Mr {} wrote", 2), ("Mr " + "Ab" * 40 + " is", "Mr {} is", 1), ("Mr " + "Ab Cd " * 4000 + "is", "Mr {} is", 8000), ("Monsieur d'Artagnan a dit", "Monsieur {} a dit", 1),
+    ("-anna@example.com", "-{}", 1), ("_anna@example.com", "_{}", 1), ("see ...anna@example.com.", "see ...{}.", 1), ("call 1-800-555-1234 now", "call {} now", 1), ("tel.+49 30 123456", "tel.{} {} {}", 3), ("tel-555-123-4567", "tel-{}", 1), ("1 (800) 555-1234", "{} {} {}", 3), ("0049 30 123456", "{} {} {}", 3),
+]
+
+
+def test_whole_names_addresses_and_numbers(spark):
+    df = spark.createDataFrame([(k, t) for k, (t, *_) in enumerate(LOST)], "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.pseudonymise(df).collect()}
+    for k, (text, form, words) in enumerate(LOST):
+        form = form if form.count("{}") > 1 else form.format(" ".join(["{}"] * words))
+        want = "".join(r"\S+?" if p == "{}" else re.escape(p) for p in re.split(r"(\{\})", form))
+        assert got[k].pii_entities == 1 and re.fullmatch(want, got[k].text), (text[:60], got[k].text[:60])
+        kept = [w for w in re.findall(r"\w{4,}", text) if w.lower() not in form.lower() and w != "example"]
+        assert not [w for w in kept if w in got[k].text], (text[:60], got[k].text[:60])
+
+
+def test_last_word_is_the_surname(spark):
+    df = spark.createDataFrame([(1, "Dr. John F. Kennedy"), (2, "Mr Kennedy"), (3, "1.800.555.1234.5 and 12-345-678-9012")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.pseudonymise(df).collect()}
+    assert got[1].split()[-1] == got[2].split()[-1] and got[3] == "1.800.555.1234.5 and 12-345-678-9012"
+
+
 # --- op9 ------------------------------------------------------------------------------------------
 
 

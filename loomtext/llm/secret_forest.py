@@ -24,7 +24,7 @@ TRAIN_ROWS = 20_000
 TREES, DEPTH, LEAF = 40, 9, 3
 
 _RUN = re.compile(r"[A-Za-z0-9+/_\-=.]{16,}")
-_ASSIGNED = re.compile(r"(?i:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)s?[\"']?\s{0,3}(?::=|=>|=|:)\s{0,3}[\"']?([^\s\"',;<>]{6,200})")
+_ASSIGNED = re.compile(r"(?i:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)s?[\"']?\s{0,3}(?::=|=>|=|:)\s{0,3}[\"']?([^\s\"',;<>]{6,})")
 _PEM = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{20,20000}?(?:-----END|$)")
 #: Public formats of issued keys.
 FORMATS = {
@@ -71,7 +71,9 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
         if not out or f[0] >= out[-1][1]:
             out.append(f)
         elif out[-1][2] == "run" and f[2] != "run":
-            out[-1] = f
+            out[-1] = (f[0], max(f[1], out[-1][1]), f[2])
+        else:
+            out[-1] = (out[-1][0], max(f[1], out[-1][1]), out[-1][2])
     return out
 
 

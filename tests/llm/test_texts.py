@@ -346,6 +346,14 @@ def test_secret_scan(spark, docs):
     assert secret_forest.scan(df.limit(0), secret_forest.train(spark)).count() == 0
 
 
+def test_values_are_taken_to_their_end():
+    value = "aB3-" * 75
+    for text, at in ((f'token = "{value}"', 9), (f"token: {value}!{value} end", 7)):
+        (found,) = secret_forest.candidates(text)
+        assert found == (at, at + len(text[at:].split('"')[0].split(" ")[0]), "assigned")
+    assert secret_forest.candidates("password=" + value)[-1][1] == 9 + len(value.rstrip("-")) + 1
+
+
 # --- op10 -----------------------------------------------------------------------------------------
 
 

@@ -25,7 +25,9 @@ TREES, DEPTH, LEAF = 40, 9, 3
 
 _RUN = re.compile(r"[A-Za-z0-9+/_\-=.]{16,}")
 _ASSIGNED = re.compile(r"(?i:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)s?[\"']?\s{0,3}(?::=|=>|=|:)\s{0,3}[\"']?([^\s\"',;<>]{6,})")
-_PEM = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{20,20000}?(?:-----END|$)")
+_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*?PRIVATE KEY(?: BLOCK)?)-----")
+#: The body of a key block whose end is missing: header lines, then long lines of a key and a short last one.
+_BODY = re.compile(r"(?:\s*+[A-Za-z][A-Za-z0-9\-]*+:[^\n]*+(?:\n|\Z))*+(?:\s*+[A-Za-z0-9+/=]{20,}+)++(?:\s++[A-Za-z0-9+/]{1,19}+={0,2}(?=\s*\Z))?")
 #: Public formats of issued keys.
 FORMATS = {
     "aws": r"(?:AKIA|ASIA)[0-9A-Z]{16}",
@@ -36,6 +38,7 @@ FORMATS = {
     "jwt": r"eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}",
 }
 _FORMATS = {k: re.compile(p) for k, p in FORMATS.items()}
+_ISSUED = re.compile(r"AKIA|ASIA|gh[pousr]_|xox[abeprs]-|[rs]k_(?:live|test)_|AIza|eyJ")  # how they begin
 _NEAR_GOOD = re.compile(r"(?i)passw|passwd|pwd|secret|token|api.?key|access.?key|credential|auth|bearer|private|client")
 _NEAR_BAD = re.compile(r"(?i)commit|sha\d*|md5|checksum|digest|integrity|hash|uuid|guid|revision|etag|example|sample|dummy|placeholder|build|version|font|image|base64,")
 _PATH_BAD = re.compile(r"(?i)test|spec|mock|fixture|example|sample|doc|lock|vendor|node_modules|dist")
@@ -53,25 +56,89 @@ _DICTIONARY = re.compile("|".join(sorted((w for w in WORDS if len(w) > 3), key=l
 _BLANK = "                "
 
 
+def key_blocks(text: str) -> list[tuple[int, int, str]]:
+    """Private-key blocks from BEGIN to END, whatever is between; without an END as far as the key goes on."""
+    marks = list(_MARK.finditer(text)) if "-----BEGIN" in text else []
+    out = []
+    for m, after in zip(marks, [*marks, None][1:], strict=True):
+        if m[1] != "BEGIN":
+            continue
+        if after and after[1] == "END" and after[2] == m[2]:
+            if len(text[m.end() : after.start()].strip()) >= 20:
+                out.append((m.start(), after.end(), "private-key"))
+        elif body := _BODY.match(text, m.end(), after.start() if after else len(text)):
+            out.append((m.start(), body.end(), "private-key"))
+    return out
+
+
+def issued(run: str) -> list[tuple[int, int, str]]:
+    """Every key of a public format in a run. One joined to the next ends where that begins, if it is whole by then."""
+    found = []
+    for m in _ISSUED.finditer(run):
+        rule = next((k for k, p in _FORMATS.items() if p.match(run, m.start())), None)
+        if rule:
+            found.append((m.start(), rule))
+    out: list[tuple[int, int, str]] = []
+    for (a, rule), after in zip(found, [*(f[0] for f in found), len(run)][1:], strict=True):
+        if not out or a >= out[-1][1]:
+            hit = _FORMATS[rule].match(run, a, after) or _FORMATS[rule].match(run, a)
+            out.append((a, hit.end(), rule))
+    return out
+
+
+def _worth(run: str) -> bool:
+    return len(run) >= 16 and ((any(map(str.isdigit, run)) and any(map(str.isalpha, run))) or len(run) >= 24 and len(set(run)) > 2)
+
+
+def _rest(text: str, a: int, b: int, hits: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """What of text[a:b] is not in ``hits`` (in order), without signs at its ends."""
+    out = []
+    for at, to in zip([a, *(h[1] for h in hits)], [*(h[0] for h in hits), b], strict=True):
+        part = text[at:to]
+        at += len(part) - len(part.lstrip(".=-_/+"))
+        out.append((at, at + len(part.strip(".=-_/+"))))
+    return out
+
+
 def candidates(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, rule) of the candidates of a text in code points, longest first where they overlap."""
-    found = [(m.start(), m.end(), "private-key") for m in _PEM.finditer(text)] if "-----BEGIN" in text else []
-    for m in _ASSIGNED.finditer(text):
-        found.append((*m.span(1), "assigned"))
+    """(start, end, rule) of the candidates of a text in code points, longest first where they overlap.
+
+    A run or an assigned value that holds issued keys gives each of them, and what is left of it.
+    """
+    found = key_blocks(text)
+    runs = []
     for m in _RUN.finditer(text):
         a, b = m.span()
-        run = text[a:b].rstrip(".=-_/") or text[a:b]
-        rule = next((k for k, p in _FORMATS.items() if p.search(run)), None)
-        if rule or (any(map(str.isdigit, run)) and any(map(str.isalpha, run))) or len(run) >= 24 and len(set(run)) > 2:
-            hit = _FORMATS[rule].search(run).span() if rule else (0, len(run))
-            found.append((a + hit[0], a + hit[1], rule or "run"))
-    found.sort(key=lambda f: (f[0], -f[1]))
+        hits = [(a + s, a + e, k) for s, e, k in issued(m[0])]
+        runs += hits
+        if hits:
+            found += [(s, e, "run") for s, e in _rest(text, a, b, hits) if _worth(text[s:e])]
+        else:
+            run = m[0].rstrip(".=-_/") or m[0]
+            if _worth(run):
+                found.append((a, a + len(run), "run"))
+    at = 0
+    for m in _ASSIGNED.finditer(text):
+        a, b = m.span(1)
+        while at < len(runs) and runs[at][1] <= a:
+            at += 1
+        inside = []
+        for h in runs[at:]:
+            if h[0] >= b:
+                break
+            if a <= h[0] and h[1] <= b and (h[0], h[1]) != (a, b):
+                inside.append(h)
+        found += [(s, e, "assigned") for s, e in _rest(text, a, b, inside) if e - s >= 6] if inside else [(a, b, "assigned")]
+    order = {"private-key": 0, "assigned": 1, "run": 3}
+    found = sorted(found + runs, key=lambda f: (f[0], -f[1], order.get(f[2], 2)))
     out: list[tuple[int, int, str]] = []
     for f in found:
         if not out or f[0] >= out[-1][1]:
             out.append(f)
         elif out[-1][2] == "run" and f[2] != "run":
-            out[-1] = (f[0], max(f[1], out[-1][1]), f[2])
+            head, end = out[-1][0], max(f[1], out[-1][1])
+            (left,) = _rest(text, head, f[0], [])
+            out[-1:] = [(*left, "run")] * _worth(text[slice(*left)]) + [(f[0], end, f[2])]
         else:
             out[-1] = (out[-1][0], max(f[1], out[-1][1]), out[-1][2])
     return out

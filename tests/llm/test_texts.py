@@ -446,3 +446,16 @@ def test_pipeline_is_its_stages(spark, sf_dir):
     assert simhash_trie.fingerprint("a b") == simhash("a b", 4)
     out = corpus_pipeline.run(spark, sf_dir)
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == set(low.values())
+
+
+def test_pipeline_ends_in_the_ids(spark, corpus, sf_dir):
+    import corpus_pipeline
+
+    docs = corpus.limit(20)
+    pieces = dict(corpus_pipeline.STAGES)["packing"](spark, docs, sf_dir)
+    rows = docs.collect()
+    want = dict(zip([r.doc_id for r in rows], library_ids([r.text for r in rows]), strict=True))
+    got = {}
+    for p in sorted(pieces.collect(), key=lambda p: (p.doc_id, p.start)):
+        got[p.doc_id] = got.get(p.doc_id, b"") + bytes(p.ids)
+    assert got == {d: np.append(i, np.uint32(1)).astype("<u4").tobytes() for d, i in want.items()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from loomtext.plans import catalogue
@@ -15,10 +16,10 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def plain(x):
     if hasattr(x, "tolist"):
         x = x.tolist()
-    if x is None or x != x:
-        return None
     if isinstance(x, (list, tuple)):
         return tuple(plain(i) for i in x)
+    if pd.isna(x):
+        return None
     if isinstance(x, bool) or isinstance(x, str):
         return x
     return round(float(x), 6)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,14 @@ def delete(spark: SparkSession, paths: list[str]) -> None:
         hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, with as many underscores after it as it takes to be none of ``taken`` (case aside)."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 class scope:
     """Collects in ``paths`` what is staged inside the ``with`` block."""
 

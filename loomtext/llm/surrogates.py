@@ -1,12 +1,14 @@
 """Personal data replaced by keyed surrogates, as DataFrame expressions only.
 
-Entities are found by pattern: e-mail addresses, IPv4 addresses, payment cards, account numbers
+Entities are found by pattern: e-mail addresses, IPv4 and IPv6 addresses, payment cards, account numbers
 (IBAN), social security numbers, phone numbers, and names after a title. Each distinct entity gets
 a surrogate drawn from a keyed SHA-256 of its kind and canonical form, so one entity has one
 surrogate in the whole corpus (coreference) without a shared dictionary. A name's words are
-replaced one by one: "Mrs Anna Weber" and a later "Mrs Weber" share the surname's surrogate.
-Surrogates keep the kind, the punctuation, the script and, for given names, the gender that the title
-shows. Cards and account numbers that pass their check digits get surrogates that pass too.
+replaced one by one and a word has one surrogate wherever it stands: "Mrs Anna Weber", a later "Dr Anna Weber",
+"Mrs Weber's" and, in the same document, "Anna Weber" or "Weber" without a title agree. Addresses of one
+mail domain keep one domain. Surrogates keep the kind, the punctuation, the script and, for given names, the
+gender that titles show anywhere in the corpus (none if they contradict each other). Cards and account
+numbers that pass their check digits get surrogates that pass too.
 
 Distinctness is checked: of entities of one kind whose surrogates coincide, or whose surrogate is an
 entity of the corpus, all but the smallest draw again with a longer form or another attempt.
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.staging import join_counted, stage
+from loomtext.llm.staging import free_name, join_counted, stage
 
 #: The titles that announce a name, by the gender they show.
 TITLES = {
@@ -50,6 +52,9 @@ START = r"(?<![\p{L}\p{N}])"
 EMAIL = r"[\p{L}\p{N}](?:[\p{L}\p{N}._%+\-]{0,62}[\p{L}\p{N}_%+\-])?@(?:[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,61}[\p{L}\p{N}])?\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?![\d]|\.\d)"
+_hex = "[0-9A-Fa-f]{1,4}"
+#: All eight groups, or a shortened form whose first group has a digit (so that no a::b of a program is one).
+IP6 = rf"(?<!:)(?:(?:{_hex}:){{7}}{_hex}|(?=[A-Fa-f]{{0,3}}\d)[0-9A-Fa-f]{{3,4}}(?::{_hex}){{0,5}}::(?:{_hex}(?::{_hex}){{0,5}})?)(?![\p{{L}}\p{{N}}:])"
 IBAN = r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 SSN = r"(?<!-)\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"
 CARD = r"(?<![\-.])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|3\d{3}[ \-]\d{6}[ \-]\d{5}|[2-6]\d{12,18})(?![\p{L}\p{N}\-]|\.\d)"
@@ -69,7 +74,7 @@ NAME = rf"{_titles}\.?(?:[ ]{_titles}(?:\.|(?![\p{{L}}'’\-])))*+(?:[ ](?:{_par
 #: From this attempt on numbers and addresses grow as names and e-mail addresses do from the first, so that no form is ever full.
 GROWS = 8
 #: In the order that decides an entity's kind.
-KINDS = {"email": EMAIL, "ip": IP, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "name": NAME}
+KINDS = {"email": EMAIL, "ip": IP, "ip6": IP6, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "name": NAME}
 ANY = START + "(?:" + "|".join(f"(?:{p})" for p in KINDS.values()) + ")"
 TITLED = rf"{_titles}\.?[ ][\p{{Lu}}\p{{Ll}}]"
 
@@ -100,68 +105,79 @@ def _kind(entity: Column) -> Column:
     return kind
 
 
+#: What follows a name's word: a possessive, which stays.
+POSSESSIVE = "(['’][sS]?)$"
+
+
 def parts(distinct: DataFrame) -> DataFrame:
-    """(entity, n, kind, at, part, canon): an entity's parts to replace; names have one for each word after the title.
+    """(entity, n, kind, at, part, tail, canon, script, given, gender): an entity's parts to replace, from (entity, n, kind).
 
-    canon is what decides identity: digits for numbers, lower case for addresses and names.
+    Names have one for each word after the title, e-mail addresses two: the local part and the domain. canon is
+    what decides identity: digits for numbers, lower case for addresses and names. tail stays as it is.
     """
-    df = distinct.withColumn("kind", _kind(F.col("entity")))
-    words = F.expr("if(kind = 'name', split(entity, ' '), array(entity))")
-    df = df.select("*", F.posexplode(words).alias("at", "part"))
+    words = F.expr("case kind when 'name' then split(entity, ' ') when 'email' then split(entity, '@') else array(entity) end")
+    df = distinct.select("*", F.posexplode(words).alias("at", "part"))
     title = F.regexp_replace(F.element_at(F.split("entity", " "), 1), r"\.$", "")
     gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("")
     last = F.size(F.split("entity", " ")) - 1
     # a further title ("Frau Prof. Dr. Weber") stays, unless it is the last word
     also = F.col("part").rlike(rf"^{_titles}\.?$") & (F.col("at") < last)
-    kind = F.when(F.col("kind") != "name", F.col("kind")).when((F.col("at") == 0) | F.col("part").isin(PARTICLES) | also, "title").when(F.col("at") == last, "name-s").otherwise(F.concat(F.lit("name-"), gender))
+    kind = F.when((F.col("kind") == "email") & (F.col("at") == 1), "domain").when(F.col("kind") != "name", F.col("kind"))
+    kind = kind.when((F.col("at") == 0) | F.col("part").isin(PARTICLES) | also, "title").otherwise("name")
+    df = df.select("entity", "n", kind.alias("kind"), "at", "part", gender.alias("gender"), (F.col("at") < last).alias("given"))
+    name = F.col("kind") == "name"
+    tail = F.when(name, F.regexp_extract("part", POSSESSIVE, 1)).otherwise("")
+    bare = F.when(name, F.regexp_replace(F.regexp_replace("part", POSSESSIVE, ""), r"\.$", "")).otherwise(F.col("part"))  # an initial without its dot
     digits = F.regexp_replace("part", r"\D", "")
     country = F.regexp_extract("part", r"^\+(\d{1,3})", 1)  # stays as it is
     phone = F.concat(country, F.lit(" "), F.substring(digits, F.length(country) + 1, F.length(digits)))
-    part = F.when(kind.startswith("name-"), F.regexp_replace("part", r"\.$", "")).otherwise(F.col("part"))  # an initial without its dot
-    canon = F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits).otherwise(F.lower(F.regexp_replace(part, " ", "")))
+    plain = F.when(F.col("kind") == "email", F.lower("entity")).otherwise(F.lower(F.regexp_replace(bare, " ", "")))
+    canon = F.when(F.col("kind") == "phone", phone).when(F.col("kind").isin("card", "ssn"), digits).otherwise(plain)
     script = F.when(F.col("part").rlike(r"\p{IsCyrillic}"), "cyrillic").when(F.col("part").rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-    return df.select("entity", "n", kind.alias("kind"), "at", "part", canon.alias("canon"), script.alias("script"))
+    return df.select("entity", "n", "kind", "at", bare.alias("part"), tail.alias("tail"), canon.alias("canon"), script.alias("script"), "given", "gender")
 
 
-def _stream(key: str) -> Column:
-    """Array of 64 keyed numbers 0-255 for a part's kind, canon and attempt."""
-    msg = [F.concat_ws("\u0001", F.lit(key), "kind", "canon", F.col("attempt").cast("string"), F.lit(i)) for i in "ab"]
-    return F.expr("transform(sequence(0, 63), i -> cast(conv(substr(hx, 2 * i + 1, 2), 16, 10) as int))"), F.concat(*[F.sha2(m, 256) for m in msg])
+def identities(pieces: DataFrame) -> DataFrame:
+    """(kind, canon, script, role): what gets a surrogate of its own. A word that any name has before its last is a given
+    name; its role is the gender that titles show, none where they differ; other words of names are surnames ("s")."""
+    shown = lambda g: F.max(F.col("given") & (F.col("gender") == g))
+    one = pieces.filter("kind <> 'title'").groupBy("kind", "canon").agg(F.min("script").alias("script"), F.max("given").alias("given"), shown("m").alias("m"), shown("f").alias("f"))
+    role = F.when(F.col("kind") != "name", "").when(~F.col("given"), "s").when(F.col("m") & ~F.col("f"), "m").when(F.col("f") & ~F.col("m"), "f").otherwise("")
+    return one.select("kind", "canon", "script", role.alias("role"))
 
 
 def proposals(keys: DataFrame, key: str) -> DataFrame:
-    """``keys`` (kind, canon, script, attempt) with ``made``: the surrogate of the canonical form."""
-    numbers, hx = _stream(key)
-    # dealt out by number: the forms below are the costly part, and the exchange keeps z from being computed for each use
+    """``keys`` (kind, canon, script, role, attempt) with ``made``: the surrogate of the canonical form."""
+    msg = [F.concat_ws("\u0001", F.lit(key), "kind", "canon", F.col("attempt").cast("string"), F.lit(i)) for i in "ab"]
+    # dealt out by number: the forms below are the costly part, and the exchange keeps the digests from being made for each use
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = keys.withColumn("hx", F.concat(*[F.sha2(m, 256) for m in msg])).repartition(n, "kind", "canon")
     shape = F.expr(f"concat(canon, repeat('0', greatest(attempt - {GROWS - 1}, 0)))")  # what the numbers are drawn in the shape of
-    df = keys.withColumn("shape", shape).withColumn("hx", hx).withColumn("z", numbers).repartition(n, "kind", "canon")
+    numbers = F.expr("transform(sequence(0, 63), i -> cast(conv(substr(hx, 2 * i + 1, 2), 16, 10) as int))")
+    df = df.withColumn("shape", shape).withColumn("z", numbers)
     digits = "array_join(transform(split(shape, ''), (c, i) -> if(i = 0 and c <> '0', cast(1 + z[0] % 9 as string), cast(z[i % 64] % 10 as string))), '')"
     phone = digits.replace("shape", "substring_index(shape, ' ', -1)")
     phone = f"concat(substring_index(canon, ' ', 1), ' ', {phone})"
     # the leading digits that tell the issuer's or the country's kind stay
     card = "concat(substr(canon, 1, 1), array_join(transform(split(substr(shape, 2), ''), (c, i) -> cast(z[i % 64] % 10 as string)), ''))"
     iban = "concat(upper(substr(canon, 1, 2)), '00', array_join(transform(split(upper(substr(shape, 5)), ''), (c, i) -> if(c rlike '[0-9]', cast(z[i % 64] % 10 as string), chr(65 + z[i % 64] % 26))), ''))"
-    # later attempts are IPv6 addresses of the range kept for documentation
-    ip = f"if(attempt < {GROWS}, concat_ws('.', 240 + z[0] % 15, z[1], z[2], z[3]), concat('2001:db8', array_join(transform(sequence(0, 5), i -> concat(':', lower(substr(hx, 4 * i + 1, 4)))), '')))"
+    # addresses of the range kept for documentation: IPv6 ones, and later attempts at IPv4 ones
+    ip6 = "concat('2001:db8', array_join(transform(sequence(0, 5), i -> concat(':', lower(substr(hx, 4 * i + 1, 4)))), ''))"
+    ip = f"if(attempt < {GROWS}, concat_ws('.', 240 + z[0] % 15, z[1], z[2], z[3]), {ip6})"
     local = "array_join(transform(split(substring_index(canon, '@', 1), ''), (c, i) -> case when c rlike '[0-9]' then cast(z[i % 64] % 10 as string) when c rlike '\\\\p{L}' then chr(97 + z[i % 64] % 26) else c end), '')"
-    email = f"concat({local}, if(attempt > 0, lower(substr(hx, 90, 2 * attempt)), ''), '@', lower(substr(hx, 70, 10)), '.example')"
+    # told apart inside a domain only; the domain gets its own surrogate
+    email = f"concat({local}, if(attempt > 0, lower(substr(hx, 90, 2 * attempt)), ''), '@', substring_index(canon, '@', -1))"
+    domain = "concat(lower(substr(hx, 70, 10 + 2 * attempt)), '.example')"
     name = F.lit(None).cast("string")
     for script, syllables in SYLLABLES.items():
         table = "array(" + ", ".join(f"'{s}'" for s in syllables) + ")"
-        tail = " ".join(f"when kind = 'name-{k}' then '{v}'" for k, v in ENDINGS[script].items())
+        tail = " ".join(f"when role = '{k}' then '{v}'" for k, v in ENDINGS[script].items())
         built = F.expr(f"concat(array_join(transform(sequence(0, 2 + attempt), i -> {table}[z[i % 64] % {len(syllables)}]), ''), case {tail} end)")
         name = F.when(F.col("script") == script, built).otherwise(name)
-    made = (
-        F.when(F.col("kind") == "title", F.col("canon"))
-        .when(F.col("kind") == "email", F.expr(email))
-        .when(F.col("kind") == "ip", F.expr(ip))
-        .when(F.col("kind") == "iban", F.expr(iban))
-        .when(F.col("kind") == "card", F.expr(card))
-        .when(F.col("kind") == "phone", F.expr(phone))
-        .when(F.col("kind") == "ssn", F.expr(digits))
-        .otherwise(name)
-    )
+    forms = {"email": email, "domain": domain, "ip": ip, "ip6": ip6, "iban": iban, "card": card, "phone": phone, "ssn": digits}
+    made = name
+    for kind, form in forms.items():
+        made = F.when(F.col("kind") == kind, F.expr(form)).otherwise(made)
     df = df.withColumn("made", made).drop("hx", "z", "shape")
     luhn = "aggregate(transform(reverse(split({0}, '')), (c, i) -> if(i % 2 = {1}, cast(c as int), 2 * cast(c as int) - if(cast(c as int) > 4, 9, 0))), 0, (a, x) -> a + x) % 10"
     valid = luhn.format("canon", 0) + " = 0"
@@ -177,24 +193,24 @@ def proposals(keys: DataFrame, key: str) -> DataFrame:
 
 
 def assign(keys: DataFrame, key: str) -> DataFrame:
-    """(kind, canon, made): surrogates for the distinct ``keys`` (kind, canon, script), no two of a kind the same
+    """(kind, canon, made): surrogates for the distinct ``keys`` (kind, canon, script[, role]), no two of a kind the same
     and none an entity of the same kind. Forms grow with the attempts, so rounds go on until all are settled."""
-    keys = stage(keys, "surrogate-keys")
+    keys = stage(keys if "role" in keys.columns else keys.withColumn("role", F.lit("")), "surrogate-keys")
     taken = keys.select("kind", F.col("canon").alias("made")).distinct()
     open_, settled = keys.withColumn("attempt", F.lit(0)), None
     while True:
         tried = proposals(open_, key)
         first = tried.groupBy("kind", "made").agg(F.min("canon").alias("first"))
         barred = taken if settled is None else taken.unionByName(settled.select("kind", "made"))
-        free = first.join(barred, ["kind", "made"], "left_anti").withColumn("free", F.lit(True))
-        tried = tried.join(free, ["kind", "made"], "left").withColumn("won", F.expr("kind = 'title' or (coalesce(free, false) and first = canon)"))
+        free = first.join(barred.hint("merge"), ["kind", "made"], "left_anti").withColumn("free", F.lit(True))
+        tried = tried.join(free.hint("merge"), ["kind", "made"], "left").withColumn("won", F.expr("coalesce(free, false) and first = canon"))
         tried = stage(tried, "surrogate-round")
         won = tried.filter("won").select("kind", "canon", "made")
         settled = won if settled is None else settled.unionByName(won)
         lost = tried.filter("not won")
         if lost.isEmpty():
             return settled
-        open_ = lost.select("kind", "canon", "script", (F.col("attempt") + 1).alias("attempt"))
+        open_ = lost.select("kind", "canon", "script", "role", (F.col("attempt") + 1).alias("attempt"))
 
 
 def _dressed() -> Column:
@@ -202,31 +218,44 @@ def _dressed() -> Column:
     # digits of the surrogate fill the digit places one after another; what a grown surrogate has more follows
     fill = "array_join(transform(split(part, ''), (c, i) -> if(c rlike '[0-9]', substr(replace(made, ' ', ''), length(regexp_replace(left(part, i + 1), '[^0-9]', '')), 1), c)), '')"
     spread = "array_join(transform(split(part, ''), (c, i) -> if(c = ' ', c, substr(upper(made), length(replace(left(part, i + 1), ' ', '')), 1))), '')"
-    cased = "case when part = upper(part) and part <> lower(part) and (kind not like 'name-%' or length(replace(part, '.', '')) > 1) then upper(made) when left(part, 1) <> lower(left(part, 1)) then concat(upper(left(made, 1)), substr(made, 2)) else made end"
+    cased = "case when part = upper(part) and part <> lower(part) and (kind <> 'name' or length(replace(part, '.', '')) > 1) then upper(made) when left(part, 1) <> lower(left(part, 1)) then concat(upper(left(made, 1)), substr(made, 2)) else made end"
     more = "substr(replace(made, ' ', ''), length(regexp_replace(part, '{0}', '')) + 1)"
     fill, spread = f"concat({fill}, {more.format('[^0-9]')})", f"concat({spread}, upper({more.format(' ')}))"
+    local = cased.replace("made", "substring_index(made, '@', 1)")
     return F.expr(
-        f"case when kind = 'title' then part when kind in ('card', 'phone', 'ssn') then {fill} when kind = 'iban' then {spread} when kind = 'ip' then made else {cased} end"
+        f"case when kind = 'title' then part when kind in ('card', 'phone', 'ssn') then {fill} when kind = 'iban' then {spread} when kind in ('ip', 'ip6') then made when kind = 'email' then {local} else {cased} end"
     )
 
 
 def surrogate_table(found: DataFrame, key: str) -> DataFrame:
-    """(entity, n, kind, surrogate) for the distinct entities of ``found`` (doc_id, entity)."""
-    counted = stage(found.groupBy("entity").agg(F.count("*").alias("n")), "entities")
+    """(entity, n, kind, surrogate, words) for the distinct entities of ``found`` (doc_id, entity); words are the pairs
+    (word, its surrogate) of a name's words of three letters or more."""
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = found.groupBy("entity").agg(F.count("*").alias("n")).repartition(n, "entity")  # by number: telling the kind is costly
+    counted = stage(counted.withColumn("kind", _kind(F.col("entity"))), "entities")
     pieces = stage(parts(counted), "entity-parts")
-    keys = pieces.groupBy("kind", "canon").agg(F.min("script").alias("script"))
-    named = pieces.join(assign(keys, key), ["kind", "canon"]).withColumn("new", _dressed())
-    whole = F.array_sort(F.collect_list(F.struct("at", "new", "kind")))  # a name's own words
+    # merge joins at every size: nothing that grows with the corpus is broadcast
+    named = pieces.join(assign(identities(pieces), key).hint("merge"), ["kind", "canon"], "left").withColumn("new", _dressed())
+    pair = F.when((F.col("kind") == "name") & (F.char_length("part") > 2), F.struct(F.col("part").alias("word"), F.col("new").alias("to")))
+    named = named.withColumn("pair", pair).withColumn("new", F.concat("new", "tail"))
+    whole = F.array_sort(F.collect_list(F.struct("at", "new", "kind", "pair")))  # a name's own words
     table = named.groupBy("entity", "n").agg(whole.alias("x"))
-    kind = F.regexp_replace(F.element_at("x", -1)["kind"], "-.*", "")
-    return table.select("entity", "n", kind.alias("kind"), F.array_join(F.col("x.new"), " ").alias("surrogate"))
+    kind = F.element_at("x", 1)["kind"]
+    table = table.withColumn("kind", F.when(kind.isin("title", "name"), "name").otherwise(kind))
+    return table.select("entity", "n", "kind", F.expr("array_join(x.new, if(kind = 'email', '@', ' '))").alias("surrogate"), F.array_compact(F.col("x.pair")).alias("words"))
+
+
+#: Words as names have them, without a possessive; what stands between them.
+WORD = r"[\p{L}\p{M}]+(?:[\-'’](?![sS](?![\p{L}\p{M}]))[\p{L}\p{M}]+)*"
 
 
 def pseudonymise(docs: DataFrame, key: str = "loomtext") -> DataFrame:
-    """``docs`` with every entity of text replaced, and ``pii_entities`` (long), the number replaced.
+    """``docs`` with every entity of text replaced, and ``pii_entities`` (long), the number found by pattern.
 
-    All other columns stay as they are (a column pii_entities is overwritten). Texts without an
-    entity, null ones among them, stay exactly as they are with 0. Repeated rows are treated alike;
+    In a document with a titled name, that name's words (of three letters or more, spelt the same) are replaced
+    where they stand without a title too. All other columns stay as they are (a column pii_entities is
+    overwritten; names that are used inside are chosen free of clashes). Texts without an
+    entity, null and empty ones among them, stay exactly as they are with 0; long texts are read whole. Repeated rows are treated alike;
     ids may be null or repeat. The same key gives the same surrogates except where a collision is
     settled, which depends on the entities present. An empty table gives an empty one.
     """
@@ -236,13 +265,16 @@ def pseudonymise(docs: DataFrame, key: str = "loomtext") -> DataFrame:
     if found.isEmpty():
         return docs.withColumn("pii_entities", F.lit(0).cast("long"))
     table = stage(surrogate_table(found, key), "surrogates")
-    maps = join_counted(found, table, "entity", "n").groupBy(F.col("doc_id").alias("__id")).agg(
-        F.map_from_entries(F.collect_set(F.struct("entity", "surrogate"))).alias("__map")
+    id_, map_, words_, found_, between_ = (free_name(n, names) for n in ("__id", "__map", "__words", "__found", "__between"))
+    maps = join_counted(found, table, "entity", "n").groupBy(F.col("doc_id").alias(id_)).agg(
+        F.map_from_entries(F.collect_set(F.struct("entity", "surrogate"))).alias(map_),
+        F.map_from_entries(F.array_distinct(F.flatten(F.collect_list("words")))).alias(words_),
     )  # bounded by one document's own entities
     has = F.coalesce(_may_hold(F.col("text")) & F.col("text").rlike(ANY), F.lit(False))
     clean = docs.filter(~has).withColumn("pii_entities", F.lit(0).cast("long"))
-    dirty = docs.filter(has).join(maps, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("__found", _found(F.col("text")))
-    dirty = dirty.withColumn("__between", F.split("text", ANY, -1)).withColumn("pii_entities", F.size("__found").cast("long"))
-    dirty = dirty.withColumn("text", F.expr("array_join(zip_with(__between, __found, (s, m) -> concat(s, coalesce(__map[m], ''))), '')"))
-    dirty = dirty.drop("__id", "__map", "__found", "__between")
-    return clean.unionByName(dirty).select(*[c for c in names if c != "pii_entities"], "pii_entities")
+    dirty = docs.filter(has).join(maps.hint("merge"), F.col("doc_id").eqNullSafe(F.col(id_))).withColumn(found_, _found(F.col("text")))
+    dirty = dirty.withColumn(between_, F.split("text", ANY, -1)).withColumn("pii_entities", F.size(found_).cast("long"))
+    rest = F.transform(between_, lambda s: F.when(F.size(words_) == 0, s).otherwise(F.array_join(F.transform(F.regexp_extract_all(s, F.lit(rf"{WORD}|(?s:[^\p{{L}}\p{{M}}]+|.)"), F.lit(0)), lambda w: F.coalesce(F.col(words_)[w], w)), "")))
+    dirty = dirty.withColumn("text", F.array_join(F.zip_with(rest, found_, lambda s, m: F.concat(s, F.coalesce(F.col(map_)[m], F.lit("")))), ""))
+    dirty = dirty.drop(id_, map_, words_, found_, between_)
+    return clean.unionByName(dirty).select(*[F.col(f"`{c}`") for c in names if c != "pii_entities"], "pii_entities")

@@ -347,6 +347,32 @@ def test_last_word_is_the_surname(spark):
     assert got[1].split()[-1] == got[2].split()[-1] and got[3] == "1.800.555.1234.5 and 12-345-678-9012"
 
 
+def test_coreference_over_titles_possessives_and_repeats(spark):
+    rows = [
+        (1, "Mrs Anna Weber came. Anna Weber sat; Weber, too, and Weberin. Mrs Weber's car, Mrs Weber’s hat."), (2, "Dr Anna Weber spoke"), (3, "Weber without a title"), (4, "Mr Kim Weber and Mrs Kim Weber"),
+        (5, "anna@one.example.org, bert@one.example.org, anna@two.example.org"), (6, "at 2001:db8:0:1::5 or fe80::1 and 1:2:3:4:5:6:7:8, not 12:30:45 nor a::b or std::map, 2001:DB8:0:1::5"),
+    ]
+    df = spark.createDataFrame([(i, t, "a", "b", "c") for i, t in rows], "doc_id long, text string, __id string, __map string, words string")
+    out = surrogates.pseudonymise(df)
+    assert out.columns == [*df.columns, "pii_entities"] and {r["__id"] for r in out.collect()} == {"a"}
+    got = {r.doc_id: r.text for r in out.collect()}
+    first, last = re.match(r"Mrs (\w+) (\w+) came", got[1]).groups()
+    assert got[1] == f"Mrs {first} {last} came. {first} {last} sat; {last}, too, and Weberin. Mrs {last}'s car, Mrs {last}’s hat."
+    assert got[2] == f"Dr {first} {last} spoke" and first.endswith("lia") and got[3] == rows[2][1]
+    assert re.fullmatch(rf"Mr (\w+ris) {last} and Mrs \1 {last}", got[4])
+    a, b, c = got[5].split(", ")
+    assert a.split("@")[1] == b.split("@")[1] != c.split("@")[1] and a.split("@")[0] != b.split("@")[0] and "example.org" not in got[5]
+    six = re.fullmatch(r"at (2001:db8:\S+) or (2001:db8:\S+) and (2001:db8:\S+), not 12:30:45 nor a::b or std::map, (2001:db8:\S+)", got[6]).groups()
+    assert six[0] == six[3] != "2001:db8:0:1::5" and len(set(six)) == 3
+
+
+def test_a_full_format_is_settled(spark):
+    rows = [(i, f"call +1 {10 + i // 1000} {i % 1000:03d} {i % 100:02d}") for i in range(3000)]
+    out = surrogates.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    numbers = {re.sub(r"\D", "", r.text) for r in out}
+    assert len(numbers) == len({re.sub(r"\D", "", t) for _, t in rows}) and not numbers & {re.sub(r"\D", "", t) for _, t in rows}
+
+
 # --- op9 ------------------------------------------------------------------------------------------
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtext.llm.staging import join_counted, stage
+from loomtext.llm.staging import free_name, join_counted, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SAME = ["digest", "check", "size"]
@@ -74,19 +74,21 @@ def distinct_documents(docs: DataFrame, fan_in: int = 16, keep: str = "largest")
     """The rows of ``docs`` that ``exact_duplicates`` keeps, all columns as they are.
 
     Texts move only where the list of dropped ids is too long to broadcast. Ids that repeat with
-    kept and dropped rows, and null ids, take a second path that looks at single rows.
+    kept and dropped rows, and null ids, take a second path that looks at single rows. Null and empty texts
+    are equal, long ones are read whole; names that are used inside are chosen free of clashes. An empty table gives an empty one.
     """
+    id_, sha_, nth_, keep_ = (free_name(n, docs.columns) for n in ("__id", "__sha", "__nth", "__keep"))
     marks = stage(exact_duplicates(docs, fan_in, keep), "exact-marks")
-    ids = marks.groupBy(F.col("doc_id").alias("__id")).agg(F.count_if("kept").alias("__kept"), F.count("*").alias("__all"))
+    ids = marks.groupBy(F.col("doc_id").alias(id_)).agg(F.count_if("kept").alias("__kept"), F.count("*").alias("__all"))
     ids = stage(ids.filter("__kept < __all"), "ids-with-dropped-rows")
-    mixed = ids.filter((F.col("__kept") > 0) | F.col("__id").isNull())
-    kept = docs.join(ids.select("__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    mixed = ids.filter((F.col("__kept") > 0) | F.col(id_).isNull())
+    kept = docs.join(ids.select(id_), F.col("doc_id").eqNullSafe(F.col(id_)), "left_anti")
     if mixed.isEmpty():
         return kept
-    rows = docs.join(mixed.select("__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    rows = rows.withColumn("__sha", F.sha2(ascii_lower(F.col("text")), 256))
-    rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id", "__sha").orderBy("text")))
-    stay = marks.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__keep")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__keep"))
-    rows = rows.filter("__nth = 1").join(stay, same, "left_semi").drop("__sha", "__nth")
+    rows = docs.join(mixed.select(id_), F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi")
+    rows = rows.withColumn(sha_, F.sha2(ascii_lower(F.col("text")), 256))
+    rows = rows.withColumn(nth_, F.row_number().over(Window.partitionBy("doc_id", sha_).orderBy("text")))
+    stay = marks.filter("kept").select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(keep_)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(sha_) == F.col(keep_))
+    rows = rows.filter(f"{nth_} = 1").join(stay, same, "left_semi").drop(sha_, nth_)
     return kept.unionByName(rows)

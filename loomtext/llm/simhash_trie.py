@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.llm.components import components
-from loomtext.llm.staging import join_counted, stage
+from loomtext.llm.staging import free_name, join_counted, stage
 
 STEP = 4
 BATCH_ROWS = 100_000
@@ -292,7 +292,10 @@ def one_of_each(docs: DataFrame, words: int = 5, radius: int = 8, node_limit: in
 
     Rows that repeat that id all stay (exact copies are another operator's work); rows without an id,
     which no decision can name, stay too.
+    Null and blank texts are copies of each other; long ones are read whole; extra columns may have any name. An empty
+    table gives an empty one.
     """
     near = near_duplicates(docs, words, radius, node_limit)
-    gone = stage(near.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "near-copies")
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    id_ = free_name("__id", docs.columns)
+    gone = stage(near.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_)).distinct(), "near-copies")
+    return docs.join(gone, F.col("doc_id") == F.col(id_), "left_anti")

@@ -187,6 +187,14 @@ def test_distinct_documents_keeps_whole_rows(docs):
     assert digest_merge.distinct_documents(docs.filter("doc_id = 6")).collect() == docs.filter("doc_id = 6").collect()
 
 
+@pytest.mark.parametrize("stage", [digest_merge.distinct_documents, simhash_trie.one_of_each, shingle_overlap.one_of_each])
+def test_stages_with_clashing_names(docs, stage):
+    names = ["__id", "__sha", "__nth", "__keep", "sid", "n", "low", "prefix", "digest", "kept", "component_id", "h"]
+    more = docs.select("doc_id", "text", *[F.lit(n).alias(n) for n in names])
+    got, want = stage(more).collect(), stage(docs.select("doc_id", "text")).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(r.doc_id), str(r.text)) for r in want) and all(r["__id"] == "__id" for r in got)
+
+
 def test_hot_keys_are_joined_whole(spark):
     left = spark.range(5000).select(F.when(F.col("id") < 2000, 1).otherwise(F.col("id")).alias("k"), "id")
     right = left.groupBy("k").agg(F.count("*").alias("n"))

@@ -2,8 +2,10 @@
 
 A text is the set of its hashed words (lower case, no punctuation at their ends) and a few shape
 features. All grades share one sparse weight vector; ordered thresholds cut its score into grades:
-P(grade >= k) = logistic(score - threshold k). The fit sees a bounded sample of rated rows (SAMPLE,
-smallest id hashes first, an even share of each grade at most); scoring reads whole texts.
+P(grade >= k) = logistic(score - threshold k). The fit sees a bounded sample of rated rows (about SAMPLE rows
+and SAMPLE_CHARS code points, an even share of each grade at most, chosen by hash alone, so that no task ranks a
+grade); a share of it is kept back and chooses the least score of a text to keep: the one that
+KEEP_GOOD of the kept-back rows of the highest grade reach. Scoring reads whole texts.
 
 Grades made from 0/1 labels: 0 toxic, 1 neither toxic nor of quality, 2 of quality and not toxic.
 """
@@ -16,14 +18,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.langid import held_out
+from loomtext.llm.langid import _lists, held_out
 
 BUCKETS, SHAPES = 1 << 17, 8
 #: Bound on rated rows that the fit sees.
-SAMPLE = 9000
+SAMPLE, SAMPLE_CHARS = 9000, 32_000_000
+#: The share of the sample that chooses the least score, and the share of its good rows that reach it, which takes so many of them.
+KEPT_BACK, KEEP_GOOD, LEAST_GOOD = 0.2, 0.995, 200
 CHUNK = 500_000
 CACHE_WORDS = 1_000_000
 ENDS = ".,;:!?\"'()[]{}<>#$%&*|-_/\\…«»„“”¿¡+=~^`"
@@ -80,6 +84,16 @@ class Model:
     grades: list[int]
     weights: np.ndarray
     thresholds: np.ndarray
+    least: float | None = None
+
+    def score(self, i: np.ndarray, v: np.ndarray) -> float:
+        return float(v @ self.weights[i])
+
+    def cut(self, least_not_toxic: float = 0.5) -> float:
+        """The least score to keep; without enough rows to choose it, the one with P(grade above the lowest) of ``least_not_toxic``."""
+        if self.least is not None:
+            return self.least
+        return float(self.thresholds[0] + np.log(least_not_toxic / (1 - least_not_toxic))) if len(self.thresholds) else -np.inf
 
     def tails(self, i: np.ndarray, v: np.ndarray) -> np.ndarray:
         """P(grade >= k) for every grade but the lowest."""
@@ -128,49 +142,78 @@ def grade(quality: str = "quality", toxic: str = "toxic"):
     return F.when(F.col(toxic) == 1, 0).when(F.col(quality) == 0, 1).when(F.col(quality) == 1, 2)
 
 
+def _spread(n: int, chars: int, rows: float, most_chars: float) -> float:
+    return min(1.0, rows / max(1, n), most_chars / max(1, chars))
+
+
 def train(rated: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fits to ``rated`` (doc_id, text, grade int); null grades are left out. Without two grades there are no thresholds."""
-    rated = rated.filter("grade is not null").select("doc_id", "text", "grade", F.xxhash64("doc_id").alias("h"))
-    counts = {r.grade: r.n for r in rated.groupBy("grade").agg(F.count("*").alias("n")).collect()}
+    """Fits to ``rated`` (doc_id, text, grade int); null grades are left out, equal rows count once. Without two grades
+    there are no thresholds, and an empty table gives a model that keeps everything."""
+    rated = rated.filter("grade is not null").select("grade", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("h"), "text")
+    counts = {r.grade: r for r in rated.groupBy("grade").agg(F.count("*").alias("n"), F.sum(F.char_length("text")).alias("chars")).collect()}
     grades = sorted(counts)
     share = -(-sample // max(1, len(grades)))
-    ranked = rated.withColumn("k", F.row_number().over(Window.partitionBy("grade").orderBy("h", "doc_id", "text"))).filter(F.col("k") <= share)
+    part = F.lit(0.0)
+    for g, r in counts.items():
+        part = F.when(F.col("grade") == g, F.lit(_spread(r.n, r.chars or 0, share, SAMPLE_CHARS / len(grades)))).otherwise(part)
+    few = rated.filter(F.col("h") / F.lit(float(1 << 64)) + 0.5 <= part).dropDuplicates(["grade", "h"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             f = [features(t.as_py()) for t in b.column(1)]
-            yield pa.record_batch([b.column(0), pa.array([i for i, _ in f], pa.list_(pa.int64())), pa.array([v for _, v in f], pa.list_(pa.float64())), b.column(2)], ["grade", "i", "v", "h"])
-
-    got = ranked.select("grade", "text", "h").mapInArrow(run, "grade int, i array<long>, v array<double>, h long").collect()  # the bounded sample
-    got.sort(key=lambda r: (r.h, r.grade, len(r.i)))
-    x = [(np.array(r.i), np.array(r.v)) for r in got]
-    return fit(x, np.array([grades.index(r.grade) for r in got], int), grades)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, expected_grade, p_not_toxic, p_quality) per row: the expected grade and the probabilities of at
-    least the second and of the highest grade. A model of one grade expects that one."""
+            words = pa.array([i[:-SHAPES].astype(np.int32) for i, _ in f], pa.list_(pa.int32()))
+            yield pa.record_batch([b.column(0), words, pa.array([v[-SHAPES:] for _, v in f], pa.list_(pa.float64())), b.column(2)], ["grade", "i", "shape", "h"])
+
+    got = few.select("grade", "text", "h").mapInArrow(run, "grade int, i array<int>, shape array<double>, h long").toArrow()  # the bounded sample
+    h, rows = got.column("h").to_numpy(), got.column("grade").to_numpy()
+    order = np.lexsort((rows, h))
+    words, shapes = _lists(got.column("i")), _lists(got.column("shape"))
+    x = [(np.r_[words[k], BUCKETS + np.arange(SHAPES)], np.r_[np.ones(len(words[k])), shapes[k]]) for k in order]
+    y = np.array([grades.index(rows[k]) for k in order], int)
+    back = np.random.default_rng(8).random(len(x)) < KEPT_BACK
+    model = fit([x[k] for k in np.flatnonzero(~back)], y[~back], grades)
+    good = [model.score(*x[k]) for k in np.flatnonzero(back & (y == len(grades) - 1))]
+    if len(grades) > 1 and len(good) >= LEAST_GOOD:
+        model.least = float(np.quantile(good, 1 - KEEP_GOOD))
+    return model
+
+
+def score(docs: DataFrame, model: Model, least_not_toxic: float = 0.5) -> DataFrame:
+    """(doc_id, held_out, expected_grade, p_not_toxic, p_quality, keep) per row: the expected grade, the probabilities of at
+    least the second and of the highest grade, and whether the score reaches the model's cut. A model of one grade expects that one."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS + SHAPES numbers
+    cut = model.cut(least_not_toxic)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        lows = m.grades or [0]
         for b in batches:
-            tails = [m.tails(*features(t.as_py())) if len(m.grades) > 1 else np.ones(1) for t in b.column(2)]
-            lows = m.grades or [0]
+            tails, kept = [], []
+            for t in b.column(2):
+                s = m.score(*features(t.as_py()))
+                tails.append(_logistic(s - m.thresholds) if len(m.grades) > 1 else np.ones(1))
+                kept.append(s >= cut)
             mean = [lows[0] + float((p[: len(m.grades) - 1] * np.diff(lows)).sum()) if len(lows) > 1 else float(lows[0]) for p in tails]
-            cols = [pa.array(mean, pa.float64()), pa.array([float(p[0]) for p in tails], pa.float64()), pa.array([float(p[-1]) for p in tails], pa.float64())]
-            yield pa.record_batch([b.column(0), b.column(1), *cols], ["doc_id", "held_out", "expected_grade", "p_not_toxic", "p_quality"])
+            cols = [pa.array(mean, pa.float64()), pa.array([float(p[0]) for p in tails], pa.float64()), pa.array([float(p[-1]) for p in tails], pa.float64()), pa.array(kept, pa.bool_())]
+            yield pa.record_batch([b.column(0), b.column(1), *cols], ["doc_id", "held_out", "expected_grade", "p_not_toxic", "p_quality", "keep"])
 
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, expected_grade double, p_not_toxic double, p_quality double")
+    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, expected_grade double, p_not_toxic double, p_quality double, keep boolean")
 
 
 def rate(docs: DataFrame, labels: DataFrame, least_not_toxic: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """``score`` of every row of ``docs`` by a model fitted to the rated rows not held out, and ``keep``: whether
-    p_not_toxic is at least ``least_not_toxic``. Labels that repeat an id count for each of its rows; null ids match nothing."""
+    """``score`` of every row of ``docs`` by a model fitted to the rated rows not held out.
+
+    Labels that repeat an id count for each of its rows; null ids match nothing; null labels are no rating. Null and
+    empty texts are rated like any other, long ones are read whole, repeated rows get equal scores. Empty docs give an empty
+    table; without a label everything is kept. Other columns, whatever their names, are not read.
+    """
     graded = labels.filter(~held_out()).select("doc_id", grade().alias("grade")).filter("grade is not null and doc_id is not null").distinct()
-    nth = F.row_number().over(Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    few = graded.withColumn("k", nth).filter(F.col("k") <= -(-sample // 3)).drop("k")  # so many of each grade at most: safe to broadcast
+    n = {r.grade: r.n for r in graded.groupBy("grade").agg(F.count("*").alias("n")).collect()}
+    part = F.lit(0.0)
+    for g, k in n.items():  # twice the sample is looked up at most, chosen by hash: few enough to broadcast
+        part = F.when(F.col("grade") == g, F.lit(min(1.0, 2 * sample / max(1, len(n)) / k))).otherwise(part)
+    few = graded.filter(F.xxhash64(F.lit("rated"), "doc_id") / F.lit(float(1 << 64)) + 0.5 <= part)
     rated = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
-    return score(docs, train(rated, sample)).withColumn("keep", F.col("p_not_toxic") >= least_not_toxic)
+    return score(docs, train(rated, sample), least_not_toxic)

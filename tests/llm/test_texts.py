@@ -218,6 +218,24 @@ def test_quality_query_keeps_the_clean(spark, docs):
     assert ordinal_quality.rate(docs.limit(0), labels).count() == 0
 
 
+def test_quality_on_the_labels_held_out(spark, sf_dir):
+    base = sf_dir.rsplit("/", 1)[0] + "/sf0.1"
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    rated = docs.join(labels.select("doc_id", "quality", "toxic"), "doc_id")
+    got = ordinal_quality.rate(docs, labels).join(labels.select("doc_id", ordinal_quality.grade().alias("grade")), "doc_id").filter("held_out").collect()
+    kept = {g: np.mean([r.keep for r in got if r.grade == g]) for g in range(3)}
+    assert len(got) > 900 and kept[2] > 0.97 and kept[1] < 0.2 and kept[0] < 0.2 and rated.count() > len(got)
+    better = lambda c: np.mean([a > b for a in [getattr(r, c) for r in got if r.grade == 2] for b in [getattr(r, c) for r in got if r.grade < 2]])
+    assert better("p_quality") > 0.9 and better("expected_grade") > 0.9
+
+
+def test_a_hot_id_does_not_swell_the_sample(spark):
+    rows = [(i, t) for i, t, _ in made_ratings(600)] + [(7, f"same words {i} again") for i in range(5000)]
+    labels = spark.createDataFrame([(i, int(g == 2), int(g == 0)) for i, _, g in made_ratings(600)], "doc_id long, quality int, toxic int")
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("grade", F.lit("x")).withColumn("keep", F.lit(0)).withColumn("h", F.lit(1))
+    assert ordinal_quality.rate(d, labels, sample=300).count() == len(rows)
+
+
 # --- op6 ------------------------------------------------------------------------------------------
 
 

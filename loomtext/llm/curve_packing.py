@@ -124,7 +124,9 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int | None = 1, w
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, little-endian).
 
     Null texts count as empty; with ``end_id`` None a document without ids has no piece. Rows that
-    repeat are packed once each. A document longer than a sequence, or at a cut, has several pieces.
+    repeat are packed once each. A document longer than a sequence, or at a cut, has several pieces; texts of any
+    length are read whole. Documents of one place on the curve, such as copies, are in the order of their rows. An
+    empty table gives no piece. Columns other than doc_id and text, whatever their names, are not read.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,10 @@
 """Token ids of a file for the ``tokenizers`` library, with each distinct word encoded once per worker.
 
-The word tokenizer's pre-tokens never span white space, so a text's ids are its white-space pieces'
-ids one after another. Pieces are looked up in a bounded cache; the library encodes what is missing:
-a plain word by its BPE model alone, anything else by the whole tokenizer.
+Where the tokenizer's tokens never span white space, as trials show when it is loaded, a text's ids are its pieces'
+ids one after another, pieces being what blanks and line ends part. Pieces are looked up in a bounded cache; the
+library encodes what is missing: a plain word by its BPE model alone if that passes trials too, anything else by
+the whole tokenizer. Strings of added tokens inside a text give those tokens, as the library has it. Any
+other tokenizer encodes whole texts.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ from array import array
 import numpy as np
 
 CACHE_PIECES = 800_000
+#: Texts that show whether blanks part tokens, and words that show whether the BPE model alone gives a word's ids.
+SPACED = ["the cat's 42 Dogs, über straße. (x)", "a\nb  c \n d", "Don't I'LL éÀ — 3.14 <|x|>", "tion ing re the"]
+WORDS = ["a", "the", "tion", "zuüber", "éèçñ", "ß", "straße", "être", "übermorgen", "internationalisation", "xqzj", "The", "NASA", "ÜBER", "Ÿ", "ÇÀ"]
 #: Words that normalisation leaves alone but for lower case, and that are one pre-token.
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _encoders: dict[str, "PieceEncoder"] = {}
@@ -27,21 +32,27 @@ def _byte_letters() -> dict[int, str]:
 
 
 class PieceEncoder:
-    """ids of texts; ``path`` is a tokenizer whose pre-tokens hold no white space."""
+    """ids of texts by the tokenizer of ``path``."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # special tokens' strings inside a text are ordinary text
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.code = "H" if self.dtype is np.uint16 else "I"
         self.letters = _byte_letters()
         self.bpe = self.tokenizer.model.tokenize  # bound once: each access to the model wraps it anew
         self.cache: dict[str, bytes] = {}
-        trial = ["a", "the", "tion", "zuüber", "éèçñ", "ß", "straße", "être", "übermorgen", "internationalisation", "xqzj"]
-        self.by_model = all(self._model_ids(w) == self._ids(w) for w in trial)
+        self.by_piece = all(b"".join(map(self._ids, self._pieces(t))) == self._ids(t) for t in SPACED)
+        try:
+            self.by_model = self.by_piece and all(self._model_ids(w.lower()) == self._ids(w) for w in WORDS)
+        except Exception:  # a model that isn't BPE over bytes may refuse to spell the trial words
+            self.by_model = False
+
+    @staticmethod
+    def _pieces(text: str) -> list[str]:
+        return text.replace("\n", " ").split(" ")
 
     def _ids(self, piece: str) -> bytes:
         return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
@@ -52,10 +63,12 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """ids of each text, of the smallest unsigned type that holds the vocabulary."""
+        if not self.by_piece:
+            return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         cache = self.cache
         if len(cache) > CACHE_PIECES:
             cache.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [self._pieces(t) for t in texts]
         here = dict.fromkeys(p for ps in split for p in ps)
         known, learn = cache.get, self._learn
         for p in here:

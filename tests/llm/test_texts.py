@@ -38,7 +38,6 @@ def library_ids(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return [np.array(e.ids, np.uint32) for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -89,9 +88,27 @@ def test_sequences_hold_the_ids(corpus):
 
 def test_piece_encoder_is_the_library(corpus):
     texts = [r.text for r in corpus.collect()] + [r[1] or "" for r in AWKWARD] + ["don't I'LL x y\x85z", "ÀÉÎ, Straße. übER.,", "\x1c\x1d a"]
+    texts += ["<|endoftext|>", "a<|endoftext|>b <|startoftext|><|endoftext|>. <|ENDOFTEXT|>", "x <|endof text|>\n<|endoftext|>,"]
     e = encoder(tokenizer_file("word_bpe_49k.json"))
     assert e.by_model
-    assert all((a == b).all() for a, b in zip(e.encode(texts), library_ids(texts), strict=True))
+    assert all(len(a) == len(b) and (a == b).all() for a, b in zip(e.encode(texts), library_ids(texts), strict=True))
+    assert e.encode(["<|endoftext|>"])[0].tolist() == [49407]
+
+
+def test_tokenizers_whose_tokens_hold_blanks(tmp_path):
+    from tokenizers import Tokenizer, models
+
+    t = Tokenizer(models.BPE({"a": 0, "b": 1, " ": 2, "a ": 3, "\n": 4}, [("a", " ")]))
+    t.save(str(tmp_path / "t.json"))
+    e = encoder(str(tmp_path / "t.json"))
+    assert not e.by_piece and [x.tolist() for x in e.encode(["a b", "", "ab a"])] == [t.encode(s).ids for s in ("a b", "", "ab a")]
+
+
+def test_packing_with_clashing_names(docs):
+    path = tokenizer_file("word_bpe_49k.json")
+    more = docs.select("doc_id", "text", *[F.lit("x").alias(c) for c in ("row", "n", "ids", "start_at", "key", "part", "base", "p0")])
+    strip = lambda df: sorted((str(p.doc_id), p.start, p.length, p.ids_crc32) for p in curve_packing.pack(df, path).collect())
+    assert strip(more) == strip(docs)
 
 
 def test_hilbert_neighbours_are_adjacent():

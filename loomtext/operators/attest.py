@@ -93,10 +93,13 @@ def totals(found: DataFrame) -> DataFrame:
 
 
 def capped(found: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
-    """The first ``n`` of each key and how many more there are (a display cap)."""
-    w = Window.partitionBy(key)
-    ranked = found.withColumn("nth", F.row_number().over(w.orderBy(*order))).withColumn("more", F.greatest(F.lit(0), F.count("*").over(w) - n))
-    return ranked.filter(F.col("nth") <= n)
+    """The first ``n`` of each key and how many more there are (a display cap).
+
+    Ranked by a window of its own, so each partition keeps ``n`` rows a key before the shuffle; counted beside it.
+    """
+    ranked = found.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("nth") <= n)
+    counts = found.groupBy(key).agg(F.greatest(F.lit(0), F.count("*") - n).alias("more"))
+    return ranked.join(counts, key)
 
 
 def per_text(found: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,8 @@ drops out where only counts are asked for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +51,7 @@ def match_types(types: DataFrame, stopwords: DataFrame, authority: DataFrame, pr
 
     The first that hits counts: stop word (either form), authority (surface, then norm), first dictionary
     by surface, second by surface, first by norm, second by norm, none. norm is tried only if it is
-    given and differs. Each lookup is one row per key, so left joins never multiply; Catalyst broadcasts the small ones.
+    given and differs. Each lookup is one row per key, so left joins never multiply; Catalyst broadcasts small ones.
     ``each`` matches every row, other columns kept, as a stream needs it.
     """
     df = types if each else types.select("surface", "norm").distinct()
@@ -64,10 +66,12 @@ def match_types(types: DataFrame, stopwords: DataFrame, authority: DataFrame, pr
     )
     stop = stopwords.select(F.col("word").alias("key"), F.lit(True).alias("hit")).distinct()
     tables = {"s": stop, "auth": names, "a": _payload(primary, tiers[0]), "b": _payload(master, tiers[1])}
-    for name, table in tables.items():
-        for by, column in (("x", "surface"), ("n", "__probe" if name != "s" else "norm")):
-            side = table.select(F.col("key").alias(f"__{name}{by}"), F.col("hit").alias(f"__{name}{by}_hit"))
-            df = df.join(side, F.col(column) == F.col(f"__{name}{by}"), "left").drop(f"__{name}{by}")
+    # the lookups are laid side by side once, so a type meets them in two joins, by surface and by norm, and not in eight
+    every = [t.select("key", *[(F.col("hit") if n == name else F.lit(None)).alias(f"__{n}") for n in tables]) for name, t in tables.items()]
+    side = reduce(DataFrame.unionByName, every).groupBy("key").agg(*[F.first(f"__{n}", ignorenulls=True).alias(f"__{n}") for n in tables])
+    for by, column in (("x", "surface"), ("n", "__probe")):
+        one = side.select(F.col("key").alias(f"__key{by}"), *[F.col(f"__{n}").alias(f"__{n}{by}_hit") for n in tables])
+        df = df.join(one, F.col(column) == F.col(f"__key{by}"), "left").drop(f"__key{by}")
     hit = lambda n, confidence: F.when(F.col(f"__{n}_hit").isNotNull(), F.struct(F.col(f"__{n}_hit").alias("h"), F.lit(confidence).alias("confidence")))
     found = F.coalesce(hit("authx", "exact"), hit("authn", "exact"), hit("ax", "exact"), hit("bx", "exact"), hit("an", "norm"), hit("bn", "norm"))
     df = df.withColumn("__m", found).withColumn("__stop", F.coalesce("__sx_hit", "__sn_hit", F.lit(False)))
@@ -93,10 +97,18 @@ def tier_coverage(counted: DataFrame, by: str = "match_tier", n: str = "n") -> D
     return one.crossJoin(F.broadcast(total)).select(by, "tokens", F.try_divide(F.col("tokens") * 100.0, "total").alias("share"))
 
 
-def text_coverage(matched: DataFrame, text: str = "text_id") -> DataFrame:
-    """Per text: total tokens, matched ones (neither none nor stop word) and those in the lexicon."""
+def counted(tokens: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """Tokens counted per ``keys``, so that a frequent word meets its match once a text and not once a token."""
+    return tokens.groupBy(*keys).agg(F.count("*").alias(n))
+
+
+def text_coverage(matched: DataFrame, text: str = "text_id", n: str | None = None) -> DataFrame:
+    """Per text: total tokens, matched ones (neither none nor stop word) and those in the lexicon; of tokens, or of rows
+    that stand for ``n`` tokens each."""
+    one = F.col(n) if n else F.lit(1).cast("long")
+    sum_if = lambda c: F.sum(F.when(c, one).otherwise(0))
     return matched.groupBy(text).agg(
-        F.count("*").alias("total"), F.count_if(~F.col("match_tier").isin("none", "stopword")).alias("matched"), F.count_if(F.col("in_lexicon") == "1").alias("in_lex")
+        F.sum(one).alias("total"), sum_if(~F.col("match_tier").isin("none", "stopword")).alias("matched"), sum_if(F.col("in_lexicon") == "1").alias("in_lex")
     )
 
 

@@ -25,10 +25,10 @@ CATEGORIES = ["REVIEW", "VERB", "FUNCTION", "RARE"]
 # --- End of fixed values. ---
 
 
-def types(words: DataFrame, text: str = "text_id", order: str | None = None, with_texts: bool = True) -> DataFrame:
+def types(words: DataFrame, text: str = "text_id", order: str | None = None, with_texts: bool = False) -> DataFrame:
     """(surface, norm, freq, text_count, first_seen[, texts]) per surface of ``words``; norm is the last seen in ``order``.
 
-    Counts go through (surface, text) pairs, so a word of every text is combined per text before it meets itself.
+    ``with_texts`` gathers a word's text ids in its row, as many as there are texts with it: for small corpora only. Counts go through (surface, text) pairs, so a word of every text is combined per text before it meets itself.
     """
     seen = F.col(order) if order else F.lit(0)
     pairs = words.groupBy("surface", text).agg(F.count("*").alias("n"), F.max_by("norm", seen).alias("norm"), F.max(seen).alias("last"), F.min(seen).alias("first"))
@@ -41,6 +41,11 @@ def text_total(words: DataFrame, text: str = "text_id") -> DataFrame:
     return words.agg(F.count_distinct(text).alias("n_texts"))
 
 
+def texts_with_words(docs: DataFrame, doc: str = "text_id", text: str = "text", word: str = r"\p{L}") -> DataFrame:
+    """One row: n_texts, the same from the texts themselves, of which no word is exploded."""
+    return docs.filter(F.col(text).rlike(word)).agg(F.count_distinct(doc).alias("n_texts"))
+
+
 def category(surface: Column, norm: Column, freq: Column, df: Column, n_texts: Column, preverbs=PREVERBS, endings=VERB_ENDINGS, known=FUNCTION_WORDS) -> Column:
     """A type's category by the first rule that holds."""
     third = F.floor(n_texts / 3)

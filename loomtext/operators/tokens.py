@@ -1,7 +1,7 @@
 """Paragraphs, text nodes and tokens.
 
 Spans and offsets are computed by splitting a text into runs of word and non-word characters and adding
-up their lengths inside a paragraph; no Python. Only the walk through mixed content is one Arrow pass.
+up their lengths inside the row; no Python and no shuffle. Only the walk through mixed content is one Arrow pass.
 """
 
 from __future__ import annotations
@@ -26,17 +26,31 @@ def paragraphs(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
     return docs.select(doc, F.posexplode(F.split(text, "\n")).alias("para_id", text))
 
 
+#: Lengths that one inner fold adds up; a fold copies what it has at every step, so long texts are added up in two levels.
+BLOCK = 128
+
+
+def _starts(runs: str) -> str:
+    """SQL: where each string of the array ``runs`` begins if they stand one after another."""
+    fold = "aggregate({0}, struct(0 as s, cast(array() as array<int>) as o), (a, x) -> struct(a.s + {1} as s, concat(a.o, array(a.s)) as o))"
+    blocks = f"transform(sequence(0, greatest(0, size({runs}) - 1) div {BLOCK}), b -> slice(transform({runs}, r -> char_length(r)), b * {BLOCK} + 1, {BLOCK}))"
+    one = f"transform(array({blocks}), bs -> transform(bs, l -> {fold.format('l', 'x')}))[0]"
+    return f"transform(array({one}), ls -> flatten(zip_with(ls, {fold.format('ls', 'x.s')}.o, (l, at) -> transform(l.o, y -> y + at))))[0]"
+
+
 def spans(texts: DataFrame, keys: list[str], text: str = "text", word: str = r"\p{L}+", other: str = r"[^\p{L}]+") -> DataFrame:
-    """(keys, i, surface, char_start, char_end): the words of each text with their offsets in code points.
+    """(keys, k, surface, char_start, char_end): the words of each text, their number from 0 in it, and their offsets in code points.
 
-    ``keys`` must tell texts apart: the running sum of lengths stays inside one text, so no partition
-    holds more than a text's runs.
+    ``word`` and ``other`` are maximal runs of complementary characters, so they alternate. Offsets and numbers are made
+    inside the row before it is exploded: no shuffle, no sort, whatever the length of a text. Null texts have no word.
     """
-    runs = texts.select(*keys, F.posexplode(F.regexp_extract_all(text, F.lit(f"({word})|({other})"), F.lit(0))).alias("i", "surface"))
-    before = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.char_length("surface")).over(before), F.lit(0))
-    placed = runs.withColumn("char_start", start).withColumn("char_end", F.col("char_start") + F.char_length("surface"))
-    return placed.filter(F.col("surface").rlike(f"^({word})"))
+    runs = F.regexp_extract_all(text, F.lit(f"({word})|({other})"), F.lit(0))
+    df = texts.select(*keys, runs.alias("__runs")).filter("size(__runs) > 0")
+    first = F.when(F.element_at("__runs", 1).rlike(f"^(?:{word})$"), 0).otherwise(1)
+    df = df.select(*keys, "__runs", F.expr(_starts("__runs")).alias("__at"), first.alias("__first"))
+    pairs = F.expr("filter(zip_with(__runs, __at, (r, a) -> struct(r as surface, a as char_start)), (x, i) -> i % 2 = __first)")
+    df = df.select(*keys, F.posexplode(pairs).alias("k", "__x"))
+    return df.select(*keys, "k", "__x.surface", "__x.char_start", (F.col("__x.char_start") + F.char_length("__x.surface")).alias("char_end"))
 
 
 def numbered(words: DataFrame, keys: list[str], order: list[str], name: str = "k") -> DataFrame:
@@ -116,9 +130,8 @@ def tokenise(nodes: DataFrame, word: str = georgian.WORD, other: str = "[^" + ge
     """
     keys = ["text_id", "para_ord", "ord"]
     words = spans(nodes, [*keys, "para_id", "node_idx", "quirk_idx", "is_tail", "initial_char"], "text", word, other)
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy("i")) == 1
-    words = words.withColumn("norm", normalise(F.when(first, F.concat("initial_char", "surface")).otherwise(F.col("surface"))))
-    words = numbered(words, ["text_id", "para_ord"], ["ord", "char_start"])
+    words = words.withColumn("norm", normalise(F.when(F.col("k") == 0, F.concat("initial_char", "surface")).otherwise(F.col("surface"))))
+    words = numbered(words.drop("k"), ["text_id", "para_ord"], ["ord", "char_start"])
     return words.select(
         F.concat_ws("_", "text_id", "para_id", F.concat(F.lit("t"), F.col("k").cast("string"))).alias("token_id"),
         "surface", "norm", "text_id", "para_id", F.col("quirk_idx" if compat else "node_idx").alias("node_idx"), "is_tail", "char_start", "char_end", "initial_char",

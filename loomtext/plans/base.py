@@ -41,8 +41,7 @@ def words(spark: SparkSession, sf_dir: str, keys: list[str] = ("doc_id",)) -> Da
 def placed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, para_id, k, surface, norm, char_start, char_end)."""
     paras = tokens.paragraphs(table(spark, sf_dir, "documents"))
-    found = tokens.numbered(tokens.spans(paras, ["doc_id", "para_id"]), ["doc_id", "para_id"], ["i"])
-    return found.withColumn("norm", F.lower("surface")).drop("i")
+    return tokens.spans(paras, ["doc_id", "para_id"]).withColumn("norm", F.lower("surface"))
 
 
 def _forms(column: str = "text"):

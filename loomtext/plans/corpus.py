@@ -24,7 +24,7 @@ def tokens_span(spark, d):
 
 @query(f"WITH {WORDS} SELECT surface, count(*) AS freq, count(DISTINCT doc_id) AS text_count FROM words GROUP BY surface")
 def token_freq(spark, d):
-    return oov.types(base.words(spark, d), "doc_id", with_texts=False).select("surface", "freq", "text_count")
+    return oov.types(base.words(spark, d), "doc_id").select("surface", "freq", "text_count")
 
 
 ACCENTS = ("àâäáéèêëîïíôöóûüùúñç", "aaaaeeeeiiiooouuuunc")
@@ -137,7 +137,7 @@ def multi_lemma_split(spark, d):
 
 
 def _types(spark, d):
-    return oov.types(base.words(spark, d), "doc_id", with_texts=False).select("surface", "norm", "freq", "text_count")
+    return oov.types(base.words(spark, d), "doc_id").select("surface", "norm", "freq", "text_count")
 
 
 @query(f"WITH {MATCHED} SELECT * FROM matched")
@@ -156,14 +156,15 @@ def confidence_coverage(spark, d):
 
 
 def _matched_words(spark, d):
+    """(doc_id, surface, n, match): words counted per document, with their match."""
     types = base.matched_types(spark, d, _types(spark, d)).drop("freq", "text_count", "norm")
-    return base.words(spark, d).join(types, "surface")
+    return match.counted(base.words(spark, d), ["doc_id", "surface"]).join(types, "surface")
 
 
 @query(f"""WITH {MATCHED} SELECT doc_id, count(*) AS total, count(*) FILTER (match_tier NOT IN ('none', 'stopword')) AS matched, count(*) FILTER (in_lexicon = '1') AS in_lex
 FROM words JOIN matched USING (surface) GROUP BY doc_id""")
 def text_coverage(spark, d):
-    return match.text_coverage(_matched_words(spark, d), "doc_id")
+    return match.text_coverage(_matched_words(spark, d), "doc_id", "n")
 
 
 CLASS_STEM = "CASE " + _STEM + " ELSE norm END"
@@ -200,7 +201,7 @@ oov AS (SELECT surface, norm, freq, text_count, printf('%.1f', text_count / n_te
 
 def _oov(spark, d):
     types = base.matched_types(spark, d, _types(spark, d)).filter("match_tier = 'none'").select("surface", "norm", "freq", "text_count")
-    return oov.categorised(types, oov.text_total(base.words(spark, d), "doc_id"), **LISTS)
+    return oov.categorised(types, oov.texts_with_words(table(spark, d, "documents"), "doc_id"), **LISTS)
 
 
 @query(f"WITH {MATCHED} SELECT surface, norm, freq, text_count FROM matched WHERE match_tier = 'none'")
@@ -233,7 +234,7 @@ def name_candidates(spark, d):
 SELECT c.match_id, c.lemma, c.source, c.tier, count(*) AS freq, count(DISTINCT w.doc_id) AS text_count FROM c JOIN words w USING (surface) GROUP BY ALL""")
 def new_entry_candidates(spark, d):
     m = _matched_words(spark, d).withColumn("text_id", F.col("doc_id"))
-    return growth.candidates(m, base.existing(spark, d), order="doc_id").select("match_id", "lemma", "source", "tier", "freq", "text_count")
+    return growth.candidates(m, base.existing(spark, d), order="doc_id", n="n").select("match_id", "lemma", "source", "tier", "freq", "text_count")
 
 
 @query(f"""WITH {MATCHED}, c AS (SELECT match_id, match_lemma AS lemma, match_source AS source, match_tier AS tier, surface FROM matched
@@ -243,7 +244,7 @@ SELECT match_id AS xml_id, '<entry xml:id="' || match_id || '" source="' || sour
   || CASE source WHEN 'talk' THEN 'Conversations' ELSE source END || '</ref></xr>' || CASE WHEN tier = 'master' THEN '<note type="certainty">unverified</note>' ELSE '' END || '<note type="corpus">freq=' || freq || '; texts=' || text_count || '</note></entry>' AS markup FROM n""")
 def skeleton_entries(spark, d):
     m = _matched_words(spark, d).withColumn("text_id", F.col("doc_id"))
-    return growth.entry_markup(growth.skeletons(growth.candidates(m, base.existing(spark, d), order="doc_id"), {"talk": "Conversations"})).select("xml_id", "markup")
+    return growth.entry_markup(growth.skeletons(growth.candidates(m, base.existing(spark, d), order="doc_id", n="n"), {"talk": "Conversations"})).select("xml_id", "markup")
 
 
 # --- Attestations ---------------------------------------------------------------------------------

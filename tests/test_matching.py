@@ -49,7 +49,7 @@ def test_categories(spark, freq, df, surface, kind):
 
 def test_types_and_order(spark):
     w = spark.createDataFrame([("a", "n1", "t1", 1), ("a", "n2", "t2", 2), ("b", "n", "t1", 3)], "surface string, norm string, text_id string, k int")
-    got = {r.surface: r for r in oov.types(w, order="k").collect()}
+    got = {r.surface: r for r in oov.types(w, order="k", with_texts=True).collect()}
     assert (got["a"].freq, got["a"].text_count, got["a"].norm, got["a"].texts) == (2, 2, "n2", ["t1", "t2"])
     kinds = spark.createDataFrame([("a", 1, "RARE", 1), ("b", 9, "REVIEW", 2), ("c", 9, "REVIEW", 1), ("d", 5, "VERB", 1)], "surface string, freq int, category string, first_seen int")
     assert [r.surface for r in oov.ordered(kinds).collect()] == ["c", "b", "d", "a"]

@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtext.llm.staging import stage
+from loomtext.llm.staging import join_counted, stage
 
 LANES = 32
 LANE_MASK = (1 << 32) | 1
@@ -81,6 +81,23 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks:
     return near.filter(F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius).select("q", "fp").distinct()
 
 
+def counted_within(prints: DataFrame, asked: Column, radius: int = 3, blocks: int = 6) -> DataFrame:
+    """``prints`` (doc_id, fp, …; staged) with near_docs, the number of its rows whose fingerprint is at most ``radius`` bits
+    from the row's own (itself included), and near_low, their smallest doc_id; both null where not ``asked``.
+
+    Searched by the block tables, over distinct fingerprints: copies count by their number and never meet in pairs.
+    """
+    groups = prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.count_if(asked).alias("asked"))
+    groups = stage(groups, "distinct-fingerprints")
+    hits = within_radius(groups.filter("asked > 0"), groups, radius, blocks)
+    found = hits.join(groups.select("fp", "low", "n"), "fp").groupBy("q").agg(F.sum("n").alias("near_docs"), F.min("low").alias("near_low"))
+    found = found.withColumnRenamed("q", "fp").join(groups.select("fp", "asked"), "fp")
+    found = stage(found, "within-radius")
+    rest = prints.filter(~F.coalesce(asked, F.lit(False)))
+    told = join_counted(prints.filter(asked), found, "fp", "asked").select(*prints.columns, "near_docs", "near_low")
+    return told.unionByName(rest.withColumns({"near_docs": F.lit(None).cast("long"), "near_low": F.lit(None).cast(prints.schema["doc_id"].dataType)}))
+
+
 def neighbours(docs: DataFrame) -> DataFrame:
     """(doc_id, next_id, prev_id, prev_n) for each distinct non-null doc_id: the next larger id (after the
     last: the first), the next smaller one, and the longest text length of the latter."""
@@ -123,13 +140,16 @@ def _both_prints(rows: DataFrame) -> DataFrame:
     return prints.drop("row")
 
 
-def edited_likeness(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): n_chars, edited_sha256, fp, edited_fp, near_edited, near_next.
+def edited_likeness(docs: DataFrame, asked: Column | None = None, radius: int = 3) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): n_chars, edited_sha256, fp, edited_fp, near_edited, near_next, and near_docs and
+    near_low as in ``counted_within`` for the rows that are ``asked`` (a condition on doc_id; by default none).
 
     The edited text is the text with its last quarter (floor) of code points replaced by the first
     as many of the next document, in order of doc_id, the first following the last. Null texts
     count as empty. Of rows that repeat an id, edits use the smallest head and near_next compares with
-    the smallest fingerprint. A row without id has no next: its tail is cut off, near_next is null.
+    the smallest fingerprint. A row without id has no next: its tail is cut off, near_next is null. Texts without
+    white space are one term. Long texts are read whole; equal texts have equal fingerprints; an empty table gives an
+    empty one; columns other than doc_id and text, whatever their names, are not read.
     """
     order = stage(neighbours(docs), "id-ring")
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -140,10 +160,12 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     rows = known.join(heads.hint("merge"), F.col("doc_id") == F.col("head_of"), "left").drop("head_of")
     lost = docs.filter("doc_id is null").withColumn("head", F.lit(None).cast("string"))
     prints = stage(_both_prints(rows).unionByName(_both_prints(lost)), "fingerprints")
+    near = counted_within(prints, F.lit(False) if asked is None else asked, radius)
     after = prints.groupBy("doc_id").agg(F.min("fp").alias("next_fp")).join(order.select(F.col("doc_id"), "prev_id"), "doc_id")
     after = after.select(F.col("prev_id").alias("before_id"), "next_fp")
-    out = prints.join(after, prints.doc_id == after.before_id, "left")
+    out = near.join(after, F.col("doc_id") == F.col("before_id"), "left")
     return out.select(
         "doc_id", "n_chars", "edited_sha256", "fp", "edited_fp",
         likeness("fp", "edited_fp").alias("near_edited"), likeness("fp", "next_fp").alias("near_next"),
+        "near_docs", "near_low",
     )

@@ -216,6 +216,37 @@ def test_fingerprints_tell_edits_from_strangers(spark, sf_dir):
         assert seen.setdefault(t, got[i].fp) == got[i].fp
 
 
+def voted(text):
+    """The fingerprint by plain arithmetic: term pairs vote on every bit with their length."""
+    words = [w for w in re.split(r"[ \t\n\x0b\f\r]+", text or "") if w]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    terms = set()
+    for a, b in zip(words, words[1:], strict=False) if len(words) > 1 else [(w, None) for w in words]:
+        h = xxhash.xxh64_intdigest(a.encode(), 42)
+        h = xxhash.xxh64_intdigest(b.encode(), h) if b is not None else h
+        terms.add(h & ~63 | min(63, len(a) + len(b or "")))
+    votes, total = [0] * 64, sum(t & 63 for t in terms)
+    for t in terms:
+        h = xxhash.xxh64_intdigest(t.to_bytes(8, "little"), 42)
+        for k in range(64):
+            votes[k] += (h >> k & 1) * (t & 63)
+    return signed(sum(1 << k for k in range(64) if 2 * votes[k] > total))
+
+
+def test_votes_and_search_are_as_brute_force_has_them(spark, sf_dir, docs):
+    for df in (spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), docs):
+        df = df.unionByName(df.filter("doc_id = 8"), allowMissingColumns=True)
+        got = simhash_votes.edited_likeness(df, asked=F.col("doc_id") % 2 == 0, radius=3).collect()
+        want = sorted((str(r.doc_id), voted(r.text)) for r in df.collect())
+        assert sorted((str(r.doc_id), r.fp) for r in got) == want
+        for r in got:
+            near = [o.doc_id for o in got if ((r.fp ^ o.fp) & (1 << 64) - 1).bit_count() <= 3]
+            if r.doc_id is None or r.doc_id % 2:
+                assert r.near_docs is None and r.near_low is None
+            else:
+                assert r.near_docs == len(near) and r.near_low == min(i for i in near if i is not None)
+
+
 def test_fingerprints_on_awkward_rows(docs, spark):
     got = simhash_votes.edited_likeness(docs).collect()
     assert len(got) == len(ROWS)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm.staging import join_counted, new_path, stage
+from loomtext.llm.staging import delete, join_counted, new_path, scope, stage
 
 CRLF = "\r\n"
 #: Payloads below this many bytes are always archived whole.
@@ -34,6 +34,8 @@ def captures(pages: DataFrame, date: str = EPOCH) -> DataFrame:
 
     Of rows with equal payloads of at least REVISIT_BYTES the smallest page_id (of rows that repeat it,
     one) is the response and others revisit it. Payloads are staged once, here. A null html is an empty payload; a null url an empty target.
+    Long payloads stay whole, rows that repeat are captures of their own, an empty table gives no capture, and
+    columns other than these three, whatever their names, are not read.
     """
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
@@ -77,7 +79,7 @@ def records(caps: DataFrame) -> DataFrame:
         line("Content-Type: application/http; msgtype=request"), line("Content-Length: ", F.octet_length(ask).cast("string")), F.lit(CRLF), ask,
     )
     null = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    facts = F.concat(line("page-id: ", null("page_id")), line("payload-bytes: ", null("payload_bytes")), line("refers-to-page: ", null("refers_to")))
+    facts = F.concat(line("page-id: ", null("page_id")), line("payload-bytes: ", null("payload_bytes")))
     metadata = F.concat(
         *head(F.lit("metadata"), F.expr(_record_id("metadata", "row"))), line("WARC-Concurrent-To: <", main, ">"),
         line("Content-Type: application/warc-fields"), line("Content-Length: ", F.octet_length(facts).cast("string")), F.lit(CRLF), facts,
@@ -189,16 +191,39 @@ def field(block: str, name: str):
 
 
 def archived(pages: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) per row of ``pages``, as read back from archives."""
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) per row of ``pages``, as read back from archives.
+
+    refers_to is the page of the record that a revisit's WARC-Refers-To names, null if the archives hold none. Nulls, long
+    payloads, repeats, empty tables and clashing names: as in ``captures``.
+    """
     spark = pages.sparkSession
     path = new_path(spark, "archives")
-    write_archives(captures(pages), path)
+    with scope() as made:
+        write_archives(captures(pages), path)
+    delete(spark, made.paths)  # the archives hold all that is read from here on
     caps = transactions(read_archives(spark, path), payloads=False)
     kind = pages.schema["page_id"].dataType.simpleString()
-    return caps.select(
+    new = F.col("type") == "response"
+    light = caps.select(
+        "record_id",
+        F.col("refers_to").alias("ref"),
         field("metadata.payload", "page-id").cast(kind).alias("page_id"),
-        F.when(F.col("type") == "response", F.col("response.payload_bytes")).otherwise(field("metadata.payload", "payload-bytes").cast("long")).alias("payload_bytes"),
-        F.when(F.col("type") == "response", F.col("response.payload_sha256")).otherwise(F.regexp_replace("digest", "^sha256:", "")).alias("payload_digest"),
+        F.when(new, F.col("response.payload_bytes")).otherwise(field("metadata.payload", "payload-bytes").cast("long")).alias("payload_bytes"),
+        F.when(new, F.col("response.payload_sha256")).otherwise(F.regexp_replace("digest", "^sha256:", "")).alias("payload_digest"),
         F.col("type").alias("record_type"),
-        field("metadata.payload", "refers-to-page").cast(kind).alias("refers_to"),
     )
+    return with_referred_pages(stage(light, "captured"))
+
+
+def with_referred_pages(light: DataFrame) -> DataFrame:
+    """``light`` (record_id, ref, page_id, …, record_type; staged) with refers_to, the page of the response whose record id
+    ``ref`` is, in place of record_id and ref."""
+    columns = [c for c in light.columns if c not in ("record_id", "ref")]
+    revisits = light.filter("record_type = 'revisit'")
+    asked = revisits.groupBy("ref").agg(F.count("*").alias("n"))
+    targets = light.filter("record_type <> 'revisit'").select(F.col("record_id").alias("ref"), F.col("page_id").alias("refers_to"))
+    told = stage(targets.join(asked, "ref"), "referred")
+    none = F.lit(None).cast(light.schema["page_id"].dataType).alias("refers_to")
+    found = join_counted(revisits, told, "ref", "n").select(*columns, "refers_to")
+    lost = revisits.join(told.select("ref"), "ref", "left_anti").select(*columns, none)
+    return light.filter("record_type <> 'revisit'").select(*columns, none).unionByName(found).unionByName(lost)

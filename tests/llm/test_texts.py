@@ -479,6 +479,13 @@ def test_warc_round_trip(spark, sf_dir):
     same = [r for r in got if r.payload_bytes == len(big)]
     assert [r.page_id for r in same if r.record_type == "response"] == [3] and all(r.refers_to == 3 for r in same if r.record_type == "revisit")
     assert warc.archived(df.limit(0)).count() == 0
+    more = df.withColumns({c: F.lit("x") for c in ("row", "payload", "first", "n", "value", "ref")})
+    assert sorted(map(str, warc.archived(more).collect())) == sorted(map(str, got))
+
+
+def test_referred_pages(spark):
+    light = spark.createDataFrame([("r1", None, 1, "response"), ("r2", "r1", 2, "revisit"), ("r3", "gone", 3, "revisit"), ("r4", None, 4, "revisit"), ("r5", None, None, "response"), ("r6", "r5", 6, "revisit")], "record_id string, ref string, page_id long, record_type string")
+    assert sorted(map(str, warc.with_referred_pages(light).collect())) == sorted(f"Row(page_id={p}, record_type={t!r}, refers_to={r})" for p, t, r in [(1, "response", None), (2, "revisit", 1), (3, "revisit", None), (4, "revisit", None), (None, "response", None), (6, "revisit", None)])
 
 
 def test_warc_transactions(spark, tmp_path):

@@ -75,7 +75,8 @@ def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomtext.llm.secret_forest import scan, train
 
-    return scan(table(spark, sf_dir, "documents"), train(spark), path="source")
+    docs = table(spark, sf_dir, "documents")
+    return scan(docs, train(spark, docs=docs, path="source"), path="source")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Secret scan: pattern candidates, and a random forest that removes false positives.
 
 Candidates are long runs of key-like characters, values assigned to names such as password or token,
-and private-key blocks. The forest judges each by length, character transitions, dictionary coverage,
-the path it was found under and the neighbouring words. It is trained from labelled findings
-(text, start, end, path, is_secret): given ones, up to TRAIN_ROWS, or a seeded made-up set of
-real-looking keys and of look-alikes (digests of commits and files, identifiers, placeholders, words).
+and private-key blocks. The forest judges each by length, character transitions, coverage by a dictionary (a fixed
+list and the corpus' own most frequent words), the path it was found under and the neighbouring words. It is trained
+from labelled findings (text, start, end, path, is_secret): given ones, up to TRAIN_ROWS; or, where nobody has
+labelled any, a seeded made-up set of real-looking keys and of look-alikes (digests of commits and files,
+identifiers, placeholders, words) and the corpus' own candidates outside the held-out rows, up to CORPUS_ROWS, with
+labels by rule where the context leaves no doubt (``plain_label``).
 """
 
 from __future__ import annotations
@@ -12,15 +14,21 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bound on labelled findings that the forest is trained on.
-TRAIN_ROWS = 20_000
+from loomtext.llm.held import lean
+from loomtext.llm.langid import held_out
+
+#: Bounds on labelled findings that the forest is trained on, and on those of them that the corpus gives.
+TRAIN_ROWS, CORPUS_ROWS = 20_000, 4_000
+#: Bound on the corpus' words in the dictionary, in how many documents each must be, and their letters.
+CORPUS_WORDS, WORD_DOCS, WORD_LETTERS = 20_000, 5, (4, 20)
 TREES, DEPTH, LEAF = 40, 9, 3
 
 _RUN = re.compile(r"[A-Za-z0-9+/_\-=.]{16,}")
@@ -52,8 +60,39 @@ WORDS = (
     "number array token secret password key public private static final return update delete create insert select where order group table column row field schema query "
     "image button style color width height margin padding border content container wrapper header footer menu link text label input form example sample dummy your here"
 ).split()
-_DICTIONARY = re.compile("|".join(sorted((w for w in WORDS if len(w) > 3), key=len, reverse=True)))
-_BLANK = "                "
+
+
+class Dictionary:
+    """Words of four letters or more, in lower case, and how much of a string they cover."""
+
+    def __init__(self, words: Iterable[str] = ()) -> None:
+        self.words = sorted({w for w in (*WORDS, *words) if len(w) > 3})
+        self._found = None
+
+    def __getstate__(self) -> dict:
+        return {"words": self.words, "_found": None}
+
+    def share(self, low: str) -> float:
+        """The share of the code points of a lower-case string that are in some word."""
+        if self._found is None:
+            self._found = ahocorasick.Automaton()
+            for w in self.words:
+                self._found.add_word(w, len(w))
+            self._found.make_automaton()
+        covered = till = 0
+        # matches come by their ends; of those with one end the longest reaches furthest back
+        ends: dict[int, int] = {}
+        for end, n in self._found.iter(low):
+            ends[end] = max(n, ends.get(end, 0))
+        spans = sorted((end + 1 - n, end + 1) for end, n in ends.items())
+        for a, b in spans:
+            if b > till:
+                covered += b - max(a, till)
+                till = b
+        return covered / max(1, len(low))
+
+
+_PLAIN_WORDS = Dictionary()
 
 
 def key_blocks(text: str) -> list[tuple[int, int, str]]:
@@ -144,7 +183,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def describe(text: str, start: int, end: int, path: str | None) -> list[float]:
+def describe(text: str, start: int, end: int, path: str | None, words: Dictionary = _PLAIN_WORDS) -> list[float]:
     """The forest's features of a candidate."""
     s = text[start:end]
     n = len(s)
@@ -155,7 +194,7 @@ def describe(text: str, start: int, end: int, path: str | None) -> list[float]:
     _, counts = np.unique(kinds, return_counts=True)
     p = counts / max(1, n)
     low = s.lower()
-    covered = sum(m.end() - m.start() for m in _DICTIONARY.finditer(low)) / max(1, n)
+    covered = words.share(low)
     vowels = sum(map(low.count, "aeiou")) / max(1, share[1] * n + share[2] * n)
     before, after = text[max(0, start - 48) : start], text[end : end + 32]
     path = path or ""
@@ -168,6 +207,57 @@ def describe(text: str, start: int, end: int, path: str | None) -> list[float]:
     ]
 
 
+def plain_label(text: str, start: int, end: int, rule: str) -> int | None:
+    """1 for key blocks, issued keys and key-like values that are assigned to a secret's name; 0 for placeholders, for UUIDs,
+    and for runs that nothing assigns and no secret's name precedes; None where the context leaves a doubt."""
+    value, before = text[start:end], text[max(0, start - 48) : start]
+    if _FAKE.search(value) or _UUID.match(value):
+        return 0
+    if rule not in ("run", "assigned"):
+        return 1
+    mixed = any(map(str.isdigit, value)) and any(map(str.isalpha, value))
+    if rule == "assigned":
+        return 1 if len(value) >= 16 and mixed and len(set(value)) >= 10 else None
+    return None if _NEAR_GOOD.search(before) or before.rstrip(" \"'")[-1:] in ("=", ":") else 0
+
+
+def frequent_words(docs: DataFrame, most: int = CORPUS_WORDS) -> list[str]:
+    """The ``most`` words of ``docs`` that are in the most documents (WORD_DOCS at least): counted over all of them."""
+    low, high = WORD_LETTERS
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(rf"(?<!\p{{L}})\p{{L}}{{{low},{high}}}(?!\p{{L}})"), F.lit(0)))
+    counts = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= WORD_DOCS)
+    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
+def corpus_findings(docs: DataFrame, words: Dictionary, path: str = "source", rows: int = CORPUS_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of up to ``rows`` of the candidates that have a plain label, those with the smallest hashes."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)  # CORPUS_WORDS words at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hs, ys, xs = [], [], []
+            for t, p in zip(b.column(0), b.column(1), strict=True):
+                text = t.as_py()
+                for s, e, rule in candidates(text):
+                    y = plain_label(text, s, e, rule)
+                    if y is not None:
+                        digest = hashlib.sha256(text[max(0, s - 48) : e + 32].encode("utf-8", "surrogatepass")).digest()
+                        hs.append(int.from_bytes(digest[:8], "little", signed=True))
+                        ys.append(y)
+                        xs.append(describe(text, s, e, p.as_py(), shared.value))
+            if hs:
+                yield pa.record_batch([pa.array(hs, pa.int64()), pa.array(ys, pa.int32()), pa.array(xs, pa.list_(pa.float64()))], ["h", "y", "x"])
+
+    given = docs.filter("text is not null").select("text", _path(docs, path))
+    found = given.mapInArrow(lean(run), "h long, y int, x array<double>").dropDuplicates(["h"]).orderBy("h").limit(rows).toArrow()
+    x = [r.as_py() for r in found.column("x")]
+    return np.array(x).reshape(len(x), -1), found.column("y").to_numpy().astype(float)
+
+
+def _path(docs: DataFrame, path: str):
+    return (F.col(f"`{path}`").cast("string") if path in docs.columns else F.lit(None).cast("string")).alias("path")
+
+
 def made_findings(rows: int = 3000, seed: int = 9) -> list[tuple[str, int, int, str, int]]:
     """Labelled findings from a seeded generator: (text, start, end, path, is_secret)."""
     r = random.Random(seed)
@@ -210,6 +300,7 @@ class Forest:
 
     def __init__(self, trees: list[list[tuple]]) -> None:
         self.trees = [tuple(map(np.array, zip(*t, strict=True))) for t in trees]
+        self.words = _PLAIN_WORDS
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros(len(x))
@@ -264,16 +355,24 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = TREES, seed: int = 7) -> For
     return Forest([tree() for _ in range(trees)])
 
 
-def train(spark: SparkSession | None = None, labelled: DataFrame | None = None, rows: int = TRAIN_ROWS) -> Forest:
+def train(spark: SparkSession | None = None, labelled: DataFrame | None = None, rows: int = TRAIN_ROWS, docs: DataFrame | None = None, path: str = "source") -> Forest:
     """A forest from ``labelled`` (text, start, end, path, is_secret), of which the ``rows`` with the smallest hashes
-    are used; from ``made_findings`` where none are given or they are all of one kind."""
-    found = made_findings()
+    are used; where none are given or they are all of one kind, from ``made_findings`` and what ``docs`` (doc_id, text
+    and a column of paths) gives outside its held-out rows. The dictionary has the frequent words of ``docs``."""
+    words = Dictionary(frequent_words(docs)) if docs is not None else _PLAIN_WORDS
+    given = []
     if labelled is not None:
         few = labelled.filter("text is not null and is_secret is not null").orderBy(F.xxhash64("text", "start", "end"), "text", "start", "end").limit(rows)
         given = [(r.text, r.start, r.end, r.path, int(r.is_secret)) for r in few.select("text", "start", "end", "path", "is_secret").collect()]
-        found = given if len({g[4] for g in given}) == 2 else found
-    x = np.array([describe(*f[:4]) for f in found])
-    return grow(x, np.array([f[4] for f in found], float))
+    found = given if len({g[4] for g in given}) == 2 else made_findings()
+    x, y = np.array([describe(*f[:4], words) for f in found]), np.array([f[4] for f in found], float)
+    if found is not given and docs is not None:
+        more, labels = corpus_findings(docs.filter(~held_out()), words, path)
+        if len(more):
+            x, y = np.concatenate([x, more]), np.concatenate([y, labels])
+    forest = grow(x, y)
+    forest.words = words
+    return forest
 
 
 def scan(docs: DataFrame, forest: Forest, path: str = "source", least: float = 0.5) -> DataFrame:
@@ -281,8 +380,10 @@ def scan(docs: DataFrame, forest: Forest, path: str = "source", least: float = 0
 
     The secret itself is not returned. Null and empty texts have no candidate; a null path counts as
     empty; rows that repeat give their findings each. Of overlapping candidates a rule's beats a plain run.
+    Texts of any length are read whole; an empty table gives an empty one; columns other than doc_id, text and
+    the path, whatever their names, are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(forest)  # TREES trees of at most 2**(DEPTH + 1) nodes
+    shared = docs.sparkSession.sparkContext.broadcast(forest)  # TREES trees of at most 2**(DEPTH + 1) nodes, CORPUS_WORDS words
     names = ["doc_id", "start", "end", "rule", "secret_sha256", "probability", "is_secret"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,13 +393,12 @@ def scan(docs: DataFrame, forest: Forest, path: str = "source", least: float = 0
                 text = t.as_py() or ""
                 for s, e, rule in candidates(text):
                     rows.append((k, s, e, rule, hashlib.sha256(text[s:e].encode("utf-8", "surrogatepass")).hexdigest()))
-                    x.append(describe(text, s, e, p.as_py()))
+                    x.append(describe(text, s, e, p.as_py(), shared.value.words))
             if rows:
                 c = list(zip(*rows, strict=True))
                 q = shared.value.probability(np.array(x))
                 yield pa.record_batch([b.column(0).take(pa.array(c[0])), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.string()), pa.array(c[4], pa.string()), pa.array(q, pa.float64()), pa.array(q >= least)], names)
 
-    where = F.col(path).cast("string") if path in docs.columns else F.lit(None).cast("string")
-    rows = docs.select("doc_id", "text", where.alias("path"))
+    rows = docs.select("doc_id", "text", _path(docs, path))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, start long, end long, rule string, secret_sha256 string, probability double, is_secret boolean")
+    return rows.mapInArrow(lean(run), f"doc_id {kind}, start long, end long, rule string, secret_sha256 string, probability double, is_secret boolean")

@@ -433,6 +433,26 @@ def test_secret_scan(spark, docs):
     assert secret_forest.scan(df.limit(0), secret_forest.train(spark)).count() == 0
 
 
+def test_planted_secrets_of_held_out_documents(spark, sf_dir):
+    docs = spark.read.parquet(sf_dir.rsplit("/", 1)[0] + "/sf0.1/documents.parquet").withColumn("path", F.lit("x")).withColumn("h", F.lit(0))
+    forest = secret_forest.train(spark, docs=docs)
+    held = docs.filter(langid.held_out())
+    got = secret_forest.scan(held, forest).collect()
+    planted = {(r.doc_id, m.start(1), m.end(1)) for r in held.collect() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r.text)}
+    found = {(r.doc_id, r.start, r.end) for r in got if r.is_secret}
+    assert len(planted) > 30 and len(found & planted) / len(planted) > 0.97 and len(found & planted) / len(found) > 0.97 and len(got) > len(found)
+    assert len(forest.words.words) > 1000
+
+
+def test_dictionary_share_and_labels():
+    words = secret_forest.Dictionary(["alpha", "phant"])
+    assert words.share("xalphantx") == 7 / 9 and words.share("") == 0 and words.share("userdata") == 1 and secret_forest.Dictionary().share("zzzz") == 0
+    key = "9f3ab1c4d5e6f708192a3b4c5d6e7f8091a2b3c4"
+    label = lambda t, v, rule: secret_forest.plain_label(t, t.index(v), t.index(v) + len(v), rule)
+    assert label(f'token = "{key}"', key, "assigned") == 1 and label(f"commit {key}", key, "run") == 0 and label(f"the secret is {key}", key, "run") is None
+    assert label("password: your_password_here", "your_password_here", "assigned") == 0 and label("pwd = abc123", "abc123", "assigned") is None
+
+
 def test_values_are_taken_to_their_end():
     value = "aB3-" * 75
     for text, at in ((f'token = "{value}"', 9), (f"token: {value}!{value} end", 7)):

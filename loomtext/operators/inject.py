@@ -7,7 +7,9 @@ into its tree from the last offset to the first. Nothing is rewritten in place:
 from __future__ import annotations
 
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,45 +45,112 @@ def _local(tag: str, root: ET.Element) -> str:
     return root.tag[: root.tag.index("}") + 1] + tag if "}" in root.tag else tag
 
 
+def _texts(root: ET.Element) -> Callable[[ET.Element, bool], list[tuple[ET.Element, str]]]:
+    """For an element's own text, or its tail: the places that hold it, (element, "text" or "tail"). Comments and processing
+    instructions aren't nodes, so a text goes on in the tails of those that follow."""
+    after: dict[ET.Element, ET.Element] = {}
+    first: dict[ET.Element, ET.Element] = {}
+    for p in root.iter():
+        children = list(p)
+        if children:
+            first[p] = children[0]
+        after.update(zip(children, children[1:], strict=False))
+
+    def places(el: ET.Element, tail: bool) -> list[tuple[ET.Element, str]]:
+        out = [(el, "tail" if tail else "text")]
+        then = (after if tail else first).get(el)
+        while then is not None and not isinstance(then.tag, str):
+            out.append((then, "tail"))
+            then = after.get(then)
+        return out
+
+    return places
+
+
 def splice(root: ET.Element, tokens: list[dict], authority: str = "authority") -> tuple[int, int]:
     """Wraps the tokens in ``root``; returns how many were tagged and how many skipped. Places refer to the tree as it is
-    on entry: elements are looked up first, then spliced from the last place to the first."""
+    on entry. Tokens come last first; each text is cut once, at the places of all its tokens."""
     ident = "{http://www.w3.org/XML/1998/namespace}id"
     nodes = {p.get(ident): [el for el, *_ in walk(p)] for p in root.iter() if isinstance(p.tag, str) and p.tag.rsplit("}", 1)[-1] == "p" and p.get(ident)}
-    parents = {c: p for p in root.iter() for c in p}
+    places = _texts(root)
+    whole: dict[tuple[ET.Element, bool], tuple[list[tuple[ET.Element, str]], str, list[int]]] = {}
+    taken: dict[tuple[ET.Element, bool], list[tuple[int, int, ET.Element]]] = {}
     done = skipped = 0
     for t in tokens:
         below = nodes.get(t["para_id"], [])
         el = below[t["node_idx"]] if t["node_idx"] < len(below) else None
-        text = (el.tail if t["is_tail"] else el.text) if el is not None else None
-        start, word = t["char_start"], t["surface"]
-        if text and text[start : start + len(word)] != word:
-            at = text.find(word, max(0, start - BACK))
+        key = (el, bool(t["is_tail"]))
+        if el is not None and key not in whole:
+            held = places(*key)
+            parts = [getattr(e, kind) or "" for e, kind in held]
+            whole[key] = (held, "".join(parts), [0, *accumulate(map(len, parts))])
+            taken[key] = []
+        _, text, edges = whole.get(key, ([], "", [0]))
+        word, start = t["surface"], t["char_start"]
+        limit = taken[key][-1][0] if taken.get(key) else len(text)  # what follows is tagged already
+        if not (start + len(word) <= limit and text.startswith(word, start)):
+            at = text.find(word, max(0, start - BACK), limit)
             start = at if at >= 0 and abs(at - start) <= REACH else -1
-        if not text or start < 0:
+        if start < 0 or not word or any(start < e < start + len(word) for e in edges):
             skipped += 1
             continue
         if t["match_tier"] == authority:
             new = ET.Element(_local("placeName" if "place" in (t["match_source"] or "") else "persName", root), {"ref": "#" + t["match_id"]})
         else:
             new = ET.Element(_local("w", root), {"lemmaRef": "#" + t["match_id"]})
-        new.text, new.tail = word, text[start + len(word) :] or None
-        if t["is_tail"]:
-            el.tail = text[:start] or None
-            parents[el].insert(list(parents[el]).index(el) + 1, new)
-            parents[new] = parents[el]
-        else:
-            el.text = text[:start] or None
-            el.insert(0, new)
-            parents[new] = el
+        new.text = word
+        taken[key].append((start, start + len(word), new))
         done += 1
+    behind: dict[ET.Element, list[ET.Element]] = {}
+    before: dict[ET.Element, list[ET.Element]] = {}
+    for key, cuts in taken.items():
+        held, text, edges = whole[key]
+        cuts = cuts[::-1]
+        for (holder, kind), low, high in zip(held, edges, edges[1:], strict=False):
+            inside = [c for c in cuts if low <= c[0] < high]
+            if inside:
+                setattr(holder, kind, text[low : inside[0][0]] or None)
+                for (_, end, new), (then, *_) in zip(inside, [*inside[1:], (high, high, None)], strict=True):
+                    new.tail = text[end:then] or None
+                (before if kind == "text" else behind)[holder] = [c[2] for c in inside]
+    for p in [*root.iter()] if done else []:
+        children = list(p)
+        if p in before or any(c in behind for c in children):
+            p[:] = [*before.get(p, ()), *(x for c in children for x in (c, *behind.get(c, ())))]
     return done, skipped
 
 
-def inject(docs: DataFrame, tokens: DataFrame) -> DataFrame:
+def _parsed(text: str) -> tuple[str, ET.Element, str]:
+    """What stands before the root element, the root with comments and processing instructions in it, and what follows."""
+    raw = text.encode("utf-8", "surrogatepass")
+    root = ET.fromstring(raw, ET.XMLParser(target=ET.TreeBuilder(insert_comments=True, insert_pis=True)))
+    ends: list[int] = []
+    depth = 0
+    p = expat.ParserCreate()
+
+    def start(*_) -> None:
+        nonlocal depth
+        if not depth:
+            ends.append(p.CurrentByteIndex)
+        depth += 1
+
+    def end(*_) -> None:
+        nonlocal depth
+        depth -= 1
+        if not depth:
+            ends.append(p.CurrentByteIndex)
+
+    p.StartElementHandler, p.EndElementHandler = start, end
+    p.Parse(raw, True)
+    close = raw.index(b">", ends[1]) + 1 if raw[ends[1] : ends[1] + 2] == b"</" else len(raw)
+    return raw[: ends[0]].decode("utf-8", "surrogatepass"), root, raw[close:].decode("utf-8", "surrogatepass")
+
+
+def inject(docs: DataFrame, tokens: DataFrame, every: bool = False) -> DataFrame:
     """(doc, text, tagged, skipped, introduced, written) per document of ``docs`` (doc, text) with tokens (as of ``in_order``, by text_id).
 
-    The new text stands only if tagging introduced no violation that wasn't there before; else the old one does.
+    The new text stands only if tagging introduced no violation that wasn't there before; else the old one does. Comments and
+    processing instructions stay, those around the root too. ``every`` also gives documents without tokens, as they are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,23 +159,27 @@ def inject(docs: DataFrame, tokens: DataFrame) -> DataFrame:
         for b in batches:
             rows = []
             for doc, text, tk in zip(*(b.column(k) for k in range(3)), strict=True):
-                old = text.as_py() or ""
+                old, some = text.as_py() or "", tk.as_py() or []
+                if not some:
+                    rows.append((doc.as_py(), old, 0, 0, [], False))
+                    continue
                 try:
-                    root = ET.fromstring(old.encode("utf-8"))
-                except ET.ParseError:
-                    rows.append((doc.as_py(), old, 0, len(tk.as_py() or []), ["not well-formed"], False))
+                    lead, root, rest = _parsed(old)
+                except (ET.ParseError, expat.ExpatError):
+                    rows.append((doc.as_py(), old, 0, len(some), ["not well-formed"], False))
                     continue
                 if "}" in root.tag:
                     ET.register_namespace("", root.tag[1 : root.tag.index("}")])
-                before = tag_violations(root)
-                done, skipped = splice(root, tk.as_py() or [])
+                violations = tag_violations(root)
+                done, skipped = splice(root, some)
                 after = tag_violations(root)
-                worse = [k for k in after if after[k] > before[k]]
+                worse = [k for k in after if after[k] > violations[k]]
                 stands = bool(done) and not worse
-                rows.append((doc.as_py(), ET.tostring(root, encoding="unicode") if stands else old, done, skipped, worse, stands))
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                rows.append((doc.as_py(), lead + ET.tostring(root, encoding="unicode") + rest if stands else old, done, skipped, worse, stands))
+            if rows:
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    both = docs.select(F.col("doc").cast("string"), "text").join(tokens.select(F.col("text_id").alias("doc"), "tokens"), "doc")
+    both = docs.select(F.col("doc").cast("string"), "text").join(tokens.select(F.col("text_id").alias("doc"), "tokens"), "doc", "left" if every else "inner")
     return both.mapInArrow(run, "doc string, text string, tagged int, skipped int, introduced array<string>, written boolean")
 
 
@@ -160,8 +233,8 @@ def tag_surfaces(docs: DataFrame, table: DataFrame, skipped: list[str] = SCOPED_
                 docs_.append(doc.as_py())
                 old = text.as_py() or ""
                 try:
-                    root = ET.fromstring(old.encode("utf-8"))
-                except ET.ParseError:
+                    lead, root, rest = _parsed(old)
+                except (ET.ParseError, expat.ExpatError):
                     texts_.append(old)
                     counts.append(0)
                     continue
@@ -175,15 +248,14 @@ def tag_surfaces(docs: DataFrame, table: DataFrame, skipped: list[str] = SCOPED_
                         continue
                     children = list(el)
                     el.text, new = cuts(el.text, known, root)
-                    for c in reversed(children):
+                    for c in children:
                         c.tail, after = cuts(c.tail, known, root)
-                        at = list(el).index(c) + 1
-                        el[at:at] = after
-                        n += len(after)
-                    el[0:0] = new
-                    n += len(new)
+                        new += [c, *after]
+                    if len(new) > len(children):
+                        n += len(new) - len(children)
+                        el[:] = new
                     work += children
-                texts_.append(ET.tostring(root, encoding="unicode") if n else old)
+                texts_.append(lead + ET.tostring(root, encoding="unicode") + rest if n else old)
                 counts.append(n)
             yield pa.record_batch([pa.array(docs_, pa.string()), pa.array(texts_, pa.string()), pa.array(counts, pa.int32())], ["doc", "text", "tagged"])
 

@@ -122,6 +122,28 @@ def test_injection(docs):
     assert (total.documents, total.tagged, total.held_back) == (1, 4, 0)
 
 
+def test_injection_keeps_comments_and_instructions(spark):
+    text = f'<?xml version="1.0"?>\n<?xml-model href="a"?><!-- lead --><TEI {TEI} xml:id="c1"><p xml:id="p1">და<!-- x --> ბოლო <?y z?>და<seg/>კაცი და</p><p xml:id="p2"/></TEI><!-- end -->\n'
+    d = spark.createDataFrame([("c1", text), ("c2", "<a><!-- b --></a>")], "doc string, text string")
+    found = tokens.tokenise(tokens.text_nodes(d)).filter("surface in ('და', 'ბოლო')")
+    hit = found.select("*", F.lit("l").alias("match_id"), F.lit("primary").alias("match_tier"), F.lit("d").alias("match_source"), F.lit("exact").alias("confidence"))
+    out = {r.doc: r for r in inject.inject(d, inject.in_order(hit), every=True).collect()}
+    w = lambda s: f'<w lemmaRef="#l">{s}</w>'
+    assert out["c1"].text == text.replace("<p xml:id=\"p2\"/>", "<p xml:id=\"p2\" />").replace("<seg/>", "<seg />").replace("და", w("და")).replace("ბოლო", w("ბოლო"))
+    assert (out["c1"].tagged, out["c1"].skipped) == (4, 0) and (out["c2"].text, out["c2"].written) == ("<a><!-- b --></a>", False)
+    table = spark.createDataFrame([("c1", "და", "l")], "text_id string, surface string, id string")
+    got = {r.doc: r for r in inject.tag_surfaces(d, table).collect()}
+    assert got["c1"].tagged == 3 and got["c1"].text.startswith('<?xml version="1.0"?>\n<?xml-model href="a"?><!-- lead --><TEI') and got["c1"].text.endswith("</TEI><!-- end -->\n") and "<!-- x -->" in got["c1"].text
+
+
+def test_a_long_paragraph_is_spliced_in_order(spark):
+    words = [f"ა{'ბ' * (k % 5)}" for k in range(6000)]
+    d = spark.createDataFrame([("l", f'<TEI {TEI} xml:id="l"><p xml:id="p">{" ".join(words)}</p></TEI>')], "doc string, text string")
+    hit = tokens.tokenise(tokens.text_nodes(d)).select("*", F.lit("i").alias("match_id"), F.lit("primary").alias("match_tier"), F.lit("d").alias("match_source"), F.lit("exact").alias("confidence"))
+    r = inject.inject(d, inject.in_order(hit)).first()
+    assert r.tagged == 6000 and " ".join(f'<w lemmaRef="#i">{w}</w>' for w in words) in r.text
+
+
 def test_surface_tagging(docs, spark):
     table = spark.createDataFrame([("t1", "კაცი", "lex-k"), ("t1", "ბოლო", "lex-b"), ("t1", "შენიშვნა", "lex-n")], "text_id string, surface string, id string")
     out = {r.doc: r for r in inject.tag_surfaces(docs, table).collect()}

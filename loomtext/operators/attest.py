@@ -105,7 +105,7 @@ def capped(found: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
 def per_text(found: DataFrame, key: str) -> DataFrame:
     """Attestations by key and text, in text order, with the number of texts (their titles compared without case)."""
     one = found.groupBy(key, "text_id").agg(F.count("*").alias("n"))
-    return one.withColumn("texts", F.count("*").over(Window.partitionBy(key))).orderBy(key, "text_id")
+    return one.join(one.groupBy(key).agg(F.count("*").alias("texts")), key).orderBy(key, "text_id")
 
 
 def with_fallback(entries: DataFrame, own: DataFrame, other: DataFrame, key: str = "xml_id", link: str = "lex_id") -> DataFrame:

@@ -15,6 +15,11 @@ def dangling_refs(spark, d):
     return validate.dangling(table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders"), "c_custkey", "o_custkey")
 
 
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def dangling_ids(spark, d):
+    return validate.dangling(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id", "doc_id")
+
+
 @query("""SELECT n_nationkey, n_regionkey, lag(n_nationkey) OVER w AS prev_id, lead(n_nationkey) OVER w AS next_id FROM nation WINDOW w AS (PARTITION BY n_regionkey ORDER BY n_name)""")
 def prev_next(spark, d):
     return catalogue.neighbours(table(spark, d, "nation"), "n_name", "n_nationkey", "n_regionkey").select("n_nationkey", "n_regionkey", "prev_id", "next_id")
@@ -172,10 +177,7 @@ def html_nodes(spark, d):
 @query()
 def html_plaintext(spark, d):
     nodes = markup.node_table(_pages(spark, d), html_pages=True)
-    one = nodes.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("node", "last", "text", "tail"))).alias("ns"))
-    # a document's text in reading order: each node's text at its start, its tail after its last descendant
-    parts = F.expr("flatten(transform(ns, n -> array(struct(n.node as at, 0 as z, 0 as d, coalesce(n.text, '') as s), struct(n.last as at, 1 as z, -n.node as d, coalesce(n.tail, '') as s))))")
-    return one.select("doc", F.array_join(F.transform(F.array_sort(parts), lambda x: x["s"]), "").alias("plain"))
+    return markup.subtree_text(nodes, ["#document"]).select("doc", F.col("full").alias("plain"))
 
 
 @query()

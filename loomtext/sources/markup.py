@@ -127,14 +127,23 @@ def well_formed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc").cast("string"), "text").mapInArrow(run, "doc string, ok boolean")
 
 
-def subtree_text(nodes: DataFrame) -> DataFrame:
-    """(doc, node, full): all text below each node, its own included, by interval containment inside a document."""
-    one = nodes.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("node", "last", "text", "tail"))).alias("ns"))
-    inner = F.expr(
-        "transform(ns, n -> struct(n.node as node, array_join(flatten(transform(filter(ns, m -> m.node >= n.node and m.node <= n.last), "
-        "m -> array(coalesce(m.text, ''), ''))), '') as full))"
+def subtree_text(nodes: DataFrame, tags: list[str] | None = None) -> DataFrame:
+    """(doc, node, full): all text below each node (or each of ``tags``) in reading order, its own included, its tail not.
+
+    A document's texts are laid out once, each node's text at its start and its tail after its last descendant; what is
+    below a node is the stretch between its own two places.
+    """
+    one = nodes.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("node", "last", "tag", "text", "tail"))).alias("ns"))  # a document's own nodes
+    placed = F.expr(
+        "array_sort(flatten(transform(ns, n -> array(struct(n.node as at, 0 as z, 0 as d, n.node as id, coalesce(n.text, '') as s), "
+        "struct(n.last as at, 1 as z, -n.node as d, n.node as id, coalesce(n.tail, '') as s)))))"
     )
-    return one.select("doc", F.explode(inner).alias("x")).select("doc", "x.node", "x.full")
+    one = one.withColumn("ps", placed).withColumn("strings", F.col("ps.s")).withColumn("ends", F.expr("array_sort(transform(ps, (p, i) -> struct(p.id as id, p.z as z, i as i)))"))
+    spans = "transform(ns, (n, j) -> struct(n.node as node, n.tag as tag, ends[2 * j].i as a, ends[2 * j + 1].i as b))"
+    if tags is not None:
+        spans = f"filter({spans}, x -> x.tag in ({', '.join(map(repr, tags))}))"
+    out = one.withColumn("spans", F.expr(spans)).select("doc", F.explode(F.expr("transform(spans, x -> struct(x.node as node, array_join(slice(strings, x.a + 1, x.b - x.a), '') as full))")).alias("x"))
+    return out.select("doc", "x.node", "x.full")
 
 
 # --- Rows of one element with declared fields ---------------------------------------------------

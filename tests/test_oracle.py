@@ -41,6 +41,7 @@ def duck(sf_dir):
 @pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
 def test_same_rows_as_sql(spark, duck, sf_dir, name):
     got = catalogue.queries()[name](spark, sf_dir).toPandas()
+    assert len(got) or name == "dangling_refs"  # every customer has an order
     assert rows(got) == rows(duck.execute(catalogue.oracle_sql()[name]).df())
 
 

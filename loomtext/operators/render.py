@@ -256,60 +256,76 @@ ARTICLE_RULES: dict[str, Rule] = {
 }
 
 
-def _items(el: ET.Element, page: Page) -> str:
-    head, rows = "", ""
+#: What a child is dressed in, by where it stands; ``*`` is for children that are not named.
+DRESS = {
+    "list": {"head": ('<p class="list-head">', "</p>"), "label": ('<li class="item-label">', "</li>"), "pb": ('<li class="li-pb">', "</li>"), "*": ("<li>", "</li>")},
+    "item": {"p": ('<p class="item-p">', "</p>"), "label": ('<span class="item-label">', "</span>")},
+    "quote": {"p": ('<p class="quote-p">', "</p>"), "bibl": ('<span class="quote-bibl">', "</span>")},
+}
+#: The kind of a division's block and what it is dressed in, by tag, or by tag and rend.
+BLOCKS = {
+    "p.label": ("label", '<p class="label-p">', "</p>"), "head": ("label", '<p class="label-p">', "</p>"), "quote": ("quote", "", ""), "lg": ("quote", '<blockquote class="block-quote">', "</blockquote>"),
+    "list": ("list", "", ""), "table": ("table", "", ""), "pb": ("pb", '<div class="pb-block">', "</div>"), "closer": ("closer", '<div class="closer">', "</div>"), "gap": ("gap", '<p class="gap-block">', "</p>"),
+    "milestone": ("milestone", "", ""), "milestone.asterism": ("milestone", '<p class="asterism" aria-hidden="true">*&#8195;*&#8195;*', "</p>"),
+}
+#: Children that end the paragraph which a quotation's own text opens, and those that make an item a sequence of blocks.
+QUOTE_BREAKS, ITEM_BLOCKS = {"lg", "p", "bibl", "list"}, {"p", "label", "list"}
+
+
+def _bare(el: ET.Element, page: Page, dressed: bool) -> str:
+    """What a child is without its dress: some tags have a rendering of their own, else the content of what is dressed and
+    the rule's result for what isn't."""
+    alone = {"list": _list, "item": _item, "pb": _marker, "table": Page.element, "lg": Page.element, "gap": Page.element, "quote": _quotation, "milestone": lambda el, page: ""}
+    if dressed and el.tag in alone:
+        render = alone[el.tag]
+        return page.element(el) if render is Page.element else render(el, page)
+    if el.tag == "list":
+        return _list(el, page)
+    return page.content(el) if dressed else page.element(el)
+
+
+def _pieces(el: ET.Element, page: Page, texts: bool = True) -> Iterator[tuple[str, str]]:
+    """(tag, html) of an element's children in order, dressed as their place asks; between them, under an empty tag, the
+    texts that aren't blank."""
+    dress = DRESS[el.tag]
+
+    def said(s: str | None) -> Iterator[tuple[str, str]]:
+        if texts and s and s.strip():
+            yield "", page.escape(s)
+
+    yield from said(el.text)
     for c in el:
-        if c.tag == "head":
-            head += f'<p class="list-head">{page.content(c)}</p>'
-        elif c.tag == "label":
-            rows += f'<li class="item-label">{page.content(c)}</li>'
-        elif c.tag == "pb":
-            rows += f'<li class="li-pb">{_marker(c, page)}</li>'
-        else:
-            rows += f"<li>{_item(c, page) if c.tag == 'item' else page.element(c)}</li>"
-    return f'<div class="art-list-wrap">{head}<ul class="art-list">{rows}</ul></div>'
+        before, after = dress.get(c.tag) or dress.get("*", ("", ""))
+        yield c.tag, before + _bare(c, page, c.tag in dress or (c.tag == "item" and "*" in dress)) + after
+        yield from said(c.tail)
+
+
+def _list(el: ET.Element, page: Page) -> str:
+    parts = [*_pieces(el, page, texts=False)]
+    pick = lambda heads: "".join(h for tag, h in parts if (tag == "head") == heads)
+    return f'<div class="art-list-wrap">{pick(True)}<ul class="art-list">{pick(False)}</ul></div>'
 
 
 def _item(el: ET.Element, page: Page) -> str:
-    if not any(c.tag in ("p", "label", "list") for c in el):
-        return page.content(el)
-    inside = {"p": lambda c: f'<p class="item-p">{page.content(c)}</p>', "label": lambda c: f'<span class="item-label">{page.content(c)}</span>', "list": lambda c: _items(c, page)}
-    said = lambda s: page.escape(s) if s and s.strip() else ""
-    return said(el.text) + "".join(inside.get(c.tag, page.element)(c) + said(c.tail) for c in el)
+    in_blocks = any(c.tag in ITEM_BLOCKS for c in el)
+    return "".join(h for _, h in _pieces(el, page)) if in_blocks else page.content(el)
 
 
-def _blockquote(el: ET.Element, page: Page) -> str:
-    out, opened = "", bool(el.text and el.text.strip())
-    if opened:
-        out = f'<p class="quote-p">{page.escape(el.text)}'
-    for c in el:
-        if opened and c.tag in ("lg", "p", "bibl", "list"):
-            out, opened = out + "</p>", False
-        if c.tag == "p":
-            out += f'<p class="quote-p">{page.content(c)}</p>'
-        elif c.tag == "bibl":
-            out += f'<span class="quote-bibl">{page.content(c)}</span>'
-        else:
-            out += _items(c, page) if c.tag == "list" else page.element(c)
-        out += page.escape(c.tail) if c.tail and c.tail.strip() else ""
-    return f'<blockquote class="block-quote">{out}{"</p>" if opened else ""}</blockquote>'
+def _quotation(el: ET.Element, page: Page) -> str:
+    parts = [*_pieces(el, page)]
+    lead = next((k for k, (tag, _) in enumerate(parts) if tag in QUOTE_BREAKS), len(parts)) if (el.text or "").strip() else 0
+    htmls = [h for _, h in parts]
+    opening = DRESS["quote"]["p"][0] + "".join(htmls[:lead]) + DRESS["quote"]["p"][1] if lead else ""
+    return f'<blockquote class="block-quote">{opening}{"".join(htmls[lead:])}</blockquote>'
 
 
 def _block(el: ET.Element, page: Page) -> tuple[str, str]:
-    """(kind, html) of a child of a division."""
-    if el.tag == "p":
-        return ("label", f'<p class="label-p">{page.content(el)}</p>') if el.get("rend") == "label" else ("p", page.content(el))
-    if el.tag == "head":
-        return "label", f'<p class="label-p">{page.content(el)}</p>'
-    if el.tag == "milestone":
-        return "milestone", '<p class="asterism" aria-hidden="true">*&#8195;*&#8195;*</p>' if el.get("rend") == "asterism" else ""
-    made = {
-        "quote": lambda: _blockquote(el, page), "lg": lambda: f'<blockquote class="block-quote">{page.element(el)}</blockquote>', "list": lambda: _items(el, page), "table": lambda: page.element(el),
-        "pb": lambda: f'<div class="pb-block">{_marker(el, page)}</div>', "closer": lambda: f'<div class="closer">{page.content(el)}</div>', "gap": lambda: f'<p class="gap-block">{page.element(el)}</p>',
-    }.get(el.tag)
-    if made:
-        return {"lg": "quote"}.get(el.tag, el.tag), made()
-    return "p", page.element(el) if el.tag in ("note", "ref", "supplied") else page.content(el)
+    """(kind, html) of a child of a division; what is not named is a paragraph."""
+    named = BLOCKS.get(f"{el.tag}.{el.get('rend')}") or BLOCKS.get(el.tag)
+    if named is None:
+        return "p", page.element(el) if el.tag in ("note", "ref", "supplied") else page.content(el)
+    kind, before, after = named
+    return kind, before + _bare(el, page, True) + after
 
 
 def section_blocks(div: ET.Element, page: Page, level: int = 0) -> Iterator[tuple[str, int, str, str]]:

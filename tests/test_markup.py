@@ -236,6 +236,22 @@ def test_articles(spark):
     assert not any("no" == x.html for x in b)
 
 
+def test_article_lists_quotes_and_blocks(spark):
+    xml = f"""<TEI {TEI} xml:id="r2"><text><body><div xml:id="s"><list><head>H</head>skip<label>L</label><item>a <hi rend="i">b</hi></item><item>t<p>x</p>u<list><item>in</item></list><label>l</label></item><pb n="2"/><ref target="#z">r</ref></list>
+    <quote>open <hi rend="b">h</hi> on<p>q</p>loose<bibl>B</bibl><lg><l>v</l></lg></quote><quote><p>only</p></quote><quote>text</quote><lg><l>v</l></lg><milestone rend="asterism"/><milestone/><closer>c</closer><gap reason="g"/><p rend="label">lab</p><supplied>s</supplied></div></body></text></TEI>"""
+    got = [(b.kind, b.html) for b in render.article_blocks(spark.createDataFrame([("r", xml)], "doc string, text string")).orderBy("ord").collect()]
+    ref = '<a href="#z" class="bib-ref">r</a>'
+    verse = '<div class="lg"><span class="l">v</span></div>'
+    assert got == [
+        ("list", '<div class="art-list-wrap"><p class="list-head">H</p><ul class="art-list"><li class="item-label">L</li><li>a <em>b</em></li><li>t<p class="item-p">x</p>u<div class="art-list-wrap"><ul class="art-list"><li>in</li></ul></div>'
+                 f'<span class="item-label">l</span></li><li class="li-pb"><span class="pb-marker" title="p. 2">[p. 2]</span></li><li>{ref}</li></ul></div>'),
+        ("quote", f'<blockquote class="block-quote"><p class="quote-p">open <strong>h</strong> on</p><p class="quote-p">q</p>loose<span class="quote-bibl">B</span>{verse}</blockquote>'),
+        ("quote", '<blockquote class="block-quote"><p class="quote-p">only</p></blockquote>'), ("quote", '<blockquote class="block-quote"><p class="quote-p">text</p></blockquote>'),
+        ("quote", f'<blockquote class="block-quote">{verse}</blockquote>'), ("milestone", '<p class="asterism" aria-hidden="true">*&#8195;*&#8195;*</p>'), ("closer", '<div class="closer">c</div>'),
+        ("gap", '<p class="gap-block"><span class="gap" title="g">[…]</span></p>'), ("label", '<p class="label-p">lab</p>'), ("p", '<span class="supplied" title="">[s]</span>'),
+    ]
+
+
 def test_lookups(spark):
     existing = spark.createDataFrame([("x",)], "xml_id string")
     a = spark.createDataFrame([("x", ["კაცი"], 1, "l1"), ("y", ["კაცი", "ჳ"], 2, "l2"), ("x", ["კაცი"], 3, "l3")], "xml_id string, forms array<string>, ord int, lemma string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomtext.functions import georgian, strings
-from loomtext.operators import attest, growth, lookup, match, oov, tokens
+from loomtext.operators import attest, growth, lookup, match, oov, report, tokens
 from loomtext.plans import base
 from loomtext.plans.base import MATCHED, PARAS, PLACED, PRIMARY, SECONDARY, WORDS, query, table
 
@@ -167,6 +167,19 @@ def text_coverage(spark, d):
     return match.text_coverage(_matched_words(spark, d), "doc_id", "n")
 
 
+@query(f"""WITH {MATCHED}, s AS (SELECT sum(freq) AS t, [sum(freq), coalesce(sum(freq) FILTER (match_tier = 'stopword'), 0), coalesce(sum(freq) FILTER (match_tier = 'authority'), 0), coalesce(sum(freq) FILTER (match_tier IN ('primary', 'master')), 0),
+  coalesce(sum(freq) FILTER (match_tier = 'none'), 0), coalesce(sum(freq) FILTER (in_lexicon = '1'), 0)] AS v FROM matched), g AS (SELECT t, v, unnest(range(6)) AS k FROM s)
+SELECT k::INT AS line, ['total', 'stopword', 'authority', 'matched', 'none', 'in_lexicon'][k + 1] AS label, v[k + 1]::BIGINT AS n, printf('%.1f', v[k + 1] / t * 100) AS share FROM g""")
+def match_report(spark, d):
+    return report.matching(base.matched_types(spark, d, _types(spark, d)))
+
+
+@query(f"""WITH {MATCHED}, c AS (SELECT doc_id, count(*) AS total, count(*) FILTER (match_tier NOT IN ('none', 'stopword')) AS matched, count(*) FILTER (in_lexicon = '1') AS in_lex FROM words JOIN matched USING (surface) GROUP BY doc_id)
+SELECT doc_id, matched, total, printf('%.1f', matched / total * 100) AS share, in_lex, printf('%.1f', in_lex / total * 100) AS in_lex_share FROM c""")
+def text_report(spark, d):
+    return report.per_text(match.text_coverage(_matched_words(spark, d), "doc_id", "n"), "doc_id")
+
+
 CLASS_STEM = "CASE " + _STEM + " ELSE norm END"
 
 
@@ -219,6 +232,12 @@ def oov_rollup(spark, d):
     return oov.rollup(_oov(spark, d))
 
 
+@query(f"""WITH {OOV}, r AS (SELECT category, count(*) AS types, sum(freq)::BIGINT AS tokens FROM oov GROUP BY category), k AS (SELECT generate_subscripts(c, 1) - 1 AS line, unnest(c) AS category FROM (SELECT ['REVIEW', 'VERB', 'FUNCTION', 'RARE'] AS c))
+SELECT line::INT AS line, category, coalesce(types, 0) AS types, coalesce(tokens, 0) AS tokens, printf('%.1f', coalesce(tokens, 0) / (SELECT sum(tokens) FROM r) * 100) AS share FROM k LEFT JOIN r USING (category)""")
+def oov_report(spark, d):
+    return report.unmatched(_oov(spark, d))
+
+
 @query(f"WITH {OOV} SELECT surface, freq, text_count FROM oov WHERE category = 'REVIEW' ORDER BY freq DESC, surface LIMIT 50")
 def oov_topk_review(spark, d):
     return oov.top(_oov(spark, d), "REVIEW", 50).select("surface", "freq", "text_count")
@@ -313,7 +332,8 @@ def interval_pages(spark, d):
 SCOPED_ENDINGS = ["s", "es", "ing", "ed", "en"]
 SCOPED = f"""{WORDS}, sw AS (SELECT DISTINCT source AS text_id, surface FROM words),
 src AS (SELECT DISTINCT source AS text_id, CAST(substr(source, 4) AS INT) AS k FROM documents),
-it AS (SELECT item_id, regexp_extract_all(text, '\\p{{L}}+') AS l FROM benchmark), sc AS (SELECT text_id, item_id, l FROM src JOIN it ON item_id BETWEEN 2 * k AND 2 * k + 1 WHERE len(l) > 0),
+wide AS (SELECT greatest(1, (SELECT max(item_id) + 1 FROM benchmark) // (SELECT max(k) + 1 FROM src) + 1)::INT AS w),
+it AS (SELECT item_id, regexp_extract_all(text, '\\p{{L}}+') AS l FROM benchmark), sc AS (SELECT text_id, item_id, l FROM src CROSS JOIN wide JOIN it ON item_id BETWEEN w * k AND w * k + w - 1 WHERE len(l) > 0),
 forms AS (SELECT text_id, item_id, 0 AS tier, unnest(l) AS form FROM sc UNION SELECT text_id, item_id, 2, l[1] FROM sc
   UNION SELECT text_id, item_id, 2, l[1] || e FROM sc, (VALUES {", ".join(f"('{e}')" for e in SCOPED_ENDINGS)}) v(e) WHERE length(l[1]) >= 3),
 best AS (SELECT text_id, surface, min(tier * 1000000 + item_id) AS m FROM sw JOIN forms f USING (text_id) WHERE surface = form GROUP BY ALL)"""
@@ -322,7 +342,11 @@ best AS (SELECT text_id, surface, min(tier * 1000000 + item_id) AS m FROM sw JOI
 def _scoped(spark, d):
     docs = table(spark, d, "documents")
     k = F.substring("source", 4, 10).cast("int")
-    ranges = docs.select(F.col("source").alias("text_id"), k.alias("ord"), (2 * k).alias("from"), (2 * k + 1).alias("to")).distinct()
+    sources = docs.select(F.col("source").alias("text_id"), k.alias("ord")).distinct()
+    # as many pages to a source as make every benchmark item lie in some source's range
+    items = table(spark, d, "benchmark").agg((F.max("item_id") + 1).alias("items")).crossJoin(F.broadcast(sources.agg((F.max("ord") + 1).alias("sources"))))
+    wide = items.select(F.greatest(F.lit(1), F.floor(F.col("items") / F.col("sources")) + 1).cast("int").alias("w"))
+    ranges = sources.crossJoin(F.broadcast(wide)).select("text_id", "ord", (F.col("w") * F.col("ord")).alias("from"), (F.col("w") * (F.col("ord") + 1) - 1).alias("to"))
     forms = F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1))
     entries = table(spark, d, "benchmark").select(F.concat(F.lit("a"), F.col("item_id").cast("string")).alias("xml_id"), F.col("item_id").alias("ord"), forms.alias("forms"), F.array(F.col("item_id").cast("int")).alias("pages"))
     entries = entries.filter("size(forms) > 0").withColumn("base", F.element_at("forms", 1))
@@ -339,9 +363,19 @@ def scoped_three_tier(spark, d):
 SELECT text_id, sw.surface, coalesce(c.id, 'a' || (m % 1000000)) AS id FROM sw LEFT JOIN c ON c.w = sw.surface LEFT JOIN best USING (text_id, surface) WHERE coalesce(c.id, m::VARCHAR) IS NOT NULL""")
 def carryover_override(spark, d):
     words, hits = _scoped(spark, d)
+    return match.carried_over(words, hits, _carry(spark, d))
+
+
+def _carry(spark, d):
     carry = table(spark, d, "nation").select(F.element_at(F.regexp_extract_all(F.lower("n_name"), F.lit(r"(\p{L}+)"), F.lit(1)), 1).alias("surface"), F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"))
-    carry = carry.union(spark.createDataFrame([("the", "carried")], "surface string, id string"))
-    return match.carried_over(words, hits, carry)
+    return carry.union(spark.createDataFrame([("the", "carried")], "surface string, id string"))
+
+
+@query(f"""WITH {SCOPED}, c AS (SELECT w[1] AS w, 'n' || n_nationkey AS id FROM (SELECT regexp_extract_all(lower(n_name), '\\p{{L}}+') AS w, n_nationkey FROM nation) UNION SELECT 'the', 'carried'),
+new AS (SELECT surface, 'a' || (m % 1000000) AS id FROM best WHERE surface NOT IN (SELECT w FROM c))
+SELECT count(*) AS discoveries, count(DISTINCT id) AS newly_covered, (SELECT count(*) FROM (SELECT id FROM new UNION SELECT id FROM c)) AS covered FROM new""")
+def scoped_report(spark, d):
+    return report.scoped(_scoped(spark, d)[1], _carry(spark, d))
 
 
 # --- Injection ------------------------------------------------------------------------------------

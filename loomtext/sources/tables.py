@@ -60,6 +60,23 @@ def read_folio_map(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.createDataFrame([], FOLIOS)
 
 
+def read_carryover(spark: SparkSession, path: str) -> DataFrame:
+    """(surface, id): the corpus-wide map of surfaces in a JSON file of one object; an empty table if there is no file."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "surface string, id string")
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("surface", "id"))
+
+
+def with_files(texts: DataFrame, files: DataFrame, root: str = "", column: str = "file_path") -> DataFrame:
+    """The catalogue rows whose file (``column``, below ``root``) is among the read ``files`` (path, doc, text), with doc and text.
+    Rows without a path, and those whose file doesn't exist, drop out."""
+    plain = lambda c: F.regexp_replace(F.regexp_replace(c, "^file:/+", "/"), "/+", "/")
+    wanted = plain(F.concat(F.lit(root + "/" if root else ""), F.col(column)))
+    given = files.select(plain(F.col("path")).alias("__path"), "doc", "text")
+    return texts.filter(F.coalesce(column, F.lit("")) != "").withColumn("__path", wanted).join(given, "__path").drop("__path")
+
+
 def folio_map(spark: SparkSession, offset: int, total: int, service: str, viewer: str) -> DataFrame:
     """Folios 1r, 1v, 2r … in sequence after ``offset`` leading images, with their image addresses below ``service`` and ``viewer``."""
     sp = spark.range(offset + 1, total + 1).select(F.col("id").cast("int").alias("sp"))
@@ -97,6 +114,17 @@ def write_split(df: DataFrame, path: str, column: str, values: dict[str, str]) -
         write_tsv(df.filter(F.col(column) == value), f"{path}/{folder}")
 
 
+def replace_copy(spark: SparkSession, source: str, target: str) -> bool:
+    """Copies a folder, in place of what was at ``target``; False, and nothing happens, if there is no ``source``."""
+    if not exists(spark, source):
+        return False
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    a, b = path(source), path(target)
+    to = b.getFileSystem(conf)
+    to.delete(b, True)
+    return bool(spark._jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, to, b, False, conf))
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON object a line, characters as they are."""
     df.write.mode("overwrite").json(path)

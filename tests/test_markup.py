@@ -268,6 +268,21 @@ def test_lookups(spark):
     assert grown["ანგელოზს"] == "e2" and grown["ანგელოზისა"] == "e1" and grown["ანგელოზი"] == "e1" and "აბისა" not in grown
 
 
+def test_carryover_files_and_copies(spark, tmp_path):
+    (tmp_path / "m.json").write_text('{"ა": "x", "ბ": "y"}', encoding="utf-8")
+    assert {tuple(r) for r in tables.read_carryover(spark, str(tmp_path / "m.json")).collect()} == {("ა", "x"), ("ბ", "y")} and tables.read_carryover(spark, str(tmp_path / "no.json")).count() == 0
+    src, dst = tmp_path / "a", tmp_path / "b"
+    (src / "tei" / "texts").mkdir(parents=True)
+    (src / "tei" / "texts" / "t1.xml").write_text("<a/>")
+    dst.mkdir()
+    (dst / "old").write_text("x")
+    assert tables.replace_copy(spark, str(src), str(dst)) and not (dst / "old").exists() and (dst / "tei" / "texts" / "t1.xml").read_text() == "<a/>"
+    assert not tables.replace_copy(spark, str(tmp_path / "none"), str(dst)) and (dst / "tei").exists()
+    texts = spark.createDataFrame([("t1", "tei/texts/t1.xml"), ("t2", "tei/texts/gone.xml"), ("t3", None), ("t4", "")], "xml_id string, file_path string")
+    got = tables.with_files(texts, markup.read_documents(spark, str(dst)), str(dst)).collect()
+    assert [(r.xml_id, r.doc, r.text) for r in got] == [("t1", "t1", "<a/>")]
+
+
 def test_growth(spark):
     m = spark.createDataFrame([("a", "ll", "d", "s+t", "master", "exact", "0", "t1", "k1"), ("a", "zz", "d", "s", "master", "exact", "0", "t2", "k2"), ("b", "l", "", "s", "primary", "exact", "0", "t1", "k3"), ("c", "ll", "", "s", "master", "norm", "0", "t1", "k4")],
                               "match_id string, match_lemma string, match_def_ka string, match_source string, match_tier string, confidence string, in_lexicon string, text_id string, token_id string")

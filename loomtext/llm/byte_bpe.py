@@ -16,9 +16,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from loomtext.llm.held import hold, lean
+
 PIECE_CHARS = 200_000
 _SAFE = re.compile(r"(?<=\S)(?=\s)")
-_codecs: dict[tuple[str, str], "ByteCodec"] = {}
 
 
 def safe_pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
@@ -57,10 +58,7 @@ class ByteCodec:
 
 
 def codec(ranks_path: str, pattern: str) -> ByteCodec:
-    key = (ranks_path, pattern)
-    if key not in _codecs:
-        _codecs[key] = ByteCodec(*key)
-    return _codecs[key]
+    return hold(("byte-bpe", ranks_path, pattern), lambda: ByteCodec(ranks_path, pattern))
 
 
 def encoded(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = True) -> DataFrame:
@@ -90,4 +88,4 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = Tru
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     more = ", ids array<int>, decoded binary" * with_ids
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    return rows.mapInArrow(lean(run, keeps=True), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

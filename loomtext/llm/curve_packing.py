@@ -15,14 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtext.llm.held import lean
 from loomtext.llm.staging import stage
 from loomtext.llm.word_tokens import encoder
 
 FEATURES, DIMS, BITS, SEED = 2048, 4, 8, 20
-BATCH_CHARS = 4_000_000
+BATCH_BYTES = 2_000_000
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -74,11 +76,10 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
         enc, matrix = encoder(path), _projection()
         tail = np.array([] if end_id is None else [end_id], enc.dtype)
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            ends = np.cumsum([len(t) for t in texts]) // BATCH_CHARS
-            cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
+            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // BATCH_BYTES)) + 1).tolist(), b.num_rows]
             for at, to in zip(cuts, cuts[1:], strict=False):
-                ids = enc.encode(texts[at:to])
+                ids = enc.encode([t or "" for t in b.column(1).slice(at, to - at).to_pylist()])
                 p = np.array([project(x, matrix) for x in ids], np.float32).reshape(-1, DIMS)
                 kind = np.dtype(enc.dtype).newbyteorder("<")
                 whole = [np.concatenate([x, tail]).astype(kind) for x in ids]
@@ -87,7 +88,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
 
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n long, ids binary, " + ", ".join(f"p{i} float" for i in range(DIMS)))
+    return rows.mapInArrow(lean(run, keeps=True), f"doc_id {kind}, n long, ids binary, " + ", ".join(f"p{i} float" for i in range(DIMS)))
 
 
 def _placed(light: DataFrame) -> DataFrame:
@@ -102,7 +103,7 @@ def _placed(light: DataFrame) -> DataFrame:
             cell = np.clip(((1 + np.tanh(0.8 * z)) * (1 << (BITS - 1))).astype(np.int64), 0, (1 << BITS) - 1)
             yield pa.record_batch([pa.array(hilbert_keys(cell, BITS)), b.column(0), b.column(1)], ["key", "row", "n"])
 
-    keyed = light.select("row", "n", *[f"p{i}" for i in range(DIMS)]).mapInArrow(keys, "key long, row long, n long")
+    keyed = light.select("row", "n", *[f"p{i}" for i in range(DIMS)]).mapInArrow(lean(keys), "key long, row long, n long")
     keyed = stage(keyed, "curve-keys").repartitionByRange("key", "row").withColumn("part", F.spark_partition_id())
     keyed = stage(keyed, "curve-order")
     sums = sorted(keyed.groupBy("part").agg(F.sum("n").alias("n")).collect())  # one row per range partition
@@ -157,7 +158,7 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int | None = 1, w
     rows = placed_tokens(docs, path, end_id).select("doc_id", "n", "ids", "start_at")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(lean(cut), schema)
 
 
 def sequences(pieces: DataFrame, size: int = 2048, pad_id: int = 0) -> DataFrame:
@@ -176,4 +177,4 @@ def sequences(pieces: DataFrame, size: int = 2048, pad_id: int = 0) -> DataFrame
     one = pieces.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "doc_id", "ids"))).alias("x"), F.sum("length").alias("tokens"))
     one = one.select("sequence_id", F.col("x.ids").alias("parts"), F.col("x.doc_id").alias("doc_ids"), F.col("x.offset").alias("offsets"), "tokens")
     kind = pieces.schema["doc_id"].dataType.simpleString()
-    return one.mapInArrow(join, f"sequence_id long, ids array<int>, doc_ids array<{kind}>, offsets array<long>, tokens long")
+    return one.mapInArrow(lean(join), f"sequence_id long, ids array<int>, doc_ids array<{kind}>, offsets array<long>, tokens long")

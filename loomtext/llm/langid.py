@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtext.llm.held import lean
 from loomtext.llm.staging import free_name
 
 BUCKETS = 1 << 15
@@ -193,7 +194,7 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
         yield pa.record_batch([pa.array(np.r_[i, -1].astype(np.int32)), pa.array(np.r_[seen[i], n])], ["i", "n"])
 
     usable = rows.filter(F.col("text").rlike(r"\p{L}"))
-    sums = usable.select("text").mapInArrow(frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()  # BUCKETS + 1 rows at most
+    sums = usable.select("text").mapInArrow(lean(frequencies), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()  # BUCKETS + 1 rows at most
     df, total = np.zeros(BUCKETS), 0
     for r in sums:
         if r.i < 0:
@@ -216,7 +217,7 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
     nth = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
     few = few.withColumn("k", F.row_number().over(nth)).withColumn("chars", F.sum(F.char_length("text")).over(nth.rowsBetween(Window.unboundedPreceding, 0)))
     few = few.filter((F.col("k") <= share) & ((F.col("k") == 1) | (F.col("chars") <= SAMPLE_CHARS // len(languages))))
-    got = few.select("lang", "h", "text").mapInArrow(_grams_of, "lang string, h long, i array<int>, c array<float>").toArrow()  # the bounded sample
+    got = few.select("lang", "h", "text").mapInArrow(lean(_grams_of), "lang string, h long, i array<int>, c array<float>").toArrow()  # the bounded sample
     i, c, lang = _lists(got.column("i")), _lists(got.column("c")), got.column("lang").to_pylist()
     order = sorted(range(len(lang)), key=lambda k: (lang[k], got.column("h")[k].as_py(), len(i[k]), float(c[k].sum())))
     model = Model(languages, idf, np.zeros((BUCKETS + 1, len(languages))), 1.0, common)
@@ -252,7 +253,7 @@ def predict(docs: DataFrame, model: Model, passed: list[str], lang: str = "lang_
         m = shared.value
         for b in batches:
             names, scores, known = [], [], []
-            for t in b.column(b.num_columns - 1):
+            for t in b.column(at):
                 text = t.as_py()
                 if m.languages and has_letter(text):
                     p, ok = m.scores(text)
@@ -264,11 +265,13 @@ def predict(docs: DataFrame, model: Model, passed: list[str], lang: str = "lang_
                     names.append(UNKNOWN)
                     scores.append(0.0)
                     known.append(False)
-            yield pa.record_batch([*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(known, pa.bool_())], [*passed, lang, score, accepted])
+            yield pa.record_batch([*b.columns[: len(passed)], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(known, pa.bool_())], [*passed, lang, score, accepted])
 
-    given = docs.select(*[F.col(f"`{c}`") for c in passed], F.col("text").alias(free_name("__text", passed)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
-    return given.mapInArrow(run, schema + f", `{lang}` string, `{score}` double, `{accepted}` boolean")
+    more = [] if "text" in passed else ["text"]
+    at = [*passed, *more].index("text")
+    given = docs.select(*[F.col(f"`{c}`") for c in [*passed, *more]])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[: len(passed)])
+    return given.mapInArrow(lean(run), schema + f", `{lang}` string, `{score}` double, `{accepted}` boolean")
 
 
 def held_out(id_column: str = "doc_id"):

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomtext.llm.held import hold, lean
 from loomtext.llm.langid import _lists, held_out
 
 BUCKETS, SHAPES = 1 << 17, 8
@@ -29,18 +30,17 @@ SAMPLE, SAMPLE_CHARS = 9000, 32_000_000
 #: The share of the sample that chooses the least score, and the share of its good rows that reach it, which takes so many of them.
 KEPT_BACK, KEEP_GOOD, LEAST_GOOD = 0.2, 0.995, 200
 CHUNK = 500_000
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 ENDS = ".,;:!?\"'()[]{}<>#$%&*|-_/\\…«»„“”¿¡+=~^`"
-_buckets: dict[str, int] = {}
 
 
-def _bucket(word: str) -> int:
+def _bucket(word: str, known: dict[str, int]) -> int:
     """A word's bucket, -1 if it is only punctuation."""
     bare = word.strip(ENDS)
     k = zlib.crc32(bare.encode("utf-8", "surrogatepass")) & (BUCKETS - 1) if bare else -1
-    if len(_buckets) > CACHE_WORDS:
-        _buckets.clear()
-    _buckets[word] = k
+    if len(known) > CACHE_WORDS:
+        known.clear()
+    known[word] = k
     return k
 
 
@@ -59,8 +59,9 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         words = text[at:to].lower().split()
         total, at = total + len(words), to
         kinds.update(words)
-    known = _buckets.get
-    found = {k if (k := known(w)) is not None else _bucket(w) for w in kinds} - {-1}
+    buckets = hold("quality-words", dict)
+    known = buckets.get
+    found = {k if (k := known(w)) is not None else _bucket(w, buckets) for w in kinds} - {-1}
     raw, lines = text.encode("utf-8", "surrogatepass"), text.split("\n")
     shape = [
         np.log1p(total) / 10,
@@ -164,7 +165,7 @@ def train(rated: DataFrame, sample: int = SAMPLE) -> Model:
             words = pa.array([i[:-SHAPES].astype(np.int32) for i, _ in f], pa.list_(pa.int32()))
             yield pa.record_batch([b.column(0), words, pa.array([v[-SHAPES:] for _, v in f], pa.list_(pa.float64())), b.column(2)], ["grade", "i", "shape", "h"])
 
-    got = few.select("grade", "text", "h").mapInArrow(run, "grade int, i array<int>, shape array<double>, h long").toArrow()  # the bounded sample
+    got = few.select("grade", "text", "h").mapInArrow(lean(run, keeps=True), "grade int, i array<int>, shape array<double>, h long").toArrow()  # the bounded sample
     h, rows = got.column("h").to_numpy(), got.column("grade").to_numpy()
     order = np.lexsort((rows, h))
     words, shapes = _lists(got.column("i")), _lists(got.column("shape"))
@@ -199,7 +200,7 @@ def score(docs: DataFrame, model: Model, least_not_toxic: float = 0.5) -> DataFr
 
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, expected_grade double, p_not_toxic double, p_quality double, keep boolean")
+    return rows.mapInArrow(lean(run, keeps=True), f"doc_id {kind}, held_out boolean, expected_grade double, p_not_toxic double, p_quality double, keep boolean")
 
 
 def rate(docs: DataFrame, labels: DataFrame, least_not_toxic: float = 0.5, sample: int = SAMPLE) -> DataFrame:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomtext.llm.held import lean
 from loomtext.llm.staging import delete, join_counted, new_path, scope, stage
 
 CRLF = "\r\n"
@@ -157,7 +158,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
-    return files.mapInArrow(run, RECORD)
+    return files.mapInArrow(lean(run), RECORD)
 
 
 def transactions(recs: DataFrame, payloads: bool = True) -> DataFrame:

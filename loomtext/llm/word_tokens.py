@@ -15,13 +15,14 @@ from array import array
 
 import numpy as np
 
-CACHE_PIECES = 800_000
+from loomtext.llm.held import hold
+
+CACHE_PIECES = 300_000
 #: Texts that show whether blanks part tokens, and words that show whether the BPE model alone gives a word's ids.
 SPACED = ["the cat's 42 Dogs, über straße. (x)", "a\nb  c \n d", "Don't I'LL éÀ — 3.14 <|x|>", "tion ing re the"]
 WORDS = ["a", "the", "tion", "zuüber", "éèçñ", "ß", "straße", "être", "übermorgen", "internationalisation", "xqzj", "The", "NASA", "ÜBER", "Ÿ", "ÇÀ"]
 #: Words that normalisation leaves alone but for lower case, and that are one pre-token.
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_encoders: dict[str, "PieceEncoder"] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -97,6 +98,4 @@ class PieceEncoder:
 
 
 def encoder(path: str) -> PieceEncoder:
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    return hold(("word-tokens", path), lambda: PieceEncoder(path))

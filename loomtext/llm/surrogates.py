@@ -199,7 +199,7 @@ def assign(keys: DataFrame, key: str) -> DataFrame:
     taken = keys.select("kind", F.col("canon").alias("made")).distinct()
     open_, settled = keys.withColumn("attempt", F.lit(0)), None
     while True:
-        tried = proposals(open_, key)
+        tried = stage(proposals(open_, key), "surrogate-proposals")  # else the joins' null filters make them anew below the exchange
         first = tried.groupBy("kind", "made").agg(F.min("canon").alias("first"))
         barred = taken if settled is None else taken.unionByName(settled.select("kind", "made"))
         free = first.join(barred.hint("merge"), ["kind", "made"], "left_anti").withColumn("free", F.lit(True))

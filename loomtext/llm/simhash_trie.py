@@ -1,9 +1,11 @@
 """SimHash near-duplicate groups by a self-join of binary tries.
 
 Fingerprints are 64-bit SimHashes of word shingles. Two fingerprints link when they differ in at
-most ``radius`` bits. The join rotates each distinct fingerprint so that each of ``radius + 1``
+most ``radius`` bits. The join reorders each distinct fingerprint so that each of ``radius + 1``
 blocks comes first in one trie: any linked pair agrees on at least one block, so in that trie it
-lies below one node at the block's depth. From there pairs of nodes are walked together, differing
+lies below one node at the block's depth. Where so many fingerprints are given that nodes at this depth would be
+large, each choice of two, or three, of ``radius + 2``, or ``+ 3``, blocks comes first: more tries, but of
+21 bits (for radius 4) before the first pair of nodes, or of 27. From there pairs of nodes are walked together, differing
 bits add up, and a pair is dropped once its sum exceeds the radius. Tries whose node holds more
 than ``node_limit`` fingerprints are walked on by DataFrame steps, ``STEP`` bits a round, until
 each pair of nodes fits one task; the rest of the walk runs on sorted arrays inside the tasks.
@@ -14,14 +16,16 @@ Each task returns only a spanning forest of the links it found, never all pairs
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.llm.components import components
+from loomtext.llm.held import lean
 from loomtext.llm.staging import free_name, join_counted, stage
 
 STEP = 4
@@ -71,7 +75,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
             yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     ids = docs.select("doc_id", "text")
-    return ids.mapInArrow(run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp long")
+    return ids.mapInArrow(lean(run), f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 def _hook(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
@@ -171,20 +175,55 @@ def _compare(r, label, al, ah, bl, bh, radius) -> None:
         at = to
 
 
-def _blocks(radius: int) -> list[tuple[int, int]]:
-    """(offset, width) of ``radius + 1`` blocks that cover 64 bits."""
-    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+#: Fingerprints that a node at a trie's first depth may hold on average before tries of more blocks are taken.
+USUAL = 5_000
 
 
-def links(fps: DataFrame, radius: int = 4, node_limit: int = 20_000) -> DataFrame:
-    """(u, v): links between distinct fingerprints (column fp) that connect the same groups as all
-    pairs at most ``radius`` bits apart; a spanning forest per trie node pair."""
+def _tries(radius: int, first: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """(blocks in the trie's order as (offset from the top, width), first depth) of each trie: each choice of ``first`` of
+    ``radius + first`` blocks that cover 64 bits comes first in one. Two fingerprints within the radius agree on at least one choice."""
+    edges = [64 * i // (radius + first) for i in range(radius + first + 1)]
+    blocks = [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [([*c, *(b for b in blocks if b not in c)], sum(w for _, w in c)) for c in combinations(blocks, first)]
+
+
+def _reordered(blocks: list[tuple[int, int]]) -> Column:
+    """The fingerprint with its blocks in the given order."""
+    if len(blocks) == 1:
+        return F.col("fp")
+    parts, at = [], 0
+    for off, width in blocks:
+        parts.append(f"((shiftrightunsigned(fp, {64 - off - width}) & {(1 << width) - 1}L) << {64 - at - width})")
+        at += width
+    return F.expr(" | ".join(parts))
+
+
+def _restored(r: np.ndarray, blocks: list[tuple[int, int]]) -> np.ndarray:
+    out, at = np.zeros(len(r), np.uint64), 0
+    for off, width in blocks:
+        part = (r >> np.uint64(64 - at - width)) & np.uint64((1 << width) - 1)
+        out |= part << np.uint64(64 - off - width)
+        at += width
+    return out
+
+
+def first_blocks(n: int, radius: int) -> int:
+    """How many blocks come first in the tries of ``n`` fingerprints."""
+    for first in (1, 2):
+        if n <= USUAL << min(d for _, d in _tries(radius, first)):
+            return first
+    return 3
+
+
+def links(fps: DataFrame, radius: int = 4, node_limit: int = 20_000, first: int | None = None) -> DataFrame:
+    """(u, v): links between distinct fingerprints (column fp; staged) that connect the same groups as all
+    pairs at most ``radius`` bits apart; a spanning forest per trie node pair. ``first`` is chosen by their number unless given."""
     if not 0 <= radius < 32:
         raise ValueError("radius must be 0 to 31")
+    orders = _tries(radius, first or first_blocks(fps.count(), radius))
     tries = []
-    for k, (off, width) in enumerate(_blocks(radius)):
-        r = F.expr(f"(fp << {off}) | shiftrightunsigned(fp, {64 - off})") if off else F.col("fp")
+    for k, (blocks, width) in enumerate(orders):
+        r = _reordered(blocks)
         p = F.shiftrightunsigned(r, 64 - width)
         tries.append(F.struct(F.lit(k).alias("trie"), F.lit(width).alias("depth"), p.alias("pa"), p.alias("pb"), F.lit(0).alias("side"), r.alias("r")))
     units = fps.select(F.explode(F.array(*tries)).alias("x")).select("x.*")
@@ -223,7 +262,6 @@ def links(fps: DataFrame, radius: int = 4, node_limit: int = 20_000) -> DataFram
             ),
             "grown-nodes",
         )
-    offs = [off for off, _ in _blocks(radius)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -241,9 +279,11 @@ def links(fps: DataFrame, radius: int = 4, node_limit: int = 20_000) -> DataFram
             use = (ah > al) & (bh > bl) & (end - unit > 1)
             label = trie_forest(r, al[use], ah[use], bl[use], bh[use], c["depth"][unit][use], radius)
             child = np.flatnonzero(label != np.arange(len(label)))
-            turn = np.array(offs, np.uint64)[c["trie"][child]]
-            back = lambda x: ((x >> turn) | (x << ((np.uint64(64) - turn) % np.uint64(64)))).view(np.int64)
-            return pa.record_batch([pa.array(back(r[child])), pa.array(back(r[label[child]]))], ["u", "v"])
+            u, v = r[child], r[label[child]]
+            for k in np.unique(c["trie"][child]).tolist():
+                own = c["trie"][child] == k
+                u[own], v[own] = _restored(u[own], orders[k][0]), _restored(v[own], orders[k][0])
+            return pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
         for b in batches:
             held.append(b)
@@ -263,7 +303,7 @@ def links(fps: DataFrame, radius: int = 4, node_limit: int = 20_000) -> DataFram
 
     out = None
     for part in done:
-        part = part.repartition(*key).sortWithinPartitions(*key, "side", "r").mapInArrow(run, "u long, v long")
+        part = part.repartition(*key).sortWithinPartitions(*key, "side", "r").mapInArrow(lean(run), "u long, v long")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -91,6 +91,24 @@ def test_links_connect_what_all_pairs_connect(spark, node_limit):
     assert len({(got[s], g) for s, g in zip(signed, same, strict=True)}) == len(set(same)) == len(set(got.values()))
 
 
+@pytest.mark.parametrize("radius,first,node_limit", [(4, 2, 20_000), (4, 3, 5), (0, 1, 20_000), (2, 2, 3)])
+def test_tries_of_more_blocks_find_the_same(spark, radius, first, node_limit):
+    r = random.Random(radius * 10 + first)
+    base = [r.getrandbits(64) for _ in range(25)]
+    fps = sorted({b ^ sum(1 << k for k in r.sample(range(64), r.randrange(radius + 1))) for b in base for _ in range(5)})
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    got = {x: x for x in signed} | {c.node: c.root for c in components(simhash_trie.links(spark.createDataFrame([(x,) for x in signed], "fp long"), radius, node_limit, first)).collect()}
+    same = groups(fps, lambda a, b: (a ^ b).bit_count() <= radius)
+    assert len({(got[s], g) for s, g in zip(signed, same, strict=True)}) == len(set(same)) == len(set(got.values()))
+
+
+def test_blocks_grow_with_the_fingerprints():
+    assert [simhash_trie.first_blocks(n, 4) for n in (0, 10**6, 10**8, 10**9, 10**11)] == [1, 1, 2, 2, 3]
+    for first in (1, 2, 3):
+        for blocks, depth in simhash_trie._tries(4, first):
+            assert sorted(blocks) == sorted(set(blocks)) and sum(w for _, w in blocks) == 64 and depth >= 64 * first // (4 + first) - first
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (101, 100)]
     got = {c.node: c.root for c in components(spark.createDataFrame(edges, "u long, v long")).collect()}

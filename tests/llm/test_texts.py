@@ -560,6 +560,19 @@ def test_pipeline_is_its_stages(spark, sf_dir):
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == set(low.values())
 
 
+def test_stages_on_awkward_rows(spark, docs, sf_dir):
+    import corpus_pipeline
+
+    odd = docs.select("doc_id", "text", "lang", F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"), *[F.lit("x").alias(c) for c in ("__id", "__map", "held_out", "score", "accepted", "sid", "entity", "row")])
+    for name, work in corpus_pipeline.STAGES:
+        out = work(spark, odd, sf_dir)
+        assert work(spark, odd.limit(0), sf_dir).count() == 0
+        if name != "packing":
+            assert out.columns == odd.columns and out.count() <= odd.count() and out.filter("__id = 'x' and row = 'x'").count() == out.count()
+        kept = sorted(str(r.doc_id) for r in out.select("doc_id").distinct().collect())
+        assert {"language": kept == ["1", "5", "6", "7", "None"], "exact copies": "4" in kept and "2" not in kept, "near copies": {"1", "2", "5", "None"} <= {*kept}, "personal data": len(kept) == 9, "packing": len(kept) == 9}[name], (name, kept)
+
+
 def test_pipeline_ends_in_the_ids(spark, corpus, sf_dir):
     import corpus_pipeline
 

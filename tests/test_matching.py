@@ -55,6 +55,27 @@ def test_types_and_order(spark):
     assert [r.surface for r in oov.ordered(kinds).collect()] == ["c", "b", "d", "a"]
 
 
+def test_spans_need_no_shuffle(spark):
+    from loomtext.operators import tokens
+
+    text = "ab, c  " * 700 + "é𝄞x"
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, " ... "), (5, "x")], "id int, text string")
+    out = tokens.spans(df, ["id"])
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = [r for r in out.collect() if r.id == 1]
+    assert [r.k for r in sorted(rows, key=lambda r: r.char_start)] == list(range(1402)) and all(text[r.char_start : r.char_end] == r.surface for r in rows)
+    assert {r.id for r in out.collect()} == {1, 5}
+
+
+def test_caps_count_all(spark):
+    from loomtext.operators import attest
+
+    df = spark.createDataFrame([("a", k) for k in range(12)] + [("b", 1)], "t string, k int")
+    out = attest.capped(df, "t", ["k"], 5)
+    assert {(r.t, r.k, r.nth, r.more) for r in out.collect()} == {("a", k, k + 1, 7) for k in range(5)} | {("b", 1, 1, 0)}
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scoped_match(spark):
     ranges = spark.createDataFrame([("A", 3, 7, 0), ("B", 7, 9, 1), ("C", 20, None, 2)], "text_id string, from int, to int, ord int")
     pages = match.page_texts(ranges)

@@ -65,7 +65,9 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = Tru
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids array<int>, decoded binary]) per row of ``docs``.
 
     ids_sha256 is of the decimal ids joined by commas. Null texts count as empty: no ids, digests of
-    nothing. Special tokens' strings are ordinary text. Rows that repeat give equal rows.
+    nothing. Special tokens' strings are ordinary text. Rows that repeat give equal rows. Long texts are encoded
+    whole, in pieces cut where no match goes on; an empty table gives an empty one; columns other than doc_id and text,
+    whatever their names, are not read.
     """
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * with_ids
 

@@ -77,7 +77,7 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks:
             used += width
         keys.append(F.struct(F.lit(k).alias("t"), key.alias("k")))
     keyed = lambda df: df.select("fp").na.drop().distinct().select("fp", F.explode(F.array(*keys)).alias("x")).select("fp", "x.t", "x.k")
-    near = keyed(queries).withColumnRenamed("fp", "q").join(keyed(index), ["t", "k"])
+    near = keyed(queries).withColumnRenamed("fp", "q").join(keyed(index).hint("merge"), ["t", "k"])  # at every size: neither side is broadcast
     return near.filter(F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius).select("q", "fp").distinct()
 
 
@@ -90,8 +90,8 @@ def counted_within(prints: DataFrame, asked: Column, radius: int = 3, blocks: in
     groups = prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.count_if(asked).alias("asked"))
     groups = stage(groups, "distinct-fingerprints")
     hits = within_radius(groups.filter("asked > 0"), groups, radius, blocks)
-    found = hits.join(groups.select("fp", "low", "n"), "fp").groupBy("q").agg(F.sum("n").alias("near_docs"), F.min("low").alias("near_low"))
-    found = found.withColumnRenamed("q", "fp").join(groups.select("fp", "asked"), "fp")
+    found = hits.join(groups.select("fp", "low", "n").hint("merge"), "fp").groupBy("q").agg(F.sum("n").alias("near_docs"), F.min("low").alias("near_low"))
+    found = found.withColumnRenamed("q", "fp").join(groups.select("fp", "asked").hint("merge"), "fp")
     found = stage(found, "within-radius")
     rest = prints.filter(~F.coalesce(asked, F.lit(False)))
     told = join_counted(prints.filter(asked), found, "fp", "asked").select(*prints.columns, "near_docs", "near_low")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from loomtext.llm.held import lean
 from loomtext.llm.langid import held_out
+from loomtext.llm.staging import smallest_hashes, stage
 
 #: Bounds on labelled findings that the forest is trained on, and on those of them that the corpus gives.
 TRAIN_ROWS, CORPUS_ROWS = 20_000, 4_000
@@ -222,15 +223,23 @@ def plain_label(text: str, start: int, end: int, rule: str) -> int | None:
 
 
 def frequent_words(docs: DataFrame, most: int = CORPUS_WORDS) -> list[str]:
-    """The ``most`` words of ``docs`` that are in the most documents (WORD_DOCS at least): counted over all of them."""
+    """The words of ``docs`` that are in the most documents (WORD_DOCS at least), ``most`` at most: counted over all of them.
+    A histogram of the counts tells from which count on words are few enough, so no more than those leave the tasks."""
     low, high = WORD_LETTERS
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(rf"(?<!\p{{L}})\p{{L}}{{{low},{high}}}(?!\p{{L}})"), F.lit(0)))
     counts = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= WORD_DOCS)
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+    counts = stage(counts.withColumn("size", F.floor(16 * F.log2("n"))), "word-counts")
+    total, least = 0, None
+    for r in sorted(counts.groupBy("size").agg(F.count("*").alias("words")).collect(), reverse=True):  # 16 rows a doubling
+        total += r.words
+        if total > most:
+            break
+        least = r["size"]
+    return sorted(r.word for r in counts.filter(F.col("size") >= least).collect()) if least is not None else []
 
 
 def corpus_findings(docs: DataFrame, words: Dictionary, path: str = "source", rows: int = CORPUS_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of up to ``rows`` of the candidates that have a plain label, those with the smallest hashes."""
+    """Features and labels of about ``rows`` of the candidates that have a plain label, those with the smallest hashes."""
     shared = docs.sparkSession.sparkContext.broadcast(words)  # CORPUS_WORDS words at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +258,8 @@ def corpus_findings(docs: DataFrame, words: Dictionary, path: str = "source", ro
                 yield pa.record_batch([pa.array(hs, pa.int64()), pa.array(ys, pa.int32()), pa.array(xs, pa.list_(pa.float64()))], ["h", "y", "x"])
 
     given = docs.filter("text is not null").select("text", _path(docs, path))
-    found = given.mapInArrow(lean(run), "h long, y int, x array<double>").dropDuplicates(["h"]).orderBy("h").limit(rows).toArrow()
+    found = stage(given.mapInArrow(lean(run), "h long, y int, x array<double>").dropDuplicates(["h"]), "labelled-findings")
+    found = smallest_hashes(found, rows).toArrow().sort_by("h")
     x = [r.as_py() for r in found.column("x")]
     return np.array(x).reshape(len(x), -1), found.column("y").to_numpy().astype(float)
 
@@ -356,14 +366,14 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = TREES, seed: int = 7) -> For
 
 
 def train(spark: SparkSession | None = None, labelled: DataFrame | None = None, rows: int = TRAIN_ROWS, docs: DataFrame | None = None, path: str = "source") -> Forest:
-    """A forest from ``labelled`` (text, start, end, path, is_secret), of which the ``rows`` with the smallest hashes
+    """A forest from ``labelled`` (text, start, end, path, is_secret), of which about the ``rows`` with the smallest hashes
     are used; where none are given or they are all of one kind, from ``made_findings`` and what ``docs`` (doc_id, text
     and a column of paths) gives outside its held-out rows. The dictionary has the frequent words of ``docs``."""
     words = Dictionary(frequent_words(docs)) if docs is not None else _PLAIN_WORDS
     given = []
     if labelled is not None:
-        few = labelled.filter("text is not null and is_secret is not null").orderBy(F.xxhash64("text", "start", "end"), "text", "start", "end").limit(rows)
-        given = [(r.text, r.start, r.end, r.path, int(r.is_secret)) for r in few.select("text", "start", "end", "path", "is_secret").collect()]
+        few = smallest_hashes(labelled.filter("text is not null and is_secret is not null").withColumn("h", F.xxhash64("text", "start", "end")), rows)
+        given = sorted((r.text, r.start, r.end, r.path, int(r.is_secret)) for r in few.select("text", "start", "end", F.coalesce("path", F.lit("")).alias("path"), "is_secret").collect())
     found = given if len({g[4] for g in given}) == 2 else made_findings()
     x, y = np.array([describe(*f[:4], words) for f in found]), np.array([f[4] for f in found], float)
     if found is not given and docs is not None:

@@ -66,6 +66,13 @@ def free_name(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def smallest_hashes(df: DataFrame, rows: int, h: str = "h") -> DataFrame:
+    """About ``rows`` rows of ``df``, those with the smallest values of the hash column (all where there are no more): by a
+    threshold, so that no task ranks anything and no more rows than these leave the tasks."""
+    n = df.count()
+    return df if n <= rows else df.filter(F.col(h) / F.lit(float(1 << 64)) + 0.5 <= rows / n)
+
+
 class scope:
     """Collects in ``paths`` what is staged inside the ``with`` block."""
 

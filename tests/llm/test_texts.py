@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomtext.llm import byte_bpe, curve_packing, langid, ordinal_quality, secret_forest, surrogates, warc
+from loomtext.llm import byte_bpe, curve_packing, langid, ordinal_quality, secret_forest, staging, surrogates, warc
 from loomtext.llm.registry import tokenizer_file
 from loomtext.llm.word_tokens import encoder
 
@@ -444,6 +444,16 @@ def test_planted_secrets_of_held_out_documents(spark, sf_dir):
     assert len(forest.words.words) > 1000
 
 
+def test_given_findings_train_the_forest(spark):
+    rows = [(t, s, e, p or None, bool(y)) for t, s, e, p, y in secret_forest.made_findings(900, 3)]
+    labelled = spark.createDataFrame(rows + [(None, 0, 1, "x", True), ("a", 0, 1, "x", None)], "text string, start int, end int, path string, is_secret boolean")
+    forest = secret_forest.train(labelled=labelled, rows=600)
+    test = secret_forest.made_findings(300, 5)
+    assert np.mean((forest.probability(np.array([secret_forest.describe(*f[:4]) for f in test])) >= 0.5) == np.array([f[4] for f in test])) > 0.9
+    some = staging.smallest_hashes(labelled.withColumn("h", F.xxhash64("text")), 300).count()
+    assert 200 < some < 400 and staging.smallest_hashes(labelled.withColumn("h", F.xxhash64("text")), 902).count() == 902
+
+
 def test_dictionary_share_and_labels():
     words = secret_forest.Dictionary(["alpha", "phant"])
     assert words.share("xalphantx") == 7 / 9 and words.share("") == 0 and words.share("userdata") == 1 and secret_forest.Dictionary().share("zzzz") == 0

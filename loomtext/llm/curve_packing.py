@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 
 from loomtext.llm.held import lean
 from loomtext.llm.staging import stage
-from loomtext.llm.word_tokens import encoder
+from loomtext.llm.word_tokens import CACHE_PIECES, encoder
 
 FEATURES, DIMS, BITS, SEED = 2048, 4, 8, 20
-BATCH_BYTES = 2_000_000
+#: Bytes of text that are encoded at once, for each piece of the cache.
+BATCH_BYTES = 5
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -68,16 +69,16 @@ def project(ids: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     return (tf / np.linalg.norm(tf)) @ matrix
 
 
-def tokenised(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, end_id: int | None, cache_pieces: int = CACHE_PIECES) -> DataFrame:
     """(doc_id, n, ids binary, p0.. floats) per row; ids take two bytes each where the vocabulary allows, else four, little-endian."""
     names = ["doc_id", "n", "ids", *[f"p{i}" for i in range(DIMS)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, matrix = encoder(path), _projection()
+        enc, matrix = encoder(path, cache_pieces), _projection()
         tail = np.array([] if end_id is None else [end_id], enc.dtype)
         for b in batches:
             sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // BATCH_BYTES)) + 1).tolist(), b.num_rows]
+            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // (BATCH_BYTES * cache_pieces))) + 1).tolist(), b.num_rows]
             for at, to in zip(cuts, cuts[1:], strict=False):
                 ids = enc.encode([t or "" for t in b.column(1).slice(at, to - at).to_pylist()])
                 p = np.array([project(x, matrix) for x in ids], np.float32).reshape(-1, DIMS)
@@ -103,7 +104,7 @@ def _placed(light: DataFrame) -> DataFrame:
             cell = np.clip(((1 + np.tanh(0.8 * z)) * (1 << (BITS - 1))).astype(np.int64), 0, (1 << BITS) - 1)
             yield pa.record_batch([pa.array(hilbert_keys(cell, BITS)), b.column(0), b.column(1)], ["key", "row", "n"])
 
-    keyed = light.select("row", "n", *[f"p{i}" for i in range(DIMS)]).mapInArrow(lean(keys), "key long, row long, n long")
+    keyed = light.select("row", "n", *[f"p{i}" for i in range(DIMS)]).mapInArrow(lean(keys, keeps=True), "key long, row long, n long")
     keyed = stage(keyed, "curve-keys").repartitionByRange("key", "row").withColumn("part", F.spark_partition_id())
     keyed = stage(keyed, "curve-order")
     sums = sorted(keyed.groupBy("part").agg(F.sum("n").alias("n")).collect())  # one row per range partition
@@ -113,18 +114,18 @@ def _placed(light: DataFrame) -> DataFrame:
     return keyed.join(F.broadcast(base), "part").select("row", (F.col("base") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("start_at"))
 
 
-def placed_tokens(docs: DataFrame, path: str, end_id: int | None = 1) -> DataFrame:
+def placed_tokens(docs: DataFrame, path: str, end_id: int | None = 1, cache_pieces: int = CACHE_PIECES) -> DataFrame:
     """(doc_id, n, ids, start_at) per row of ``docs``: its ids and their place on the line."""
-    tokens = stage(tokenised(docs, path, end_id).withColumn("row", F.monotonically_increasing_id()), "token-ids")
+    tokens = stage(tokenised(docs, path, end_id, cache_pieces).withColumn("row", F.monotonically_increasing_id()), "token-ids")
     places = stage(_placed(tokens.drop("ids", "doc_id")), "places")
     # a merge join at every size: the ids are shuffled once, whether the places would fit a broadcast or not
     return tokens.select("row", "doc_id", "n", "ids").join(places.hint("merge"), "row").drop("row")
 
 
-def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int | None = 1, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int | None = 1, with_ids: bool = False, cache_pieces: int = CACHE_PIECES) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, little-endian).
 
-    Null texts count as empty; with ``end_id`` None a document without ids has no piece. Rows that
+    ``cache_pieces`` bounds the words whose ids a worker keeps; fewer take less memory and more time. Null texts count as empty; with ``end_id`` None a document without ids has no piece. Rows that
     repeat are packed once each. A document longer than a sequence, or at a cut, has several pieces; texts of any
     length are read whole. Documents of one place on the curve, such as copies, are in the order of their rows. An
     empty table gives no piece. Columns other than doc_id and text, whatever their names, are not read.
@@ -155,10 +156,10 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int | None = 1, w
         cols = [b.column(0).take(pa.array(c[0]))] + [pa.array(x, pa.int64()) for x in c[1:7]]
         return pa.record_batch(cols + [pa.array(x, pa.binary()) for x in c[7:]], names)
 
-    rows = placed_tokens(docs, path, end_id).select("doc_id", "n", "ids", "start_at")
+    rows = placed_tokens(docs, path, end_id, cache_pieces).select("doc_id", "n", "ids", "start_at")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
-    return rows.mapInArrow(lean(cut), schema)
+    return rows.mapInArrow(lean(cut, keeps=True), schema)
 
 
 def sequences(pieces: DataFrame, size: int = 2048, pad_id: int = 0) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 
 from loomtext.llm.held import hold
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 800_000
 #: Texts that show whether blanks part tokens, and words that show whether the BPE model alone gives a word's ids.
 SPACED = ["the cat's 42 Dogs, über straße. (x)", "a\nb  c \n d", "Don't I'LL éÀ — 3.14 <|x|>", "tion ing re the"]
 WORDS = ["a", "the", "tion", "zuüber", "éèçñ", "ß", "straße", "être", "übermorgen", "internationalisation", "xqzj", "The", "NASA", "ÜBER", "Ÿ", "ÇÀ"]
@@ -35,7 +35,7 @@ def _byte_letters() -> dict[int, str]:
 class PieceEncoder:
     """ids of texts by the tokenizer of ``path``."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -45,6 +45,7 @@ class PieceEncoder:
         self.letters = _byte_letters()
         self.bpe = self.tokenizer.model.tokenize  # bound once: each access to the model wraps it anew
         self.cache: dict[str, bytes] = {}
+        self.cache_pieces = cache_pieces
         self.by_piece = all(b"".join(map(self._ids, self._pieces(t))) == self._ids(t) for t in SPACED)
         try:
             self.by_model = self.by_piece and all(self._model_ids(w.lower()) == self._ids(w) for w in WORDS)
@@ -67,7 +68,7 @@ class PieceEncoder:
         if not self.by_piece:
             return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         cache = self.cache
-        if len(cache) > CACHE_PIECES:
+        if len(cache) > self.cache_pieces:
             cache.clear()
         split = [self._pieces(t) for t in texts]
         here = dict.fromkeys(p for ps in split for p in ps)
@@ -97,5 +98,5 @@ class PieceEncoder:
         return ids
 
 
-def encoder(path: str) -> PieceEncoder:
-    return hold(("word-tokens", path), lambda: PieceEncoder(path))
+def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> PieceEncoder:
+    return hold(("word-tokens", path, cache_pieces), lambda: PieceEncoder(path, cache_pieces))

@@ -85,12 +85,31 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.token_alignment import aligned
+
+    return aligned(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.line_runs import without_common_lines
+
+    out = without_common_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_blockmax_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomtext.llm.blockmax_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_curve_packing, op2_simhash_trie, op3_digest_merge, op4_langid_ftrl, op5_ordinal_quality,
-            op6_byte_bpe, op7_simhash_votes, op8_surrogates, op9_secret_forest, op10_warc,
+            op6_byte_bpe, op7_simhash_votes, op8_surrogates, op9_secret_forest, op10_warc, op11_token_alignment, op12_line_runs, op13_blockmax_search,
         )
     }
 
@@ -117,5 +136,39 @@ FROM f
 """
 
 
+#: Rows of op12: keys of lines that ten documents hold lose all their lines.
+OP12_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS doc, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc) >= 10),
+m AS (SELECT k.*, c.key IS NOT NULL AS common FROM k LEFT JOIN c ON k.key = c.key),
+t AS (SELECT doc, count(*) AS n_lines, count(*) FILTER (WHERE common) AS n_dropped,
+             coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT common), '') AS kept FROM m GROUP BY doc)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM t JOIN d ON t.doc = d.doc
+"""
+
+#: Rows of op13: the ten best documents of every item, in whole numbers.
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM documents),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark),
+q AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY item_id, term),
+n AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+g AS (SELECT count(*)::BIGINT AS total, sum(n)::BIGINT AS length FROM n),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(total) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, g GROUP BY term),
+p AS (
+  SELECT tf.doc_id, tf.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n.n * total) // length))) AS part
+  FROM tf JOIN w ON tf.term = w.term JOIN n ON tf.doc_id = n.doc_id, g),
+s AS (SELECT item_id, doc_id, sum(times * part)::BIGINT AS score FROM p JOIN q ON p.term = q.term GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_digest_merge": OP3_SQL, "op10_warc": OP10_SQL}
+    return {"op12_line_runs": OP12_SQL, "op13_blockmax_search": OP13_SQL, "op3_digest_merge": OP3_SQL, "op10_warc": OP10_SQL}

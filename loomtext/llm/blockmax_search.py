@@ -3,9 +3,9 @@
 Queries come in blocks of a bounded number of terms, each against all documents. A document's terms are counted inside
 its task; those that the block of queries asks for become its postings. Corpus counts (documents, term occurrences,
 documents of a term) are sums over all documents. A shard is what one task reads, cut after a number of postings. In it, dynamic programming
-sets the block boundaries of every posting list so that the sum of (block maximum - score) over its
-postings, plus a price a block, is least. A query's blocks cut the shard's documents into stretches on which the sum of the
-maxima is constant: the bound of the weak AND. Stretches are opened by falling bound, and only postings inside them are
+sets the block boundaries of every posting list so that the sum of (block maximum - score) over the documents from a block's
+first to its last, plus a price a block, is least. The ends of a query's blocks cut the shard's documents into stretches on which
+the sum of the maxima is constant: the bound of the weak AND. Stretches are opened by falling bound, and only postings inside them are
 read; the search ends when no bound reaches the k-th best score. Shards give at most k rows a query, ranked after one
 shuffle that ranks within tasks first.
 """
@@ -39,11 +39,12 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_PARTS).split()
 
 
-def block_ends(scores: np.ndarray, starts: np.ndarray, longest: int = LONGEST, price: float = PRICE) -> np.ndarray:
+def block_ends(docs: np.ndarray, scores: np.ndarray, starts: np.ndarray, longest: int = LONGEST, price: float = PRICE) -> np.ndarray:
     """Positions after each block's last posting, for lists that begin at ``starts`` (the last entry is the end of all).
 
     The best boundaries for the first j postings of a list are the best for j - l plus one block of l, over all l up to
-    ``longest``; all lists advance together, the longer ones first.
+    ``longest``; all lists advance together, the longer ones first. A document between a block's first and last posting that the
+    list doesn't have scores 0 there, so sparse stretches are cut finer.
     """
     sizes = np.diff(starts)
     by_size = np.argsort(-sizes, kind="stable")
@@ -58,20 +59,23 @@ def block_ends(scores: np.ndarray, starts: np.ndarray, longest: int = LONGEST, p
         alive = np.searchsorted(-n, -np.arange(steps), "left")  # how many lists have a posting at each step
         most = np.zeros((len(lists), longest))  # of the last l scores
         total = np.full((len(lists), longest), 0.0)  # their sum
+        head = np.zeros((len(lists), longest))  # the document of the first of them
         best = np.full((len(lists), longest), np.inf)  # the least cost of all before them
         best[:, 0] = 0.0
-        length = np.arange(1, longest + 1)
         took = np.zeros(int(n.sum()), np.int32)
         base = np.concatenate([[0], np.cumsum(n)[:-1]])
         for j in range(steps):
             k = int(alive[j])
             s = scores[first[:k] + j].astype(np.float64)[:, None]
+            d = docs[first[:k] + j].astype(np.float64)
             if j:
-                most[:k, 1:], total[:k, 1:] = most[:k, :-1].copy(), total[:k, :-1].copy()
+                for each in (most, total, head):
+                    each[:k, 1:] = each[:k, :-1].copy()
                 most[:k, 0] = total[:k, 0] = 0
+            head[:k, 0] = d
             np.maximum(most[:k], s, out=most[:k])
             total[:k] += s
-            all_cost = best[:k] + most[:k] * length - total[:k]
+            all_cost = best[:k] + most[:k] * (d[:, None] + 1 - head[:k]) - total[:k]
             pick = all_cost.argmin(1)
             took[base[:k] + j] = pick + 1
             least = all_cost[np.arange(k), pick] + cost[:k]
@@ -93,13 +97,11 @@ class Shard:
         order = np.lexsort((doc, term))
         self.doc, self.score = doc[order], score[order]
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=n_terms))])
-        self.ends = block_ends(self.score, self.starts)
-        firsts = np.concatenate([[0], self.ends[:-1]])
-        self.top = np.maximum.reduceat(self.score, firsts) if len(self.ends) else self.score[:0]
-        self.last = self.doc[self.ends - 1]
-        #: A block answers for the documents after the last one of the block before it in its list.
-        self.after = np.where(np.isin(firsts, self.starts), -1, np.concatenate([[-1], self.last[:-1]])) if len(self.ends) else self.last
-        self.blocks = np.searchsorted(self.ends, self.starts, "right")
+        ends = block_ends(self.doc, self.score, self.starts)
+        begins = np.concatenate([[0], ends[:-1]])[: len(ends)]
+        self.top = np.maximum.reduceat(self.score, begins) if len(ends) else self.score[:0]
+        self.first, self.last = self.doc[begins], self.doc[ends - 1]
+        self.blocks = np.searchsorted(ends, self.starts, "right")
         self.read = 0  # postings that searches have read
 
     def search(self, terms: np.ndarray, times: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,15 +112,14 @@ class Shard:
         if not len(terms):
             return found_s, found_d
         spans = [(self.blocks[t], self.blocks[t + 1]) for t in terms.tolist()]
-        last = np.concatenate([self.last[a:b] for a, b in spans])
-        after = np.concatenate([self.after[a:b] for a, b in spans])
+        first = np.concatenate([self.first[a:b] for a, b in spans])
+        past = np.concatenate([self.last[a:b] for a, b in spans]) + 1
         top = np.concatenate([self.top[a:b] * q for (a, b), q in zip(spans, times.tolist(), strict=True)])
-        to = np.unique(last)  # stretches of documents: (the one before's end, its end]
-        change = np.zeros(len(to) + 1, np.int64)
-        np.add.at(change, np.searchsorted(to, after, "right"), top)
-        np.add.at(change, np.searchsorted(to, last) + 1, -top)
-        bound = np.cumsum(change[:-1])
-        since = np.concatenate([[0], to[:-1] + 1])
+        points = np.unique(np.concatenate([first, past]))
+        change = np.zeros(len(points), np.int64)
+        np.add.at(change, np.searchsorted(points, first), top)
+        np.add.at(change, np.searchsorted(points, past), -top)
+        bound, since, to = np.cumsum(change)[:-1], points[:-1], points[1:] - 1
         scored = np.zeros(int(to[-1]) + 1, np.int64)
         order, at, some = np.argsort(-bound, kind="stable"), 0, FIRST_OPEN
         while at < len(order) and bound[order[at]] >= max(1, least):

@@ -6,7 +6,7 @@ side's last token that the other side has not matched; the other side's next tok
 token that leads: that is a link.
 
 Both tokenizers part a text wherever a blank follows something that isn't white space, and no token of either reaches
-across (the vocabulary is looked through when it is loaded). So a word, from such a place to the next, is encoded and
+across (the vocabularies are looked through and trial texts encoded when they are loaded). So a word, from such a place to the next, is encoded and
 aligned once in a chunk of documents, and a text's alignment is its words' in a row. Where that doesn't hold for a
 word, or a tokenizer changes its bytes, the whole text is encoded instead.
 
@@ -34,6 +34,8 @@ from loomtext.llm.word_tokens import _byte_letters
 
 #: Words of a chunk (a longer text is a chunk of its own), and moves that a transducer remembers.
 CHUNK_WORDS, MEMO_MOVES = 2_000_000, 2_000_000
+#: Texts, with the blank before them, that show whether words part both tokenizers' ids.
+TRIALS = [" the cat's 42 Dogs, über  straße. (x)", " a\nb  c \n d\t e", "  Don't I'LL éÀ — 3.14 <|x|>", " tion ing  re\u00a0 the\u3000x  \n\n  y"]
 _WORD_ENDS = re.compile(r"(?<=\S)(?= )")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -129,7 +131,12 @@ class Aligner:
         self.transducer = Transducer((a_bytes, b_bytes))
         self.names = [str(i) for i in range(self.transducer.width)]
         self.blank = self.b.piece_to_id("▁")
-        self.by_word = not any(re.search("[^▁]▁", p) for p in pieces) and all(b" " not in x.lstrip(b" ") for x in a_bytes)
+        across = any(re.search(r"\S ", x.decode("utf-8", "replace")) for x in [*a_bytes, *b_bytes])
+        self.by_word = not across and all(self.ids(t) == self._word_ids(t) for t in TRIALS)
+
+    def _word_ids(self, text: str) -> tuple[list[int], list[int]]:
+        each = [self.ids(w) for w in _WORD_ENDS.split(text)]
+        return [i for a, _ in each for i in a], [i for _, b in each for i in b]
 
     def ids(self, text: str) -> tuple[list[int], list[int]]:
         """Both sides' ids of a text that begins with the blank that B adds itself."""

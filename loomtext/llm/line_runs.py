@@ -78,8 +78,8 @@ class LineRuns:
     def add(self, lines: DataFrame) -> None:
         """Adds a batch: (h, h2) of each line of its documents, a key at most once a document."""
         rows = lines.groupBy(*KEY).agg(F.count("*").alias("n"))
-        for name in self.settled:
-            rows = rows.join(self.spark.table(name).select(*KEY).hint("merge"), KEY, "left_anti")
+        for name in self.settled:  # spelt as outer joins: Spark moves an anti join below the counting, where a hot line's rows are still apart
+            rows = rows.join(self.spark.table(name).select(*KEY, F.lit(True).alias("settled")).hint("merge"), KEY, "left").filter("settled IS NULL").drop("settled")
         self.levels[0].append(self._write(rows))
         self._compact()
 

@@ -21,6 +21,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,8 @@ from loomtext.llm.held import hold, lean
 from loomtext.llm.staging import stage
 from loomtext.llm.word_tokens import _byte_letters
 
-#: Words of a chunk (a longer text is a chunk of its own), and moves that a transducer remembers.
-CHUNK_WORDS, MEMO_MOVES = 2_000_000, 2_000_000
+#: Code points of a chunk (a longer text is a chunk of its own), and moves that a transducer remembers.
+CHUNK_CHARS, MEMO_MOVES = 8_000_000, 1_000_000
 #: Texts, with the blank before them, that show whether words part both tokenizers' ids.
 TRIALS = [" the cat's 42 Dogs, über  straße. (x)", " a\nb  c \n d\t e", "  Don't I'LL éÀ — 3.14 <|x|>", " tion ing  re\u00a0 the\u3000x  \n\n  y"]
 _WORD_ENDS = re.compile(r"(?<=\S)(?= )")
@@ -155,7 +156,7 @@ class Aligner:
         for to_i, to_j in ends:
             parts.append((names[a[i]] if to_i == i + 1 else ",".join([names[x] for x in a[i:to_i]])) + "|" + (names[b[j]] if to_j == j + 1 else ",".join([names[x] for x in b[j:to_j]])))
             i, j = to_i, to_j
-        return len(a), len(b), len(ends), ";".join(parts), [x * self.transducer.width + y for x, y in links]
+        return len(a), len(b), len(ends), ";".join(parts), array("q", [x * self.transducer.width + y for x, y in links])
 
     def whole(self, text: str) -> tuple | None:
         return self.entry(*self.ids(text), text.encode())
@@ -191,14 +192,14 @@ class _Chunk:
 
     def __init__(self, aligner: Aligner) -> None:
         self.aligner, self.numbers, self.entries = aligner, _Words(), []
-        self.ids, self.words, self.doc_ids, self.texts = [], 0, [], []
+        self.ids, self.chars, self.doc_ids, self.texts = [], 0, [], []
 
     def add(self, doc_id: pa.Scalar, text: str | None) -> None:
         words: list[str] = []
         if text:
             words = _WORD_ENDS.split(" " + text) if self.aligner.by_word else [" " + text]
         self.ids.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
-        self.words += len(words)
+        self.chars += len(text or "")
         self.doc_ids.append(doc_id)
         self.texts.append(text)
 
@@ -215,7 +216,7 @@ class _Chunk:
                 if whole:
                     entries.append(whole)
                 self.ids[k] = np.array([len(entries) - 1] if whole else [], np.int64)
-        none = (0, 0, 0, "", [])
+        none = (0, 0, 0, "", array("q"))
         entries = [e or none for e in entries]
         size = np.array([len(i) for i in self.ids])
         flat = np.concatenate(self.ids) if len(self.ids) else np.zeros(0, np.int64)
@@ -225,7 +226,7 @@ class _Chunk:
         for name, at in (("n_a", 0), ("n_b", 1), ("n_groups", 2), ("n_links", 4)):
             each = np.array([e[at] if at < 4 else len(e[4]) for e in entries] or [0], np.int64)
             sums[name] = _sums(each[flat], size)
-        links = np.fromiter((x for e in entries for x in e[4]), np.int64)
+        links = np.frombuffer(b"".join([e[4].tobytes() for e in entries]), np.int64)
         pairs, local = np.unique(links, return_inverse=True)
         per_word = np.array([len(e[4]) for e in entries], np.int64)
         used = np.bincount(flat, minlength=len(entries)).astype(np.int64)
@@ -254,7 +255,7 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return run[ends] - run[ends - sizes]
 
 
-def _chunks(docs: DataFrame, a_path: str, b_path: str, chunk_words: int) -> DataFrame:
+def _chunks(docs: DataFrame, a_path: str, b_path: str, chunk_chars: int) -> DataFrame:
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -264,7 +265,7 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str, chunk_words: int) -> Data
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 chunk.add(doc_id, text.as_py())
-                if chunk.words >= chunk_words:
+                if chunk.chars >= chunk_chars:
                     yield chunk.row(b.column(0).type)
                     chunk = _Chunk(aligner)
             kept = b.column(0).type
@@ -284,7 +285,7 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
     return totals.join(F.broadcast(most), "b").select("a", "b", "total", (F.col("total") == F.col("most")).alias("best"))
 
 
-def aligned(docs: DataFrame, a_path: str, b_path: str, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+def aligned(docs: DataFrame, a_path: str, b_path: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) per row of ``docs`` (doc_id, text).
 
     A: a byte-level BPE file for ``tokenizers``, of the text with a blank before it; B: a ``sentencepiece`` model with byte
@@ -293,7 +294,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, chunk_words: int = CHUNK_
     they come. Texts of any length are read whole; one without blanks is one word. An empty table gives an empty one. Columns other than
     doc_id and text, whatever their names, are not read.
     """
-    chunks = stage(_chunks(docs, a_path, b_path, chunk_words), "aligned-chunks")
+    chunks = stage(_chunks(docs, a_path, b_path, chunk_chars), "aligned-chunks")
     counts = stage(pair_counts(chunks), "pair-counts")
     spot = chunks.select("chunk", F.posexplode(F.arrays_zip("pair_a", "pair_b")).alias("at", "p")).select("chunk", "at", F.col("p.pair_a").alias("a"), F.col("p.pair_b").alias("b"))
     # merge joins at every size: neither the pairs' counts nor the chunks' are ever broadcast

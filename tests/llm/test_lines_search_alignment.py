@@ -86,9 +86,9 @@ def aligned_by_offsets(rows):
         yield doc_id, n_a, n_b, len(groups), len(links), best, total, hashlib.sha256(text.encode()).hexdigest() if groups else ""
 
 
-@pytest.mark.parametrize("chunk_words", [400, 10**6])
-def test_alignment_is_that_of_the_offsets(docs, rows, chunk_words):
-    same(token_alignment.aligned(docs, A, B, chunk_words).collect(), list(aligned_by_offsets(rows)))
+@pytest.mark.parametrize("chunk_chars", [3000, 10**7])
+def test_alignment_is_that_of_the_offsets(docs, rows, chunk_chars):
+    same(token_alignment.aligned(docs, A, B, chunk_chars).collect(), list(aligned_by_offsets(rows)))
 
 
 def test_transducer_moves_and_links():

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtext.functions.strings import shown_number, squeezed
+from loomtext.operators.tokens import slices
 from loomtext.sources.markup import parse_xml, walk
 
 ATTESTATIONS = "target_id string, kind string, text_id string, ord int, para_id string, para_n string, start int, length int, para string"
@@ -23,6 +24,18 @@ def context(para: Column, start: Column, length: Column, half: int = 40) -> Colu
     return F.concat(F.when(low > 0, "…").otherwise(""), raw, F.when(high < F.char_length(para), "…").otherwise(""))
 
 
+def contexts(paras: DataFrame, hits: DataFrame, keys: list[str], more: list[str], text: str = "text", half: int = 40) -> DataFrame:
+    """(keys, more, quote): ``context`` for hits (keys, more, char_start, char_end) in the paragraphs of ``paras`` (keys, text). A paragraph
+    meets its hits once, and every quote is cut in time by its own length, however long the paragraph is."""
+    one = hits.groupBy(*keys).agg(F.collect_list(F.struct(*more, "char_start", "char_end")).alias("__hits"))
+    df = paras.join(one, keys).withColumn("__size", F.char_length(text).cast("int"))
+    low = F.transform("__hits", lambda h: F.greatest(F.lit(0), h["char_start"] - half))
+    high = F.transform("__hits", lambda h: F.least(F.col("__size"), h["char_end"] + half))
+    df = slices(df, text, low, high, "__cut").select(*keys, "__size", F.inline(F.arrays_zip("__hits", "__cut")))
+    quote = F.concat(F.when(F.col("__hits.char_start") > half, "…").otherwise(""), squeezed(F.col("__cut")), F.when(F.col("__hits.char_end") + half < F.col("__size"), "…").otherwise(""))
+    return df.select(*keys, *[F.col(f"__hits.{m}").alias(m) for m in more], quote.alias("quote"))
+
+
 def references(docs: DataFrame) -> DataFrame:
     """Tagged words (``w``) and names (``persName``, ``placeName``) inside paragraphs of ``docs`` (doc, text): the target of their
     ``#`` reference, the nearest paragraph's id, number and text, and the place of the element's own text in it."""

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.functions import georgian
+from loomtext.operators.tokens import slices
 from loomtext.operators.validate import tag_violations
 from loomtext.sources.markup import walk
 
@@ -189,16 +190,15 @@ def summary(injected: DataFrame) -> DataFrame:
 
 
 def spliced_text(texts: DataFrame, hits: DataFrame, keys: list[str], text: str = "text", before: str = "<w lemma=\"#", after: str = "\">", close: str = "</w>") -> DataFrame:
-    """Plain texts with their hits (keys, char_start, char_end, id) wrapped, as one expression: the pieces between and inside hits
-    are cut by offset and joined. Hits must not overlap; a text without any stays as it is."""
+    """Plain texts with their hits (keys, char_start, char_end, id) wrapped: the pieces between and inside hits are cut once
+    each and joined. Hits must not overlap; a text without any stays as it is."""
     one = hits.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("char_start", "char_end", "id"))).alias("__h"))
     df = texts.join(one, keys, "left")
-    rest = f"substring(`{text}`, element_at(__h, -1).char_end + 1)"
-    pieces = (
-        f"concat(array_join(transform(__h, (h, i) -> concat(substring(`{text}`, if(i = 0, 0, __h[i - 1].char_end) + 1, h.char_start - if(i = 0, 0, __h[i - 1].char_end)), "
-        f"'{before}', h.id, '{after}', substring(`{text}`, h.char_start + 1, h.char_end - h.char_start), '{close}')), ''), {rest})"
-    )
-    return df.withColumn(text, F.expr(f"if(__h is null, `{text}`, {pieces})")).drop("__h")
+    bounds = F.flatten(F.transform("__h", lambda h: F.array(h["char_start"], h["char_end"])))
+    df = slices(df, text, F.concat(F.array(F.lit(0)), bounds), F.concat(bounds, F.array(F.char_length(text).cast("int"))), "__pieces")
+    # every second piece is a hit
+    wrapped = F.zip_with("__pieces", F.flatten(F.transform("__h", lambda h: F.array(F.lit(None).cast("string"), h["id"]))), lambda piece, id_: F.when(id_.isNull(), piece).otherwise(F.concat(F.lit(before), id_, F.lit(after), piece, F.lit(close))))
+    return df.withColumn(text, F.when(F.col("__h").isNull(), F.col(text)).otherwise(F.array_join(wrapped, ""))).drop("__h", "__pieces")
 
 
 def tag_surfaces(docs: DataFrame, table: DataFrame, skipped: list[str] = SCOPED_SKIP, wide_word: str = georgian.WIDE_WORD, tag: str = "w", attribute: str = "lemma") -> DataFrame:

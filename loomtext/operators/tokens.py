@@ -1,14 +1,16 @@
 """Paragraphs, text nodes and tokens.
 
-Spans and offsets are computed by splitting a text into runs of word and non-word characters and adding
-up their lengths inside the row; no Python and no shuffle. Only the walk through mixed content is one Arrow pass.
+Spans and offsets are computed by splitting a text into runs of word and non-word characters, whose lengths are added up
+over Arrow batches; no shuffle. The walk through mixed content is one Arrow pass too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,31 +28,51 @@ def paragraphs(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
     return docs.select(doc, F.posexplode(F.split(text, "\n")).alias("para_id", text))
 
 
-#: Lengths that one inner fold adds up; a fold copies what it has at every step, so long texts are added up in two levels.
-BLOCK = 128
-
-
-def _starts(runs: str) -> str:
-    """SQL: where each string of the array ``runs`` begins if they stand one after another."""
-    fold = "aggregate({0}, struct(0 as s, cast(array() as array<int>) as o), (a, x) -> struct(a.s + {1} as s, concat(a.o, array(a.s)) as o))"
-    blocks = f"transform(sequence(0, greatest(0, size({runs}) - 1) div {BLOCK}), b -> slice(transform({runs}, r -> char_length(r)), b * {BLOCK} + 1, {BLOCK}))"
-    one = f"transform(array({blocks}), bs -> transform(bs, l -> {fold.format('l', 'x')}))[0]"
-    return f"transform(array({one}), ls -> flatten(zip_with(ls, {fold.format('ls', 'x.s')}.o, (l, at) -> transform(l.o, y -> y + at))))[0]"
-
-
 def spans(texts: DataFrame, keys: list[str], text: str = "text", word: str = r"\p{L}+", other: str = r"[^\p{L}]+") -> DataFrame:
     """(keys, k, surface, char_start, char_end): the words of each text, their number from 0 in it, and their offsets in code points.
 
-    ``word`` and ``other`` are maximal runs of complementary characters, so they alternate. Offsets and numbers are made
-    inside the row before it is exploded: no shuffle, no sort, whatever the length of a text. Null texts have no word.
+    ``word`` and ``other`` are maximal runs of complementary characters, so they alternate. The runs are cut in the JVM; their lengths
+    are summed over whole Arrow batches, in time linear in a text's length, without a shuffle or a sort. Null texts have no word.
     """
     runs = F.regexp_extract_all(text, F.lit(f"({word})|({other})"), F.lit(0))
     df = texts.select(*keys, runs.alias("__runs")).filter("size(__runs) > 0")
     first = F.when(F.element_at("__runs", 1).rlike(f"^(?:{word})$"), 0).otherwise(1)
-    df = df.select(*keys, "__runs", F.expr(_starts("__runs")).alias("__at"), first.alias("__first"))
-    pairs = F.expr("filter(zip_with(__runs, __at, (r, a) -> struct(r as surface, a as char_start)), (x, i) -> i % 2 = __first)")
-    df = df.select(*keys, F.posexplode(pairs).alias("k", "__x"))
-    return df.select(*keys, "k", "__x.surface", "__x.char_start", (F.col("__x.char_start") + F.char_length("__x.surface")).alias("char_end"))
+    df = df.select(*keys, "__runs", first.alias("__first"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists, first_word = b.column(b.num_columns - 2), b.column(b.num_columns - 1).to_numpy()
+            size, flat = pc.list_value_length(lists).to_numpy(zero_copy_only=False), lists.flatten()
+            end = np.cumsum(pc.utf8_length(flat).to_numpy(zero_copy_only=False), dtype=np.int64)
+            begin = np.concatenate([[0], end[:-1]])
+            row = np.repeat(np.arange(b.num_rows), size)
+            head = np.cumsum(size) - size
+            nth = np.arange(len(row)) - head[row]
+            at = np.flatnonzero(nth % 2 == first_word[row])
+            base, of = begin[head][row[at]], pa.array(row[at])
+            numbers = [pa.array(x.astype(np.int32)) for x in (nth[at] // 2, begin[at] - base, end[at] - base)]
+            yield pa.record_batch([*[b.column(i).take(of) for i in range(b.num_columns - 2)], numbers[0], flat.take(pa.array(at)), *numbers[1:]], names)
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-2]]
+    names = [*df.columns[:-2], "k", "surface", "char_start", "char_end"]
+    return df.mapInArrow(run, ", ".join([*kinds, "k int, surface string, char_start int, char_end int"]))
+
+
+def slices(df: DataFrame, text: str, froms: Column, tos: Column, name: str) -> DataFrame:
+    """``df`` with an array ``name`` of the pieces of ``text`` between the offsets of two arrays of int; each piece takes time by its own
+    length, wherever in the text it is. Null without offsets."""
+    df = df.withColumns({"__from": froms, "__to": tos})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = {n: i for i, n in enumerate(b.schema.names)}
+            three = (b.column(at[n]) for n in (text, "__from", "__to"))
+            cut = [None if f.as_py() is None else [t[i:j] for t in [s.as_py()] for i, j in zip(f.as_py(), e.as_py(), strict=True)] for s, f, e in zip(*three, strict=True)]
+            keep = [n for n in b.schema.names if n not in ("__from", "__to")]
+            yield pa.record_batch([*[b.column(at[n]) for n in keep], pa.array(cut, pa.list_(pa.string()))], [*keep, name])
+
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-2]]
+    return df.mapInArrow(run, ", ".join([*kept, f"`{name}` array<string>"]))
 
 
 def numbered(words: DataFrame, keys: list[str], order: list[str], name: str = "k") -> DataFrame:

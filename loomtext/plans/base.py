@@ -90,8 +90,7 @@ def stopwords(spark: SparkSession) -> DataFrame:
 
 def matched_types(spark: SparkSession, sf_dir: str, counted: DataFrame) -> DataFrame:
     """``counted`` (surface, norm, …; one row per surface) with its match."""
-    m = match.match_types(counted, stopwords(spark), authority(spark, sf_dir), primary(spark, sf_dir), secondary(spark, sf_dir))
-    return counted.join(m, ["surface", "norm"])
+    return match.match_types(counted, stopwords(spark), authority(spark, sf_dir), primary(spark, sf_dir), secondary(spark, sf_dir), each=True)
 
 
 # --- The same in SQL ------------------------------------------------------------------------------

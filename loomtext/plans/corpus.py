@@ -282,10 +282,8 @@ def _attested(spark, d):
     paras = tokens.paragraphs(table(spark, d, "documents"))
     keys = base.primary(spark, d).select(F.col("key").alias("surface"), F.col("xml_id").alias("target_id"))
     hits = base.placed_words(spark, d).join(keys, "surface")
-    first = hits.groupBy("target_id", "doc_id", "para_id").agg(F.min(F.struct("k", "char_start", "char_end")).alias("x"))
-    return first.join(paras, ["doc_id", "para_id"]).select(
-        "target_id", "doc_id", "para_id", attest.context(F.col("text"), F.col("x.char_start"), F.col("x.char_end") - F.col("x.char_start")).alias("quote")
-    )
+    first = hits.groupBy("doc_id", "para_id", "target_id").agg(F.min(F.struct("k", "char_start", "char_end")).alias("x"))
+    return attest.contexts(paras, first.select("doc_id", "para_id", "target_id", "x.char_start", "x.char_end"), ["doc_id", "para_id"], ["target_id"]).select("target_id", "doc_id", "para_id", "quote")
 
 
 @query(f"WITH {ATTESTED} SELECT * FROM att")
@@ -360,7 +358,7 @@ def scoped_three_tier(spark, d):
 
 
 @query(f"""WITH {SCOPED}, c AS (SELECT w[1] AS w, 'n' || n_nationkey AS id FROM (SELECT regexp_extract_all(lower(n_name), '\\p{{L}}+') AS w, n_nationkey FROM nation) UNION SELECT 'the', 'carried')
-SELECT text_id, sw.surface, coalesce(c.id, 'a' || (m % 1000000)) AS id FROM sw LEFT JOIN c ON c.w = sw.surface LEFT JOIN best USING (text_id, surface) WHERE coalesce(c.id, m::VARCHAR) IS NOT NULL""")
+SELECT text_id, surface, id FROM sw JOIN c ON c.w = sw.surface UNION ALL SELECT text_id, surface, 'a' || (m % 1000000) FROM best ANTI JOIN c ON c.w = best.surface""")
 def carryover_override(spark, d):
     words, hits = _scoped(spark, d)
     return match.carried_over(words, hits, _carry(spark, d))

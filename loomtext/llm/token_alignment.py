@@ -18,11 +18,12 @@ the chunk in one row, and become sums by word and by document there.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ from loomtext.llm.word_tokens import _byte_letters
 
 #: Code points of a chunk (a longer text is a chunk of its own), and moves that a transducer remembers.
 CHUNK_CHARS, MEMO_MOVES = 8_000_000, 1_000_000
+#: Words that are encoded as one text.
+TOGETHER = 2000
 #: Texts, with the blank before them, that show whether words part both tokenizers' ids.
 TRIALS = [" the cat's 42 Dogs, über  straße. (x)", " a\nb  c \n d\t e", "  Don't I'LL éÀ — 3.14 <|x|>", " tion ing  re\u00a0 the\u3000x  \n\n  y"]
 _WORD_ENDS = re.compile(r"(?<=\S)(?= )")
@@ -75,8 +78,8 @@ class Transducer:
         self.moves[state * self.width + token] = to
         return to
 
-    def align(self, a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]] | None:
-        """(ends of groups on both sides, linked ids in order); None where the sides' bytes differ."""
+    def align(self, a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], list[int]] | None:
+        """(ends of groups on both sides, linked ids in order, as id of side 0 times ``width`` plus id of side 1); None where the sides' bytes differ."""
         if len(self.moves) > MEMO_MOVES:
             self._forget()
         moves, states, width = self.moves, self.states, self.width
@@ -97,7 +100,7 @@ class Transducer:
             if state == 0:
                 lead = token
             else:
-                links.append((token, lead) if side else (lead, token))
+                links.append(token * width + lead if side else lead * width + token)
                 if to > 0 and states[to][0] != side:
                     lead = token
             if to <= 0:
@@ -130,6 +133,7 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         b_bytes = [bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
         self.transducer = Transducer((a_bytes, b_bytes))
+        self.sizes = [np.array([len(x) for x in of], np.int64) for of in (a_bytes, b_bytes)]
         self.names = [str(i) for i in range(self.transducer.width)]
         self.blank = self.b.piece_to_id("▁")
         across = any(re.search(r"\S ", x.decode("utf-8", "replace")) for x in [*a_bytes, *b_bytes])
@@ -143,40 +147,62 @@ class Aligner:
         """Both sides' ids of a text that begins with the blank that B adds itself."""
         return self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:]) or ([self.blank] if text == " " else [])
 
-    def entry(self, a: list[int], b: list[int], raw: bytes) -> tuple | None:
-        """(n_a, n_b, n_groups, groups, links as numbers) of ids that must spell ``raw``; None where they don't."""
-        a_bytes, b_bytes = self.transducer.bytes_of
-        if b"".join([a_bytes[i] for i in a]) != raw or b"".join([b_bytes[i] for i in b]) != raw:
-            return None
-        found = self.transducer.align(a, b)
-        if found is None:
-            return None
-        ends, links = found
-        names, parts, i, j = self.names, [], 0, 0
-        for to_i, to_j in ends:
-            parts.append((names[a[i]] if to_i == i + 1 else ",".join([names[x] for x in a[i:to_i]])) + "|" + (names[b[j]] if to_j == j + 1 else ",".join([names[x] for x in b[j:to_j]])))
-            i, j = to_i, to_j
-        return len(a), len(b), len(ends), ";".join(parts), array("q", [x * self.transducer.width + y for x, y in links])
-
-    def whole(self, text: str) -> tuple | None:
-        return self.entry(*self.ids(text), text.encode())
-
-    def entries(self, words: list[str]) -> list[tuple | None]:
-        """The words' entries: encoded as one text and cut at the words' ends, one by one where that isn't possible."""
-        if not words:
-            return []
+    def _cut(self, words: list[str], a: list[int], b: list[int]) -> "Entries | None":
+        """Entries of words from the ids of all of them in a row; None where either side's ids don't spell them, or reach from one into the next."""
         raws = [w.encode() for w in words]
-        a, b = self.ids("".join(words))
-        cuts = np.cumsum([len(r) for r in raws])
-        spans = []
+        cuts, raw, at = np.cumsum([len(r) for r in raws]), b"".join(raws), []
         for side, ids in enumerate((a, b)):
-            at = np.cumsum([len(self.transducer.bytes_of[side][i]) for i in ids])
-            to = np.searchsorted(at, cuts)
-            if not len(at) or at[-1] != cuts[-1] or (at[to] != cuts).any():
-                return [self.whole(w) for w in words]
-            spans.append([0, *(to + 1).tolist()])
-        (fa, fb), n = spans, len(words)
-        return [self.entry(a[fa[k] : fa[k + 1]], b[fb[k] : fb[k + 1]], raws[k]) or self.whole(words[k]) for k in range(n)]
+            if b"".join([self.transducer.bytes_of[side][i] for i in ids]) != raw:
+                return None
+            ends = np.cumsum(self.sizes[side][ids])
+            to = np.searchsorted(ends, cuts)
+            if (ends[to] != cuts).any():
+                return None
+            at.append(to + 1)
+        groups, links = self.transducer.align(a, b)
+        names, parts, i, j = self.names, [], 0, 0
+        for to_i, to_j in groups:
+            if to_i == i + 1 and to_j == j + 1:
+                parts.append(names[a[i]] + "|" + names[b[j]])
+            else:
+                parts.append(",".join([names[x] for x in a[i:to_i]]) + "|" + ",".join([names[x] for x in b[j:to_j]]))
+            i, j = to_i, to_j
+        end = np.searchsorted(np.array([i for i, _ in groups]), at[0]) + 1
+        from_to = itertools.pairwise([0, *end.tolist()])
+        return Entries(*(np.diff(x, prepend=0) for x in (*at, end)), [";".join(parts[x:y]) for x, y in from_to], np.array(links, np.int64))
+
+    def entries(self, words: list[str]) -> "Entries":
+        """Entries of ``words`` (bad where the ids don't spell one): many are encoded as one text and cut at their ends, or one by one where
+        that isn't possible."""
+        found = []
+        for k in range(0, len(words), TOGETHER):
+            some = words[k : k + TOGETHER]
+            a = [e.ids for e in self.a.encode_batch_fast(["".join(some)] if self.by_word else some, add_special_tokens=False)]
+            b = self.b.encode([w[1:] for w in some], num_threads=1)
+            b = [x or ([self.blank] if w == " " else []) for x, w in zip(b, some, strict=True)]
+            one = self._cut(some, list(itertools.chain(*a)), list(itertools.chain(*b)))
+            found += [one] if one else [self._cut([w], *self.ids(w)) or Entries.bad() for w in some]
+        return Entries.joined(found)
+
+
+class Entries(NamedTuple):
+    """What is known of words, in arrays by word; the links of all words in a row, n_a + n_b - n_groups of each."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    groups: list[str]
+    links: np.ndarray
+
+    @staticmethod
+    def bad() -> "Entries":
+        none = np.zeros(1, np.int64)
+        return Entries(none, none, none, [""], none[:0])
+
+    @staticmethod
+    def joined(parts: "list[Entries]") -> "Entries":
+        numbers = [np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*[(p.n_a, p.n_b, p.n_groups, p.links) for p in parts], strict=True)] or [np.zeros(0, np.int64)] * 4
+        return Entries(*numbers[:3], [g for p in parts for g in p.groups], numbers[3])
 
 
 class _Words(dict):
@@ -205,31 +231,31 @@ class _Chunk:
 
     def row(self, kind: pa.DataType) -> pa.RecordBatch:
         """The chunk as one row."""
-        aligner = self.aligner
-        together = [w for w in self.numbers if not w[-1].isspace()] if aligner.by_word else []
-        known = dict(zip(together, aligner.entries(together), strict=True))
-        entries = [known[w] if w in known else aligner.whole(w) for w in self.numbers]
-        bad = np.array([e is None for e in entries] or [False])
+        aligner, numbers = self.aligner, self.numbers
+        words = list(numbers)
+        # a text's last word may end in white space: it isn't encoded together with others
+        loose = [w for w in words if w[-1].isspace()]
+        order = [*[w for w in words if not w[-1].isspace()], *loose]
+        entries = [aligner.entries(order[: len(order) - len(loose)]), *[aligner.entries([w]) for w in loose]]
+        place = np.zeros(len(words), np.int64)
+        place[[numbers[w] for w in order]] = np.arange(len(order))
+        self.ids = [place[i] for i in self.ids]
+        good = Entries.joined(entries).n_groups > 0
         for k, ids in enumerate(self.ids):
-            if len(ids) and bad[ids].any():
-                whole = aligner.whole(" " + self.texts[k]) if len(ids) > 1 else None
-                if whole:
+            if len(ids) and not good[ids].all():
+                whole = aligner.entries([" " + self.texts[k]])
+                self.ids[k] = np.zeros(0, np.int64)
+                if len(ids) > 1 and whole.n_groups[0]:
+                    self.ids[k] = np.array([sum(len(e.groups) for e in entries)])
                     entries.append(whole)
-                self.ids[k] = np.array([len(entries) - 1] if whole else [], np.int64)
-        none = (0, 0, 0, "", array("q"))
-        entries = [e or none for e in entries]
+        e = Entries.joined(entries)
         size = np.array([len(i) for i in self.ids])
         flat = np.concatenate(self.ids) if len(self.ids) else np.zeros(0, np.int64)
-        spelt = [e[3] for e in entries]
-        shas = [hashlib.sha256(";".join([spelt[i] for i in ids.tolist()]).encode()).hexdigest() if len(ids) else "" for ids in self.ids]
-        sums = {}
-        for name, at in (("n_a", 0), ("n_b", 1), ("n_groups", 2), ("n_links", 4)):
-            each = np.array([e[at] if at < 4 else len(e[4]) for e in entries] or [0], np.int64)
-            sums[name] = _sums(each[flat], size)
-        links = np.frombuffer(b"".join([e[4].tobytes() for e in entries]), np.int64)
-        pairs, local = np.unique(links, return_inverse=True)
-        per_word = np.array([len(e[4]) for e in entries], np.int64)
-        used = np.bincount(flat, minlength=len(entries)).astype(np.int64)
+        shas = [hashlib.sha256(";".join([e.groups[i] for i in ids.tolist()]).encode()).hexdigest() if len(ids) else "" for ids in self.ids]
+        per_word = e.n_a + e.n_b - e.n_groups
+        sums = {name: _sums(each[flat], size) for name, each in (("n_a", e.n_a), ("n_b", e.n_b), ("n_groups", e.n_groups), ("n_links", per_word))}
+        pairs, local = np.unique(e.links, return_inverse=True)
+        used = np.bincount(flat, minlength=len(e.groups)).astype(np.int64)
         n = np.bincount(local, weights=np.repeat(used, per_word), minlength=len(pairs)).astype(np.int64)
         small = lambda x: x.astype("<u4").tobytes()
         width = aligner.transducer.width

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomtext.operators import pages, tree
+from loomtext.operators import grammar, pages, tree
 from loomtext.plans.base import query, table
 from loomtext.plans.tei import NS
 from loomtext.sources import markup
@@ -205,3 +205,41 @@ s AS (SELECT p.doc, p.i, p.level, lag(p.level) OVER (PARTITION BY p.doc ORDER BY
 SELECT doc, md5(string_agg(CASE WHEN before IS NULL THEN '' ELSE repeat('</section>', before - level + 1) END || s || CASE WHEN at_end THEN repeat('</section>', level) ELSE '' END, '' ORDER BY i) || '<ol>' || string_agg(f, '' ORDER BY i) || '</ol>') AS digest FROM s GROUP BY doc""")
 def article_html(spark, d):
     return pages.articles(_noted(spark, d)).select("doc", F.md5("html").alias("digest"))
+
+
+# --- Grammar --------------------------------------------------------------------------------------
+
+RNG = """<grammar xmlns="http://relaxng.org/ns/structure/1.0"><start><ref name="tei"/></start>
+<define name="tei"><element name="TEI"><element name="text"><element name="body"><zeroOrMore><choice><ref name="app"/><ref name="p"/></choice></zeroOrMore></element></element></element></define>
+<define name="app"><element name="app"><attribute name="n"/><optional><attribute name="type"><choice><value>lexical</value><value>addition</value></choice></attribute></optional>
+  <optional><ref name="lem"/></optional><oneOrMore><ref name="rdg"/></oneOrMore><zeroOrMore><ref name="note"/></zeroOrMore></element></define>
+<define name="lem"><element name="lem"><text/></element></define><define name="rdg"><element name="rdg"><mixed><zeroOrMore><ref name="hi"/></zeroOrMore></mixed></element></define>
+<define name="note"><element name="note"><text/></element></define><define name="hi"><element name="hi"><text/></element></define><define name="list"><element name="list"><empty/></element></define>
+<define name="p"><element name="p"><interleave><optional><ref name="hi"/></optional><ref name="list"/></interleave></element></define></grammar>"""
+
+
+def _modelled(x, i, k):
+    """Entries and paragraphs whose children follow the lengths of the line's words."""
+    size, words = F.char_length(x), F.regexp_extract_all(x, F.lit(r"(\p{L}+)"), F.lit(1))
+    n = lambda w: F.char_length(w)
+    in_app = lambda w: F.when(n(w) >= 11, "<gap/>").when(n(w) % 4 == 0, "<lem>l</lem>").when(n(w) % 4 == 3, "<note>n</note>").otherwise("<rdg>r<hi>h</hi></rdg>")
+    in_p = lambda w: F.when(n(w) % 2 == 0, "<hi>h</hi>").otherwise("<list/>")
+    app = _joined(
+        "<app", F.when(size % 5 != 0, _joined(' n="', k, '"')).otherwise(""), F.when(size % 3 == 1, ' type="lexical"').when(size % 3 == 2, ' type="odd"').otherwise(""), F.when(size % 11 == 0, ' extra="1"').otherwise(""), ">",
+        F.when(size % 7 == 0, "x").otherwise(" "), F.array_join(F.transform(F.slice(words, 1, 6), in_app), "\n"), "</app>",
+    )
+    return F.when(i % 2 == 0, app).otherwise(_joined("<p>", F.array_join(F.transform(F.slice(words, 1, 3), in_p), ""), "</p>"))
+
+
+@query(rf"""WITH {LINED}, w AS (SELECT doc, i, length(x) AS n, regexp_extract_all(x, '\p{{L}}+') AS w FROM lines),
+k AS (SELECT doc, i, n, i % 2 = 0 AS app, CASE WHEN i % 2 = 0 THEN array_to_string(list_transform(w[1:6], lambda y: CASE WHEN length(y) >= 11 THEN 'g' WHEN length(y) % 4 = 0 THEN 'l' WHEN length(y) % 4 = 3 THEN 'n' ELSE 'r' END), '')
+  ELSE array_to_string(list_transform(w[1:3], lambda y: CASE WHEN length(y) % 2 = 0 THEN 'h' ELSE 't' END), '') END AS s FROM w),
+p AS (SELECT *, CASE WHEN app THEN length(regexp_extract(s, '^l?(r+n*)?')) ELSE length(regexp_extract(s, '^(th?|ht?)?')) END AS good FROM k),
+e AS (SELECT doc, i, 0 AS kind, 'app: attribute n missing' AS error FROM p WHERE app AND n % 5 = 0 UNION ALL SELECT doc, i, 1, 'app: attribute extra not allowed' FROM p WHERE app AND n % 11 = 0
+  UNION ALL SELECT doc, i, 2, 'app: attribute type has a wrong value' FROM p WHERE app AND n % 3 = 2 UNION ALL SELECT doc, i, 3, 'app: text not allowed' FROM p WHERE app AND n % 7 = 0
+  UNION ALL SELECT doc, i, 4, CASE WHEN app THEN 'app' ELSE 'p' END || ': content incomplete' FROM p WHERE good = length(s) AND NOT regexp_matches(s, CASE WHEN app THEN '^l?r+n*$' ELSE '^(t|th|ht)$' END)
+  UNION ALL SELECT doc, i, 5, CASE WHEN app THEN 'app: ' ELSE 'p: ' END || CASE s[good + 1] WHEN 'g' THEN 'gap' WHEN 'l' THEN 'lem' WHEN 'n' THEN 'note' WHEN 'r' THEN 'rdg' WHEN 'h' THEN 'hi' ELSE 'list' END || ' not allowed here' FROM p WHERE good < length(s)),
+o AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY i, kind) AS nth, error, count(*) OVER (PARTITION BY doc) AS errors FROM e)
+SELECT doc, nth, error, errors FROM o WHERE nth <= 5""")
+def tei_grammar(spark, d):
+    return grammar.first_errors(markup.node_table(_lined(spark, d, _modelled)), grammar.read_grammar(RNG))

@@ -168,7 +168,7 @@ def _tables(spark: SparkSession, g: Grammar) -> tuple[DataFrame, list[str]]:
 
 def errors(nodes: DataFrame, g: Grammar) -> DataFrame:
     """(doc, node, kind, error): what in a node table the grammar doesn't allow. Of an element's children the first that can't stand
-    where it does is reported, and nothing else about their order; what is inside elements that the grammar doesn't know isn't checked.
+    where it does is reported, and nothing else about their order; an element that the grammar doesn't know isn't looked into, elements in it that it knows are.
 
     Kinds, in the order in which a node's are listed: 0 a missing attribute, 1 one that isn't allowed, 2 a wrong value, 3 text,
     4 content that isn't complete, 5 an element that isn't allowed where it stands.

@@ -78,7 +78,7 @@ def test_errors_of_documents(spark):
         got.setdefault(r.doc, []).append(r.error)
         assert r.errors == {"many": 8}.get(r.doc, r.errors)
     assert got == {
-        "root": ["p not allowed as the root"], "other": ["x not allowed as the root"], "deep": ["rdg: note not allowed here", "app: what not allowed here"],
+        "root": ["p not allowed as the root"], "other": ["x not allowed as the root"], "deep": ["rdg: note not allowed here", "app: what not allowed here", "p: content incomplete"],
         "late": ["list: text not allowed", "p: content incomplete", "p: list not allowed here"], "tail": ["app: attribute type has a wrong value", "app: text not allowed"],
         "many": ["app: attribute n missing", "app: content incomplete", "app: attribute n missing", "app: content incomplete", "app: attribute n missing"],
     }

@@ -3,13 +3,12 @@
 A capture is up to three records: a response (or a revisit where an equal payload is archived
 already), its request and its metadata; the latter two name the first in WARC-Concurrent-To. Spark's
 text sink writes the records: one row is one record, and its line separator is the two CRLFs that end a
-record. The reader follows Content-Length through whole files (plain or gzip, one member a record
-or not), so payloads may hold anything. Assembly joins the records of a capture on the response's id.
+record. The reader follows Content-Length through files (plain or gzip, one member a record
+or not), so payloads may hold anything; it inflates a record at a time. Assembly joins the records of a capture on the response's id.
 """
 
 from __future__ import annotations
 
-import io
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,6 +21,8 @@ from loomtext.llm.held import lean
 from loomtext.llm.staging import delete, join_counted, new_path, scope, stage
 
 CRLF = "\r\n"
+#: How a gzip member begins.
+GZIP = b"\x1f\x8b\x08"
 #: Payloads below this many bytes are always archived whole.
 REVISIT_BYTES = 100
 #: Bytes of an archive file, before compression, that the writer aims at; the reader holds one file at a time.
@@ -96,37 +97,70 @@ def write_archives(caps: DataFrame, path: str) -> None:
     out.option("maxRecordsPerFile", 3 * max(1, int(FILE_BYTES / per_capture))).text(path)
 
 
-def _gunzip(raw: bytes) -> bytes:
-    out = io.BytesIO()
-    while raw:
-        d = zlib.decompressobj(31)
-        out.write(d.decompress(raw))
-        out.write(d.flush())
-        raw = d.unused_data
-    return out.getvalue()
+def inflated(raw: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The bytes of a gzip file of any number of members, piece by piece, in time linear in its size.
 
-
-def parse(raw: bytes) -> Iterator[tuple[dict[str, list[str]], bytes]]:
-    """(headers by lower-case name, content block) of each record; what is not a record is skipped to the next version line."""
-    if raw[:2] == b"\x1f\x8b":
-        raw = _gunzip(raw)
-    at = 0
-    while (at := raw.find(b"WARC/", at)) >= 0:
-        end = raw.find(b"\r\n\r\n", at)
+    What isn't a member (padding, junk) is skipped up to the next member's signature; a damaged member gives what can be read of it.
+    """
+    view, at = memoryview(raw), raw.find(GZIP)
+    while at >= 0:
+        d, begin = zlib.decompressobj(31), at
+        try:
+            while not d.eof and at < len(raw):
+                fed = view[at : at + step]
+                at += len(fed)
+                out = d.decompress(fed)
+                if out:
+                    yield out
+            at -= len(d.unused_data)  # at most one step, whatever follows
+        except zlib.error:
+            at = begin + 1
+        at = raw.find(GZIP, at)
+
+
+def parse(raw: bytes, step: int = 1 << 20) -> Iterator[tuple[dict[str, list[str]], bytes]]:
+    """(headers by lower-case name, content block) of each record; what is not a record is skipped to the next version line. One record
+    is held at a time, besides the file as it is."""
+    pieces = inflated(raw) if raw[:3] == GZIP else (raw[k : k + step] for k in range(0, len(raw), step))
+    held, more = bytearray(), True
+
+    def fill() -> bool:
+        nonlocal more
+        piece = next(pieces, None)
+        more = piece is not None
+        held.extend(piece or b"")
+        return more
+
+    def find(what: bytes, since: int) -> int:
+        """Where ``what`` begins, reading on as far as it takes; each byte is looked at once."""
+        while (at := held.find(what, since)) < 0:
+            since = max(since, len(held) - len(what) + 1)
+            if not fill():
+                return -1
+        return at
+
+    while True:
+        at = find(b"WARC/", 0)
+        if at < 0:
+            return
+        del held[:at]
+        end = find(b"\r\n\r\n", 0)
         if end < 0:
             return
-        lines = re.sub(rb"\r\n[ \t]+", b" ", raw[at:end]).split(b"\r\n")[1:]
+        lines = re.sub(rb"\r\n[ \t]+", b" ", bytes(held[:end])).split(b"\r\n")[1:]
         headers: dict[str, list[str]] = {}
         for line in lines:
             name, _, value = line.partition(b":")
             headers.setdefault(name.strip().decode("utf-8", "replace").lower(), []).append(value.strip().decode("utf-8", "replace"))
         size = headers.get("content-length", [""])[0]
-        if not size.isdigit():
-            at += 5
+        if not (size.isascii() and size.isdigit()):
+            del held[:5]
             continue
-        block = raw[end + 4 : end + 4 + int(size)]
-        yield headers, block
-        at = end + 4 + len(block)
+        stop = end + 4 + int(size)
+        while len(held) < stop and fill():
+            pass
+        yield headers, bytes(held[end + 4 : stop])
+        del held[:stop]
 
 
 RECORD = "record_id string, type string, date string, uri string, concurrent_to array<string>, refers_to string, digest string, content_type string, http_head string, payload binary, truncated boolean"
@@ -134,7 +168,8 @@ RECORD = "record_id string, type string, date string, uri string, concurrent_to
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives under ``path``. For HTTP records payload is what follows the
-    HTTP head. A record cut short by the file's end is marked truncated. Non-archives give no row."""
+    HTTP head. A record cut short by the file's end is marked truncated, one that damage cuts holds what could be read before it; padding
+    and junk between members or records are skipped. Non-archives and empty files give no row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("date", pa.string()), ("uri", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("refers_to", pa.string()), ("digest", pa.string()), ("content_type", pa.string()), ("http_head", pa.string()), ("payload", pa.binary()), ("truncated", pa.bool_())])

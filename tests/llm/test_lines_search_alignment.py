@@ -242,3 +242,45 @@ def test_same_rows_as_sql(spark, sf_dir, name):
     got = registry.queries()[name](spark, sf_dir)
     expected = con.execute(f"SELECT {', '.join(got.columns)} FROM ({registry.oracle_sql()[name]})").fetchall()
     same(got.collect(), expected)
+
+
+# --- op10: archives that others wrote, padded or damaged -------------------------------------------
+
+
+def record(k: int, body: bytes) -> bytes:
+    return b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:%d>\r\nContent-Length: %d\r\n\r\n" % (k, len(body)) + body + b"\r\n\r\n"
+
+
+def test_archives_of_many_members_padding_and_damage(spark, tmp_path):
+    import gzip
+    import random
+    import time
+
+    from loomtext.llm import warc
+
+    noise = random.Random(1)
+    bodies = [noise.randbytes(300 * (k % 7)) + b"\r\n\r\nWARC/1.1 x" for k in range(60)]
+    members = [gzip.compress(record(k, b)) for k, b in enumerate(bodies)]
+    whole = b"".join(members)
+    one = gzip.compress(b"".join(record(k, b) for k, b in enumerate(bodies)))
+    found = lambda raw: [(h["warc-record-id"][0], b) for h, b in warc.parse(raw)]
+    every = [(f"<urn:uuid:{k}>", b) for k, b in enumerate(bodies)]
+    assert found(whole) == found(one) == found(b"".join(record(k, b) for k, b in enumerate(bodies))) == every
+    assert found(whole + b"\0" * 500) == found(whole + b"junk") == found(b"".join(m + b"\0" * (k % 3) for k, m in enumerate(members))) == every
+    hurt = bytearray(members[20])
+    hurt[len(hurt) // 2] ^= 0xFF
+    kept = dict(found(b"".join(members[:20]) + bytes(hurt) + b"".join(members[21:])))
+    assert all(kept.get(i) == b for i, b in [*every[:20], *every[22:]])  # its neighbour may be lost, nothing else
+    assert found(b"") == found(b"\x1f\x8b\x08") == found(b"no archive" * 100) == found(gzip.compress(b"")) == []
+    assert found(whole[: len(whole) // 2])[:5] == every[:5]
+    took = []
+    for n in (4000, 16000):
+        raw = gzip.compress(record(1, b"x" * 200)) * n
+        began = time.perf_counter()
+        assert sum(1 for _ in warc.parse(raw)) == n
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0]  # linear: four times; quadratic: sixteen
+    for name, raw in [("a.gz", whole + b"\0" * 9), ("b.warc", record(99, b"plain")), ("c.gz", bytes(hurt)), ("d.txt", b"nothing"), ("e", b"")]:
+        (tmp_path / name).write_bytes(raw)
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert len({r.record_id for r in rows}) == 61 and {r.record_id for r in rows} == {f"urn:uuid:{k}" for k in [*range(60), 99]}

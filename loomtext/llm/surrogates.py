@@ -12,6 +12,10 @@ numbers that pass their check digits get surrogates that pass too.
 
 Distinctness is checked: of entities of one kind whose surrogates coincide, or whose surrogate is an
 entity of the corpus, all but the smallest draw again with a longer form or another attempt.
+
+Not every word after a title is a name. A title that can close a sentence ("I saw the Dr. The office was closed.") takes no
+word that the corpus writes in small letters as often as with a capital, and no title takes an office ("Mr President"). Words of
+names that are ordinary in that sense, months, weekdays and offices are replaced behind a title only.
 """
 
 from __future__ import annotations
@@ -39,6 +43,22 @@ ENDINGS = {
     "greek": {"m": "ρων", "f": "λια", "": "ρις", "s": "μερ"},
 }
 
+#: Titles that stand without a name too, and so may close a sentence.
+ALONE = ["Dr", "Prof", "Sr", "Sra"]
+#: Offices, which a title can precede without a name; months and weekdays.
+OFFICES = (
+    "president chairman chairwoman chairperson chair speaker minister secretary mayor judge justice ambassador commissioner director professor doctor senator governor vice prime "
+    "präsident präsidentin ministerin kanzler kanzlerin bürgermeister bürgermeisterin richter richterin direktor direktorin doktor professorin vorsitzender vorsitzende "
+    "président présidente ministre maire juge ambassadeur directeur directrice docteur professeur presidente presidenta ministro ministra alcalde alcaldesa juez embajador directora doctora profesor profesora"
+).split()
+CALENDAR = (
+    "january february march april may june july august september october november december monday tuesday wednesday thursday friday saturday sunday "
+    "januar februar märz mai juni juli oktober dezember montag dienstag mittwoch donnerstag freitag samstag sonnabend sonntag "
+    "janvier février mars avril juin juillet août septembre octobre novembre décembre lundi mardi mercredi jeudi vendredi samedi dimanche "
+    "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre lunes martes miércoles jueves viernes sábado domingo"
+).split()
+
+
 def _by_first_letter(words: list[str]) -> str:
     """An alternation that is left at once where no word's first letter stands."""
     firsts = sorted({w[0] for w in words})
@@ -73,6 +93,8 @@ _piece = r"(?:\p{Lu}\.(?:[\-]?\p{Lu}\.)*+(?!\p{L})|(?:[dl]['’]|(?:al|el)-)?\p{
 NAME = rf"{_titles}\.?(?:[ ]{_titles}(?:\.|(?![\p{{L}}'’\-])))*+(?:[ ](?:{_particles}[ ])*+{_piece})++"
 #: From this attempt on numbers and addresses grow as names and e-mail addresses do from the first, so that no form is ever full.
 GROWS = 8
+#: IPv4 addresses stay such for so many attempts, the later ones drawn from all addresses.
+IP_GROWS = 64
 #: In the order that decides an entity's kind.
 KINDS = {"email": EMAIL, "ip": IP, "ip6": IP6, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "name": NAME}
 ANY = START + "(?:" + "|".join(f"(?:{p})" for p in KINDS.values()) + ")"
@@ -93,9 +115,14 @@ def _found(text: Column) -> Column:
     return F.when(_may_hold(text), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
+def _place() -> list[Column]:
+    """What a text's entities are gathered by: the row's id and two hashes of its text, so that rows without an id, or of one id, stay apart."""
+    return [F.col("doc_id").alias("id"), F.xxhash64("text").alias("t"), F.xxhash64(F.lit(1), F.col("text")).alias("t2")]
+
+
 def entities(docs: DataFrame) -> DataFrame:
-    """(doc_id, entity): the distinct entities of each row's text."""
-    return docs.select("doc_id", F.explode(F.array_distinct(_found(F.col("text")))).alias("entity"))
+    """(id, t, t2, entity): the distinct entities of each row's text."""
+    return docs.select(*_place(), F.explode(F.array_distinct(_found(F.col("text")))).alias("entity"))
 
 
 def _kind(entity: Column) -> Column:
@@ -105,36 +132,99 @@ def _kind(entity: Column) -> Column:
     return kind
 
 
+#: Words as names have them, without a possessive; what stands between them.
+WORD = r"[\p{L}\p{M}]+(?:[\-'’](?![sS](?![\p{L}\p{M}]))[\p{L}\p{M}]+)*"
+#: What may stand before a word, of several the last; a word with it, white space or punctuation behind it. What ends a sentence or a line comes first.
+LEADS = " \t\n\r\f\v().!?:…\"'«»„“”"
+SPOT = rf"(?:^|[.!?:…\n\r][)\"'»”\s]*+|[\s(«„“\"'])(?:{WORD})(?=[\s.,;:!?)\"'’»”…]|$)"
 #: What follows a name's word: a possessive, which stays.
 POSSESSIVE = "(['’][sS]?)$"
 
 
+_title = rf"{_titles}(?:\.|(?![\p{{L}}'’\-]))"
+
+
+def numbered_entities(found: DataFrame) -> DataFrame:
+    """(e, entity, n, kind, first, closing) for the distinct entities of ``found`` (entity): a number, how many texts have it, its kind; of a
+    name the first word after its titles, in small letters, and whether it follows a title that may close a sentence."""
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = found.groupBy("entity").agg(F.count("*").alias("n")).repartition(n, "entity")  # by number: telling the kind is costly
+    name = F.col("kind") == "name"
+    first = F.regexp_extract("entity", rf"^(?:{_title}[ ])+(?:{_particles}[ ])*([^ ]+)", 1)
+    first = F.lower(F.regexp_replace(F.regexp_replace(first, POSSESSIVE, ""), r"\.$", ""))
+    closing = F.col("entity").rlike(rf"^(?:{_title}[ ])*(?:{'|'.join(ALONE)})\.[ ](?=\p{{Lu}})(?!{_title})")
+    counted = counted.withColumn("kind", _kind(F.col("entity")))
+    return counted.select(F.monotonically_increasing_id().alias("e"), "entity", "n", "kind", F.when(name, first).alias("first"), (name & closing).alias("closing"))
+
+
+def ordinary_words(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """(canon): those of ``words`` (canon, distinct) that at least as many rows of ``docs`` (text) write in small letters as with a capital
+    inside a sentence.
+
+    All texts are read; a word beside an at sign, a dot or the like is none. A bitmap of 2^20 hashes keeps other words from being counted; it never
+    drops one that is asked for.
+    """
+    cell = lambda w: F.pmod(F.xxhash64(w), F.lit(1 << 20)).cast("int")
+    spark = docs.sparkSession
+    cells = words.select(cell(F.col("canon")).alias("c")).groupBy(F.shiftright("c", 5).alias("id")).agg(F.expr("bit_or(shiftleft(1, c % 32))").alias("bits"))
+    row = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))["bits"]  # 32,768 numbers
+    asked = spark.range(1 << 15).select(F.col("id").cast("int").alias("id")).join(cells, "id", "left").agg(row.alias("asked"))
+
+    def wanted(w: Column) -> Column:
+        c = cell(F.lower(w))
+        return F.getbit(F.get("asked", F.shiftright(c, 5)), c % 32) == 1
+
+    some = docs.select("text").crossJoin(F.broadcast(asked))  # one row beside each text
+    bare = lambda x: F.ltrim(x, F.lit(LEADS))
+    some = some.select(F.filter(F.regexp_extract_all("text", F.lit(SPOT), F.lit(0)), lambda x: wanted(bare(x))).alias("xs"))
+
+    def spelling(x: Column) -> Column:
+        """s or c before the word in small letters; nothing where a sentence's begin tells nothing."""
+        word = bare(x)
+        begins = (x == word) | x.rlike(r"^[.!?:…\n\r]")
+        return F.when(word == F.lower(word), F.concat(F.lit("s"), word)).when(~begins, F.concat(F.lit("c"), F.lower(word)))
+
+    forms = some.select(F.explode(F.array_distinct(F.array_compact(F.transform("xs", spelling)))).alias("f"))
+    forms = forms.select(F.substring("f", 2, 1 << 30).alias("canon"), (F.left("f", F.lit(1)) == "s").alias("small"))
+    counted = forms.groupBy("canon").agg(F.count_if("small").alias("small"), F.count_if(~F.col("small")).alias("capital"))
+    return counted.filter("small > 0 and small >= capital").join(words.hint("merge"), "canon", "left_semi").select("canon")
+
+
+def not_names(entities_: DataFrame, ordinary: DataFrame) -> DataFrame:
+    """(e): the numbers of entities found as names that are none."""
+    office = F.col("first").isin(OFFICES)
+    closing = entities_.filter("closing").join(ordinary.select(F.col("canon").alias("first")).hint("merge"), "first", "left_semi")
+    return entities_.filter(office).select("e").unionByName(closing.select("e")).distinct()
+
+
 def parts(distinct: DataFrame) -> DataFrame:
-    """(entity, n, kind, at, part, tail, canon, script, given, gender): an entity's parts to replace, from (entity, n, kind).
+    """(e, n, kind, at, part, tail, canon, script, given, gender): an entity's parts to replace, from (e, entity, n, kind).
 
     Names have one for each word after the title, e-mail addresses two: the local part and the domain. canon is
-    what decides identity: digits for numbers, lower case for addresses and names. tail stays as it is.
+    what decides identity: digits for numbers, lower case for addresses and names. tail stays as it is. No part carries the whole
+    entity but an address', which is short.
     """
     words = F.expr("case kind when 'name' then split(entity, ' ') when 'email' then split(entity, '@') else array(entity) end")
-    df = distinct.select("*", F.posexplode(words).alias("at", "part"))
-    title = F.regexp_replace(F.element_at(F.split("entity", " "), 1), r"\.$", "")
+    title = F.regexp_replace(F.substring_index("entity", " ", 1), r"\.$", "")
     gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("")
-    last = F.size(F.split("entity", " ")) - 1
+    df = distinct.select("e", "n", "kind", gender.alias("gender"), F.when(F.col("kind") == "email", F.lower("entity")).alias("address"), words.alias("words"))
+    df = df.select("e", "n", "kind", "gender", "address", (F.size("words") - 1).alias("last"), F.posexplode("words").alias("at", "part"))
+    last = F.col("last")
     # a further title ("Frau Prof. Dr. Weber") stays, unless it is the last word
     also = F.col("part").rlike(rf"^{_titles}\.?$") & (F.col("at") < last)
     kind = F.when((F.col("kind") == "email") & (F.col("at") == 1), "domain").when(F.col("kind") != "name", F.col("kind"))
     kind = kind.when((F.col("at") == 0) | F.col("part").isin(PARTICLES) | also, "title").otherwise("name")
-    df = df.select("entity", "n", kind.alias("kind"), "at", "part", gender.alias("gender"), (F.col("at") < last).alias("given"))
+    df = df.select("e", "n", kind.alias("kind"), "at", "part", "gender", (F.col("at") < last).alias("given"), "address")
     name = F.col("kind") == "name"
     tail = F.when(name, F.regexp_extract("part", POSSESSIVE, 1)).otherwise("")
     bare = F.when(name, F.regexp_replace(F.regexp_replace("part", POSSESSIVE, ""), r"\.$", "")).otherwise(F.col("part"))  # an initial without its dot
     digits = F.regexp_replace("part", r"\D", "")
     country = F.regexp_extract("part", r"^\+(\d{1,3})", 1)  # stays as it is
     phone = F.concat(country, F.lit(" "), F.substring(digits, F.length(country) + 1, F.length(digits)))
-    plain = F.when(F.col("kind") == "email", F.lower("entity")).otherwise(F.lower(F.regexp_replace(bare, " ", "")))
+    plain = F.when(F.col("kind") == "email", F.col("address")).otherwise(F.lower(F.regexp_replace(bare, " ", "")))
     canon = F.when(F.col("kind") == "phone", phone).when(F.col("kind").isin("card", "ssn"), digits).otherwise(plain)
     script = F.when(F.col("part").rlike(r"\p{IsCyrillic}"), "cyrillic").when(F.col("part").rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-    return df.select("entity", "n", "kind", "at", bare.alias("part"), tail.alias("tail"), canon.alias("canon"), script.alias("script"), "given", "gender")
+    return df.select("e", "n", "kind", "at", bare.alias("part"), tail.alias("tail"), canon.alias("canon"), script.alias("script"), "given", "gender")
 
 
 def identities(pieces: DataFrame) -> DataFrame:
@@ -161,9 +251,9 @@ def proposals(keys: DataFrame, key: str) -> DataFrame:
     # the leading digits that tell the issuer's or the country's kind stay
     card = "concat(substr(canon, 1, 1), array_join(transform(split(substr(shape, 2), ''), (c, i) -> cast(z[i % 64] % 10 as string)), ''))"
     iban = "concat(upper(substr(canon, 1, 2)), '00', array_join(transform(split(upper(substr(shape, 5)), ''), (c, i) -> if(c rlike '[0-9]', cast(z[i % 64] % 10 as string), chr(65 + z[i % 64] % 26))), ''))"
-    # addresses of the range kept for documentation: IPv6 ones, and later attempts at IPv4 ones
+    # IPv6 addresses of the range kept for documentation; IPv4 ones of one that isn't in use, then of all, and only when that is full IPv6 ones
     ip6 = "concat('2001:db8', array_join(transform(sequence(0, 5), i -> concat(':', lower(substr(hx, 4 * i + 1, 4)))), ''))"
-    ip = f"if(attempt < {GROWS}, concat_ws('.', 240 + z[0] % 15, z[1], z[2], z[3]), {ip6})"
+    ip = f"case when attempt < {GROWS} then concat_ws('.', 240 + z[0] % 15, z[1], z[2], z[3]) when attempt < {IP_GROWS} then concat_ws('.', z[0], z[1], z[2], z[3]) else {ip6} end"
     local = "array_join(transform(split(substring_index(canon, '@', 1), ''), (c, i) -> case when c rlike '[0-9]' then cast(z[i % 64] % 10 as string) when c rlike '\\\\p{L}' then chr(97 + z[i % 64] % 26) else c end), '')"
     # told apart inside a domain only; the domain gets its own surrogate
     email = f"concat({local}, if(attempt > 0, lower(substr(hx, 90, 2 * attempt)), ''), '@', substring_index(canon, '@', -1))"
@@ -227,33 +317,32 @@ def _dressed() -> Column:
     )
 
 
-def surrogate_table(found: DataFrame, key: str) -> DataFrame:
-    """(entity, n, kind, surrogate, words) for the distinct entities of ``found`` (doc_id, entity); words are the pairs
-    (word, its surrogate) of a name's words of three letters or more."""
-    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = found.groupBy("entity").agg(F.count("*").alias("n")).repartition(n, "entity")  # by number: telling the kind is costly
-    counted = stage(counted.withColumn("kind", _kind(F.col("entity"))), "entities")
-    pieces = stage(parts(counted), "entity-parts")
+def surrogate_table(found: DataFrame, key: str, docs: DataFrame) -> DataFrame:
+    """(entity, n, kind, surrogate, words) for the distinct entities of ``found`` (entity) that are none but seem so left out; words are the
+    pairs (word, its surrogate) of a name's words of three letters or more that aren't ordinary words of ``docs``."""
+    every = stage(numbered_entities(found), "entities")
+    pieces = stage(parts(every), "entity-parts")
+    names = pieces.filter("kind = 'name'").select("canon").unionByName(every.filter("first IS NOT NULL").select(F.col("first").alias("canon"))).distinct()
+    names = stage(names, "name-words")
+    ordinary = names.limit(0) if names.isEmpty() else stage(ordinary_words(docs, names), "ordinary-words")
+    none = stage(not_names(every, ordinary), "not-names")
+    every, pieces = (x.join(none.hint("merge"), "e", "left_anti") for x in (every, pieces))
+    pieces = stage(pieces.join(ordinary.withColumn("ordinary", F.lit(True)).hint("merge"), "canon", "left"), "name-parts")
     # merge joins at every size: nothing that grows with the corpus is broadcast
     named = pieces.join(assign(identities(pieces), key).hint("merge"), ["kind", "canon"], "left").withColumn("new", _dressed())
-    pair = F.when((F.col("kind") == "name") & (F.char_length("part") > 2), F.struct(F.col("part").alias("word"), F.col("new").alias("to")))
-    named = named.withColumn("pair", pair).withColumn("new", F.concat("new", "tail"))
+    apart = (F.col("kind") == "name") & (F.char_length("part") > 2) & F.col("ordinary").isNull() & ~F.col("canon").isin(OFFICES + CALENDAR)
+    named = named.withColumn("pair", F.when(apart, F.struct(F.col("part").alias("word"), F.col("new").alias("to")))).withColumn("new", F.concat("new", "tail"))
     whole = F.array_sort(F.collect_list(F.struct("at", "new", "kind", "pair")))  # a name's own words
-    table = named.groupBy("entity", "n").agg(whole.alias("x"))
-    kind = F.element_at("x", 1)["kind"]
-    table = table.withColumn("kind", F.when(kind.isin("title", "name"), "name").otherwise(kind))
+    made = named.groupBy("e").agg(whole.alias("x"))
+    table = every.select("e", "entity", "n", "kind").join(made.hint("merge"), "e")
     return table.select("entity", "n", "kind", F.expr("array_join(x.new, if(kind = 'email', '@', ' '))").alias("surrogate"), F.array_compact(F.col("x.pair")).alias("words"))
 
 
-#: Words as names have them, without a possessive; what stands between them.
-WORD = r"[\p{L}\p{M}]+(?:[\-'’](?![sS](?![\p{L}\p{M}]))[\p{L}\p{M}]+)*"
-
-
 def pseudonymise(docs: DataFrame, key: str = "loomtext") -> DataFrame:
     """``docs`` with every entity of text replaced, and ``pii_entities`` (long), the number found by pattern.
 
-    In a document with a titled name, that name's words (of three letters or more, spelt the same) are replaced
-    where they stand without a title too. All other columns stay as they are (a column pii_entities is
+    In a text with a titled name, that name's words (of three letters or more, spelt the same, and no ordinary words, months,
+    weekdays or offices) are replaced where they stand without a title too. What seems a name behind a title but is none stays and doesn't count. All other columns stay as they are (a column pii_entities is
     overwritten; names that are used inside are chosen free of clashes). Texts without an
     entity, null and empty ones among them, stay exactly as they are with 0; long texts are read whole. Repeated rows are treated alike;
     ids may be null or repeat. The same key gives the same surrogates except where a collision is
@@ -264,17 +353,19 @@ def pseudonymise(docs: DataFrame, key: str = "loomtext") -> DataFrame:
     docs = docs.drop("pii_entities")
     if found.isEmpty():
         return docs.withColumn("pii_entities", F.lit(0).cast("long"))
-    table = stage(surrogate_table(found, key), "surrogates")
-    id_, map_, words_, found_, between_ = (free_name(n, names) for n in ("__id", "__map", "__words", "__found", "__between"))
-    maps = join_counted(found, table, "entity", "n").groupBy(F.col("doc_id").alias(id_)).agg(
+    table = stage(surrogate_table(found, key, docs), "surrogates")
+    id_, t_, t2_, map_, words_, found_, between_ = (free_name(n, names) for n in ("__id", "__t", "__t2", "__map", "__words", "__found", "__between"))
+    maps = join_counted(found, table, "entity", "n").groupBy(F.col("id").alias(id_), F.col("t").alias(t_), F.col("t2").alias(t2_)).agg(
         F.map_from_entries(F.collect_set(F.struct("entity", "surrogate"))).alias(map_),
         F.map_from_entries(F.array_distinct(F.flatten(F.collect_list("words")))).alias(words_),
-    )  # bounded by one document's own entities
+    )  # bounded by one text's own entities
     has = F.coalesce(_may_hold(F.col("text")) & F.col("text").rlike(ANY), F.lit(False))
     clean = docs.filter(~has).withColumn("pii_entities", F.lit(0).cast("long"))
-    dirty = docs.filter(has).join(maps.hint("merge"), F.col("doc_id").eqNullSafe(F.col(id_))).withColumn(found_, _found(F.col("text")))
-    dirty = dirty.withColumn(between_, F.split("text", ANY, -1)).withColumn("pii_entities", F.size(found_).cast("long"))
+    place = [c.eqNullSafe(F.col(n)) for c, n in zip([F.col("doc_id"), F.xxhash64("text"), F.xxhash64(F.lit(1), F.col("text"))], (id_, t_, t2_), strict=True)]
+    dirty = docs.filter(has).join(maps.hint("merge"), place[0] & place[1] & place[2], "left")  # none where all that was found are no entities
+    dirty = dirty.withColumn(found_, _found(F.col("text"))).withColumn(map_, F.coalesce(map_, F.create_map().cast("map<string,string>"))).withColumn(words_, F.coalesce(words_, F.create_map().cast("map<string,string>")))
+    dirty = dirty.withColumn(between_, F.split("text", ANY, -1)).withColumn("pii_entities", F.size(F.filter(found_, lambda m: F.col(map_)[m].isNotNull())).cast("long"))
     rest = F.transform(between_, lambda s: F.when(F.size(words_) == 0, s).otherwise(F.array_join(F.transform(F.regexp_extract_all(s, F.lit(rf"{WORD}|(?s:[^\p{{L}}\p{{M}}]+|.)"), F.lit(0)), lambda w: F.coalesce(F.col(words_)[w], w)), "")))
-    dirty = dirty.withColumn("text", F.array_join(F.zip_with(rest, found_, lambda s, m: F.concat(s, F.coalesce(F.col(map_)[m], F.lit("")))), ""))
-    dirty = dirty.drop(id_, map_, words_, found_, between_)
+    dirty = dirty.withColumn("text", F.array_join(F.zip_with(rest, found_, lambda s, m: F.concat(s, F.coalesce(F.col(map_)[m], m, F.lit("")))), ""))
+    dirty = dirty.drop(id_, t_, t2_, map_, words_, found_, between_)
     return clean.unionByName(dirty).select(*[F.col(f"`{c}`") for c in names if c != "pii_entities"], "pii_entities")

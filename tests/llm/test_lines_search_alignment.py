@@ -284,3 +284,57 @@ def test_archives_of_many_members_padding_and_damage(spark, tmp_path):
         (tmp_path / name).write_bytes(raw)
     rows = warc.read_archives(spark, str(tmp_path)).collect()
     assert len({r.record_id for r in rows}) == 61 and {r.record_id for r in rows} == {f"urn:uuid:{k}" for k in [*range(60), 99]}
+
+
+# --- op8: what only seems a name --------------------------------------------------------------------
+
+
+def pseudonyms(spark, texts):
+    from loomtext.llm import surrogates
+
+    out = surrogates.pseudonymise(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    return {r.doc_id: (r.text, r.pii_entities) for r in out.collect()}
+
+
+def test_titles_at_the_end_of_a_sentence_take_no_word(spark):
+    texts = ["I saw the Dr. The office was closed. The end. In The town.", "Mr President said so. The President of France.", "Mrs May came in May.", "The Prof. In short, in time. Dr. Ada Weber spoke, and Weber left."]
+    got = pseudonyms(spark, texts)
+    assert got[0] == (texts[0], 0) and got[1] == (texts[1], 0)
+    assert re.fullmatch(r"Mrs (?!May)\w+ came in May\.", got[2][0]) and got[2][1] == 1
+    assert got[3][0].startswith("The Prof. In short, in time. Dr. ") and "Weber" not in got[3][0] and "Ada" not in got[3][0] and got[3][1] == 1
+
+
+def test_ordinary_words_are_replaced_behind_a_title_only(spark):
+    got = pseudonyms(spark, ["Mr Brown met Brown and a brown dog.", "A brown one.", "Mr Weber met Weber.", "Mrs. The came, the end"])
+    assert re.fullmatch(r"Mr (?!Brown)\w+ met Brown and a brown dog\.", got[0][0]) and got[1] == ("A brown one.", 0) and "Weber" not in got[2][0]
+    assert got[3][1] == 1  # Mrs. closes no sentence
+
+
+def test_rows_without_an_id_keep_their_own_names(spark):
+    from loomtext.llm import surrogates
+
+    texts = ["Mr Weber and Keller", "Mr Keller and Weber", "Weber, Keller; 10.0.0.1", "Weber"]
+    out = [r.text for r in surrogates.pseudonymise(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect()]
+    assert "Weber" in out and any(t.startswith("Weber, Keller; 2") for t in out)
+    assert sorted(t.split()[-1] for t in out if t.startswith("Mr")) == ["Keller", "Weber"]
+
+
+def test_long_names_take_time_by_their_words(spark):
+    import time
+
+    took = []
+    for n in (1000, 8000):
+        text = "Mr" + " Weber" * n
+        began = time.perf_counter()
+        out = pseudonyms(spark, [text])[0][0]
+        took.append(time.perf_counter() - began)
+        assert len(set(out.split()[1:])) == 1 and "Weber" not in out and len(out.split()) == n + 1
+    assert took[1] < 8 * took[0]
+
+
+def test_addresses_keep_their_kind(spark):
+    from loomtext.llm import surrogates
+
+    keys = spark.createDataFrame([("ip", "10.0.0.1", "latin", "", a) for a in (0, 7, 8, 63, 64)], "kind string, canon string, script string, role string, attempt int")
+    made = {r.attempt: r.made for r in surrogates.proposals(keys, "k").collect()}
+    assert all(re.fullmatch(r"(\d+\.){3}\d+", made[a]) for a in (0, 7, 8, 63)) and made[64].startswith("2001:db8:")

@@ -12,33 +12,29 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (u long, v long); root is the smallest node reachable.
 
     Links go both ways; self-links and repeats are ignored; an empty table gives an empty one.
-    Each round is two joins whose right side has one row per node, so a hub's rows can be split
-    by the adaptive skew join; the rounds grow with the logarithm of the longest chain.
+    Each round is two joins with a written table of one row per node, so that a hub's rows can be split by the adaptive skew
+    join (which an aggregation by the join's key can't be); the rounds grow with the logarithm of the longest chain.
     """
     edges = stage(
         links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"
     )
     seen = _digest(edges)
-    for _ in range(max_rounds):
-        if not seen[0]:
-            break
+    while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "lowest-neighbours")
+        large = both.filter("v > u").join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large, "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.expr("array(struct(u, m as v), struct(v as u, m as v))")).alias("e"))
+        low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "lowest-neighbours")
+        small = large.join(low.hint("merge"), "u").select(F.explode(F.expr("array(struct(u, m as v), struct(v as u, m as v))")).alias("e"))
         edges = stage(small.select("e.u", "e.v").filter("u <> v").distinct(), "small-star")
         now = _digest(edges)
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     low = edges.groupBy("u").agg(F.min("v").alias("root"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return low.withColumnRenamed("u", "node").unionByName(roots.join(low, roots.node == low.u, "left_anti"))

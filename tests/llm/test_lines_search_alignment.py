@@ -338,3 +338,29 @@ def test_addresses_keep_their_kind(spark):
     keys = spark.createDataFrame([("ip", "10.0.0.1", "latin", "", a) for a in (0, 7, 8, 63, 64)], "kind string, canon string, script string, role string, attempt int")
     made = {r.attempt: r.made for r in surrogates.proposals(keys, "k").collect()}
     assert all(re.fullmatch(r"(\d+\.){3}\d+", made[a]) for a in (0, 7, 8, 63)) and made[64].startswith("2001:db8:")
+
+
+# --- components and names of sets -------------------------------------------------------------------
+
+
+def test_a_hub_and_a_long_chain_are_components(spark):
+    from loomtext.llm.components import components
+
+    hub = spark.range(1, 200_000).selectExpr("id + 10 as u", "cast(5 as long) as v")
+    chain = spark.range(1_000_000, 1_000_300).selectExpr("id as u", "id + 1 as v")
+    got = components(hub.unionByName(chain)).groupBy("root").count().collect()
+    assert sorted((r.root, r["count"]) for r in got) == [(5, 200_000), (1_000_000, 301)]
+
+
+def test_sets_of_one_name_are_told_apart(spark, monkeypatch):
+    from loomtext.llm import shingle_overlap
+
+    r = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in r.integers(0, 10_000, 40)) for _ in range(12)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100 + k, t + " end") for k, t in enumerate(texts[:5])] + [(200, None), (201, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    plain = sorted(map(tuple, shingle_overlap.near_copies(docs).collect()))
+    assert [c for d, c in plain if d >= 100] == [0, 1, 2, 3, 4, 200, 200]
+    real = shingle_overlap._set_id
+    monkeypatch.setattr(shingle_overlap, "_set_id", lambda m: (real(m)[0] % 3, real(m)[1]))  # three names for all sets
+    assert sorted(map(tuple, shingle_overlap.near_copies(docs).collect())) == plain

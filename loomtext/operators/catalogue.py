@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtext.functions import georgian, strings
+from loomtext.operators import ordering
 from loomtext.operators.render import entry_html
 from loomtext.sources.markup import rows_of
 
@@ -26,8 +27,10 @@ def with_default(rows: DataFrame, dim: DataFrame, key: str, dim_key: str, defaul
 
 
 def neighbours(rows: DataFrame, order: str, ident: str, within: str | None = None) -> DataFrame:
-    """prev_id and next_id in ``order``. Without ``within`` the rows are a catalogue of bounded size; larger tables give a group."""
-    w = Window.partitionBy(*([within] if within else [F.lit(0)])).orderBy(order)
+    """prev_id and next_id in ``order``, inside each group of ``within`` or over all rows (see ``ordering.neighbours``)."""
+    if within is None:
+        return ordering.neighbours(rows, [order, ident], ident)
+    w = Window.partitionBy(within).orderBy(order)
     return rows.withColumn("prev_id", F.lag(ident).over(w)).withColumn("next_id", F.lead(ident).over(w))
 
 

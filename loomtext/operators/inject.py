@@ -12,13 +12,14 @@ from itertools import accumulate
 from xml.parsers import expat
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loomtext.functions import georgian
 from loomtext.operators.tokens import slices
-from loomtext.operators.validate import tag_violations
-from loomtext.sources.markup import walk
+from loomtext.operators.validate import introduced, tag_violations, violations
+from loomtext.sources.markup import node_table, walk, well_formed
+from loomtext.sources.tables import publish
 
 #: How far a shifted word is looked for.
 BACK, REACH = 5, 10
@@ -147,11 +148,12 @@ def _parsed(text: str) -> tuple[str, ET.Element, str]:
     return raw[: ends[0]].decode("utf-8", "surrogatepass"), root, raw[close:].decode("utf-8", "surrogatepass")
 
 
-def inject(docs: DataFrame, tokens: DataFrame, every: bool = False) -> DataFrame:
+def inject(docs: DataFrame, tokens: DataFrame, every: bool = False, gate: bool = True) -> DataFrame:
     """(doc, text, tagged, skipped, introduced, written) per document of ``docs`` (doc, text) with tokens (as of ``in_order``, by text_id).
 
     The new text stands only if tagging introduced no violation that wasn't there before; else the old one does. Comments and
-    processing instructions stay, those around the root too. ``every`` also gives documents without tokens, as they are.
+    processing instructions stay, those around the root too. ``every`` also gives documents without tokens, as they are. Without ``gate`` the new text always
+    stands, for ``gated`` to judge.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +177,7 @@ def inject(docs: DataFrame, tokens: DataFrame, every: bool = False) -> DataFrame
                 done, skipped = splice(root, some)
                 after = tag_violations(root)
                 worse = [k for k in after if after[k] > violations[k]]
-                stands = bool(done) and not worse
+                stands = bool(done) and not (gate and worse)
                 rows.append((doc.as_py(), lead + ET.tostring(root, encoding="unicode") + rest if stands else old, done, skipped, worse, stands))
             if rows:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -184,6 +186,29 @@ def inject(docs: DataFrame, tokens: DataFrame, every: bool = False) -> DataFrame
     return both.mapInArrow(run, "doc string, text string, tagged int, skipped int, introduced array<string>, written boolean")
 
 
+def gated(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, refused) of a new version of documents (doc, text): accepted has every document's new text if it violates no rule more often than its
+    old one does, else the old text; refused lists (doc, rule, before, after, added) for what got worse. A document of one version only
+    counts as one without violations in the other; new ones that don't parse are refused by the rule ``not well-formed``."""
+    counted = lambda docs: violations(node_table(docs))
+    worse = introduced(counted(old), counted(new), ["doc", "rule"], "violations")
+    broken = new.join(well_formed(new).filter("not ok").select("doc"), "doc", "left_semi")
+    lost = broken.select("doc", F.lit("not well-formed").alias("rule"), F.lit(0).cast("long").alias("before"), F.lit(1).cast("long").alias("after"), F.lit(1).cast("long").alias("added"))
+    refused = worse.unionByName(lost)
+    bad = refused.select("doc").distinct()
+    accepted = new.select("doc", "text").join(bad, "doc", "left_anti").unionByName(old.select("doc", "text").join(bad, "doc", "left_semi"))
+    return accepted, refused
+
+
+def observed_summary(injected: DataFrame, path: str, version: str) -> DataFrame:
+    """Publishes the documents of ``inject`` as a version and gives the one row of ``summary``, counted while they were written."""
+    seen = Observation()
+    held_back = F.count_if(F.size("introduced") > 0)
+    watched = injected.observe(seen, F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("tagged"), F.lit(0)).alias("tagged"), F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped"), held_back.alias("held_back"))
+    publish(watched, path, version)
+    return injected.sparkSession.createDataFrame([tuple(seen.get[k] for k in ("documents", "tagged", "skipped", "held_back"))], "documents long, tagged long, skipped long, held_back long")
+
+
 def summary(injected: DataFrame) -> DataFrame:
     """One row: documents, tags, skipped tokens, documents held back."""
     return injected.agg(F.count("*").alias("documents"), F.sum("tagged").alias("tagged"), F.sum("skipped").alias("skipped"), F.count_if(F.size("introduced") > 0).alias("held_back"))

@@ -28,7 +28,7 @@ CATEGORIES = ["REVIEW", "VERB", "FUNCTION", "RARE"]
 def types(words: DataFrame, text: str = "text_id", order: str | None = None, with_texts: bool = False) -> DataFrame:
     """(surface, norm, freq, text_count, first_seen[, texts]) per surface of ``words``; norm is the last seen in ``order``.
 
-    ``with_texts`` gathers a word's text ids in its row, as many as there are texts with it: for small corpora only. Counts go through (surface, text) pairs, so a word of every text is combined per text before it meets itself.
+    ``with_texts`` gathers a word's text ids in its row, as many as there are texts with it: for small corpora only, ``text_bitmaps`` for others. Counts go through (surface, text) pairs, so a word of every text is combined per text before it meets itself.
     """
     seen = F.col(order) if order else F.lit(0)
     pairs = words.groupBy("surface", text).agg(F.count("*").alias("n"), F.max_by("norm", seen).alias("norm"), F.max(seen).alias("last"), F.min(seen).alias("first"))
@@ -36,6 +36,20 @@ def types(words: DataFrame, text: str = "text_id", order: str | None = None, wit
     return pairs.groupBy("surface").agg(*aggs, *([F.array_sort(F.collect_list(text)).alias("texts")] if with_texts else []))
 
 
+def text_bitmaps(words: DataFrame, text: str = "text_id", width: int = 64) -> DataFrame:
+    """(surface, bucket, bits): which texts hold a word, as one number for each run of ``width`` (64 at most) text numbers that has any. Numbers are
+    combined by ``or`` before and after the shuffle, so no row grows with the corpus and a word of every text makes no list; a bitmap
+    of thousands of bits a row would waste them on the many words of few texts."""
+    bucket, bit = F.floor(F.col(text) / width).cast("long"), F.pmod(F.col(text), F.lit(width)).cast("int")
+    return words.groupBy("surface", bucket.alias("bucket")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+
+
+def texts_of(bitmaps: DataFrame, width: int = 64) -> DataFrame:
+    """(surface, bucket, texts): the text numbers of each row of ``text_bitmaps``, in order, ``width`` at most."""
+    held = F.filter(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.getbit("bits", i) == 1)
+    return bitmaps.select("surface", "bucket", F.transform(held, lambda i: F.col("bucket") * width + i).alias("texts"))
+
+
 def text_total(words: DataFrame, text: str = "text_id") -> DataFrame:
     """One row: n_texts."""
     return words.agg(F.count_distinct(text).alias("n_texts"))

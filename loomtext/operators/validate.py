@@ -33,6 +33,12 @@ def nested(nodes: DataFrame, tag: str = "w", holders: list[str] = HOLDERS) -> Da
     return nodes.groupBy("doc").agg(*[inside(h) for h in holders])
 
 
+def violations(nodes: DataFrame, tag: str = "w", holders: list[str] = HOLDERS) -> DataFrame:
+    """(doc, rule, violations): ``nested`` a row a rule, those that are not violated left out."""
+    one = F.array(*[F.struct(F.lit(f"{tag} in {h}").alias("rule"), F.col(f"{tag}_in_{h}").alias("violations")) for h in holders])
+    return nested(nodes, tag, holders).select("doc", F.inline(one)).filter("violations > 0")
+
+
 def rules(nodes: DataFrame, witness: str = "#S", editor: str = "#shanidze", types: list[str] = READING_TYPES) -> DataFrame:
     """(doc, rule, violations) for the documents and rules that are violated."""
     attr = lambda name: F.coalesce(F.element_at("attrs", name), F.lit(""))

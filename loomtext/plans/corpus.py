@@ -212,7 +212,7 @@ oov AS (SELECT surface, norm, freq, text_count, printf('%.1f', text_count / n_te
 )
 
 
-def _oov(spark, d):
+def unmatched(spark, d):
     types = base.matched_types(spark, d, _types(spark, d)).filter("match_tier = 'none'").select("surface", "norm", "freq", "text_count")
     return oov.categorised(types, oov.texts_with_words(table(spark, d, "documents"), "doc_id"), **LISTS)
 
@@ -224,28 +224,28 @@ def oov_types(spark, d):
 
 @query(f"WITH {OOV} SELECT * FROM oov")
 def oov_categories(spark, d):
-    return _oov(spark, d).select("surface", "norm", "freq", "text_count", "pct_texts", "category")
+    return unmatched(spark, d).select("surface", "norm", "freq", "text_count", "pct_texts", "category")
 
 
 @query(f"WITH {OOV} SELECT category, count(*) AS types, sum(freq)::BIGINT AS tokens, sum(freq) * 100.0 / (SELECT sum(freq) FROM oov) AS share FROM oov GROUP BY category")
 def oov_rollup(spark, d):
-    return oov.rollup(_oov(spark, d))
+    return oov.rollup(unmatched(spark, d))
 
 
 @query(f"""WITH {OOV}, r AS (SELECT category, count(*) AS types, sum(freq)::BIGINT AS tokens FROM oov GROUP BY category), k AS (SELECT generate_subscripts(c, 1) - 1 AS line, unnest(c) AS category FROM (SELECT ['REVIEW', 'VERB', 'FUNCTION', 'RARE'] AS c))
 SELECT line::INT AS line, category, coalesce(types, 0) AS types, coalesce(tokens, 0) AS tokens, printf('%.1f', coalesce(tokens, 0) / (SELECT sum(tokens) FROM r) * 100) AS share FROM k LEFT JOIN r USING (category)""")
 def oov_report(spark, d):
-    return report.unmatched(_oov(spark, d))
+    return report.unmatched(unmatched(spark, d))
 
 
 @query(f"WITH {OOV} SELECT surface, freq, text_count FROM oov WHERE category = 'REVIEW' ORDER BY freq DESC, surface LIMIT 50")
 def oov_topk_review(spark, d):
-    return oov.top(_oov(spark, d), "REVIEW", 50).select("surface", "freq", "text_count")
+    return oov.top(unmatched(spark, d), "REVIEW", 50).select("surface", "freq", "text_count")
 
 
 @query(f"WITH {OOV} SELECT surface, freq, text_count FROM oov WHERE freq >= 3 AND text_count <= 15 AND (regexp_matches(surface, '^(?:Th|An|Er)') OR regexp_matches(norm, '^(?:Th|An|Er)'))")
 def name_candidates(spark, d):
-    return match.name_candidates(_oov(spark, d), ["Th", "An", "Er"]).select("surface", "freq", "text_count")
+    return match.name_candidates(unmatched(spark, d), ["Th", "An", "Er"]).select("surface", "freq", "text_count")
 
 
 @query(f"""WITH {MATCHED}, c AS (SELECT match_id, match_lemma AS lemma, match_source AS source, match_tier AS tier, surface, freq FROM matched

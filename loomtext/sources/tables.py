@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.functions import georgian
@@ -114,6 +116,23 @@ def write_split(df: DataFrame, path: str, column: str, values: dict[str, str]) -
         write_tsv(df.filter(F.col(column) == value), f"{path}/{folder}")
 
 
+def split_sink(df: DataFrame, path: str, column: str, values: dict[str, str]) -> DataFrame:
+    """What ``write_split`` writes, in one pass over ``df``: rows go to folder ``all`` and, by ``column``, to those of ``values`` (folder -> value), as partitions of one
+    write. Returns (folder, observed): the rows counted on the way, also for folders that stay empty."""
+    seen = Observation()
+    of = {"all": F.lit(True), **{folder: F.coalesce(F.col(column) == value, F.lit(False)) for folder, value in values.items()}}
+    df = df.observe(seen, *[F.count_if(c).alias(folder) for folder, c in of.items()])
+    folders = F.array_compact(F.array(*[F.when(c, F.lit(folder)) for folder, c in of.items()]))
+    out = _flat(df.withColumn("__folders", folders)).withColumn("folder", F.explode(F.split("__folders", r"\|"))).drop("__folders")
+    out.write.mode("overwrite").partitionBy("folder").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
+    return df.sparkSession.createDataFrame(list(seen.get.items()), "folder string, observed long")
+
+
+def read_split(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of a ``split_sink`` with their folder; one folder is read by a filter on it."""
+    return _tsv(spark, path, schema + ", folder string")
+
+
 def replace_copy(spark: SparkSession, source: str, target: str) -> bool:
     """Copies a folder, in place of what was at ``target``; False, and nothing happens, if there is no ``source``."""
     if not exists(spark, source):
@@ -138,3 +157,51 @@ def write_pages(pages: DataFrame, path: str) -> None:
 def write_documents(docs: DataFrame, path: str, version: str) -> None:
     """A new version of documents (doc, text) beside the old ones."""
     docs.select("doc", "text").write.mode("errorifexists").parquet(f"{path}/version={version}")
+
+
+def publish(docs: DataFrame, path: str, version: str) -> None:
+    """``write_documents`` that no reader sees half done: the version is written aside and appears by one rename. A version that exists
+    already is an error, and nothing is left of the new one."""
+    spark = docs.sparkSession
+    target, aside = f"{path}/version={version}", f"{path}/_{version}-{uuid.uuid4().hex}"
+    where, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = where(target).getFileSystem(conf)
+    docs.select("doc", "text").write.parquet(aside)
+    if fs.exists(where(target)) or not fs.rename(where(aside), where(target)):
+        fs.delete(where(aside), True)
+        raise FileExistsError(target)
+
+
+def read_version(spark: SparkSession, path: str, version: str) -> DataFrame:
+    """(doc, text) of a published version."""
+    return spark.read.schema("doc string, text string").parquet(f"{path}/version={version}")
+
+
+# --- Stored tokens --------------------------------------------------------------------------------
+
+
+def _bucket(text: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(text.cast("string")), F.lit(buckets)).cast("int")
+
+
+def write_store(rows: DataFrame, path: str, text: str = "text_id", buckets: int = 64) -> None:
+    """Rows of texts in ``buckets`` folders by text, sorted by it inside each file, so that a text's rows are read without the others'."""
+    kept = rows.withColumn("bucket", _bucket(F.col(text), buckets))
+    kept.repartition("bucket").sortWithinPartitions("bucket", text).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_store(spark: SparkSession, path: str, schema: str, texts: list | None = None, text: str = "text_id", buckets: int = 64) -> DataFrame:
+    """The rows of a store, of ``texts`` only where they are given: their folders are chosen before anything is read, their rows by file statistics."""
+    rows = spark.read.schema(schema + ", bucket int").parquet(path)
+    if texts is None:
+        return rows.drop("bucket")
+    known = spark.createDataFrame([(str(t),) for t in texts], "t string").select(_bucket(F.col("t"), buckets)).distinct() if texts else None
+    folders = [r[0] for r in known.collect()] if known is not None else []  # one for each text at most
+    return rows.filter(F.col("bucket").isin(folders) & F.col(text).isin(texts)).drop("bucket")
+
+
+def bucketed(rows: DataFrame, path: str, key: str, buckets: int = 16) -> str:
+    """Writes ``rows`` as a table bucketed and sorted by ``key`` and returns its name: tables of one number of buckets join by the key without a shuffle."""
+    name = f"loomtext_{uuid.uuid4().hex}"
+    rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return name

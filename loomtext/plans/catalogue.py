@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomtext.plans import columns, corpus, orders, tei, trees, views  # noqa: F401  they register their queries
+from loomtext.plans import columns, corpus, orders, stored, tei, trees, views  # noqa: F401  they register their queries
 from loomtext.plans.base import REGISTRY
 
 

@@ -106,7 +106,7 @@ def _flat(df: DataFrame) -> DataFrame:
 
 def write_tsv(df: DataFrame, path: str) -> None:
     """Tab-separated files with a header."""
-    _flat(df).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
+    _flat(df).write.mode("overwrite").option("sep", "\t").option("header", True).option("escape", "\"").option("emptyValue", "").csv(path)
 
 
 def write_split(df: DataFrame, path: str, column: str, values: dict[str, str]) -> None:
@@ -124,7 +124,7 @@ def split_sink(df: DataFrame, path: str, column: str, values: dict[str, str]) ->
     df = df.observe(seen, *[F.count_if(c).alias(folder) for folder, c in of.items()])
     folders = F.array_compact(F.array(*[F.when(c, F.lit(folder)) for folder, c in of.items()]))
     out = _flat(df.withColumn("__folders", folders)).withColumn("folder", F.explode(F.split("__folders", r"\|"))).drop("__folders")
-    out.write.mode("overwrite").partitionBy("folder").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
+    out.write.mode("overwrite").partitionBy("folder").option("sep", "\t").option("header", True).option("escape", "\"").option("emptyValue", "").csv(path)
     return df.sparkSession.createDataFrame(list(seen.get.items()), "folder string, observed long")
 
 

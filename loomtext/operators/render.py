@@ -201,22 +201,26 @@ def _reference(el: ET.Element, inner: str, page: Page) -> str:
 
 @own
 def _table(el: ET.Element, inner: str, page: Page) -> str:
-    head = el.find("head")
-    out = f"<caption>{page.content(head)}</caption>" if head is not None else ""
-    for row in el.findall("row"):
-        cells = ""
-        for cell in row.findall("cell"):
-            tag = "th" if "label" in (row.get("role"), cell.get("role")) else "td"
-            span = "".join(f' {name}="{page.escape(cell.get(a))}"' for a, name in (("cols", "colspan"), ("rows", "rowspan")) if cell.get(a))
-            cells += f"<{tag}{span}>{page.content(cell)}</{tag}>"
-        out += f"<tr>{cells}</tr>"
-    return f'<div class="table-wrap"><table class="art-table">{out}</table></div>'
+    parts: dict[str, list[str]] = {"head": [], "row": []}
+    for tag, made in _pieces(el, page, texts=False):
+        parts.setdefault(tag, []).append(made)
+    return f'<div class="table-wrap"><table class="art-table">{"".join([*parts["head"][:1], *parts["row"]])}</table></div>'
+
+
+def _row(el: ET.Element, page: Page) -> str:
+    """The cells of a table's row; a row or a cell of labels is of headings."""
+    return "".join(_cell(c, "label" in (el.get("role"), c.get("role")), page) for c in el.findall("cell"))
+
+
+def _cell(el: ET.Element, heads: bool, page: Page) -> str:
+    spans = "".join(f' {html_name}="{page.escape(el.get(name))}"' for name, html_name in SPANS.items() if el.get(name))
+    tag = "th" if heads else "td"
+    return f"<{tag}{spans}>{page.content(el)}</{tag}>"
 
 
 @own
 def _verses(el: ET.Element, inner: str, page: Page) -> str:
-    lines = [page.element(c) if c.tag in ("l", "lg") else f'<span class="l l-pb">{_marker(c, page)}</span>' if c.tag == "pb" else f'<span class="l">{page.element(c)}</span>' for c in el]
-    return f'<div class="lg">{"".join(lines)}</div>'
+    return f'<div class="lg">{"".join(made for _, made in _pieces(el, page, texts=False))}</div>'
 
 
 @own
@@ -261,7 +265,11 @@ DRESS = {
     "list": {"head": ('<p class="list-head">', "</p>"), "label": ('<li class="item-label">', "</li>"), "pb": ('<li class="li-pb">', "</li>"), "*": ("<li>", "</li>")},
     "item": {"p": ('<p class="item-p">', "</p>"), "label": ('<span class="item-label">', "</span>")},
     "quote": {"p": ('<p class="quote-p">', "</p>"), "bibl": ('<span class="quote-bibl">', "</span>")},
+    "table": {"head": ("<caption>", "</caption>"), "row": ("<tr>", "</tr>")},
+    "lg": {"l": ('<span class="l">', "</span>"), "lg": ("", ""), "pb": ('<span class="l l-pb">', "</span>"), "*": ('<span class="l">', "</span>")},
 }
+#: Attributes by which cells span others.
+SPANS = {"cols": "colspan", "rows": "rowspan"}
 #: The kind of a division's block and what it is dressed in, by tag, or by tag and rend.
 BLOCKS = {
     "p.label": ("label", '<p class="label-p">', "</p>"), "head": ("label", '<p class="label-p">', "</p>"), "quote": ("quote", "", ""), "lg": ("quote", '<blockquote class="block-quote">', "</blockquote>"),
@@ -275,7 +283,7 @@ QUOTE_BREAKS, ITEM_BLOCKS = {"lg", "p", "bibl", "list"}, {"p", "label", "list"}
 def _bare(el: ET.Element, page: Page, dressed: bool) -> str:
     """What a child is without its dress: some tags have a rendering of their own, else the content of what is dressed and
     the rule's result for what isn't."""
-    alone = {"list": _list, "item": _item, "pb": _marker, "table": Page.element, "lg": Page.element, "gap": Page.element, "quote": _quotation, "milestone": lambda el, page: ""}
+    alone = {"list": _list, "item": _item, "pb": _marker, "row": _row, "table": Page.element, "lg": Page.element, "gap": Page.element, "quote": _quotation, "milestone": lambda el, page: ""}
     if dressed and el.tag in alone:
         render = alone[el.tag]
         return page.element(el) if render is Page.element else render(el, page)

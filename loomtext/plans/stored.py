@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomtext.functions import strings
-from loomtext.operators import catalogue, growth, inject, lookup, oov, ordering, render
+from loomtext.operators import catalogue, growth, inject, lookup, match, oov, ordering, render, validate
 from loomtext.plans import base, corpus, tei, trees
-from loomtext.plans.base import PRIMARY, query, table
+from loomtext.plans.base import MATCHED, PRIMARY, query, table
 from loomtext.plans.corpus import OOV
 from loomtext.plans.trees import LINED, MIXED
-from loomtext.sources import scratch, tables
+from loomtext.sources import markup, scratch, tables
 
 # --- Written and read back ------------------------------------------------------------------------
 
@@ -175,3 +175,139 @@ def surfaces_tagged(spark, d):
     words = made.select(F.col("doc").alias("text_id"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1)))).alias("surface"))
     known = words.join(some, "text_id", "left_semi").join(keys, "surface").select("text_id", "surface", "id")
     return inject.tag_surfaces(made, known, wide_word=r"[^\W\d_]+").select("doc", "tagged", F.md5("text").alias("digest"))
+
+
+# --- Typed rows of made articles, dictionaries and catalogues ---------------------------------------
+
+
+def _x(c):
+    return tei._escaped(c)
+
+
+@query("""SELECT item_id::VARCHAR AS doc, CASE WHEN item_id % 5 = 0 THEN item_id::VARCHAR ELSE 'a' || item_id END AS xml_id, CASE item_id % 3 WHEN 0 THEN 'ka ' || trim(left(text, 10)) WHEN 1 THEN trim(left(text, 10)) ELSE CASE WHEN item_id % 2 = 0 THEN 'sub' WHEN item_id % 5 = 0 THEN item_id::VARCHAR ELSE 'a' || item_id END END AS title,
+  CASE WHEN item_id % 2 = 0 THEN 'sub' ELSE '' END AS title_en, CASE WHEN item_id % 4 = 0 THEN 'ka-name' WHEN item_id % 4 = 1 THEN 'plain' ELSE '' END AS author, CASE item_id % 3 WHEN 0 THEN '2020' WHEN 1 THEN 'spring' ELSE '' END AS "date",
+  CASE WHEN item_id % 2 = 0 THEN 'short' ELSE left(regexp_replace(trim(left(text, 200) || ' [x]' || ' […]'), '\\s+', ' ', 'g'), 280) || '…' END AS abstract FROM benchmark""")
+def tei_articles(spark, d):
+    """Metadata of articles with every fall-back: title, author, date, abstract from the first paragraph."""
+    b, k = table(spark, d, "benchmark"), F.col("item_id")
+    some = lambda cases, default="": F.coalesce(*[F.when(c, v if not isinstance(v, str) else F.lit(v)) for c, v in cases], F.lit(default))
+    head, whole = _x(F.left("text", F.lit(10))), _x(F.left("text", F.lit(200)))
+    docs = tei._made(
+        b, "item_id", F.when(k % 5 == 0, "<TEI2>").otherwise(F.concat(F.lit('<TEI2 xml:id="a'), k.cast("string"), F.lit('">'))), "<titleStmt>",
+        some([(k % 3 == 0, F.concat(F.lit("<title>en</title><title xml:lang='ka'>ka "), head, F.lit("</title>"))), (k % 3 == 1, F.concat(F.lit("<title>"), head, F.lit("</title>")))]), some([(k % 2 == 0, "<title type='sub'>sub</title>")]),
+        some([(k % 4 == 0, "<author>x<persName xml:lang='ka'>ka-name</persName></author>"), (k % 4 == 1, "<author>plain</author>")]), "</titleStmt><publicationStmt>", some([(k % 3 == 0, "<date when='2020'>twenty</date>"), (k % 3 == 1, "<date>spring</date>")]), "</publicationStmt>",
+        some([(k % 2 == 0, "<abstract><p>short</p></abstract>")]), "<text><body><p>", whole, " <supplied>x</supplied><note>no</note> <gap/></p><p>more</p></body></text></TEI2>",
+    )
+    # the made document around the article is taken off
+    docs = docs.withColumn("text", F.regexp_replace(F.replace("text", F.lit("TEI2"), F.lit("TEI")), f'(?s)^<TEI xmlns="{tei.NS}">(.*)</TEI>$', "$1"))
+    broken = spark.createDataFrame([("broken", "<TEI><titleStmt>")], "doc string, text string")
+    return catalogue.articles(docs.unionByName(broken)).select("doc", "xml_id", "title", "title_en", "author", "date", "abstract")
+
+
+@query(f"""WITH RECURSIVE {trees.OUTLINE}, n AS (SELECT DISTINCT doc FROM lines)
+SELECT doc, 's' || i AS xml_id, level - 1 AS level, NULL AS kind, trim(regexp_replace(left(x, 12) || ' [x]', '\\s+', ' ', 'g')) AS head, level <= 2 AS in_contents FROM lev
+UNION ALL SELECT doc, 'e', 0, 'errata', 'Errata', true FROM n""")
+def article_sections(spark, d):
+    """Sections of articles by the walking reader, headings without notes; of the back matter the kinds that are shown."""
+    content = lambda x, i, k: F.concat(F.lit("<head>"), _x(F.left(x, F.lit(12))), F.lit("<lb/><note>no</note><supplied>x</supplied></head><p>p</p>"))
+    one, end = trees._nested("div", content)
+    back = '</body><back><div type="errata" xml:id="e"><head>Errata</head></div><div type="index"><head>Index</head></div></back>'
+    docs = trees._lined(spark, d, one, "<body>", lambda n: F.concat(end(n), F.lit(back))).filter("not text like '%<text><body></body>%'")
+    found = catalogue.article_sections(docs)
+    shown = catalogue.contents(found).select("doc", "ord", F.lit(True).alias("shown"))
+    return found.join(shown, ["doc", "ord"], "left").select("doc", "xml_id", "level", "kind", "head", F.coalesce("shown", F.lit(False)).alias("in_contents"))
+
+
+@query(f"""WITH {LINED}, e AS (SELECT *, {trees._e("left(x, 20)")} AS t, {trees._e("left(x, 6)")} AS h FROM lines)
+SELECT doc, 's' || i AS section, 'head' AS kind, '' || h AS html FROM e WHERE i % 2 = 0
+UNION ALL SELECT doc, 's' || i, 'pb', '<div class="pb-block"><span class="pb">[' || i || ']</span></div>' FROM e WHERE false
+UNION ALL SELECT doc, 's' || i, 'p', CASE WHEN i % 2 = 1 THEN '<strong class="run-in-head" id="s' || i || '">' || h || '</strong> ' ELSE '' END || t FROM e
+UNION ALL SELECT doc, 's' || i, 'list', '<div class="art-list-wrap"><ul class="art-list"><li>one</li><li><p class="item-p">two</p></li></ul></div>' FROM e
+UNION ALL SELECT doc, 's' || i, 'table', '<div class="table-wrap"><table class="art-table"><caption>c</caption><tr><th colspan="2">' || h || '</th></tr><tr><td>1</td><td rowspan="3">2</td></tr></table></div>' FROM e
+UNION ALL SELECT doc, 's' || i, 'quote', '<blockquote class="block-quote"><div class="lg"><span class="l">' || h || '</span><div class="lg"><span class="l">b</span></div><span class="l">c</span></div></blockquote>' FROM e""")
+def article_blocks(spark, d):
+    """Blocks of articles by the walking renderer: headings that run into the first paragraph, lists, tables, verses."""
+
+    def one(x, i, k):
+        head = F.concat(F.lit("<head"), F.when(i % 2 == 1, ' rend="run-in"').otherwise(""), F.lit(">"), _h(F.left(x, F.lit(6))), F.lit("</head>"))
+        return F.concat(
+            F.lit('<div xml:id="s'), k, F.lit('">'), head, F.lit("<p>"), _h(F.left(x, F.lit(20))), F.lit("</p><list><item>one</item><item><p>two</p></item></list><table><head>c</head><row role='label'><cell cols='2'>"), _h(F.left(x, F.lit(6))),
+            F.lit("</cell></row><row><cell>1</cell><cell rows='3'>2</cell></row></table><lg><l>"), _h(F.left(x, F.lit(6))), F.lit("</l><lg><l>b</l></lg><seg>c</seg></lg></div>"),
+        )
+
+    return render.article_blocks(trees._lined(spark, d, one)).select("doc", "section", "kind", "html")
+
+
+def _h(x):
+    return trees._text(x)
+
+
+@query(r"""WITH e AS (SELECT item_id, 'e' || (item_id // 2) AS xml_id, text FROM benchmark WHERE item_id % 7 <> 3)
+SELECT xml_id, 'dict' AS source, CASE WHEN item_id % 2 = 0 THEN 'second' ELSE 'item' || item_id END AS lemma, trim(left(text, 15)) || ' / d2' AS def_ka, CASE WHEN item_id % 2 = 0 THEN 'item' || item_id || '|second|stem' ELSE 'item' || item_id || '|stem' END AS forms, CASE WHEN item_id % 3 = 0 THEN 'ex' ELSE '' END AS examples FROM e""")
+def tei_dictionary(spark, d):
+    """Entries of a dictionary in markup: the last lemma, inflected forms cut at their hyphen, definitions joined, entries without an id dropped."""
+    b, k = table(spark, d, "benchmark"), F.col("item_id")
+    ident = F.when(k % 7 == 3, "").otherwise(F.concat(F.lit(' xml:id="e'), F.floor(k / 2).cast("string"), F.lit('"')))
+    docs = tei._made(
+        b, "item_id", "<entry", ident, '><form type="lemma"><orth>item', k, "</orth>", F.when(k % 2 == 0, "<orth>second</orth>").otherwise(""), '</form><form type="inflected"><orth>stem-s</orth></form><sense><def>', _x(F.trim(F.left("text", F.lit(15)))),
+        "</def><def>d2</def></sense>", F.when(k % 3 == 0, '<cit type="example"><quote>ex</quote></cit>').otherwise(""), "</entry>",
+    )
+    out = lookup.primary_entries(docs, "dict")
+    return out.join(lookup.entry_ids(docs), "xml_id").select("xml_id", "source", "lemma", "def_ka", F.array_join("forms", "|").alias("forms"), F.array_join("examples", "|").alias("examples"))
+
+
+@query("""WITH s AS (SELECT s_suppkey, unnest(generate_series(1, s_suppkey % 7)) AS k FROM supplier)
+SELECT 'x' || s_suppkey AS xml_id, CASE WHEN k % 2 = 1 THEN 't' || k ELSE 'dict' || k END AS text_id, CASE WHEN k = 3 THEN 't3' ELSE 'label' || k END AS label, k % 2 = 0 AS is_dict_source, greatest(0, s_suppkey % 7 - 4) AS sources_more FROM s WHERE k <= 4""")
+def lexicon_sources(spark, d):
+    """The sources that an entry shows, four at most, corpus links told from dictionaries."""
+    s, key = table(spark, d, "supplier"), F.col("s_suppkey")
+    ref = lambda k: F.concat(F.lit('<xr type="source"><ref target="'), F.when(k % 2 == 1, "#t").otherwise("dict"), k.cast("string"), F.lit('">'), F.when(k == 3, "").otherwise(F.concat(F.lit("label"), k.cast("string"))), F.lit("</ref></xr>"))
+    refs = F.when(key % 7 == 0, "").otherwise(F.array_join(F.transform(F.sequence(F.lit(1), (key % 7).cast("int")), ref), ""))
+    docs = tei._made(s, "s_suppkey", '<entry xml:id="x', key, '"><form type="lemma"><orth>a', key, "</orth></form>", refs, "</entry>")
+    e = catalogue.lexicon(docs, {}, {}, {}, {}, ("other", "Other"))
+    return e.select("xml_id", F.explode("sources").alias("s"), "sources_more").select("xml_id", "s.text_id", "s.label", "s.is_dict_source", "sources_more")
+
+
+@query("""SELECT 'n' || n_nationkey AS xml_id, lower(n_name) AS label, 'https://x.example/' || n_nationkey AS url FROM nation WHERE n_nationkey % 3 <> 0 AND n_nationkey % 4 <> 1""")
+def author_links(spark, d):
+    """Links of authors, kept if both their address and their label are given."""
+    n, k = table(spark, d, "nation"), F.col("n_nationkey")
+    link = F.concat(F.lit('<idno type="URI" subtype="'), F.when(k % 3 == 0, " ").otherwise(F.lower("n_name")), F.lit('">'), F.when(k % 4 == 1, "").otherwise(F.concat(F.lit("https://x.example/"), k.cast("string"))), F.lit("</idno>"))
+    docs = tei._made(n, "n_nationkey", '<listPerson type="authors"><person xml:id="n', k, '"><persName xml:lang="ka">', F.col("n_name"), "</persName>", link, "</person></listPerson>")
+    return catalogue.authors(docs).select("xml_id", F.explode("uri_links").alias("l")).select("xml_id", "l.label", "l.url")
+
+
+# --- Branches that other tables never reach ---------------------------------------------------------
+
+
+@query(f"""WITH {tei.ATTESTED}, k AS (SELECT DISTINCT 'w-' || left(lower(text), 2) AS id FROM benchmark) SELECT target_id, count(*) AS n FROM att WHERE kind = 'entry' AND target_id NOT IN (SELECT id FROM k) GROUP BY target_id""")
+def dangling_lemmas(spark, d):
+    """Lemmas of tagged words that no entry has."""
+    words = tei.attested(spark, d).filter("kind = 'entry'").select("target_id")
+    entries = table(spark, d, "benchmark").select(F.concat(F.lit("w-"), F.left(F.lower("text"), F.lit(2))).alias("id"))
+    return validate.dangling(words, entries, "target_id", "id").groupBy("target_id").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {LINED}, h AS (SELECT doc, (['w', 'lem', 'rdg', 'head', 'note'])[(i % 5) + 1] AS a, (['w', 'lem', 'rdg', 'head', 'note'])[(length(x) % 5) + 1] AS b FROM lines)
+SELECT doc, 'w in ' || k AS rule, sum(n)::BIGINT AS violations FROM (SELECT doc, a AS k, CASE WHEN a = 'w' THEN 1 + (b = 'w')::INT ELSE 1 + (b = 'w')::INT END AS n FROM h UNION ALL SELECT doc, b, 1 FROM h WHERE b <> a) GROUP BY ALL""")
+def holder_violations(spark, d):
+    """Words inside two nested holders of every kind."""
+    kinds = F.array(*map(F.lit, validate.HOLDERS))
+
+    def one(x, i, k):
+        a, b = F.element_at(kinds, (i % 5).cast("int") + 1), F.element_at(kinds, (F.char_length(x) % 5).cast("int") + 1)
+        return F.concat(F.lit("<"), a, F.lit("><seg><"), b, F.lit("><w>x</w></"), b, F.lit("></seg></"), a, F.lit(">"))
+
+    return validate.violations(markup.node_table(trees._lined(spark, d, one)))
+
+
+@query(f"""WITH {MATCHED} SELECT surface, match_id, left(text, 120) AS match_def_ka, length(text) > 120 AS was_cut FROM matched JOIN benchmark ON match_id = 'a' || item_id WHERE match_tier = 'primary'""")
+def definitions_cut(spark, d):
+    """What a first dictionary with long definitions says of each word, cut for display."""
+    b = table(spark, d, "benchmark")
+    said = b.select(F.concat(F.lit("a"), F.col("item_id").cast("string")).alias("xml_id"), F.col("text").alias("def_ka"))
+    entries = base.primary_entries(spark, d).join(said, "xml_id")
+    first = lookup.primary_lookup(entries, base.existing(spark, d), F.lower)
+    types = base.words(spark, d).select("surface", "norm").distinct()
+    m = match.match_types(types, base.stopwords(spark), base.authority(spark, d), first, base.secondary(spark, d), each=True).filter("match_tier = 'primary'")
+    return m.join(said.select(F.col("xml_id").alias("match_id"), (F.char_length("def_ka") > 120).alias("was_cut")), "match_id").select("surface", "match_id", "match_def_ka", "was_cut")

@@ -1,10 +1,10 @@
-"""Exact duplicates by a tree merge of sorted digest runs.
+"""Exact duplicates by a tree merge of digest runs, as aggregation in stages.
 
 Every partition's rows form a run: one entry per digest with its size and the identifier to
-retain, made by sorting and folding (map side first). Runs then meet in rounds: in each, ``fan_in``
-neighbouring runs become one by a multiway sort-merge that folds entries of one digest and keeps
-the better identifier, until one run is left. Runs are dealt out by digest, so no round gathers a
-run, or a hot group, in one task: a group is never more than one entry per run.
+retain, folded on the map side first. Runs then meet in rounds: in each, ``fan_in``
+neighbouring runs become one, entries of one digest folded and the better identifier kept, until one run is left. A run's number is
+a key beside the digest, and Spark's aggregation sorts or hashes inside its exchange: nothing but that orders or merges a run.
+Runs are dealt out by digest, so no round gathers a run, or a hot group, in one task: a group is never more than one entry per run.
 
 An entry counts as the same text only if SHA-256, length and a second hash all agree.
 """
@@ -57,7 +57,8 @@ def exact_duplicates(docs: DataFrame, fan_in: int = 16, keep: str = "largest") -
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty, an empty text is a
     text. Of equal texts the largest (or smallest) doc_id is kept; among rows that repeat that id,
-    exactly one is. A null id is smaller than any other. An empty table gives an empty one.
+    exactly one is. A null id is smaller than any other. An empty table gives an empty one. Texts of any length are
+    read whole; columns other than doc_id and text, whatever their names, are not read.
     """
     rows = stage(digest_rows(docs), "digests")
     groups = stage(merge_runs(rows, fan_in, keep), "merged-run")

@@ -313,7 +313,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, node_limit
 
     component_id is the smallest doc_id reachable over links. Null or blank texts have fingerprint 0
     and link like any other. Repeated rows stay repeated, with the same component. A null doc_id
-    counts for a component's smallest id only if no other is there. An empty table gives an empty one.
+    counts for a component's smallest id only if no other is there. Texts of any length are read whole. An empty table gives an empty one.
     """
     marked = stage(fingerprints(docs, words), "fingerprints")
     groups = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "distinct-fingerprints")

@@ -58,39 +58,54 @@ def _tables(radius: int, blocks: int) -> list[list[tuple[int, int]]]:
     return [list(c) for c in combinations(spans, blocks - radius)]
 
 
-def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
-    """(q, fp): every pair of distinct fingerprints q of ``queries`` and fp of ``index`` (column fp
-    each) at most ``radius`` bits apart, q itself included if it is in the index.
+def _met(queries: DataFrame, index: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """(q, the columns of ``index``): every pair of distinct q of ``queries`` (fp) and row of ``index`` (fp, distinct, …) at most ``radius`` bits apart, once.
 
-    One table per choice of ``blocks - radius`` blocks, keyed by their bits moved to the front: two
-    fingerprints so near agree on all bits of at least one table's key, so none is missed. Repeats
-    and nulls are dropped first; copies therefore never multiply.
+    One table per choice of ``blocks - radius`` blocks, keyed by their bits moved to the front: two fingerprints so near agree on all bits
+    of at least one table's key, so none is missed; a pair counts in the first table where it agrees, so none has to be told from its
+    repeats and no list of pairs is kept.
     """
     if not 0 <= radius < blocks <= 64:
         raise ValueError("0 <= radius < blocks <= 64 is needed")
-    keys = []
+    keys, masks = [], []
     for k, spans in enumerate(_tables(radius, blocks)):
-        key, used = F.lit(0).cast("long"), 0
+        key, used, mask = F.lit(0).cast("long"), 0, 0
         for off, width in spans:
             part = F.shiftrightunsigned("fp", off).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))
             key = F.shiftleft(key, width).bitwiseOR(part) if used else part
             used += width
+            mask |= ((1 << width) - 1) << off
         keys.append(F.struct(F.lit(k).alias("t"), key.alias("k")))
-    keyed = lambda df: df.select("fp").na.drop().distinct().select("fp", F.explode(F.array(*keys)).alias("x")).select("fp", "x.t", "x.k")
-    near = keyed(queries).withColumnRenamed("fp", "q").join(keyed(index).hint("merge"), ["t", "k"])  # at every size: neither side is broadcast
-    return near.filter(F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius).select("q", "fp").distinct()
+        masks.append(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+    keyed = lambda df: df.select("*", F.explode(F.array(*keys)).alias("x")).select("x.t", "x.k", *df.columns)
+    asked = queries.select("fp").na.drop().distinct()
+    near = keyed(asked).withColumnRenamed("fp", "q").join(keyed(index.filter("fp is not null")).hint("merge"), ["t", "k"])  # at every size: neither side is broadcast
+    differ = F.col("q").bitwiseXOR(F.col("fp"))
+    first = F.array_position(F.transform(F.array(*masks), lambda m: differ.bitwiseAND(m) == 0), True) - 1
+    return near.filter((F.bit_count(differ) <= radius) & (first == F.col("t"))).select("q", *index.columns)
+
+
+def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
+    """(q, fp): every pair of distinct fingerprints q of ``queries`` and fp of ``index`` (column fp
+    each) at most ``radius`` bits apart, q itself included if it is in the index.
+
+    Repeats and nulls are dropped first; copies therefore never multiply. The pairs of a dense cluster grow with its square: whoever
+    needs their number only takes ``counted_within``.
+    """
+    return _met(queries, index.select("fp").distinct(), radius, blocks)
 
 
 def counted_within(prints: DataFrame, asked: Column, radius: int = 3, blocks: int = 6) -> DataFrame:
     """``prints`` (doc_id, fp, …; staged) with near_docs, the number of its rows whose fingerprint is at most ``radius`` bits
     from the row's own (itself included), and near_low, their smallest doc_id; both null where not ``asked``.
 
-    Searched by the block tables, over distinct fingerprints: copies count by their number and never meet in pairs.
+    Searched by the block tables, over distinct fingerprints: copies count by their number and never meet in pairs, and pairs are summed
+    where they are met.
     """
     groups = prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.count_if(asked).alias("asked"))
     groups = stage(groups, "distinct-fingerprints")
-    hits = within_radius(groups.filter("asked > 0"), groups, radius, blocks)
-    found = hits.join(groups.select("fp", "low", "n").hint("merge"), "fp").groupBy("q").agg(F.sum("n").alias("near_docs"), F.min("low").alias("near_low"))
+    hits = _met(groups.filter("asked > 0"), groups.select("fp", "low", "n"), radius, blocks)
+    found = hits.groupBy("q").agg(F.sum("n").alias("near_docs"), F.min("low").alias("near_low"))  # summed where the pairs are met
     found = found.withColumnRenamed("q", "fp").join(groups.select("fp", "asked").hint("merge"), "fp")
     found = stage(found, "within-radius")
     rest = prints.filter(~F.coalesce(asked, F.lit(False)))

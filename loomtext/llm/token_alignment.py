@@ -40,6 +40,10 @@ CHUNK_CHARS, MEMO_MOVES = 8_000_000, 1_000_000
 TOGETHER = 2000
 #: Texts, with the blank before them, that show whether words part both tokenizers' ids.
 TRIALS = [" the cat's 42 Dogs, über  straße. (x)", " a\nb  c \n d\t e", "  Don't I'LL éÀ — 3.14 <|x|>", " tion ing  re\u00a0 the\u3000x  \n\n  y"]
+#: Fixed value: how byte-level BPE files that ask for it part a text before merging.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Words below this letter are encoded by ``tiktoken``: libraries differ in the Unicode version by which they tell letters, but not down there.
+COMMON = "\u0250"
 _WORD_ENDS = re.compile(r"(?<=\S)(?= )")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -134,11 +138,32 @@ class Aligner:
         b_bytes = [bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
         self.transducer = Transducer((a_bytes, b_bytes))
         self.sizes = [np.array([len(x) for x in of], np.int64) for of in (a_bytes, b_bytes)]
+        self.fast = self._fast(kept, a_bytes, special)
         self.names = [str(i) for i in range(self.transducer.width)]
         self.blank = self.b.piece_to_id("▁")
         across = any(re.search(r"\S ", x.decode("utf-8", "replace")) for x in [*a_bytes, *b_bytes])
         self.by_word = not across and all(self.ids(t) == self._word_ids(t) for t in TRIALS)
 
+    def _fast(self, kept: dict, a_bytes: list[bytes], special: dict[int, str]):
+        """The same vocabulary for ``tiktoken``, if A is plain byte-level BPE whose tokens are numbered in the order of their merges and trials agree.
+
+        Where every token is what its own bytes merge to, merging the pair whose bytes have the lowest number gives the same ids as merging by the
+        list of merges: a pair that spells a token is the one that its own merging ends with.
+        """
+        import tiktoken
+
+        model, split = kept["model"], kept.get("pre_tokenizer") or {}
+        plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")) and not kept.get("normalizer")
+        numbers = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model["merges"]]
+        if not (plain and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and numbers == sorted(set(numbers))):
+            return None
+        ranks = {x: i for i, x in enumerate(a_bytes) if i not in special}
+        fast = tiktoken.Encoding("side-a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+        words = [t for t in (x.decode("utf-8", "ignore") for x in [*a_bytes[300::23], *map(bytes.__add__, a_bytes[1000::97], a_bytes[2000::89])]) if t and t < COMMON and max(t) < COMMON]
+        trials = [*words, *(t for t in TRIALS if max(t) < COMMON)]
+        same = [e.ids for e in self.a.encode_batch_fast(trials, add_special_tokens=False)] == [fast.encode_ordinary(t) for t in trials]
+        return fast if same else None
+
     def _word_ids(self, text: str) -> tuple[list[int], list[int]]:
         each = [self.ids(w) for w in _WORD_ENDS.split(text)]
         return [i for a, _ in each for i in a], [i for _, b in each for i in b]
@@ -171,13 +196,16 @@ class Aligner:
         from_to = itertools.pairwise([0, *end.tolist()])
         return Entries(*(np.diff(x, prepend=0) for x in (*at, end)), [";".join(parts[x:y]) for x, y in from_to], np.array(links, np.int64))
 
-    def entries(self, words: list[str]) -> "Entries":
+    def entries(self, words: list[str], common: bool = False) -> "Entries":
         """Entries of ``words`` (bad where the ids don't spell one): many are encoded as one text and cut at their ends, or one by one where
-        that isn't possible."""
+        that isn't possible. ``common``: all their letters are below COMMON."""
         found = []
         for k in range(0, len(words), TOGETHER):
             some = words[k : k + TOGETHER]
-            a = [e.ids for e in self.a.encode_batch_fast(["".join(some)] if self.by_word else some, add_special_tokens=False)]
+            if common and self.fast and self.by_word:
+                a = [self.fast.encode_ordinary("".join(some))]
+            else:
+                a = [e.ids for e in self.a.encode_batch_fast(["".join(some)] if self.by_word else some, add_special_tokens=False)]
             b = self.b.encode([w[1:] for w in some], num_threads=1)
             b = [x or ([self.blank] if w == " " else []) for x, w in zip(b, some, strict=True)]
             one = self._cut(some, list(itertools.chain(*a)), list(itertools.chain(*b)))
@@ -234,9 +262,11 @@ class _Chunk:
         aligner, numbers = self.aligner, self.numbers
         words = list(numbers)
         # a text's last word may end in white space: it isn't encoded together with others
-        loose = [w for w in words if w[-1].isspace()]
-        order = [*[w for w in words if not w[-1].isspace()], *loose]
-        entries = [aligner.entries(order[: len(order) - len(loose)]), *[aligner.entries([w]) for w in loose]]
+        loose, common, other = [], [], []
+        for w in words:
+            (loose if w[-1].isspace() else common if w.isascii() or max(w) < COMMON else other).append(w)
+        order = [*common, *other, *loose]
+        entries = [aligner.entries(common, common=True), aligner.entries(other), *[aligner.entries([w]) for w in loose]]
         place = np.zeros(len(words), np.int64)
         place[[numbers[w] for w in order]] = np.arange(len(order))
         self.ids = [place[i] for i in self.ids]

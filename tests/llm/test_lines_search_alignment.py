@@ -123,6 +123,32 @@ def test_words_are_encoded_together_or_alone(monkeypatch):
     assert (together.n_a + together.n_b - together.n_groups).sum() == len(together.links)
 
 
+def test_every_token_is_what_its_own_bytes_merge_to():
+    import json
+
+    with open(A) as f:
+        model = json.load(f)["model"]
+    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    rank = {m: i for i, m in enumerate(merges)}
+    for token in model["vocab"]:
+        parts = list(token)
+        while len(parts) > 1:
+            at = min(range(len(parts) - 1), key=lambda k: rank.get((parts[k], parts[k + 1]), len(rank)))  # noqa: B023
+            if (parts[at], parts[at + 1]) not in rank:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        assert len(parts) == 1 or token == "<|endoftext|>"
+
+
+def test_common_words_have_the_ids_of_the_file(spark, sf_dir):
+    aligner = token_alignment.Aligner(A, B)
+    assert aligner.fast
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()] + [f" {chr(c)}x {chr(c)}{chr(c)} 1{chr(c)}" for c in range(1, 0x250)]
+    for text in texts:
+        if text and max(text) < token_alignment.COMMON:
+            assert aligner.fast.encode_ordinary(text) == aligner.a.encode(text, add_special_tokens=False).ids
+
+
 # --- op12 -----------------------------------------------------------------------------------------
 
 

@@ -102,7 +102,7 @@ def folio_sequence(spark, d):
 
 
 @query("""SELECT o_orderkey, ltrim(lpad(o_custkey::VARCHAR, 6, '0'), '0') || '–' || ltrim(lpad(o_orderkey::VARCHAR, 8, '0'), '0') AS life, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y') ELSE strftime(o_orderdate, '%Y') || '–' || o_custkey END AS witness,
-  CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y') ELSE o_custkey || '–' END[1:-2] AS nothing, 'ff. ' || o_custkey || '-' || o_orderkey AS leaves FROM orders""".replace("""CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y') ELSE o_custkey || '–' END[1:-2] AS nothing""", """CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y') ELSE o_custkey::VARCHAR END AS imprint"""))
+  CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y') ELSE o_custkey::VARCHAR END AS imprint, 'ff. ' || o_custkey || '-' || o_orderkey AS leaves FROM orders""")
 def date_displays(spark, d):
     year, cust, key = F.date_format("o_orderdate", "yyyy"), F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
     done = F.col("o_orderstatus") == "F"

@@ -51,7 +51,8 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, min_docs: int, fan_in: int = 2) -> None:
         self.spark, self.min_docs, self.fan_in = spark, min_docs, fan_in
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # as many as a shuffle has partitions, so that what is counted is dealt out as the buckets are
+        self.buckets = min(int(spark.conf.get(f"spark.sql.{name}")) for name in ("shuffle.partitions", "sources.bucketing.maxBuckets"))
         self.levels: list[list[str]] = [[]]
         self.settled: list[str] = []
         self.paths: dict[str, str] = {}

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of the sample for each part, and rows that a part is meant to have.
-SAMPLED, PART_ROWS = 50, 500_000
+#: Rows of the sample for each part, rows that a part is meant to have, and most parts: beyond that parts grow, since their boundaries go to every task.
+SAMPLED, PART_ROWS, MOST_PARTS = 50, 500_000, 4000
 
 
 def _bounds(rows: DataFrame, key: Column, parts: int) -> list:
@@ -27,7 +27,7 @@ def _parted(rows: DataFrame, order: list[str | Column], parts: int | None) -> tu
     """``rows`` with ``__key`` (the order as one struct) and ``__part``, how many boundaries lie at or before it."""
     key = F.struct(*[F.col(c) if isinstance(c, str) else c.alias(f"o{i}") for i, c in enumerate(order)])
     rows = rows.withColumn("__key", key)
-    parts = parts or max(2, -(-rows.count() // PART_ROWS))
+    parts = parts or min(MOST_PARTS, max(2, -(-rows.count() // PART_ROWS)))
     bounds = _bounds(rows, F.col("__key"), parts)
     if not bounds:
         return rows.withColumn("__part", F.lit(0)), 1

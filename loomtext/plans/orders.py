@@ -17,13 +17,13 @@ MOST_TEXTS = 10_000
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY n_chars, lang NULLS FIRST, doc_id) AS place FROM documents")
 def document_ranks(spark, d):
-    return ordering.ranked(table(spark, d, "documents").select("doc_id", "n_chars", "lang"), ["n_chars", "lang", "doc_id"], "place", parts=8).select("doc_id", "place")
+    return ordering.ranked(table(spark, d, "documents").select("doc_id", "n_chars", "lang"), ["n_chars", "lang", "doc_id"], "place").select("doc_id", "place")
 
 
 @query("SELECT doc_id, lag(doc_id) OVER w AS prev_id, lead(doc_id) OVER w AS next_id FROM documents WINDOW w AS (ORDER BY left(coalesce(text, ''), 40), doc_id)")
 def document_neighbours(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.left(F.coalesce("text", F.lit("")), F.lit(40)).alias("head"))
-    return ordering.neighbours(docs, ["head", "doc_id"], "doc_id", parts=8).select("doc_id", "prev_id", "next_id")
+    return ordering.neighbours(docs, ["head", "doc_id"], "doc_id").select("doc_id", "prev_id", "next_id")
 
 
 _COLLATE = "zyxwvutsrqponmlkjihgfedcba"
@@ -34,7 +34,7 @@ k AS (SELECT word, list_transform(string_split(word, ''), lambda c: CASE WHEN st
 SELECT word, row_number() OVER (ORDER BY key, word) AS place FROM k""")
 def collated_words(spark, d):
     words = table(spark, d, "documents").select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1)), F.lower))).alias("word")).distinct()
-    return ordering.ranked(words, [georgian.collation_key(F.col("word"), _COLLATE), "word"], "place", parts=8).select("word", "place")
+    return ordering.ranked(words, [georgian.collation_key(F.col("word"), _COLLATE), "word"], "place").select("word", "place")
 
 
 # --- Texts of unmatched words ---------------------------------------------------------------------

@@ -102,7 +102,7 @@ def oov_places(spark, d):
     """The place of each unmatched type: by category, falling frequency, first text and spelling."""
     first = base.words(spark, d).groupBy("surface").agg(F.min("doc_id").alias("first_seen"))
     found = corpus.unmatched(spark, d).select("surface", "category", "freq").join(first, "surface")
-    return ordering.ranked(found, [oov.rank(), -F.col("freq"), "first_seen", "surface"], "place", parts=4).select("surface", "category", "place")
+    return ordering.ranked(found, [oov.rank(), -F.col("freq"), "first_seen", "surface"], "place").select("surface", "category", "place")
 
 
 @query("""SELECT c_mktsegment AS segment, r.n AS names, md5(array_to_string(r.l, '|')) AS digest FROM (SELECT c_mktsegment, count(*) AS n, list(c_name ORDER BY c_name) AS l FROM customer WHERE c_acctbal > 0 GROUP BY 1) r""")
@@ -121,7 +121,7 @@ def skeleton_places(spark, d):
     p = table(spark, d, "part")
     found = p.select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("match_id"), F.col("p_name").alias("lemma"), F.lit("").alias("def_ka"), F.col("p_brand").alias("source"), F.when(F.col("p_size") % 2 == 0, "master").otherwise("primary").alias("tier"), F.lit(1).alias("freq"), F.lit(1).alias("text_count"))
     made = growth.skeletons(found, {}).withColumn("key", F.regexp_extract("xml_id", r"(\d+)", 1).cast("long"))
-    return ordering.ranked(made, ["rank", "key"], "place", parts=4).select("xml_id", "place", "certainty")
+    return ordering.ranked(made, ["rank", "key"], "place").select("xml_id", "place", "certainty")
 
 
 # --- Joined columns and strings -------------------------------------------------------------------

@@ -60,7 +60,7 @@ _COLLATE = "ZYXWVUTSRQPONMLKJIHGFEDCBA"
 @query(f"""WITH k AS (SELECT n_name, list_transform(string_split(n_name, ''), lambda c: CASE WHEN strpos('{_COLLATE}', c) > 0 THEN strpos('{_COLLATE}', c) - 1 ELSE 999 END) AS key FROM nation)
 SELECT n_name, row_number() OVER (ORDER BY key, n_name) AS place FROM k""")
 def custom_collation_rank(spark, d):
-    return ordering.ranked(table(spark, d, "nation").select("n_name"), [georgian.collation_key(F.col("n_name"), _COLLATE), "n_name"], "place", parts=4).select("n_name", "place")
+    return ordering.ranked(table(spark, d, "nation").select("n_name"), [georgian.collation_key(F.col("n_name"), _COLLATE), "n_name"], "place").select("n_name", "place")
 
 
 @query("""WITH g AS (SELECT event_type, count(*) AS n, min(event_id) AS first, list_position(['purchase', 'view', 'absent'], event_type) AS p FROM events GROUP BY event_type)

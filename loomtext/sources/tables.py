@@ -201,7 +201,8 @@ def read_store(spark: SparkSession, path: str, schema: str, texts: list | None =
 
 
 def bucketed(rows: DataFrame, path: str, key: str, buckets: int = 16) -> str:
-    """Writes ``rows`` as a table bucketed and sorted by ``key`` and returns its name: tables of one number of buckets join by the key without a shuffle."""
+    """Writes ``rows`` as a table bucketed and sorted by ``key`` and returns its name: tables of one number of buckets join by the key without a shuffle.
+    The files go with the session; in a catalog that outlives it the caller drops the table."""
     name = f"loomtext_{uuid.uuid4().hex}"
     rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
     return name

@@ -16,8 +16,9 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (u long, v long); root is the smallest node reachable.
 
     Links go both ways; self-links and repeats are ignored; an empty table gives an empty one.
-    Each round is two joins with a written table of one row per node, so that a hub's rows can be split by the adaptive skew
-    join (which an aggregation by the join's key can't be); the rounds grow with the logarithm of the longest chain.
+    Each round is two joins with a table of one row per node. Where a hub's rows all meet, in the large star, that table is written, so that
+    the adaptive skew join can split them (which it can't where the table is an aggregation by the join's key); the rounds grow with the
+    logarithm of the longest chain.
     """
     edges = stage(
         links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"
@@ -28,8 +29,8 @@ def components(links: DataFrame) -> DataFrame:
         low = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "lowest-neighbours")
         large = both.filter("v > u").join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large, "large-star")
-        low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "lowest-neighbours")
-        small = large.join(low.hint("merge"), "u").select(F.explode(F.expr("array(struct(u, m as v), struct(v as u, m as v))")).alias("e"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))  # no hubs here: what a node points to now are minima
+        small = large.join(low, "u").select(F.explode(F.expr("array(struct(u, m as v), struct(v as u, m as v))")).alias("e"))
         edges = stage(small.select("e.u", "e.v").filter("u <> v").distinct(), "small-star")
         now = _digest(edges)
         if now == seen:

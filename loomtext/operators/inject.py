@@ -123,10 +123,13 @@ def splice(root: ET.Element, tokens: list[dict], authority: str = "authority") -
 
 
 def _parsed(text: str) -> tuple[str, ET.Element, str]:
-    """What stands before the root element, the root with comments and processing instructions in it, and what follows."""
+    """What stands before the root element, the root with comments and processing instructions in it, and what follows. Elements that are empty
+    between a start and an end tag have the text ``""``, those of a single tag None."""
     raw = text.encode("utf-8", "surrogatepass")
     root = ET.fromstring(raw, ET.XMLParser(target=ET.TreeBuilder(insert_comments=True, insert_pis=True)))
     ends: list[int] = []
+    opened: list[int] = []
+    paired: list[bool] = []
     depth = 0
     p = expat.ParserCreate()
 
@@ -135,19 +138,34 @@ def _parsed(text: str) -> tuple[str, ET.Element, str]:
         if not depth:
             ends.append(p.CurrentByteIndex)
         depth += 1
+        opened.append(len(paired))
+        paired.append(False)
 
     def end(*_) -> None:
         nonlocal depth
         depth -= 1
+        at = p.CurrentByteIndex
+        paired[opened.pop()] = raw[at : at + 2] == b"</" and raw[at - 2 : at] != b"/>"  # a single tag ends before ``at``
         if not depth:
-            ends.append(p.CurrentByteIndex)
+            ends.append(at)
 
     p.StartElementHandler, p.EndElementHandler = start, end
     p.Parse(raw, True)
+    for el, two in zip((x for x in root.iter() if isinstance(x.tag, str)), paired, strict=True):
+        if two and not el.text and not len(el):
+            el.text = ""
     close = raw.index(b">", ends[1]) + 1 if raw[ends[1] : ends[1] + 2] == b"</" else len(raw)
     return raw[: ends[0]].decode("utf-8", "surrogatepass"), root, raw[close:].decode("utf-8", "surrogatepass")
 
 
+def _written(root: ET.Element) -> str:
+    """The markup of a tree of ``_parsed``; what was empty between two tags stays so."""
+    for el in root.iter():
+        if el.text == "" and not len(el) and isinstance(el.tag, str):
+            el.text = "\0"  # no text can hold it
+    return ET.tostring(root, encoding="unicode").replace("\0", "")
+
+
 def inject(docs: DataFrame, tokens: DataFrame, every: bool = False, gate: bool = True) -> DataFrame:
     """(doc, text, tagged, skipped, introduced, written) per document of ``docs`` (doc, text) with tokens (as of ``in_order``, by text_id).
 
@@ -178,7 +196,7 @@ def inject(docs: DataFrame, tokens: DataFrame, every: bool = False, gate: bool =
                 after = tag_violations(root)
                 worse = [k for k in after if after[k] > violations[k]]
                 stands = bool(done) and not (gate and worse)
-                rows.append((doc.as_py(), lead + ET.tostring(root, encoding="unicode") + rest if stands else old, done, skipped, worse, stands))
+                rows.append((doc.as_py(), lead + _written(root) + rest if stands else old, done, skipped, worse, stands))
             if rows:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
@@ -280,7 +298,7 @@ def tag_surfaces(docs: DataFrame, table: DataFrame, skipped: list[str] = SCOPED_
                         n += len(new) - len(children)
                         el[:] = new
                     work += children
-                texts_.append(lead + ET.tostring(root, encoding="unicode") + rest if n else old)
+                texts_.append(lead + _written(root) + rest if n else old)
                 counts.append(n)
             yield pa.record_batch([pa.array(docs_, pa.string()), pa.array(texts_, pa.string()), pa.array(counts, pa.int32())], ["doc", "text", "tagged"])
 

@@ -309,3 +309,19 @@ def test_tables_and_sinks(spark, tmp_path):
     (tmp_path / "x").mkdir()
     (tmp_path / "x" / "d1.xml").write_text(TEXT, encoding="utf-8")
     assert [(r.doc, r.text) for r in markup.read_documents(spark, str(tmp_path / "x")).collect()] == [("d1", TEXT)]
+
+
+def test_empty_elements_stay_as_they_are_spelt(spark):
+    text = '<TEI><p xml:id="a">one<rdg wit="#S"></rdg><pb /><!-- c --> two</p></TEI>'
+    docs = spark.createDataFrame([("d", text)], "doc string, text string")
+    hit = spark.createDataFrame([("d", 0, 0, 0, 3, "one", "a", "x", "primary", "s")], "text_id string, node_idx int, is_tail int, char_start int, char_end int, surface string, para_id string, match_id string, match_tier string, match_source string")
+    got = inject.inject(docs, inject.in_order(hit)).first()
+    assert got.text == text.replace("one", '<w lemmaRef="#x">one</w>') and got.tagged == 1
+
+
+def test_tokens_are_numbered_without_shuffling_words(spark):
+    docs = spark.createDataFrame([("d", '<TEI xml:id="t"><p xml:id="a">b c<note>no</note> d <seg>e f</seg>g</p><p xml:id="b">h</p></TEI>')], "doc string, text string")
+    t = tokens.tokenise(tokens.text_nodes(docs), r"\p{L}+", r"[^\p{L}]+", F.lower)
+    assert [(r.token_id, r.surface) for r in t.orderBy("token_id").collect()] == [*((f"t_a_t{k}", w) for k, w in enumerate("bcdefg")), ("t_b_t0", "h")]
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "MapInArrow" in plan[: plan.index("Exchange")] and "surface" not in plan[plan.index("Exchange") :]

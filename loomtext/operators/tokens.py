@@ -150,10 +150,13 @@ def tokenise(nodes: DataFrame, word: str = georgian.WORD, other: str = "[^" + ge
 
     The first word of a tail that continues an initial is normalised with it; its surface stays as it is.
     """
-    keys = ["text_id", "para_ord", "ord"]
-    words = spans(nodes, [*keys, "para_id", "node_idx", "quirk_idx", "is_tail", "initial_char"], "text", word, other)
+    # the nodes are numbered on by the words before them, so that no word is shuffled
+    count = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(f"({word})"), F.lit(1))), F.lit(0))
+    earlier = Window.partitionBy("text_id", "para_ord").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    nodes = nodes.withColumn("__earlier", F.coalesce(F.sum(count).over(earlier), F.lit(0)).cast("int"))
+    words = spans(nodes, ["text_id", "para_id", "node_idx", "quirk_idx", "is_tail", "initial_char", "__earlier"], "text", word, other)
     words = words.withColumn("norm", normalise(F.when(F.col("k") == 0, F.concat("initial_char", "surface")).otherwise(F.col("surface"))))
-    words = numbered(words.drop("k"), ["text_id", "para_ord"], ["ord", "char_start"])
+    words = words.withColumn("k", F.col("__earlier") + F.col("k"))
     return words.select(
         F.concat_ws("_", "text_id", "para_id", F.concat(F.lit("t"), F.col("k").cast("string"))).alias("token_id"),
         "surface", "norm", "text_id", "para_id", F.col("quirk_idx" if compat else "node_idx").alias("node_idx"), "is_tail", "char_start", "char_end", "initial_char",

@@ -104,9 +104,9 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Tab-separated files with a header."""
-    _flat(df).write.mode("overwrite").option("sep", "\t").option("header", True).option("escape", "\"").option("emptyValue", "").csv(path)
+def write_tsv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Tab-separated files with a header; the readers find out how files are compressed by their names."""
+    _flat(df).write.mode("overwrite").option("compression", compression).option("sep", "\t").option("header", True).option("escape", "\"").option("emptyValue", "").csv(path)
 
 
 def write_split(df: DataFrame, path: str, column: str, values: dict[str, str]) -> None:

@@ -325,3 +325,16 @@ def test_tokens_are_numbered_without_shuffling_words(spark):
     assert [(r.token_id, r.surface) for r in t.orderBy("token_id").collect()] == [*((f"t_a_t{k}", w) for k, w in enumerate("bcdefg")), ("t_b_t0", "h")]
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" in plan and "MapInArrow" in plan[: plan.index("Exchange")] and "surface" not in plan[plan.index("Exchange") :]
+
+
+def test_rows_of_small_documents_come_in_few_batches():
+    import pyarrow as pa
+
+    docs = pa.record_batch([pa.array([f"d{i}" for i in range(3000)]), pa.array(["<a" if i % 3 == 0 else f"<a><b>{i}</b></a>" for i in range(3000)])], ["doc", "text"])
+    out = list(markup.batched(docs, lambda doc, root: [(doc, b.text) for b in root.iter("b")], pa.schema([("doc", pa.string()), ("b", pa.string())])))
+    assert len(out) == 1 and out[0].num_rows == 2000 and out[0].column(1)[0].as_py() == "1"
+
+
+def test_rows_of_elements_named_by_entities(spark):
+    docs = spark.createDataFrame([("e", '<!DOCTYPE a [<!ENTITY x "<&#98; k=\'1\'/>">]><a>&x;</a>'), ("p", '<t:a xmlns:t="u"><t:b k="2"/></t:a>'), ("n", "<a><c/></a>"), ("z", None)], "doc string, text string")
+    assert {(r.doc, r.k) for r in markup.rows_of(docs, ".//b", {"k": ".@k"}).collect()} == {("e", "1"), ("p", "2")}

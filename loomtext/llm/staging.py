@@ -43,11 +43,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns the written table."""
+def stage(df: DataFrame, label: str, file_rows: int = 0) -> DataFrame:
+    """Writes ``df`` to the shared folder and returns the written table. ``file_rows`` is for rows of many megabytes: writers hold a
+    hundred rows, and readers a file's, so a file gets no more than these."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", file_rows).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -36,6 +36,8 @@ from loomtext.llm.word_tokens import _byte_letters
 
 #: Code points of a chunk (a longer text is a chunk of its own), and moves that a transducer remembers.
 CHUNK_CHARS, MEMO_MOVES = 8_000_000, 1_000_000
+#: Chunks in a staged file.
+FILE_CHUNKS = 2
 #: Words that are encoded as one text.
 TOGETHER = 2000
 #: Texts, with the blank before them, that show whether words part both tokenizers' ids.
@@ -350,12 +352,14 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, chunk_chars: int = CHUNK_
     they come. Texts of any length are read whole; one without blanks is one word. An empty table gives an empty one. Columns other than
     doc_id and text, whatever their names, are not read.
     """
-    chunks = stage(_chunks(docs, a_path, b_path, chunk_chars), "aligned-chunks")
+    chunks = stage(_chunks(docs, a_path, b_path, chunk_chars), "aligned-chunks", FILE_CHUNKS)
+    tasks = max(1, chunks.count())  # one chunk a task on average, however many there are: tasks don't grow with the corpus
     counts = stage(pair_counts(chunks), "pair-counts")
     spot = chunks.select("chunk", F.posexplode(F.arrays_zip("pair_a", "pair_b")).alias("at", "p")).select("chunk", "at", F.col("p.pair_a").alias("a"), F.col("p.pair_b").alias("b"))
     # merge joins at every size: neither the pairs' counts nor the chunks' are ever broadcast
-    met = spot.join(counts.hint("merge"), ["a", "b"]).groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "total", "best"))).alias("met"))
-    met = stage(met.select("chunk", F.col("met.total").alias("totals"), F.col("met.best").alias("bests")), "chunk-counts")
+    # the counts go to their chunk's task one by one, so no task gathers parts of all chunks
+    met = spot.join(counts.hint("merge"), ["a", "b"]).repartition(tasks, "chunk").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "total", "best"))).alias("met"))
+    met = met.select("chunk", F.col("met.total").alias("totals"), F.col("met.best").alias("bests"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_ids", "sizes", "words", "links", "link_sizes", "shas", "n_a", "n_b", "n_groups", "n_links", "totals", "bests"]
 
@@ -373,5 +377,5 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, chunk_chars: int = CHUNK_
                 cols = [one["doc_ids"].values, *[one[n].values for n in ("n_a", "n_b", "n_groups", "n_links")], *sums, one["shas"].values]
                 yield pa.record_batch(cols, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
-    rows = chunks.drop("pair_a", "pair_b", "pair_n").join(met.hint("merge"), "chunk", "left").select(*names)
+    rows = chunks.drop("pair_a", "pair_b", "pair_n").repartition(tasks, "chunk").join(met.hint("merge"), "chunk", "left").select(*names)
     return rows.mapInArrow(lean(run), f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")

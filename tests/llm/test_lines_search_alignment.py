@@ -86,6 +86,21 @@ def aligned_by_offsets(rows):
         yield doc_id, n_a, n_b, len(groups), len(links), best, total, hashlib.sha256(text.encode()).hexdigest() if groups else ""
 
 
+def test_alignment_tasks_hold_few_chunks_however_many_there_are(docs, monkeypatch):
+    staged, real = {}, token_alignment.stage
+
+    def watched(df, label, *more):
+        staged[label] = real(df, label, *more)
+        return staged[label]
+
+    monkeypatch.setattr(token_alignment, "stage", watched)
+    out = token_alignment.aligned(docs.repartition(1), A, B, 3000)
+    chunks = staged["aligned-chunks"]
+    n = chunks.count()
+    assert n > 20 and chunks.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= token_alignment.FILE_CHUNKS
+    assert out.rdd.getNumPartitions() == n
+
+
 @pytest.mark.parametrize("chunk_chars", [3000, 10**7])
 def test_alignment_is_that_of_the_offsets(docs, rows, chunk_chars):
     same(token_alignment.aligned(docs, A, B, chunk_chars).collect(), list(aligned_by_offsets(rows)))

@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 from loomtext.functions.strings import distinct_parts, html_escaped, labelled, primary_source
 
 
+def eligible(matched: DataFrame, existing: DataFrame, tiers=("primary", "master")) -> DataFrame:
+    """The rows of ``matched`` (tokens or types) that matched exactly an id that is no entry yet."""
+    ok = F.col("match_tier").isin(*tiers) & (F.col("confidence") == "exact") & (F.col("in_lexicon") != "1") & (F.col("match_id") != "") & (F.char_length("match_lemma") >= 2)
+    return matched.filter(ok).join(existing.select(F.col("xml_id").alias("match_id")).distinct(), "match_id", "left_anti")
+
+
 def candidates(matched: DataFrame, existing: DataFrame, tiers=("primary", "master"), order: str = "token_id", n: str | None = None) -> DataFrame:
     """(match_id, lemma, def_ka, source, tier, freq, text_count) for ids that matched exactly and are no entry yet; what is
     said of an id comes from its first token in ``order``. Rows are tokens, or stand for ``n`` tokens each."""
-    ok = F.col("match_tier").isin(*tiers) & (F.col("confidence") == "exact") & (F.col("in_lexicon") != "1") & (F.col("match_id") != "") & (F.char_length("match_lemma") >= 2)
-    rows = matched.filter(ok).join(existing.select(F.col("xml_id").alias("match_id")).distinct(), "match_id", "left_anti")
+    rows = eligible(matched, existing, tiers)
     first = F.min_by(F.struct(F.col("match_lemma").alias("lemma"), F.col("match_def_ka").alias("def_ka"), F.col("match_source").alias("source"), F.col("match_tier").alias("tier")), order)
     return rows.groupBy("match_id").agg(first.alias("x"), F.sum(F.col(n) if n else F.lit(1)).alias("freq"), F.count_distinct("text_id").alias("text_count")).select("match_id", "x.*", "freq", "text_count")
 

@@ -92,9 +92,9 @@ def match_tokens(tokens: DataFrame, stopwords: DataFrame, authority: DataFrame,
 
 def tier_coverage(counted: DataFrame, by: str = "match_tier", n: str = "n") -> DataFrame:
     """(by, tokens, share): tokens per tier, or confidence, and their share of all in per cent; from counted types."""
-    total = counted.agg(F.sum(n).alias("total"))
-    one = counted.groupBy(by).agg(F.sum(n).alias("tokens"))
-    return one.crossJoin(F.broadcast(total)).select(by, "tokens", F.try_divide(F.col("tokens") * 100.0, "total").alias("share"))
+    one = counted.groupBy(by).agg(F.sum(n).alias("tokens"))  # a row a tier; their sum is the total, so types are matched once
+    one = one.agg(F.sum("tokens").alias("total"), F.collect_list(F.struct(by, "tokens")).alias("tiers")).select("total", F.inline("tiers"))
+    return one.select(by, "tokens", F.try_divide(F.col("tokens") * 100.0, "total").alias("share"))
 
 
 def counted(tokens: DataFrame, keys: list[str], n: str = "n") -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomtext.functions import georgian
-from loomtext.operators import catalogue, lookup, match, oov
+from loomtext.operators import catalogue, growth, lookup, match, oov
 from loomtext.streaming import annotate
 
 
@@ -139,3 +139,17 @@ def test_only_words_that_meet_a_key_are_shuffled(spark, most):
     assert sorted((r.doc_id, r.surface, r.target_id) for r in out.collect()) == [(1, "a", "x"), (2, "a", "x"), (3, "c", "y")]
     hinted = out._jdf.queryExecution().optimizedPlan().toString()
     assert ("strategy=broadcast" in hinted) == (most == 100)
+
+
+def test_coverage_matches_its_types_once(spark, tmp_path):
+    spark.createDataFrame([("none", 3), ("primary", 1), ("none", 4)], "match_tier string, n long").write.parquet(str(tmp_path / "t"))
+    out = match.tier_coverage(spark.read.parquet(str(tmp_path / "t")))
+    assert sorted((r.match_tier, r.tokens, r.share) for r in out.collect()) == [("none", 7, 87.5), ("primary", 1, 12.5)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+def test_types_are_judged_before_they_meet_their_words(spark):
+    one = lambda *x: ("primary", "exact", "0", *x)
+    types = spark.createDataFrame([("a", *one("a1", "item")), ("b", *one("a2", "item")), ("c", *one("a3", "x")), ("d", "none", "none", "0", "", "")], "surface string, match_tier string, confidence string, in_lexicon string, match_id string, match_lemma string")
+    out = growth.eligible(types, spark.createDataFrame([("a2",)], "xml_id string"))
+    assert [r.surface for r in out.collect()] == ["a"]

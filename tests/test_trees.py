@@ -110,3 +110,25 @@ def test_empty_tables(spark):
     nodes = markup.node_table(spark.createDataFrame([], "doc string, text string"))
     assert not tree.outline(nodes, F.col("tag") == "b").count() and not pages.text_bodies(nodes).count() and not pages.articles(nodes).count()
     assert not pages.apparatus_entries(nodes, {"orthographic": ("c", "l")}).count() and not pages.sense_rows(nodes).count()
+
+
+def test_pages_take_one_parse_and_one_shuffle(spark):
+    nodes = markup.node_table(spark.createDataFrame([("d", "<TEI/>")], "doc string, text string"))
+    for made_ in (pages.text_bodies(nodes), pages.articles(nodes), pages.footnotes(nodes), pages.called_notes(nodes)):
+        text = made_._jdf.queryExecution().executedPlan().toString()
+        assert text.count("MapInArrow") == 1 and text.count("Exchange hashpartitioning") == 1
+
+
+def test_articles_by_hand(spark):
+    text = (
+        '<TEI><text><body><div xml:id="a"><head>A</head><p>x<note xml:id="n">y<hi>z</hi><note>w</note></note></p><div><head>B</head></div><div><head>C</head><p><ref target="#n">r</ref><ref target="#no">s</ref></p></div></div>'
+        "<div><head>D</head><div><head>E</head></div></div><head>F</head></body></text></TEI>"
+    )
+    nodes = markup.node_table(spark.createDataFrame([("d", text)], "doc string, text string"))
+    call = '<sup><a href="#fn-1">1</a></sup>'
+    want = (
+        f'<section id="a"><h2>1 A</h2><p>x{call}</p><section id=""><h3>1.1 B</h3></section><section id=""><h3>1.2 C</h3><p>{call}s</p></section></section>'
+        '<section id=""><h2>2 D</h2><section id=""><h3>2.1 E</h3></section></section>F<ol><li id="fn-1">yzw</li><li id="fn-2">w</li></ol>'
+    )
+    assert [r.html for r in pages.articles(nodes).collect()] == [want]
+    assert [tuple(r) for r in pages.called_notes(nodes).orderBy("nth").collect()] == [("d", 1, "n", "yzw", 1), ("d", 2, None, "w", 0)]

@@ -176,18 +176,23 @@ def errors(nodes: DataFrame, g: Grammar) -> DataFrame:
     models, symbols = _tables(nodes.sparkSession, g)
     ink = lambda c: F.trim(F.translate(F.coalesce(c, F.lit("")), "\n\t\r", "   ")) != ""
     number = F.coalesce(F.array_position(F.array(*map(F.lit, symbols)), F.col("tag")), F.lit(0)).cast("int") - 1
-    kids = nodes.filter("parent >= 0").groupBy("doc", F.col("parent").alias("node")).agg(F.array_sort(F.collect_list(F.struct("node", "tag", number.alias("symbol")))).alias("kids"), F.max(ink("tail")).alias("tails"))
-    rows = nodes.select("doc", "node", "parent", "tag", "text", "attrs").join(F.broadcast(models), "tag").join(kids, ["doc", "node"], "left")  # a row a tag of the grammar
+    # nodes are shuffled by doc once; each stands for itself and as a child of its parent
+    lean = nodes.select("doc", "node", "parent", "tag", "attrs", ink(F.col("text")).alias("inked"), ink(F.col("tail")).alias("tailed"), number.alias("symbol")).repartition("doc")
+    own = F.struct("parent", "tag", "attrs", "inked")
+    kid = F.struct("node", "tag", "symbol")
+    two = F.array(F.struct(F.col("node").alias("at"), own.alias("own"), F.when(F.lit(False), kid).alias("kid"), F.lit(False).alias("tailed")), F.struct(F.col("parent").alias("at"), F.when(F.lit(False), own).alias("own"), kid.alias("kid"), F.col("tailed")))
+    rows = lean.select("doc", F.inline(two)).filter("at >= 0").groupBy("doc", "at").agg(F.first("own", ignorenulls=True).alias("own"), F.array_sort(F.collect_list("kid")).alias("kids"), F.max("tailed").alias("tails"))
+    rows = rows.select("doc", F.col("at").alias("node"), "own.*", "kids", "tails").join(F.broadcast(models), "tag", "left")  # a row a tag of the grammar
     width = len(symbols)
     step = f"if(a.bad is not null, a, if(c.symbol < 0 or get(table, a.at * {width} + c.symbol) < 0, struct(a.at as at, struct(c.node as node, c.tag as tag) as bad), struct(get(table, a.at * {width} + c.symbol) as at, cast(null as struct<node:int,tag:string>) as bad)))"
-    run = F.expr(f"aggregate(coalesce(kids, cast(array() as array<struct<node:int,tag:string,symbol:int>>)), struct(0 as at, cast(null as struct<node:int,tag:string>) as bad), (a, c) -> {step})")
+    run = F.expr(f"aggregate(kids, struct(0 as at, cast(null as struct<node:int,tag:string>) as bad), (a, c) -> {step})")
     rows = rows.withColumn("run", run)
     one = lambda kind, error, node=F.col("node"): F.struct(node.alias("node"), F.lit(kind).alias("kind"), F.concat("tag", F.lit(": "), error).alias("error"))
     named = lambda names, kind, says: F.transform(names, lambda k: one(kind, F.concat(F.lit("attribute "), k, F.lit(says))))
     given = F.map_keys("attrs")
     wrong = F.filter(F.map_keys("closed"), lambda k: F.element_at("attrs", k).isNotNull() & ~F.array_contains(F.element_at("closed", k), F.element_at("attrs", k)))
     whole = F.array(
-        F.when(~F.col("may_text") & (ink(F.col("text")) | F.coalesce("tails", F.lit(False))), one(3, F.lit("text not allowed"))),
+        F.when(~F.col("may_text") & (F.col("inked") | F.col("tails")), one(3, F.lit("text not allowed"))),
         F.when(F.col("run.bad").isNull() & ~F.get("accept", F.col("run.at")), one(4, F.lit("content incomplete"))),
         F.when(F.col("run.bad").isNotNull(), one(5, F.concat("run.bad.tag", F.lit(" not allowed here")), F.col("run.bad.node"))),
     )
@@ -195,14 +200,14 @@ def errors(nodes: DataFrame, g: Grammar) -> DataFrame:
         named(F.filter("required", lambda k: F.element_at("attrs", k).isNull()), 0, " missing"), named(F.filter(given, lambda k: ~F.array_contains("allowed", k)), 1, " not allowed"),
         named(wrong, 2, " has a wrong value"), F.array_compact(whole),
     )
-    out = rows.select("doc", F.inline(every))
-    roots = nodes.filter((F.col("parent") < 0) & ~F.col("tag").isin(g.roots)).select("doc", "node", F.lit(5).alias("kind"), F.concat("tag", F.lit(" not allowed as the root")).alias("error"))
-    return out.unionByName(roots)
+    strange = (F.col("parent") < 0) & ~F.col("tag").isin(g.roots)
+    root = F.array_compact(F.array(F.when(strange, F.struct("node", F.lit(5).alias("kind"), F.concat("tag", F.lit(" not allowed as the root")).alias("error")))))
+    return rows.select("doc", F.inline(F.when(F.col("table").isNull(), root).otherwise(F.concat(every, root))))
 
 
 def first_errors(nodes: DataFrame, g: Grammar, most: int = 5) -> DataFrame:
     """(doc, nth, error, errors): the first ``most`` errors of every document that has any, in document order, and how many it has."""
     found = errors(nodes, g)
     nth = F.row_number().over(Window.partitionBy("doc").orderBy("node", "kind", "error"))
-    total = found.groupBy("doc").agg(F.count("*").alias("errors"))
-    return found.withColumn("nth", nth).filter(F.col("nth") <= most).join(total, "doc").select("doc", "nth", "error", "errors")
+    total = F.count("*").over(Window.partitionBy("doc"))
+    return found.withColumns({"nth": nth, "errors": total}).filter(F.col("nth") <= most).select("doc", "nth", "error", "errors")

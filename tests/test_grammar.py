@@ -83,3 +83,10 @@ def test_errors_of_documents(spark):
         "many": ["app: attribute n missing", "app: content incomplete", "app: attribute n missing", "app: content incomplete", "app: attribute n missing"],
     }
     assert not G.first_errors(markup.node_table(spark.createDataFrame([], "doc string, text string")), g).count()
+
+
+def test_documents_are_parsed_once(spark):
+    nodes = markup.node_table(spark.createDataFrame([("d", "<odd><TEI/></odd>")], "doc string, text string"))
+    found = G.first_errors(nodes, G.read_grammar(RNG))
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert [(r.nth, r.error, r.errors) for r in found.orderBy("nth").collect()] == [(1, "odd not allowed as the root", 2), (2, "TEI: content incomplete", 2)]

@@ -338,3 +338,14 @@ def test_rows_of_small_documents_come_in_few_batches():
 def test_rows_of_elements_named_by_entities(spark):
     docs = spark.createDataFrame([("e", '<!DOCTYPE a [<!ENTITY x "<&#98; k=\'1\'/>">]><a>&x;</a>'), ("p", '<t:a xmlns:t="u"><t:b k="2"/></t:a>'), ("n", "<a><c/></a>"), ("z", None)], "doc string, text string")
     assert {(r.doc, r.k) for r in markup.rows_of(docs, ".//b", {"k": ".@k"}).collect()} == {("e", "1"), ("p", "2")}
+
+
+def test_sections_of_any_depth(spark):
+    from loomtext.operators import catalogue
+
+    text = "<TEI><text><body>" + "<div>" * 9 + "</div>" * 9 + '</body><back><div type="errata"/><div type="index"/></back></text></TEI>'
+    found = catalogue.article_sections(spark.createDataFrame([("d", text)], "doc string, text string"))
+    rows = sorted((r.ord, r.parent, r.level) for r in found.filter("kind is null").collect())
+    assert [r[2] for r in rows] == [*range(9)] and [r[1] for r in rows] == [None, *(r[0] for r in rows[:-1])]
+    assert found.filter("kind = 'errata' and level = 0 and parent is null").count() == 1 and found.count() == 10
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()

@@ -72,8 +72,10 @@ def split_sink(spark, d):
 SELECT w.doc_id, count(*) AS tokens, count(DISTINCT norm) AS types, any_value(d.source) AS source FROM w JOIN documents d ON d.doc_id = w.doc_id GROUP BY w.doc_id""")
 def stored_tokens(spark, d):
     """Tokens and texts in tables bucketed by text: counting a text's tokens and meeting its row need no shuffle."""
-    words = tables.bucketed(base.words(spark, d, ["doc_id"]).select("doc_id", "norm"), scratch.new_path(spark, "stored-tokens"), "doc_id")
-    texts = tables.bucketed(table(spark, d, "documents").select("doc_id", "source"), scratch.new_path(spark, "stored-texts"), "doc_id")
+    docs = table(spark, d, "documents")
+    n = tables.buckets_for(docs)
+    words = tables.bucketed(base.words(spark, d, ["doc_id"]).select("doc_id", "norm"), scratch.new_path(spark, "stored-tokens"), "doc_id", n)
+    texts = tables.bucketed(docs.select("doc_id", "source"), scratch.new_path(spark, "stored-texts"), "doc_id", n)
     per_text = spark.table(words).groupBy("doc_id").agg(F.count("*").alias("tokens"), F.size(F.collect_set("norm")).cast("long").alias("types"))  # a text's own types
     return per_text.join(spark.table(texts).hint("merge"), "doc_id").select("doc_id", "tokens", "types", "source")
 

@@ -18,6 +18,9 @@ LOOKUP = (
     "cross_refs array<string>, in_lexicon boolean, tsv_supplements array<struct<source_id:string,source_siglum:string,def_ka:string,cross_refs:array<string>>>"
 )
 
+#: Characters of the texts whose words share a bucket.
+BUCKET_CHARS = 4_000_000
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -200,6 +203,11 @@ def read_store(spark: SparkSession, path: str, schema: str, texts: list | None =
     return rows.filter(F.col("bucket").isin(folders) & F.col(text).isin(texts)).drop("bucket")
 
 
+def buckets_for(texts: DataFrame, text: str = "text", chars: int = BUCKET_CHARS, least: int = 16) -> int:
+    """As many buckets as leave about ``chars`` characters of ``texts`` to each, so that what a task sorts doesn't grow with the table."""
+    return max(least, -(-(texts.agg(F.sum(F.char_length(text))).first()[0] or 0) // chars))
+
+
 def bucketed(rows: DataFrame, path: str, key: str, buckets: int = 16) -> str:
     """Writes ``rows`` as a table bucketed and sorted by ``key`` and returns its name: tables of one number of buckets join by the key without a shuffle.
     The files go with the session; in a catalog that outlives it the caller drops the table."""

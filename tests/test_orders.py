@@ -119,3 +119,9 @@ def test_pieces_are_cut_where_they_are(spark):
 def test_settled_tables_are_read_from_the_shared_folder(spark):
     df = scratch.settled(spark.range(10), "numbers")
     assert df.count() == 10 and "Scan parquet" in plan(df).replace("FileScan parquet", "Scan parquet")
+
+
+def test_buckets_grow_with_the_texts(spark):
+    texts = spark.createDataFrame([("abcdé",), (None,), ("x" * 96,)], "text string")
+    assert tables.buckets_for(texts, chars=10, least=2) == 11 and tables.buckets_for(texts) == 16
+    assert tables.buckets_for(texts.filter("false"), chars=10, least=2) == 2

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from loomtext.functions import georgian
 from loomtext.operators.tokens import slices
 from loomtext.operators.validate import introduced, tag_violations, violations
-from loomtext.sources.markup import node_table, walk, well_formed
+from loomtext.sources.markup import BATCH_CHARS, node_table, walk, well_formed
 from loomtext.sources.tables import publish
 
 #: How far a shifted word is looked for.
@@ -177,28 +177,35 @@ def inject(docs: DataFrame, tokens: DataFrame, every: bool = False, gate: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "text", "tagged", "skipped", "introduced", "written"]
         kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.bool_()]
+        def made(doc: str, old: str, some: list[dict]) -> tuple:
+            if not some:
+                return doc, old, 0, 0, [], False
+            try:
+                lead, root, rest = _parsed(old)
+            except (ET.ParseError, expat.ExpatError):
+                return doc, old, 0, len(some), ["not well-formed"], False
+            if "}" in root.tag:
+                ET.register_namespace("", root.tag[1 : root.tag.index("}")])
+            violations = tag_violations(root)
+            done, skipped = splice(root, some)
+            after = tag_violations(root)
+            worse = [k for k in after if after[k] > violations[k]]
+            stands = bool(done) and not (gate and worse)
+            return doc, lead + _written(root) + rest if stands else old, done, skipped, worse, stands
+
+        def handed(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
         for b in batches:
-            rows = []
+            rows, size = [], 0
             for doc, text, tk in zip(*(b.column(k) for k in range(3)), strict=True):
-                old, some = text.as_py() or "", tk.as_py() or []
-                if not some:
-                    rows.append((doc.as_py(), old, 0, 0, [], False))
-                    continue
-                try:
-                    lead, root, rest = _parsed(old)
-                except (ET.ParseError, expat.ExpatError):
-                    rows.append((doc.as_py(), old, 0, len(some), ["not well-formed"], False))
-                    continue
-                if "}" in root.tag:
-                    ET.register_namespace("", root.tag[1 : root.tag.index("}")])
-                violations = tag_violations(root)
-                done, skipped = splice(root, some)
-                after = tag_violations(root)
-                worse = [k for k in after if after[k] > violations[k]]
-                stands = bool(done) and not (gate and worse)
-                rows.append((doc.as_py(), lead + _written(root) + rest if stands else old, done, skipped, worse, stands))
+                rows.append(made(doc.as_py(), text.as_py() or "", tk.as_py() or []))
+                size += len(rows[-1][1])
+                if size > BATCH_CHARS:  # new texts are handed on before those of the whole batch are made
+                    yield handed(rows)
+                    rows, size = [], 0
             if rows:
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                yield handed(rows)
 
     both = docs.select(F.col("doc").cast("string"), "text").join(tokens.select(F.col("text_id").alias("doc"), "tokens"), "doc", "left" if every else "inner")
     return both.mapInArrow(run, "doc string, text string, tagged int, skipped int, introduced array<string>, written boolean")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtext.llm.held import lean
+from loomtext.llm.held import lean, trim
 from loomtext.llm.staging import free_name
 
 BUCKETS = 1 << 15
@@ -194,13 +194,10 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
         yield pa.record_batch([pa.array(np.r_[i, -1].astype(np.int32)), pa.array(np.r_[seen[i], n])], ["i", "n"])
 
     usable = rows.filter(F.col("text").rlike(r"\p{L}"))
-    sums = usable.select("text").mapInArrow(lean(frequencies), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()  # BUCKETS + 1 rows at most
-    df, total = np.zeros(BUCKETS), 0
-    for r in sums:
-        if r.i < 0:
-            total = r.n
-        else:
-            df[r.i] = r.n
+    sums = usable.select("text").mapInArrow(lean(frequencies), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS + 1 rows at most
+    at, n = sums.column("i").to_numpy(), sums.column("n").to_numpy()
+    df, total = np.zeros(BUCKETS), int(n[at < 0].sum())
+    df[at[at >= 0]] = n[at >= 0]
     idf, common = np.log((1 + total) / (1 + df)) + 1, df >= max(1.0, COMMON * total)
     labelled = usable.filter("lang is not null").withColumn("h", F.xxhash64("doc_id"))
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()
@@ -225,9 +222,11 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
     for k in order:
         counts_ = np.zeros(BUCKETS)
         counts_[i[k]] = c[k]
-        x.append(model.features(counts_))
+        at, v = model.features(counts_)
+        x.append((at.astype(np.int32), v))
         shares.append(model.share(counts_))
     y = np.array([languages.index(lang[k]) for k in order])
+    del got, i, c, sums  # the driver has the features now
     kept_back = np.random.default_rng(5).random(len(x)) < CALIBRATION
     fit = np.flatnonzero(~kept_back)
     model.weights = fit_ftrl([x[k] for k in fit], y[fit], len(languages))
@@ -238,6 +237,8 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
         model.least_support = FOREIGN_SUPPORT * float(np.median(logits.max(1)))
         model.least_share = float(np.quantile(np.array(shares)[back], FOREIGN_QUANTILE))
         model.least_short = SHORT_SHARE
+    del x, shares
+    trim()  # the driver's later stages need what the sample took
     return model
 
 

@@ -594,3 +594,12 @@ def test_pipeline_ends_in_the_ids(spark, corpus, sf_dir):
     for p in sorted(pieces.collect(), key=lambda p: (p.doc_id, p.start)):
         got[p.doc_id] = got.get(p.doc_id, b"") + bytes(p.ids)
     assert got == {d: np.append(i, np.uint32(1)).astype("<u4").tobytes() for d, i in want.items()}
+
+
+def test_training_gives_the_drivers_memory_back(spark, monkeypatch):
+    from loomtext.llm import langid as module
+
+    given = []
+    monkeypatch.setattr(module, "trim", lambda: given.append(1))
+    rows = spark.createDataFrame([(k, ("der die das und " if k % 2 else "the of and in ") * 5, "de" if k % 2 else "en") for k in range(20)], "doc_id long, text string, lang string")
+    assert module.train(rows).languages == ["de", "en"] and given == [1]

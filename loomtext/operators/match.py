@@ -55,8 +55,8 @@ def match_types(types: DataFrame, stopwords: DataFrame, authority: DataFrame, pr
     ``each`` matches every row, other columns kept, as a stream needs it.
     """
     df = types if each else types.select("surface", "norm").distinct()
-    probe = F.when((F.col("norm") != "") & (F.col("norm") != F.col("surface")), F.col("norm"))
-    df = df.withColumn("__probe", probe)
+    # a word without a norm of its own asks for its surface again: that changes nothing in the order below, and nulls would all meet in one task
+    probe = F.when(F.col("norm") != "", F.col("norm")).otherwise(F.col("surface"))
     names = authority.select(
         "key",
         F.struct(
@@ -69,9 +69,9 @@ def match_types(types: DataFrame, stopwords: DataFrame, authority: DataFrame, pr
     # the lookups are laid side by side once, so a type meets them in two joins, by surface and by norm, and not in eight
     every = [t.select("key", *[(F.col("hit") if n == name else F.lit(None)).alias(f"__{n}") for n in tables]) for name, t in tables.items()]
     side = reduce(DataFrame.unionByName, every).groupBy("key").agg(*[F.first(f"__{n}", ignorenulls=True).alias(f"__{n}") for n in tables])
-    for by, column in (("x", "surface"), ("n", "__probe")):
+    for by, column in (("x", F.col("surface")), ("n", probe)):
         one = side.select(F.col("key").alias(f"__key{by}"), *[F.col(f"__{n}").alias(f"__{n}{by}_hit") for n in tables])
-        df = df.join(one, F.col(column) == F.col(f"__key{by}"), "left").drop(f"__key{by}")
+        df = df.join(one, column == F.col(f"__key{by}"), "left").drop(f"__key{by}")
     hit = lambda n, confidence: F.when(F.col(f"__{n}_hit").isNotNull(), F.struct(F.col(f"__{n}_hit").alias("h"), F.lit(confidence).alias("confidence")))
     found = F.coalesce(hit("authx", "exact"), hit("authn", "exact"), hit("ax", "exact"), hit("bx", "exact"), hit("an", "norm"), hit("bn", "norm"))
     df = df.withColumn("__m", found).withColumn("__stop", F.coalesce("__sx_hit", "__sn_hit", F.lit(False)))

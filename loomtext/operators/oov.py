@@ -32,12 +32,25 @@ def types(words: DataFrame, text: str = "text_id", order: str | None = None, wit
     """
     seen = F.col(order) if order else F.lit(0)
     pairs = words.groupBy("surface", text).agg(F.count("*").alias("n"), F.max_by("norm", seen).alias("norm"), F.max(seen).alias("last"), F.min(seen).alias("first"))
-    aggs = [F.max_by("norm", "last").alias("norm"), F.sum("n").alias("freq"), F.count("*").alias("text_count"), F.min("first").alias("first_seen")]
+    aggs = [F.max_by("norm", "last").alias("norm"), F.sum("n").alias("freq"), F.count(text).alias("text_count"), F.min("first").alias("first_seen")]
     return pairs.groupBy("surface").agg(*aggs, *([F.array_sort(F.collect_list(text)).alias("texts")] if with_texts else []))
 
 
-def text_bitmaps(words: DataFrame, text: str = "text_id", width: int = 64) -> DataFrame:
-    """(surface, bucket, bits): which texts hold a word, as one number for each run of ``width`` (64 at most) text numbers that has any. Numbers are
+def text_types(docs: DataFrame, doc: str = "text_id", text: str = "text", word: str = r"\p{L}+") -> DataFrame:
+    """(surface, freq, text_count) from the texts themselves. A word's first occurrence in a text is told apart in its row, so that words are
+    combined where they are and no (surface, text) pair is shuffled. Rows that share an id, which are looked for first, go through those pairs."""
+    words = F.regexp_extract_all(text, F.lit(f"({word})"), F.lit(1))
+    if docs.groupBy(doc).count().filter("count > 1").isEmpty():
+        lists = docs.select(F.col(doc).isNotNull().alias("__named"), words.alias("__words"))
+        each = lists.select("__named", F.size("__words").alias("__n"), F.posexplode(F.concat("__words", F.array_distinct("__words"))).alias("__at", "surface"))
+        occurs = F.col("__at") < F.col("__n")  # what follows are the distinct words
+        return each.groupBy("surface").agg(F.count_if(occurs).alias("freq"), F.count_if(~occurs & F.col("__named")).alias("text_count"))
+    pairs = docs.select(doc, F.explode(words).alias("surface")).groupBy("surface", doc).agg(F.count("*").alias("n"))
+    return pairs.groupBy("surface").agg(F.sum("n").alias("freq"), F.count(doc).alias("text_count"))
+
+
+def text_bitmaps(words: DataFrame, text: str = "text_id", width: int = 64, *more: Column) -> DataFrame:
+    """(surface, bucket, bits[, more aggregates]): which texts hold a word, as one number for each run of ``width`` (64 at most) text numbers that has any. Numbers are
     combined by ``or`` before and after the shuffle, so no row grows with the corpus and a word of every text makes no list; a bitmap
     of thousands of bits a row would waste them on the many words of few texts."""
     bucket, bit = F.floor(F.col(text) / width).cast("long"), F.pmod(F.col(text), F.lit(width)).cast("int")

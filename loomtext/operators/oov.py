@@ -110,6 +110,6 @@ def top(found: DataFrame, kind: str, k: int) -> DataFrame:
 
 def rollup(found: DataFrame) -> DataFrame:
     """Per category: types, tokens, and their share of all unmatched tokens in per cent."""
-    one = found.groupBy("category").agg(F.count("*").alias("types"), F.sum("freq").alias("tokens"))
-    total = found.agg(F.sum("freq").alias("total"))
-    return one.crossJoin(F.broadcast(total)).select("category", "types", "tokens", F.try_divide(F.col("tokens") * 100.0, "total").alias("share"))
+    one = found.groupBy("category").agg(F.count("*").alias("types"), F.sum("freq").alias("tokens"))  # a row a category; their sum is the total, so types are matched once
+    one = one.agg(F.sum("tokens").alias("total"), F.collect_list(F.struct("category", "types", "tokens")).alias("kinds")).select("total", F.inline("kinds"))
+    return one.select("category", "types", "tokens", F.try_divide(F.col("tokens") * 100.0, "total").alias("share"))

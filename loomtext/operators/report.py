@@ -33,12 +33,13 @@ def per_text(coverage: DataFrame, text: str = "text_id") -> DataFrame:
 
 def unmatched(found: DataFrame) -> DataFrame:
     """(line, category, types, tokens, share): every category in its order, those without a type too."""
-    one = oov.rollup(found)
+    found_kinds = F.collect_list(F.struct("category", "types", "tokens")).alias("kinds")
+    every = oov.rollup(found).agg(F.sum("tokens").alias("total"), found_kinds)  # one row
     kinds = found.sparkSession.createDataFrame([(k, c) for k, c in enumerate(oov.CATEGORIES)], "line int, category string")
-    total = F.sum("tokens").alias("total")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    rows = kinds.join(one, "category", "left").crossJoin(F.broadcast(one.agg(total)))  # one row
-    return rows.select("line", "category", zero("types"), zero("tokens"), percent(F.coalesce("tokens", F.lit(0)), F.col("total")).alias("share"))
+    mine = F.try_element_at(F.filter("kinds", lambda x: x["category"] == F.col("category")), F.lit(1))
+    rows = kinds.crossJoin(F.broadcast(every)).withColumn("one", mine)
+    zero = lambda c: F.coalesce(F.col(f"one.{c}"), F.lit(0))
+    return rows.select("line", "category", zero("types").alias("types"), zero("tokens").alias("tokens"), percent(zero("tokens"), F.col("total")).alias("share"))
 
 
 def scoped(matched: DataFrame, carried: DataFrame) -> DataFrame:

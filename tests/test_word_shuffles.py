@@ -35,6 +35,23 @@ def test_no_pair_of_word_and_text_is_shuffled(spark, sf_dir, name):
     assert "hashpartitioning(surface" in text and "doc_id" not in "".join(x for x in text.splitlines() if "Exchange hashpartitioning(surface" in x)
 
 
+def test_categories_are_summed_up_in_one_pass(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def touched(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    schema = "category string, freq long"
+    found = spark.createDataFrame([("RARE", 1), ("RARE", 2), ("VERB", 7)], schema)
+    got = {tuple(r) for r in oov.rollup(found.mapInArrow(touched, schema)).collect()}
+    assert got == {("RARE", 2, 3, 30.0), ("VERB", 1, 7, 70.0)} and read.value == 3
+    rows = sorted(tuple(r) for r in report.unmatched(found.mapInArrow(touched, schema)).collect())
+    assert rows == [(0, "REVIEW", 0, 0, "0.0"), (1, "VERB", 1, 7, "70.0"), (2, "FUNCTION", 0, 0, "0.0"), (3, "RARE", 2, 3, "30.0")] and read.value == 6
+    assert oov.rollup(found.limit(0)).count() == 0 and [r.share for r in report.unmatched(found.limit(0)).collect()] == [None] * 4
+
+
 def test_words_without_own_norm_are_spread(spark):
     stop = spark.createDataFrame([("s",)], "word string")
     auth = spark.createDataFrame([("n", "p1", "t", "N", "person")], "key string, xml_id string, type string, main_ka string, entity string")

@@ -15,6 +15,8 @@ from loomtext.functions import georgian
 from loomtext.functions.strings import leading_numbers
 
 TIERS = ("stopword", "authority", "primary", "master", "none")
+#: Types that are brought to the words are fewer than this: each is more than this fraction of all words.
+OFTEN = 1_000_000
 NO_MATCH = {"match_tier": "none", "match_id": "", "match_lemma": "", "match_def_ka": "", "match_source": "", "confidence": "none", "in_lexicon": "0"}
 
 
@@ -112,6 +114,23 @@ def text_coverage(matched: DataFrame, text: str = "text_id", n: str | None = Non
     )
 
 
+def often(types: DataFrame, n: str = "freq", most: int = OFTEN) -> Column:
+    """Whether a type of ``types`` (with its count ``n``) is more than 1/``most`` of all words: of fewer than ``most`` types, whatever the words are."""
+    return F.col(n) > (types.agg(F.sum(n)).first()[0] or 0) / most
+
+
+def words_coverage(words: DataFrame, types: DataFrame, text: str = "text_id", most: int = OFTEN) -> DataFrame:
+    """``text_coverage`` of ``words`` (text, surface) by their ``types`` (surface, freq, match_tier, in_lexicon), which are read more than once. Types that come
+    often are brought to the words, so that only words of the others are shuffled, and come back only if they count."""
+    matched, in_lex = ~F.col("match_tier").isin("none", "stopword"), F.col("in_lexicon") == "1"
+    kinds = types.select("surface", often(types, most=most).alias("__often"), matched.cast("long").alias("matched"), in_lex.cast("long").alias("in_lex"))
+    many = kinds.filter("__often")
+    near = words.join(F.broadcast(many), "surface", "left").select(text, F.lit(1).cast("long").alias("total"), "matched", "in_lex")
+    rest = words.join(F.broadcast(many.select("surface")), "surface", "left_anti").join(kinds.filter("NOT __often AND matched + in_lex > 0"), "surface")
+    both = near.unionByName(rest.select(text, F.lit(0).cast("long").alias("total"), "matched", "in_lex"))
+    return both.groupBy(text).agg(F.sum("total").alias("total"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("matched", "in_lex")])
+
+
 def name_candidates(oov: DataFrame, stems: list[str], least: int = 3, most_texts: int = 15) -> DataFrame:
     """Unmatched types (surface, norm, freq, text_count, texts) that are frequent, not too dispersed, and begin, raw or
     normalised, with a known name's stem."""

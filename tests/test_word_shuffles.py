@@ -68,3 +68,16 @@ def test_words_without_own_norm_are_spread(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("most", [1, 3, 1_000_000])
+def test_coverage_is_the_same_however_many_types_come_often(spark, most):
+    words = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, "the"), (2, "q"), (None, "b"), (3, "a"), (3, "x")], "text_id long, surface string")
+    tiers = {"a": ("primary", "1"), "b": ("master", "0"), "the": ("stopword", "0"), "q": ("none", "0"), "x": ("none", "0")}
+    freq = {r.surface: r["count"] for r in words.groupBy("surface").count().collect()}
+    types = spark.createDataFrame([(w, freq[w], *t) for w, t in tiers.items()], "surface string, freq long, match_tier string, in_lexicon string")
+    got = match.words_coverage(words, types, most=most)
+    assert {tuple(r) for r in got.collect()} == {(1, 4, 3, 2), (2, 1, 0, 0), (None, 1, 1, 0), (3, 2, 1, 1)}
+    assert {tuple(r) for r in match.text_coverage(words.join(types, "surface")).collect()} == {tuple(r) for r in got.collect()}
+    assert types.filter(match.often(types, most=most)).count() < most
+    assert match.words_coverage(words.limit(0), types.limit(0)).count() == 0

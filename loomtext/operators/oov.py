@@ -54,13 +54,13 @@ def text_bitmaps(words: DataFrame, text: str = "text_id", width: int = 64, *more
     combined by ``or`` before and after the shuffle, so no row grows with the corpus and a word of every text makes no list; a bitmap
     of thousands of bits a row would waste them on the many words of few texts."""
     bucket, bit = F.floor(F.col(text) / width).cast("long"), F.pmod(F.col(text), F.lit(width)).cast("int")
-    return words.groupBy("surface", bucket.alias("bucket")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    return words.groupBy("surface", bucket.alias("bucket")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"), *more)
 
 
 def texts_of(bitmaps: DataFrame, width: int = 64) -> DataFrame:
-    """(surface, bucket, texts): the text numbers of each row of ``text_bitmaps``, in order, ``width`` at most."""
+    """``text_bitmaps`` with texts in place of bits: the text numbers of each row, in order, ``width`` at most."""
     held = F.filter(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.getbit("bits", i) == 1)
-    return bitmaps.select("surface", "bucket", F.transform(held, lambda i: F.col("bucket") * width + i).alias("texts"))
+    return bitmaps.withColumn("texts", F.transform(held, lambda i: F.col("bucket") * width + i)).drop("bits")
 
 
 def text_total(words: DataFrame, text: str = "text_id") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomtext.functions import georgian
-from loomtext.operators import inject, oov, ordering, tokens
+from loomtext.operators import inject, match, oov, ordering, tokens
 from loomtext.plans import base, corpus, tei
 from loomtext.plans.base import MATCHED, query, table
 from loomtext.plans.corpus import OOV
@@ -44,14 +45,16 @@ def collated_words(spark, d):
 last AS (SELECT surface, arg_max(norm, doc_id) AS last_norm, count(*) AS freq FROM v GROUP BY surface)
 SELECT surface, last_norm, freq, doc_id // 64 AS bucket, string_agg(DISTINCT doc_id::VARCHAR, '|' ORDER BY doc_id::VARCHAR) AS texts FROM v JOIN last USING (surface) GROUP BY ALL""")
 def oov_text_lists(spark, d):
-    words = base.words(spark, d, ["doc_id", "lang"])
-    counted = words.groupBy("surface").agg(F.count("*").alias("freq"), F.count_distinct("doc_id").alias("text_count")).withColumn("norm", F.lower("surface"))
-    none = base.matched_types(spark, d, counted).filter("match_tier = 'none'").select("surface", "freq")
-    # the norm follows the text's language here, so that the last one seen differs from others
-    last = words.groupBy("surface", "doc_id").agg(F.max(F.concat_ws(".", "norm", "lang")).alias("norm")).groupBy("surface").agg(F.max_by("norm", "doc_id").alias("last_norm"))
-    lists = oov.texts_of(oov.text_bitmaps(words, "doc_id"))
+    types = scratch.settled(base.matched_types(spark, d, base.types(spark, d)).select("surface", "freq", "match_tier"), "types")
+    known, none = match.often(types) & (F.col("match_tier") != "none"), types.filter("match_tier = 'none'").select("surface", "freq")
+    each = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"({base.LETTER})"), F.lit(1)))).alias("surface")
+    pairs = table(spark, d, "documents").select("doc_id", "lang", each).join(F.broadcast(types.filter(known).select("surface")), "surface", "left_anti").join(none, "surface")
+    # the norm follows the text's language here, so that the last one seen differs from others; what follows keeps the join's order by word
+    last = F.max(F.when(F.col("lang").isNotNull(), F.struct("doc_id", "lang"))).alias("last")
+    lists = oov.texts_of(oov.text_bitmaps(pairs, "doc_id", 64, F.max("freq").alias("freq"), last))
+    norm = F.concat(F.lower("surface"), F.lit("."), F.max("last").over(Window.partitionBy("surface"))["lang"])
     listed = F.array_join(F.array_sort(F.transform("texts", lambda t: t.cast("string"))), "|")
-    return none.join(last, "surface").join(lists, "surface").select("surface", "last_norm", "freq", "bucket", listed.alias("texts"))
+    return lists.select("surface", norm.alias("last_norm"), "freq", "bucket", listed.alias("texts"))
 
 
 # --- Sinks and stores -----------------------------------------------------------------------------

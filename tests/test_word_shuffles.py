@@ -81,3 +81,20 @@ def test_coverage_is_the_same_however_many_types_come_often(spark, most):
     assert {tuple(r) for r in match.text_coverage(words.join(types, "surface")).collect()} == {tuple(r) for r in got.collect()}
     assert types.filter(match.often(types, most=most)).count() < most
     assert match.words_coverage(words.limit(0), types.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["oov_text_lists", "text_coverage"])
+def test_documents_without_language_and_text(spark, sf_dir, tmp_path, name):
+    for t in ("nation", "benchmark", "conversations"):
+        os.symlink(f"{sf_dir}/{t}.parquet", tmp_path / f"{t}.parquet")
+    docs = [(1, "zzqx the", "en"), (70, "zzqx Zzqy zzqx", "de"), (71, "zzqx zzqz", None), (72, None, "en"), (73, "", "en")]
+    spark.createDataFrame([(i, t, c, "src1") for i, t, c in docs], "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    for t in ("nation", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    query = getattr(orders if name == "oov_text_lists" else corpus, name)
+    got = query(spark, str(tmp_path))
+    found = con.execute(base.REGISTRY[name][1])
+    columns = [c[0] for c in found.description]
+    assert sorted(repr(tuple(r[c] for c in columns)) for r in got.collect()) == sorted(map(repr, found.fetchall()))

@@ -65,7 +65,7 @@ SELECT f.folder, count(s.surface) AS observed, count(s.surface) AS written, coal
 def split_sink(spark, d):
     path = scratch.new_path(spark, "split")
     found = corpus.unmatched(spark, d).select("surface", "norm", "freq", "text_count", "category")
-    seen = tables.split_sink(found, path, "category", {"review": "REVIEW", "function": "FUNCTION", "none": "NOTHING"})
+    seen = tables.split_sink(found, path, "category", {"review": "REVIEW", "function": "FUNCTION", "none": "NOTHING"}, "gzip")
     back = tables.read_split(spark, path, "surface string, norm string, freq long, text_count long, category string")
     got = back.groupBy("folder").agg(F.count("*").alias("written"), F.sum("freq").alias("tokens"), F.max("surface").alias("last_word"))
     return seen.join(got, "folder", "left").select("folder", "observed", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("written", "tokens")], F.coalesce("last_word", F.lit("")).alias("last_word"))

@@ -119,7 +119,7 @@ def write_split(df: DataFrame, path: str, column: str, values: dict[str, str]) -
         write_tsv(df.filter(F.col(column) == value), f"{path}/{folder}")
 
 
-def split_sink(df: DataFrame, path: str, column: str, values: dict[str, str]) -> DataFrame:
+def split_sink(df: DataFrame, path: str, column: str, values: dict[str, str], compression: str = "none") -> DataFrame:
     """What ``write_split`` writes, in one pass over ``df``: rows go to folder ``all`` and, by ``column``, to those of ``values`` (folder -> value), as partitions of one
     write. Returns (folder, observed): the rows counted on the way, also for folders that stay empty."""
     seen = Observation()
@@ -127,7 +127,7 @@ def split_sink(df: DataFrame, path: str, column: str, values: dict[str, str]) ->
     df = df.observe(seen, *[F.count_if(c).alias(folder) for folder, c in of.items()])
     folders = F.array_compact(F.array(*[F.when(c, F.lit(folder)) for folder, c in of.items()]))
     out = _flat(df.withColumn("__folders", folders)).withColumn("folder", F.explode(F.split("__folders", r"\|"))).drop("__folders")
-    out.write.mode("overwrite").partitionBy("folder").option("sep", "\t").option("header", True).option("escape", "\"").option("emptyValue", "").csv(path)
+    out.write.mode("overwrite").partitionBy("folder").option("compression", compression).option("sep", "\t").option("header", True).option("escape", "\"").option("emptyValue", "").csv(path)
     return df.sparkSession.createDataFrame(list(seen.get.items()), "folder string, observed long")
 
 

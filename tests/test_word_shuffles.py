@@ -83,6 +83,13 @@ def test_coverage_is_the_same_however_many_types_come_often(spark, most):
     assert match.words_coverage(words.limit(0), types.limit(0)).count() == 0
 
 
+def test_split_sink_is_read_back_compressed(spark, tmp_path):
+    df = spark.createDataFrame([("x", "A"), ('a "b"', "B")], "word string, kind string")
+    assert {tuple(r) for r in tables.split_sink(df, str(tmp_path / "s"), "kind", {"a": "A"}, "gzip").collect()} == {("all", 2), ("a", 1)}
+    assert all(f.endswith(".gz") for _, _, fs in os.walk(tmp_path / "s") for f in fs if f.startswith("part-"))
+    assert sorted((r.folder, r.word) for r in tables.read_split(spark, str(tmp_path / "s"), "word string, kind string").collect()) == [("a", "x"), ("all", 'a "b"'), ("all", "x")]
+
+
 @pytest.mark.parametrize("name", ["oov_text_lists", "text_coverage"])
 def test_documents_without_language_and_text(spark, sf_dir, tmp_path, name):
     for t in ("nation", "benchmark", "conversations"):

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loomtext.functions import georgian
-from loomtext.operators.tokens import slices
+from loomtext.operators.lookup import MOST_KEYS
+from loomtext.operators.tokens import SKIPPED, node_lists, runs_of, slices, tokens_of
 from loomtext.operators.validate import introduced, tag_violations, violations
 from loomtext.sources.markup import BATCH_CHARS, node_table, walk, well_formed
 from loomtext.sources.tables import publish
@@ -166,6 +167,42 @@ def _written(root: ET.Element) -> str:
     return ET.tostring(root, encoding="unicode").replace("\0", "")
 
 
+_MADE = pa.schema([("doc", pa.string()), ("text", pa.string()), ("tagged", pa.int32()), ("skipped", pa.int32()), ("introduced", pa.list_(pa.string())), ("written", pa.bool_())])
+_INJECTED = "doc string, text string, tagged int, skipped int, introduced array<string>, written boolean"
+
+
+def _made(doc: str, old: str, some: list[dict], gate: bool) -> tuple:
+    """A row of ``inject``: a document with its tokens spliced in, last first."""
+    if not some:
+        return doc, old, 0, 0, [], False
+    try:
+        lead, root, rest = _parsed(old)
+    except (ET.ParseError, expat.ExpatError):
+        return doc, old, 0, len(some), ["not well-formed"], False
+    if "}" in root.tag:
+        ET.register_namespace("", root.tag[1 : root.tag.index("}")])
+    violations = tag_violations(root)
+    done, skipped = splice(root, some)
+    after = tag_violations(root)
+    worse = [k for k in after if after[k] > violations[k]]
+    stands = bool(done) and not (gate and worse)
+    return doc, lead + _written(root) + rest if stands else old, done, skipped, worse, stands
+
+
+def _handed(made: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``inject`` in batches; new texts are handed on before all of them are made."""
+    batch = lambda rows: pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _MADE, strict=True)], schema=_MADE)
+    rows, size = [], 0
+    for r in made:
+        rows.append(r)
+        size += len(r[1])
+        if size > BATCH_CHARS:
+            yield batch(rows)
+            rows, size = [], 0
+    if rows:
+        yield batch(rows)
+
+
 def inject(docs: DataFrame, tokens: DataFrame, every: bool = False, gate: bool = True) -> DataFrame:
     """(doc, text, tagged, skipped, introduced, written) per document of ``docs`` (doc, text) with tokens (as of ``in_order``, by text_id).
 
@@ -175,40 +212,40 @@ def inject(docs: DataFrame, tokens: DataFrame, every: bool = False, gate: bool =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "text", "tagged", "skipped", "introduced", "written"]
-        kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.bool_()]
-        def made(doc: str, old: str, some: list[dict]) -> tuple:
-            if not some:
-                return doc, old, 0, 0, [], False
-            try:
-                lead, root, rest = _parsed(old)
-            except (ET.ParseError, expat.ExpatError):
-                return doc, old, 0, len(some), ["not well-formed"], False
-            if "}" in root.tag:
-                ET.register_namespace("", root.tag[1 : root.tag.index("}")])
-            violations = tag_violations(root)
-            done, skipped = splice(root, some)
-            after = tag_violations(root)
-            worse = [k for k in after if after[k] > violations[k]]
-            stands = bool(done) and not (gate and worse)
-            return doc, lead + _written(root) + rest if stands else old, done, skipped, worse, stands
-
-        def handed(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-
         for b in batches:
-            rows, size = [], 0
-            for doc, text, tk in zip(*(b.column(k) for k in range(3)), strict=True):
-                rows.append(made(doc.as_py(), text.as_py() or "", tk.as_py() or []))
-                size += len(rows[-1][1])
-                if size > BATCH_CHARS:  # new texts are handed on before those of the whole batch are made
-                    yield handed(rows)
-                    rows, size = [], 0
-            if rows:
-                yield handed(rows)
+            rows = zip(*(b.column(k) for k in range(3)), strict=True)
+            yield from _handed(_made(doc.as_py(), text.as_py() or "", tk.as_py() or [], gate) for doc, text, tk in rows)
 
     both = docs.select(F.col("doc").cast("string"), "text").join(tokens.select(F.col("text_id").alias("doc"), "tokens"), "doc", "left" if every else "inner")
-    return both.mapInArrow(run, "doc string, text string, tagged int, skipped int, introduced array<string>, written boolean")
+    return both.mapInArrow(run, _INJECTED)
+
+
+def inject_known(docs: DataFrame, keys: DataFrame, word: str, other: str, skipped: list[str] = SKIPPED, every: bool = False, gate: bool = True, most: int = MOST_KEYS) -> DataFrame:
+    """What ``inject`` gives of the words of ``docs`` (doc, text; an id is one document's, the root's if it has one) that are keys.
+    ``keys`` (surface, match_id, match_tier, match_source, confidence) has a row for each surface. Of ``most`` keys at most every task has all, and neither words nor texts are shuffled; more keys are joined with the words."""
+    keys = taggable(keys).filter(F.col("surface").rlike(f"^(?:{word})$")).select("surface", "match_id", "match_tier", "match_source")
+    if keys.limit(most + 1).count() > most:
+        return inject(docs, in_order(tokens_of(docs, skipped, word, other, F.lower).join(keys, "surface")), every, gate)
+    known = docs.sparkSession.sparkContext.broadcast({r.surface: {"match_id": r.match_id, "match_tier": r.match_tier, "match_source": r.match_source} for r in keys.collect()})  # ``most`` at most
+
+    def hits(nodes: list[dict], texts: list[list[str]]) -> list[dict]:
+        found, keys = [], known.value
+        for n, runs in zip(nodes, texts, strict=True):
+            at = 0
+            for s in runs:  # runs between words are never keys
+                hit = keys.get(s)
+                if hit is not None:
+                    found.append({"node_idx": n["node_idx"], "is_tail": n["is_tail"], "char_start": at, "char_end": at + len(s), "surface": s, "para_id": n["para_id"], **hit})
+                at += len(s)
+        return sorted(found, key=lambda t: (t["node_idx"], t["is_tail"], t["char_start"]), reverse=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = ((doc.as_py(), text.as_py(), hits(nodes.as_py(), runs.as_py())) for doc, text, nodes, runs in zip(*b.columns, strict=True))
+            yield from _handed(_made(doc, text, some, gate) for doc, text, some in found if some or every)
+
+    place = F.transform("nodes", lambda n: F.struct(n["para_id"].alias("para_id"), n["node_idx"].alias("node_idx"), n["is_tail"].alias("is_tail")))
+    return node_lists(docs, skipped, whole=True).select("doc", "text", place.alias("nodes"), runs_of("nodes", word, other).alias("runs")).mapInArrow(run, _INJECTED)
 
 
 def gated(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -169,7 +169,7 @@ def text_nodes(docs: DataFrame, skipped: list[str] = SKIPPED) -> DataFrame:
     return found.withColumn("initial_char", georgian.later_script(F.col("initial_char")))
 
 
-def _runs(nodes: str, word: str, other: str) -> Column:
+def runs_of(nodes: str, word: str, other: str) -> Column:
     """For each of ``nodes`` the maximal runs of word characters and of others in its text, which alternate."""
     return F.transform(nodes, lambda n: F.regexp_extract_all(n["text"], F.lit(f"({word})|({other})"), F.lit(0)))
 
@@ -178,7 +178,7 @@ def paragraph_tokens(docs: DataFrame, skipped: list[str] = SKIPPED, word: str =
     """(text_id, para_id, tokens) of each paragraph of ``docs`` (doc, text) that has a word: its tokens in order, as an array of structs (k from 0, surface, first of its
     node or not, node_idx, is_tail, char_start, char_end, initial_char). Runs are cut once in the JVM; numbers and offsets are summed over whole Arrow batches,
     a paragraph's nodes stay in its row, and nothing is shuffled."""
-    runs, idx = _runs("nodes", word, other), "quirk_idx" if compat else "node_idx"
+    runs, idx = runs_of("nodes", word, other), "quirk_idx" if compat else "node_idx"
     lists = node_lists(docs, skipped).select("text_id", F.col("nodes")[0]["para_id"].alias("para_id"), "nodes", runs.alias("runs"))
     starts = F.transform("runs", lambda r: F.get(r, F.lit(0)).rlike(f"^(?:{word})$"))
     lists = lists.select("text_id", "para_id", F.col(f"nodes.{idx}").alias("idx"), F.col("nodes.is_tail").alias("tail"), F.transform("nodes", lambda n: georgian.later_script(n["initial_char"])).alias("initial"), "runs", starts.alias("starts"))

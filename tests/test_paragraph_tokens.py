@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from loomtext.operators import tokens
+from loomtext.operators import inject, tokens
 from loomtext.plans import tei
 
 TEI = '<TEI xmlns="http://www.tei-c.org/ns/1.0" xml:id="{}"><text><body>{}</body></text></TEI>'
@@ -51,3 +51,21 @@ def test_rows_that_share_an_id_are_one_paragraph(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = sorted((r.text_id, r.para_id, r.n) for r in tei.tei_tokens(spark, str(tmp_path)).collect())
     assert got == [("d1", "d1-0", 8), ("d1", "d1-2", 4), ("d3", "d3-0", 2)]
+
+
+@pytest.mark.parametrize("every", [False, True])
+def test_known_words_are_tagged_the_same_with_few_and_many_keys(spark, every):
+    body = '<p xml:id="p1">ab <hi rend="initial">Ⴀ</hi>cd, <!-- c -->ab<seg>ef <hi>ab</hi>, </seg>ab<note>ab</note></p><p>ab</p><p xml:id="p2">cd &amp; ab</p><!-- z -->'
+    docs = spark.createDataFrame([("t1", TEI.format("t1", body)), ("t2", "<p xml:id='q'>zz</p>"), ("t3", "<p"), ("t4", None)], "doc string, text string")
+    keys = spark.createDataFrame([("ab", "a1", "primary", "exact"), ("cd", "", "primary", "exact"), ("ef", "e1", "authority", "exact"), (", ", "x", "primary", "exact"), ("zz", "z", "master", "norm")], "surface string, match_id string, match_tier string, confidence string").withColumn("match_source", F.lit("places"))
+    few, many = (inject.inject_known(docs, keys, r"\p{L}+", r"[^\p{L}]+", every=every, most=n) for n in (100, 1))
+    got = sorted(map(repr, few.collect()))
+    assert got == sorted(map(repr, many.collect())) and len(got) == (4 if every else 1)
+    made = {r.doc: r for r in few.collect()}["t1"]
+    assert (made.tagged, made.skipped, made.written) == (6, 0, True) and made.text.count('<w lemmaRef="#a1">ab</w>') == 5 and '<placeName ref="#e1">ef</placeName>' in made.text
+    assert "<p>ab</p>" in made.text and "<note>ab</note>" in made.text
+
+
+def test_injection_shuffles_neither_words_nor_texts(spark, sf_dir):
+    text = plan(tei.tei_inject(spark, sf_dir))
+    assert "Exchange" not in text and "Join" not in text

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomtext.operators import inject, tokens
-from loomtext.plans import tei
+from loomtext.plans import stored, tei
+from loomtext.sources import tables
 
 TEI = '<TEI xmlns="http://www.tei-c.org/ns/1.0" xml:id="{}"><text><body>{}</body></text></TEI>'
 DOCS = [
@@ -69,3 +70,10 @@ def test_known_words_are_tagged_the_same_with_few_and_many_keys(spark, every):
 def test_injection_shuffles_neither_words_nor_texts(spark, sf_dir):
     text = plan(tei.tei_inject(spark, sf_dir))
     assert "Exchange" not in text and "Join" not in text
+
+
+def test_token_file_is_written_without_a_shuffle(spark, sf_dir, monkeypatch):
+    written, write = [], tables.write_tsv
+    monkeypatch.setattr(tables, "write_tsv", lambda df, *more: (written.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *more)))
+    assert stored.token_file(spark, sf_dir).count() == tei.tei_words(spark, sf_dir).count() > 0
+    assert len(written) == 1 and "Exchange" not in written[0]
